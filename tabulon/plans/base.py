@@ -52,4 +52,5 @@ def values_sql(rows: Sequence[Sequence], names: Sequence[str]) -> str:
             return repr(v)
         return sql_str(v)
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-    return f"(select * from (values {body}) as v({', '.join(names)}))"
+    cols = ', '.join(f'"{n}"' for n in names)
+    return f"(select * from (values {body}) as v({cols}))"
