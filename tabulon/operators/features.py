@@ -55,3 +55,18 @@ def distribution(df: DataFrame, features: Sequence[str], group: str | None = Non
     counts = long.groupBy(*ids, "feature", "category").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy(*ids, "feature")
     return counts.withColumn("proportion", F.col("n") / F.sum("n").over(w))
+
+
+def routed_state(rules: Sequence[tuple[Column, object]], sources: Sequence[str], strict: bool = True) -> Column:
+    """G2–G4 with the G5 gate inline: an unresolved combination raises (strict) naming its sources."""
+    state = first_match(rules)
+    if not strict:
+        return state
+    msg = F.concat(F.lit("unresolved combination: "),
+                   F.concat_ws(" / ", *[F.coalesce(F.col(s).cast("string"), F.lit("NULL")) for s in sources]))
+    return F.when(state.isNull(), F.raise_error(msg)).otherwise(state)
+
+
+def mapped_rules(gate: Column, col: str, mapping: Mapping[str, str]) -> list[tuple[Column, str]]:
+    """Rules ``gate & col == source → label`` for every entry of ``mapping`` (ordered)."""
+    return [(gate & (F.col(col) == F.lit(src)), label) for src, label in mapping.items()]

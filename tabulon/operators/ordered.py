@@ -1,16 +1,18 @@
 """Running (cumulative) aggregates along a global order without a single-task window.
 
 A window ``partitionBy(family).orderBy(x)`` puts a whole family in one task.
-Here the input is range-partitioned on (family, x) — equal keys always land in
-the same partition, so ties stay together — then:
+Here the order key is cut into buckets by quantile bounds computed ONCE (a
+one-row parameter collected to the driver), so the bucket is a pure function
+of the value — equal keys always share a bucket and every recomputation
+(retries, executor loss, several branches of one plan) agrees. Then:
 
-1. partial aggregates per (range partition, family)       — tiny table
-2. carry-in from all earlier partitions of the family     — window over the tiny table
-3. running aggregate inside each range partition          — window bounded by one partition
-4. combine local value with the carry                     — equi-join on (partition, family)
+1. partial aggregates per (family, bucket)                 — tiny table
+2. carry-in from all earlier buckets of the family         — window over the tiny table
+3. running aggregate inside each (family, bucket)          — window bounded by one bucket
+4. combine local value with the carry                      — equi-join on (family, bucket)
 
 Callers first collapse rows to distinct order values (counts per value), so a
-hot value is one row, never a skewed partition.
+hot value is one row, never a skewed bucket.
 """
 
 from __future__ import annotations
@@ -23,26 +25,40 @@ from pyspark.sql import functions as F
 _OPS = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
+def bucket_bounds(df: DataFrame, key: str, buckets: int, accuracy: int = 10000) -> list[float]:
+    """Sorted distinct quantile cut points of ``key`` (a documented one-row parameter)."""
+    if buckets <= 1:
+        return []
+    probs = [i / buckets for i in range(1, buckets)]
+    row = df.agg(F.percentile_approx(F.col(key), probs, accuracy).alias("b")).first()
+    return sorted({float(b) for b in (row["b"] or []) if b is not None})
+
+
 def running(df: DataFrame, by: Sequence[str], order: str, specs: Mapping[str, tuple[str, str]],
-            descending: bool = False, num_partitions: int | None = None) -> DataFrame:
+            descending: bool = False, buckets: int | None = None) -> DataFrame:
     """Add inclusive running aggregates ``name = op(col)`` over rows ordered by ``order`` within ``by``.
 
-    ``specs``: name → (source column, op) with op in sum/min/max.
+    ``specs``: name → (source column, op) with op in sum/min/max. ``order`` must be numeric.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    o = F.col(order).desc() if descending else F.col(order).asc()
-    ranged = df.repartitionByRange(n, *[F.col(b) for b in by], o) \
-        .withColumn("__pid", F.spark_partition_id())
-    part = ranged.groupBy("__pid", *by).agg(
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = F.col(order).cast("double")
+    base = df.withColumn("__key", -key if descending else key)
+    bounds = bucket_bounds(base, "__key", n)
+    if bounds:
+        arr = F.array(*[F.lit(b) for b in bounds])
+        base = base.withColumn("__bkt", F.size(F.filter(arr, lambda b: b < F.col("__key"))))
+    else:
+        base = base.withColumn("__bkt", F.lit(0))
+    part = base.groupBy("__bkt", *by).agg(
         *[_OPS[op](F.col(src)).alias(f"__p_{name}") for name, (src, op) in specs.items()])
-    wc = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = part.select("__pid", *by, *[_OPS[op](F.col(f"__p_{name}")).over(wc).alias(f"__c_{name}")
+    wc = Window.partitionBy(*by).orderBy("__bkt").rowsBetween(Window.unboundedPreceding, -1)
+    carry = part.select("__bkt", *by, *[_OPS[op](F.col(f"__p_{name}")).over(wc).alias(f"__c_{name}")
                                        for name, (_src, op) in specs.items()])
-    wl = Window.partitionBy("__pid", *by).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.select("*", *[_OPS[op](F.col(src)).over(wl).alias(f"__l_{name}")
-                                 for name, (src, op) in specs.items()])
-    joined = local.join(carry, ["__pid", *by], "left")
+    wl = Window.partitionBy("__bkt", *by).orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
+    local = base.select("*", *[_OPS[op](F.col(src)).over(wl).alias(f"__l_{name}")
+                               for name, (src, op) in specs.items()])
+    joined = local.join(carry, ["__bkt", *by], "left")
     out: dict[str, Column] = {}
     for name, (_src, op) in specs.items():
         loc, car = F.col(f"__l_{name}"), F.col(f"__c_{name}")
@@ -52,5 +68,5 @@ def running(df: DataFrame, by: Sequence[str], order: str, specs: Mapping[str, tu
             out[name] = F.least(loc, F.coalesce(car, loc))
         else:
             out[name] = F.greatest(loc, F.coalesce(car, loc))
-    drop = ["__pid"] + [f"__l_{k}" for k in specs] + [f"__c_{k}" for k in specs]
+    drop = ["__bkt", "__key"] + [f"__l_{k}" for k in specs] + [f"__c_{k}" for k in specs]
     return joined.withColumns(out).drop(*drop)
