@@ -20,19 +20,15 @@ def _map_literal(mapping: Mapping[str, str]) -> Column:
     return F.create_map(*items)
 
 
-def recode_column(c: str, mapping: Mapping[str, str], blank_label: str | None,
-                  strict: bool = True) -> Column:
-    """D3 for one column: trim, map codes to labels, blank → ``blank_label``.
+def recode_column(c: str, mapping: Mapping[str, str], blank_label: str | None) -> Column:
+    """D3 for one (already trimmed, blank = '') column: map codes to labels, blank → ``blank_label``.
 
-    An unknown non-blank code raises (strict) or yields NULL (quarantine mode:
-    the caller splits on NULL).
+    An unknown non-blank code yields NULL here; :func:`recode_categoricals`
+    raises on it (strict) or leaves it NULL (quarantine: the caller splits on NULL).
     """
-    v = blank_to_empty(c)
+    v = F.col(c)
     label = F.try_element_at(_map_literal(mapping), v) if mapping else F.lit(None).cast("string")
     blank = F.lit(blank_label) if blank_label is not None else F.lit(None).cast("string")
-    if strict:
-        unknown = F.raise_error(F.concat(F.lit(f"unknown code in {c}: '"), v, F.lit("'")))
-        return F.when(v == "", blank).when(label.isNotNull(), label).otherwise(unknown)
     return F.when(v == "", blank).otherwise(label)
 
 
@@ -40,28 +36,37 @@ def recode_categoricals(df: DataFrame, code_maps: Mapping[str, Mapping[str, str]
                         core: Sequence[str] = (), routed: Sequence[str] = (),
                         strict: bool = True, core_label: str = CORE_MISSING,
                         routed_label: str = NOT_APPLICABLE) -> DataFrame:
-    """D3: one wide projection over all coded columns (no unpivot/pivot round trip)."""
-    exprs = {}
-    for c, mapping in code_maps.items():
-        blank_label = routed_label if c in routed else core_label if c in core else None
-        exprs[c] = recode_column(c, mapping, blank_label, strict)
-    return df.withColumns(exprs)
+    """D3: wide projections over all coded columns (no unpivot/pivot round trip).
+
+    Three narrow steps — trim, look up, check — so each input expression is
+    evaluated once per row and generated code stays small.
+    """
+    cols = list(code_maps)
+    trimmed = df.withColumns({f"__raw_{c}": blank_to_empty(c) for c in cols})
+    labelled = trimmed.withColumns({
+        c: recode_column(f"__raw_{c}", m, routed_label if c in routed else core_label if c in core else None)
+        for c, m in code_maps.items()})
+    if strict:
+        labelled = labelled.withColumns({
+            c: F.when(F.col(c).isNull(), F.raise_error(
+                F.concat(F.lit(f"unknown code in {c}: '"), F.col(f"__raw_{c}"), F.lit("'"))))
+            .otherwise(F.col(c)) for c in cols})
+    return labelled.drop(*[f"__raw_{c}" for c in cols])
 
 
 def validate_binary(df: DataFrame, cols: Sequence[str], cast: str = "tinyint") -> DataFrame:
     """Target must be complete and in {0,1}; stored as ``cast``."""
-    exprs = {}
-    for c in cols:
-        v = F.expr(f"try_cast(trim(cast(`{c}` as string)) as int)")
-        bad = v.isNull() | ~v.isin(0, 1)
-        exprs[c] = F.when(bad, F.raise_error(F.lit(f"binary target {c} incomplete or not 0/1"))) \
-            .otherwise(v).cast(cast)
-    return df.withColumns(exprs)
+    parsed = df.withColumns({c: F.expr(f"try_cast(trim(cast(`{c}` as string)) as int)") for c in cols})
+    return parsed.withColumns({
+        c: F.when(F.col(c).isNull() | ~F.col(c).isin(0, 1),
+                  F.raise_error(F.lit(f"binary target {c} incomplete or not 0/1"))).otherwise(F.col(c)).cast(cast)
+        for c in cols})
 
 
 def validate_whole_number(df: DataFrame, c: str, lo: int, hi: int, cast: str = "smallint") -> DataFrame:
     """Complete, integral, inside [lo, hi]; stored as ``cast``."""
-    v = F.expr(f"try_cast(trim(cast(`{c}` as string)) as double)")
+    parsed = df.withColumn(c, F.expr(f"try_cast(trim(cast(`{c}` as string)) as double)"))
+    v = F.col(c)
     bad = v.isNull() | (v % 1 != 0) | (v < lo) | (v > hi)
-    return df.withColumn(c, F.when(bad, F.raise_error(F.lit(f"{c} incomplete, fractional or outside [{lo}, {hi}]")))
-                         .otherwise(v).cast(cast))
+    return parsed.withColumn(c, F.when(bad, F.raise_error(F.lit(f"{c} incomplete, fractional or outside [{lo}, {hi}]")))
+                             .otherwise(v).cast(cast))

@@ -18,14 +18,12 @@ def band(c: str | Column, bands: Sequence[tuple[float, float, str]], strict: boo
     """
     v = col_(c)
     whole = (v.cast("double") % 1) == 0
-    rules = [((v >= lo) & (v < hi), label) for lo, hi, label in bands]
-    banded = first_match(rules)
+    banded = first_match([(whole & (v >= lo) & (v < hi), label) for lo, hi, label in bands])
     if not strict:
-        return F.when(whole, banded)
-    bad = v.isNull() | ~whole | banded.isNull()
-    return F.when(bad, F.raise_error(F.concat(F.lit("value outside the declared bands: "),
-                                              F.coalesce(v.cast("string"), F.lit("NULL")))
-                                     )).otherwise(banded)
+        return banded
+    # one CASE: the error branch is the ELSE of the band chain (no duplicated chain)
+    return banded.otherwise(F.raise_error(F.concat(F.lit("value outside the declared bands: "),
+                                                   F.coalesce(v.cast("string"), F.lit("NULL")))))
 
 
 def route(rules: Sequence[tuple[Column, object]], default=None) -> Column:
@@ -58,13 +56,23 @@ def distribution(df: DataFrame, features: Sequence[str], group: str | None = Non
 
 
 def routed_state(rules: Sequence[tuple[Column, object]], sources: Sequence[str], strict: bool = True) -> Column:
-    """G2–G4 with the G5 gate inline: an unresolved combination raises (strict) naming its sources."""
-    state = first_match(rules)
+    """G2–G4 rule chain (first match wins); NULL = unresolved (checked by :func:`derive_states`)."""
+    return first_match(rules)
+
+
+def derive_states(df: DataFrame, states: Mapping[str, tuple[Sequence[tuple[Column, object]], Sequence[str]]],
+                  strict: bool = True) -> DataFrame:
+    """Add routed states (name → (rules, source columns)); with ``strict`` an unresolved
+    combination raises naming its source values (the G5 gate, inline: no extra job)."""
+    out = df.withColumns({name: first_match(rules) for name, (rules, _src) in states.items()})
     if not strict:
-        return state
-    msg = F.concat(F.lit("unresolved combination: "),
-                   F.concat_ws(" / ", *[F.coalesce(F.col(s).cast("string"), F.lit("NULL")) for s in sources]))
-    return F.when(state.isNull(), F.raise_error(msg)).otherwise(state)
+        return out
+
+    def check(name, sources):
+        msg = F.concat(F.lit(f"unresolved combination for {name}: "),
+                       F.concat_ws(" / ", *[F.coalesce(F.col(s).cast("string"), F.lit("NULL")) for s in sources]))
+        return F.when(F.col(name).isNull(), F.raise_error(msg)).otherwise(F.col(name))
+    return out.withColumns({name: check(name, src) for name, (_r, src) in states.items()})
 
 
 def mapped_rules(gate: Column, col: str, mapping: Mapping[str, str]) -> list[tuple[Column, str]]:

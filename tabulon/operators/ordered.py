@@ -22,6 +22,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabulon.session import materialize
+
 _OPS = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -43,7 +45,7 @@ def running(df: DataFrame, by: Sequence[str], order: str, specs: Mapping[str, tu
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.col(order).cast("double")
-    base = df.withColumn("__key", -key if descending else key)
+    base = materialize(df.withColumn("__key", -key if descending else key))
     bounds = bucket_bounds(base, "__key", n)
     if bounds:
         arr = F.array(*[F.lit(b) for b in bounds])

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.exprs import h8
+from tabulon.session import materialize
 
 NULL_TOKEN = "\\N"
 SEP = "\u001f"
@@ -31,36 +32,64 @@ def profile_key(features: Sequence[str]) -> Column:
     return F.md5(F.concat(*parts))
 
 
+def _profile_table(df: DataFrame, key: str, label: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"),
+                               F.sum(F.col(label).cast("bigint")).alias("__pos"))
+
+
+def fold_column(key: str, k: int, salt: str, rows_total: int, heavy_groups_per_fold: int = 10,
+                eligible: Column | None = None) -> tuple[Column, Column]:
+    """(fold expression, window partition key) for a profile table with (key, __n, __pos).
+
+    Light profiles: md5(salt | key) mod k. Heavy profiles (n above
+    rows_total / (heavy_groups_per_fold · k): at most heavy_groups_per_fold · k of them)
+    are dealt in serpentine order of size within their label stratum. ONE window:
+    heavy profiles share a partition per stratum (a bounded set); light ones are
+    spread over 1024 hash buckets, their row numbers unused.
+    """
+    elig = eligible if eligible is not None else F.lit(True)
+    heavy = elig & (F.col("__n") > F.lit(rows_total / (heavy_groups_per_fold * k)))
+    stratum = F.when(F.col("__pos") * 2 >= F.col("__n"), 1).otherwise(0)
+    part = F.when(heavy, stratum - 2).otherwise(F.pmod(F.hash(F.col(key)), F.lit(1024)))
+    r = F.row_number().over(Window.partitionBy(part).orderBy(F.col("__n").desc(), F.col(key))) - 1
+    serp = F.when(F.floor(r / k) % 2 == 0, r % k).otherwise(k - 1 - r % k)
+    light = h8(F.concat(F.lit(salt + "|"), F.col(key))) % k
+    return F.when(heavy, serp).otherwise(light).cast("int"), part
+
+
+def profile_folds(prof: DataFrame, key: str, k: int = 5, salt: str = "fold",
+                  heavy_groups_per_fold: int = 10, out: str = "fold") -> DataFrame:
+    """Fold per profile from a profile table (key, __n, __pos) → (key, out)."""
+    total = prof.agg(F.sum("__n")).first()[0] or 0  # one-row parameter
+    fold, _ = fold_column(key, k, salt, total, heavy_groups_per_fold)
+    return prof.select(key, fold.alias(out))
+
+
 def group_folds(df: DataFrame, key: str, label: str, k: int = 5, salt: str = "fold",
                 heavy_groups_per_fold: int = 10, out: str = "fold") -> DataFrame:
     """H2/H3: fold in [0, k) per row, constant within a profile, label-stratified for heavy profiles."""
-    prof = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"),
-                               F.sum(F.col(label).cast("bigint")).alias("__pos"))
-    total = prof.agg(F.sum("__n").alias("__rows"))
-    prof = prof.crossJoin(F.broadcast(total))  # one-row parameter
-    heavy = F.col("__n") > F.col("__rows") / F.lit(heavy_groups_per_fold * k)
-    stratum = F.when(F.col("__pos") * 2 >= F.col("__n"), 1).otherwise(0)
-    prof = prof.withColumn("__heavy", heavy).withColumn("__stratum", stratum)
-    # heavy profiles: a bounded set (≤ heavy_groups_per_fold·k of them) → a small window is safe
-    w = Window.partitionBy("__stratum").orderBy(F.col("__n").desc(), F.col(key))
-    hv = prof.filter("__heavy").withColumn("__r", F.row_number().over(w) - 1) \
-        .withColumn("__cycle", F.floor(F.col("__r") / k)) \
-        .withColumn("__fold", F.when(F.col("__cycle") % 2 == 0, F.col("__r") % k)
-                    .otherwise(k - 1 - F.col("__r") % k)).select(key, "__fold")
-    lt = prof.filter(~F.col("__heavy")).select(
-        key, (h8(F.concat(F.lit(salt + "|"), F.col(key))) % k).alias("__fold"))
-    folds = hv.unionByName(lt).select(key, F.col("__fold").cast("int").alias(out))
-    return df.join(folds, key, "left")
+    prof = materialize(_profile_table(df, key, label))
+    return df.join(profile_folds(prof, key, k, salt, heavy_groups_per_fold, out), key, "left")
 
 
 def holdout_split(df: DataFrame, key: str, label: str, k: int = 5, test_fold: int = 0,
-                  salt: str = "holdout", cv_k: int = 5, cv_salt: str = "cv") -> DataFrame:
-    """H2 + H3: side = test for one of k grouped folds; cv_fold on training rows only."""
-    s = group_folds(df, key, label, k, salt, out="__hold")
-    s = s.withColumn("side", F.when(F.col("__hold") == test_fold, "test").otherwise("train")).drop("__hold")
-    train = group_folds(s.filter(F.col("side") == "train"), key, label, cv_k, cv_salt, out="cv_fold")
-    test = s.filter(F.col("side") == "test").withColumn("cv_fold", F.lit(None).cast("int"))
-    return train.unionByName(test)
+                  salt: str = "holdout", cv_k: int = 5, cv_salt: str = "cv",
+                  heavy_groups_per_fold: int = 10) -> DataFrame:
+    """H2 + H3: side = test for one of k grouped folds; cv_fold on training profiles only.
+
+    Both assignments are made on ONE profile-level table (materialised once) and
+    joined back to the rows once.
+    """
+    prof = materialize(_profile_table(df, key, label))
+    total = prof.agg(F.sum("__n")).first()[0] or 0
+    hold, _ = fold_column(key, k, salt, total, heavy_groups_per_fold)
+    tagged = materialize(prof.withColumn("__hold", hold))
+    is_train = F.col("__hold") != test_fold
+    train_total = tagged.agg(F.sum(F.when(is_train, F.col("__n")))).first()[0] or 0
+    cv, _ = fold_column(key, cv_k, cv_salt, train_total, heavy_groups_per_fold, eligible=is_train)
+    assign = tagged.select(key, F.when(is_train, "train").otherwise("test").alias("side"),
+                           F.when(is_train, cv).alias("cv_fold"))
+    return df.join(assign, key, "left")
 
 
 def profile_summary(df: DataFrame, key: str, label: str) -> DataFrame:
@@ -81,26 +110,28 @@ def split_audit(df: DataFrame, key: str, label: str, fold_col: str = "cv_fold",
                 side_col: str = "side") -> DataFrame:
     """H4: per split (holdout, and every cv fold on training rows) sizes, positive rates, overlap.
 
-    CV sizes come from per-fold totals (validation = fold, train = all − fold),
-    overlap from per-profile fold sets (≤ k entries) — no row is replicated.
+    Rows are aggregated once to (profile, side, fold); every figure is then
+    derived from that table (validation = the fold, train = all training − fold).
     """
-    y = F.col(label).cast("double")
-    hold = df.groupBy().agg(
-        F.count_if(F.col(side_col) == "train").alias("train_rows"),
-        F.count_if(F.col(side_col) == "test").alias("validation_rows"),
-        F.sum(F.when(F.col(side_col) == "train", y)).alias("__tp"),
-        F.sum(F.when(F.col(side_col) == "test", y)).alias("__vp"))
-    hold_ov = df.groupBy(key).agg(F.count_distinct(side_col).alias("__s")) \
+    pt = materialize(df.groupBy(key, side_col, fold_col).agg(F.count(F.lit(1)).alias("__n"),
+                                                            F.sum(F.col(label).cast("double")).alias("__p")))
+    is_tr = F.col(side_col) == "train"
+    hold = pt.agg(
+        F.sum(F.when(is_tr, F.col("__n"))).alias("train_rows"),
+        F.sum(F.when(~is_tr, F.col("__n"))).alias("validation_rows"),
+        F.sum(F.when(is_tr, F.col("__p"))).alias("__tp"),
+        F.sum(F.when(~is_tr, F.col("__p"))).alias("__vp"))
+    hold_ov = pt.groupBy(key).agg(F.count_distinct(side_col).alias("__s")) \
         .agg(F.count_if(F.col("__s") > 1).alias("profile_overlap_count"))
     hold = hold.crossJoin(hold_ov).select(
         F.lit("holdout").alias("split"), "train_rows", "validation_rows",
         (F.col("__tp") / F.col("train_rows")).alias("train_positive_rate"),
         (F.col("__vp") / F.col("validation_rows")).alias("validation_positive_rate"),
         "profile_overlap_count")
-    train = df.filter(F.col(side_col) == "train")
-    per_fold = train.groupBy(F.col(fold_col).alias("__f")).agg(F.count(F.lit(1)).alias("__fold_n"),
-                                                               F.sum(y).alias("__fold_p"))
-    tot = train.agg(F.count(F.lit(1)).alias("__all_n"), F.sum(y).alias("__all_p"))
+    train = pt.filter(is_tr)
+    per_fold = train.groupBy(F.col(fold_col).alias("__f")).agg(F.sum("__n").alias("__fold_n"),
+                                                               F.sum("__p").alias("__fold_p"))
+    tot = train.agg(F.sum("__n").alias("__all_n"), F.sum("__p").alias("__all_p"))
     sets = train.groupBy(key).agg(F.collect_set(fold_col).alias("__fs"))  # ≤ k values per profile
     ov = sets.filter(F.size("__fs") > 1).select(F.explode("__fs").alias("__f")) \
         .groupBy("__f").agg(F.count(F.lit(1)).alias("__ov"))

@@ -52,10 +52,10 @@ def pattern_rules():
 
 
 def derived(df):
-    return df.withColumns({
-        "phone_access_tier": G.routed_state(phone_rules(), ["con1", "con9"]),
-        "internet_engagement_level": G.routed_state(engagement_rules(), ["internet_use", "inc_q"]),
-        "online_phone_pattern": G.routed_state(pattern_rules(), ["internet_use", "con1", "con9"]),
+    return G.derive_states(df, {
+        "phone_access_tier": (phone_rules(), ["con1", "con9"]),
+        "internet_engagement_level": (engagement_rules(), ["internet_use", "inc_q"]),
+        "online_phone_pattern": (pattern_rules(), ["internet_use", "con1", "con9"]),
     })
 
 

@@ -61,3 +61,14 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+
+    Used where one derived table feeds several branches of a plan (the tree
+    would otherwise repeat the whole upstream chain in every branch). Reliable
+    checkpoint files survive executor loss; ``localCheckpoint`` would not.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

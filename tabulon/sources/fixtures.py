@@ -115,9 +115,16 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coded survey rows: routed blanks, explicit nonresponse codes, positive weight."""
-    return _joined(spark, sf_dir).selectExpr(
-        *[f"{render(e, 'spark')} as {name}" for name, e in RAW_TEMPLATE])
+    """Coded survey rows: routed blanks, explicit nonresponse codes, positive weight.
+
+    Each per-order uniform is computed once in its own projection (one md5 per
+    salt) and the template then refers to it by name.
+    """
+    salts = sorted({m for _n, e in RAW_TEMPLATE for m in re.findall(r"\{U:(\w+)\}", e)})
+    base = _joined(spark, sf_dir).select(
+        "o_orderkey", "o_orderpriority", "c_acctbal", "c_mktsegment", "r_name",
+        *[F.expr(render("{U:%s}" % salt, "spark")).alias(f"__u_{salt}") for salt in salts])
+    return base.selectExpr(*[f"{re.sub(r'{U:(\w+)}', r'__u_\1', e)} as {name}" for name, e in RAW_TEMPLATE])
 
 
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
