@@ -13,9 +13,14 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The whitespace set stripped like Python's str.strip() (ASCII + common Unicode spaces)
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005" \
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def trim_ws(c: str | Column) -> Column:
-    """Python ``str.strip()`` semantics: strip all leading/trailing whitespace."""
-    return F.regexp_replace(col_(c), r"^\s+|\s+$", "")
+    """Python ``str.strip()`` semantics: strip leading/trailing whitespace (character set, no regex)."""
+    return F.btrim(col_(c), F.lit(WHITESPACE))
 
 
 def blank_to_empty(c: str | Column) -> Column:
