@@ -70,3 +70,127 @@ def validate_whole_number(df: DataFrame, c: str, lo: int, hi: int, cast: str = "
     bad = v.isNull() | (v % 1 != 0) | (v < lo) | (v > hi)
     return parsed.withColumn(c, F.when(bad, F.raise_error(F.lit(f"{c} incomplete, fractional or outside [{lo}, {hi}]")))
                              .otherwise(v).cast(cast))
+
+
+# ---------------------------------------------------------------------------
+# Code maps from documented codes (nested JSON) with fallbacks
+# ---------------------------------------------------------------------------
+COMBINED_NO = "No / don't know / refused"
+NONRESPONSE = "Nonresponse"
+# Label fragments that mean an explicit non-response
+NONRESPONSE_TERMS = ("don't know", "dont know", "refused")
+CODES_SCHEMA = "array<struct<value:string,label:string>>"
+
+
+def documented_code_map(codes: DataFrame, variable: str = "variable", codes_col: str = "codes_json") -> DataFrame:
+    """(variable, JSON list of {value, label}) → (variable, raw_value, source_label, cleaned_label, mapping_basis).
+
+    Blank and ``sysmiss`` values are skipped; the combined no/don't-know label maps
+    to one state, don't-know/refused labels to ``Nonresponse``; an empty label
+    becomes ``Code <value>``.
+    """
+    parsed = codes.select(F.col(variable).alias("variable"),
+                          F.explode(F.from_json(F.col(codes_col), CODES_SCHEMA)).alias("c"))
+    raw = F.trim(F.coalesce(F.col("c.value"), F.lit("")))
+    label = F.trim(F.coalesce(F.col("c.label"), F.lit("")))
+    low = F.lower(label)
+    nonresp = None
+    for term in NONRESPONSE_TERMS:
+        cond = low.contains(term)
+        nonresp = cond if nonresp is None else (nonresp | cond)
+    cleaned = (F.when(low == "no/dk/ref", F.lit(COMBINED_NO)).when(nonresp, F.lit(NONRESPONSE))
+               .when(label != "", label).otherwise(F.concat(F.lit("Code "), raw)))
+    return parsed.select("variable", raw.alias("raw_value"), label.alias("source_label"),
+                         cleaned.alias("cleaned_label"), F.lit("documented code").alias("mapping_basis")) \
+        .filter((F.col("raw_value") != "") & (F.lower("raw_value") != "sysmiss"))
+
+
+def code_map(documented: DataFrame, fallback: DataFrame) -> DataFrame:
+    """Fallback rows (variable, raw_value, cleaned_label) replace a variable's documented map."""
+    fb = fallback.select("variable", "raw_value",
+                         F.lit("documented range; neutral project label").alias("source_label"),
+                         "cleaned_label", F.lit("documented range").alias("mapping_basis"))
+    keep = documented.join(fb.select("variable").distinct(), "variable", "left_anti")
+    return keep.unionByName(fb)
+
+
+def missing_code_maps(required: Sequence[str], cmap: DataFrame) -> DataFrame:
+    """D2 gate as data: required variables with no mapping at all (strict callers raise if any)."""
+    spark = cmap.sparkSession
+    req = spark.createDataFrame([(v,) for v in required], "variable string")
+    return req.join(cmap.select("variable").distinct(), "variable", "left_anti")
+
+
+def mapping_report(cmap: DataFrame, vf: DataFrame) -> DataFrame:
+    """Every mapping row with its observed count, plus one ``<blank>`` row per variable."""
+    counts = vf.select(F.col("column").alias("variable"), F.col("value").alias("raw_value"), "n")
+    rows = cmap.join(counts, ["variable", "raw_value"], "left") \
+        .withColumn("observed_count", F.coalesce(F.col("n"), F.lit(0)).cast("bigint")).drop("n")
+    blanks = cmap.select("variable").distinct().join(
+        counts.filter(F.col("raw_value") == ""), "variable", "left").select(
+        "variable", F.lit("<blank>").alias("raw_value"), F.lit("System missing / routed blank").alias("source_label"),
+        F.lit("model-specific; see feature tier").alias("cleaned_label"),
+        F.lit("routing-aware missingness policy").alias("mapping_basis"),
+        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("observed_count"))
+    return rows.unionByName(blanks)
+
+
+def processed_schema(df: DataFrame, roles: Mapping[str, str] | None = None, max_categories: int = 50) -> DataFrame:
+    """Per column: position, role, dtype, null count, distinct count (NULL counted), sorted categories.
+
+    One unpivot + aggregate (NULL kept as its own group); category lists only for
+    string columns with at most ``max_categories`` values.
+    """
+    spark = df.sparkSession
+    cols = df.columns
+    meta = spark.createDataFrame(
+        [(i + 1, c, (roles or {}).get(c, "feature"), f.dataType.simpleString())
+         for i, (c, f) in enumerate(zip(cols, df.schema.fields))],
+        "position int, column string, role string, dtype string")
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    vc = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    per = vc.groupBy("column").agg(
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("null_count"),
+        F.count(F.lit(1)).cast("bigint").alias("distinct_count"))
+    strings = [c for c, f in zip(cols, df.schema.fields) if f.dataType.simpleString() == "string"]
+    small = vc.filter(F.col("column").isin(*strings) & F.col("value").isNotNull()) \
+        .groupBy("column").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") <= max_categories)
+    cats = vc.join(F.broadcast(small), "column").filter(F.col("value").isNotNull()).groupBy("column").agg(
+        F.array_join(F.array_sort(F.collect_list("value")), "|").alias("categories"))
+    return meta.join(per, "column", "left").join(cats, "column", "left").select(
+        "position", "column", "role", "dtype", "null_count", "distinct_count", "categories")
+
+
+def semantic_states(vf: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Count of every special label per categorical column (only columns where it occurs)."""
+    return vf.filter(F.col("value").isin(*labels)).select(
+        "column", F.col("value").alias("state"), F.col("n").cast("bigint").alias("n"))
+
+
+def prep_template(numeric: Sequence[str], categorical: Sequence[str], scale_numeric: bool = True,
+                  output: str = "features"):
+    """Unfitted pyspark.ml Pipeline — median impute + standard scale numerics, mode impute +
+    one-hot categoricals (unknown category at transform → all-zero block)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+
+    stages = []
+    num_out = []
+    if numeric:
+        imp = [f"__imp_{c}" for c in numeric]
+        stages.append(Imputer(strategy="median", inputCols=list(numeric), outputCols=imp))
+        stages.append(VectorAssembler(inputCols=imp, outputCol="__num", handleInvalid="keep"))
+        if scale_numeric:
+            stages.append(StandardScaler(withMean=True, withStd=True, inputCol="__num", outputCol="__num_s"))
+            num_out = ["__num_s"]
+        else:
+            num_out = ["__num"]
+    idx = [f"__idx_{c}" for c in categorical]
+    ohe = [f"__ohe_{c}" for c in categorical]
+    if categorical:
+        stages.append(StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep",
+                                    stringOrderType="alphabetAsc"))
+        # keep-bucket index + dropLast: an unseen category becomes an all-zero block, width = training categories
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="error"))
+    stages.append(VectorAssembler(inputCols=num_out + ohe, outputCol=output))
+    return Pipeline(stages=stages)

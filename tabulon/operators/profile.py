@@ -260,8 +260,8 @@ def code_set_checks(vf: DataFrame, cols: Sequence[str],
 
 def missingness_band(pct: Column) -> Column:
     """=100, ≥75, ≥50, ≥25, >0, else NONE."""
-    return (F.when(pct == 100, "ALL_MISSING").when(pct >= 75, "VERY_HIGH").when(pct >= 50, "HIGH")
-            .when(pct >= 25, "MODERATE").when(pct > 0, "LOW").otherwise("NONE"))
+    return (F.when(pct == 100, "ALL_MISSING").when(pct >= 75, "HIGH_75_PLUS").when(pct >= 50, "HIGH_50_TO_74")
+            .when(pct >= 25, "MODERATE_25_TO_49").when(pct > 0, "LOW_UNDER_25").otherwise("NONE"))
 
 
 def missingness_summary(profile: DataFrame, thresholds: Sequence[int] = (50, 75, 90)) -> DataFrame:

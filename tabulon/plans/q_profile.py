@@ -164,8 +164,9 @@ MISS_SUMMARY_SQL = (
 
 BANDS_SQL = (
     "select position, \"column\", missing_pct, case when missing_pct = 100 then 'ALL_MISSING' "
-    "when missing_pct >= 75 then 'VERY_HIGH' when missing_pct >= 50 then 'HIGH' when missing_pct >= 25 then 'MODERATE' "
-    "when missing_pct > 0 then 'LOW' else 'NONE' end as band from prof")
+    "when missing_pct >= 75 then 'HIGH_75_PLUS' when missing_pct >= 50 then 'HIGH_50_TO_74' "
+    "when missing_pct >= 25 then 'MODERATE_25_TO_49' when missing_pct > 0 then 'LOW_UNDER_25' else 'NONE' end "
+    "as band from prof")
 
 ROLES_SQL = (
     "select p.\"column\", r.preliminary_role, r.rationale, p.unique_count, p.missing_pct from prof p "
