@@ -95,3 +95,36 @@ QUERIES = [
     Query("encoded_feature_map", "K1", q_encoded_map, ENC_SQL, ctes=SPLIT_CTE),
     Query("native_importance", "K6", q_native_importance),
 ]
+
+
+def tree_context(spark, d):
+    from pyspark.ml.classification import GBTClassifier
+    from tabulon.operators import tree_explain as T
+    data, prep = prepared(spark, d)
+    train = data.filter(F.col("side") == "train")
+    model = GBTClassifier(maxIter=20, stepSize=0.1, maxDepth=2, minInstancesPerNode=15, seed=42).fit(train)
+    indexer = [s for s in prep.stages if s.__class__.__name__ == "StringIndexerModel"][0]
+    sources = [f for _i, f, _c in I.encoded_feature_map(indexer, MODEL_FEATURES)]
+    test = data.filter(F.col("side") == "test")
+    attr = T.tree_attribution(test, model, shared_scratch(spark, f"gbt/{uuid.uuid4().hex}"), "respondent_id",
+                              "features", sources)
+    return attr, model, test
+
+
+def q_tree_attr(spark, d):
+    attr, _m, _t = tree_context(spark, d)
+    return attr.select("respondent_id", "source_feature", "phi")
+
+
+def q_tree_additivity(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    from tabulon.operators import tree_explain as T
+    attr, model, test = tree_context(spark, d)
+    raw = model.transform(test).select("respondent_id", (2 * vector_to_array("rawPrediction")[1]).alias("__raw"))
+    return T.tree_additivity(attr, raw, "respondent_id").withColumn("passed", F.col("max_raw_error") <= 1e-8)
+
+
+QUERIES += [
+    Query("tree_attribution", "K3,K4", q_tree_attr),
+    Query("tree_additivity", "K3,K9", q_tree_additivity),
+]
