@@ -8,17 +8,39 @@ from pyspark.sql import functions as F
 REPLACEMENT_CHAR = "�"
 
 
+def _cp1252_translation() -> tuple[str, str]:
+    """ISO-8859-1 → windows-1252: the two differ only in bytes 0x80–0x9F (table from Python's codec)."""
+    src, dst = [], []
+    for b in range(0x80, 0xA0):
+        try:
+            ch = bytes([b]).decode("cp1252")
+        except UnicodeDecodeError:
+            continue
+        src.append(chr(b))
+        dst.append(ch)
+    return "".join(src), "".join(dst)
+
+
 def read_raw_csv(spark: SparkSession, path: str, fallback_encoding: str = "windows-1252") -> DataFrame:
     """A1: header + rows as raw strings; blanks stay '' (NULL ≡ blank), no type inference.
 
     UTF-8 first (a BOM is stripped by the reader); if any value holds U+FFFD the
-    file was not UTF-8 and is re-read with ``fallback_encoding`` (one count action).
-    An empty file (no header) is an error.
+    file was not UTF-8 and is re-read as windows-1252 (one count action). Spark's
+    CSV source accepts ISO-8859-1 but not windows-1252, so the file is read as
+    ISO-8859-1 and the 0x80–0x9F block is translated. An empty file is an error.
     """
     def scan(encoding: str) -> DataFrame:
-        df = (spark.read.option("header", True).option("inferSchema", False).option("encoding", encoding)
+        cp1252 = encoding.lower() in ("windows-1252", "cp1252")
+        enc = "ISO-8859-1" if cp1252 else encoding
+        df = (spark.read.option("header", True).option("inferSchema", False).option("encoding", enc)
               .option("mode", "PERMISSIVE").csv(path))
-        return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
+        src, dst = _cp1252_translation()
+        out = []
+        for c in df.columns:
+            v = F.coalesce(F.col(f"`{c}`"), F.lit(""))
+            name = c.translate(str.maketrans(src, dst)) if cp1252 else c
+            out.append((F.translate(v, src, dst) if cp1252 else v).alias(name))
+        return df.select(*out)
 
     df = scan("UTF-8")
     if not df.columns:
