@@ -64,7 +64,7 @@ def q_exemplars(spark, d):
 
 def q_additivity(spark, d):
     t, ex = _test_and_explainer(spark, d)
-    return K.additivity_audit(t, ex).select(F.col("passed"))
+    return K.additivity_audit(t, ex)
 
 
 # ---------------------------------------------------------------- L: validation
@@ -244,7 +244,14 @@ QUERIES = [
           ctes=KX_CTE),
     Query("top_factors", "K7", q_top, TOP_SQL, ("phi",), ctes=KX_CTE),
     Query("exemplars", "K8,K10", q_exemplars, EXEMPLAR_SQL, ctes=SCORES_CTE),
-    Query("additivity_audit", "K9", q_additivity, "select true as passed"),
+    Query("additivity_audit", "K9", q_additivity,
+          "select max(abs(r.raw_score - (s.base + r.sphi))) as max_raw_error, max(abs(1.0 / (1.0 + exp(-r.raw_score)) "
+          "- 1.0 / (1.0 + exp(-(s.base + r.sphi))))) as max_probability_error, "
+          "max(abs(r.raw_score - (s.base + r.sphi))) <= 1e-8 as passed from (select p.respondent_id, "
+          "min(b.bias) + sum(p.w) as raw_score, sum(p.phi) as sphi from phis p join (select distinct model, bias "
+          "from wts) b using (model) where p.model = 'model_a' group by p.respondent_id) r cross join "
+          "(select base from base where model = 'model_a') s",
+          ("max_raw_error", "max_probability_error"), ctes=SCORES_CTE),
     Query("validate_profiles", "L1,L2", q_validate, VALIDATE_SQL, ctes=PROF_CTE),
     Query("batch_scoring", "L3,L5,K10", q_batch, BATCH_SQL, SCORE_DOUBLES, ctes=BATCH_CTE),
     Query("unseen_warnings", "L4", q_unseen, UNSEEN_SQL, ctes=KX_CTE + PROF_CTE[len(SPLIT_CTE):]),

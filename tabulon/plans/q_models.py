@@ -124,7 +124,29 @@ def q_tree_additivity(spark, d):
     return T.tree_additivity(attr, raw, "respondent_id").withColumn("passed", F.col("max_raw_error") <= 1e-8)
 
 
+def q_family_fits(spark, d):
+    """I4/I5 (and I1–I3): one setting per family fitted on the training side, scored on the holdout."""
+    data, _prep = prepared(spark, d)
+    train, test = data.filter(F.col("side") == "train"), data.filter(F.col("side") == "test")
+    cands = [I.Candidate("baseline", {}, 0), I.Candidate("logistic", {"C": 1.0, "class_weight": "balanced"}, 1),
+             I.Candidate("tree", {"max_depth": 5, "min_leaf": 15}, 2),
+             I.Candidate("forest", {"trees": 30, "max_depth": 8, "min_leaf": 5, "features": "sqrt"}, 3),
+             I.Candidate("gbt", {"rounds": 30, "rate": 0.1, "max_depth": 2, "min_leaf": 15}, 4)]
+    frames = []
+    for c in cands:
+        _m, preds = I.fit_predict(train, {"test": test}, c, "features", "label", "respondent_id")
+        frames.append(preds["test"].select(F.lit(c.cid).alias("candidate_id"), F.lit(c.family).alias("family"),
+                                           F.lit("{}").alias("params"), F.lit(c.complexity).alias("complexity"),
+                                           F.lit(0).alias("fold"), F.lit("holdout").alias("split"),
+                                           "respondent_id", F.col("label").alias("y"), F.col("__p").alias("p")))
+    allp = frames[0]
+    for f in frames[1:]:
+        allp = allp.unionByName(f)
+    return I.fit_metrics(materialize(allp)).select("family", "candidate_id", *I.METRICS)
+
+
 QUERIES += [
+    Query("family_fits", "I1,I2,I3,I4,I5,J1-J5", q_family_fits),
     Query("tree_attribution", "K3,K4", q_tree_attr),
     Query("tree_additivity", "K3,K9", q_tree_additivity),
 ]
