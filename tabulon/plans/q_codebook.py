@@ -13,7 +13,7 @@ from tabulon.operators import profile as B
 from tabulon.plans.base import Query, values_sql
 from tabulon.plans.q_profile import PROFILE_CTE, RAW_COLS, VF_CTE
 from tabulon.sources import fixtures as fx
-from tabulon.sources.tables import table
+from tabulon.sources.tables import table, text_table
 
 # ---------------------------------------------------------------------------
 # Variable sets and rule tables of the fixture catalogue (parameters)
@@ -157,7 +157,7 @@ def q_contract(spark, d):
 
 
 def q_sections(spark, d):
-    lines = C.split_lines(table(spark, d, "documents"), "doc_id", "text")
+    lines = C.split_lines(text_table(spark, d, "documents"), "doc_id", "text")
     words = F.size(F.split(F.trim(F.col("line")), " "))
     is_key = (F.trim(F.col("line")) != "") & (words <= 2)
     return C.carry_forward_sections(lines, "doc_id", is_key, F.trim(F.col("line")))
@@ -355,7 +355,7 @@ CONTRACT_SQL = (
     + " c on a.f = c.f where a.f is null or c.f is null")
 
 QUERIES = [
-    Query("text_normalise", "C1", lambda s, d: table(s, d, "documents").select(
+    Query("text_normalise", "C1", lambda s, d: text_table(s, d, "documents").select(
         "doc_id", C.normalise_text("text").alias("text")), TEXT_SQL, survey=False),
     Query("section_carry_forward", "C2", q_sections, SECTIONS_SQL, survey=False, ctes=LINES_CTE),
     Query("variable_classes", "C3,C4,C5", lambda s, d: catalogue(s, d).select(

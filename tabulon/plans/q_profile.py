@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabulon.operators import profile as B
 from tabulon.plans.base import Query, values_sql
 from tabulon.sources import fixtures as fx
-from tabulon.sources.tables import table
+from tabulon.sources.tables import table, text_table
 
 RAW_COLS = [n for n, _ in fx.RAW_TEMPLATE]
 TARGET_COLS = ["y_a", "y_b", "y_missing"]
@@ -208,10 +208,10 @@ QUERIES = [
     Query("code_set_checks", "B12", lambda s, d: B.code_set_checks(_vf(s, d), INDICATORS), CODESET_SQL, (),
           ctes=VF_CTE + SMALL_CTE),
     Query("variable_roles", "B7", q_roles, ROLES_SQL, ("missing_pct",), ctes=PROFILE_CTE),
-    Query("duplicate_summary", "B5", lambda s, d: B.duplicate_summary(table(s, d, "documents"), DOC_CONTENT),
+    Query("duplicate_summary", "B5", lambda s, d: B.duplicate_summary(text_table(s, d, "documents"), DOC_CONTENT),
           _dup_sql("documents", DOC_CONTENT), survey=False),
-    Query("duplicate_events", "B5", lambda s, d: B.duplicate_summary(table(s, d, "events"), EVENT_CONTENT),
+    Query("duplicate_events", "B5", lambda s, d: B.duplicate_summary(text_table(s, d, "events"), EVENT_CONTENT),
           _dup_sql("events", EVENT_CONTENT), survey=False),
     Query("duplicate_ignoring_id", "B6",
-          lambda s, d: B.duplicate_ignoring_id(table(s, d, "documents"), "doc_id"), DUP_ID_SQL, survey=False),
+          lambda s, d: B.duplicate_ignoring_id(text_table(s, d, "documents"), "doc_id"), DUP_ID_SQL, survey=False),
 ]

@@ -72,3 +72,19 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df, *keys):
+    """Give a CPU-heavy projection at least ``defaultParallelism`` tasks.
+
+    A small input file is one split, so everything up to the next shuffle would
+    run in ONE task. Only then is the input repartitioned (hash on ``keys`` when
+    given — the partitioning a following join on those keys needs anyway — else
+    round-robin). Large inputs already have many splits: no-op, no extra shuffle.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    n = max(target, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *keys) if keys else df.repartition(n)
