@@ -102,17 +102,17 @@ def quantile_edges(df: DataFrame, p: str, bins: int = 8, approx_accuracy: int |
 
 def calibration(df: DataFrame, y: str, p: str, bins: int = 8, approx_accuracy: int | None = None) -> DataFrame:
     """Quantile bins (right-closed, lowest included; NOT ntile, which splits ties)."""
-    edges = quantile_edges(df, p, bins, approx_accuracy)
+    edges = quantile_edges(df, p, bins, approx_accuracy).first()["__edges"] or []  # one-row parameter
     pcol = F.col(p).cast("double")
-    binned = df.crossJoin(F.broadcast(edges)).withColumn(
-        "bin", F.greatest(F.lit(1), F.size(F.filter("__edges", lambda e: e < pcol))))
+    arr = F.array(*[F.lit(float(e)) for e in edges])
+    binned = df.withColumn("bin", F.greatest(F.lit(1), F.size(F.filter(arr, lambda e: e < pcol))))
     agg = binned.groupBy("bin").agg(
         F.count(F.lit(1)).cast("bigint").alias("n"), F.avg(pcol).alias("mean_predicted_probability"),
         F.avg(F.col(y).cast("double")).alias("observed_positive_rate"),
         F.min(pcol).alias("minimum_probability"), F.max(pcol).alias("maximum_probability"))
-    total = agg.agg(F.sum("n").alias("__n_total"))
+    total = agg.agg(F.sum("n").alias("__n_total"))  # one row per bin → tiny
     err = F.abs(F.col("mean_predicted_probability") - F.col("observed_positive_rate"))
-    return agg.crossJoin(total).select(
+    return agg.join(F.broadcast(total), how="inner").select(
         F.col("bin").cast("int").alias("bin"), "n", "mean_predicted_probability", "observed_positive_rate",
         "minimum_probability", "maximum_probability", err.alias("absolute_calibration_error"),
         (err * F.col("n") / F.col("__n_total")).alias("weighted_error"))

@@ -21,9 +21,13 @@ def run_stream(spark: SparkSession, source_dir: str, schema: str, out_dir: str,
     accepted, rejected, ckpt = f"{out_dir}/accepted", f"{out_dir}/rejected", f"{out_dir}/_checkpoint"
 
     def batch(df: DataFrame, epoch: int) -> None:
-        ok, bad = validate(df)
-        score(ok).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(accepted)
-        bad.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(rejected)
+        df.persist()  # the micro-batch feeds two sinks: read the files once
+        try:
+            ok, bad = validate(df)
+            score(ok).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(accepted)
+            bad.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(rejected)
+        finally:
+            df.unpersist()
 
     q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
          .writeStream.foreachBatch(batch).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
