@@ -101,4 +101,5 @@ QUERIES = [
     Query("bootstrap_intervals", "J9",
           lambda s, d: J.bootstrap_intervals(_sc(s, d), "respondent_id", "y", "p", replicates=BOOT_B),
           BOOT_SQL, ("lower_95", "median", "upper_95"), ctes=BOOT_CTE),
+    Query("bootstrap_cells", "J9", lambda s, d: J.bootstrap_cells(_sc(s, d), "y", "p", replicates=1000)),
 ]

@@ -100,3 +100,25 @@ def test_file_fingerprint_matches_hashlib(spark, tmp_path):
     p.write_bytes(b"abc" * 1000)
     r = file_fingerprints(spark, str(p)).first()
     assert r.sha256 == hashlib.sha256(b"abc" * 1000).hexdigest() and r.bytes == 3000
+
+
+def test_cell_bootstrap_agrees_with_row_bootstrap(spark):
+    from conftest import SF_SMALL
+    from tabulon.operators import evaluate as J
+    from tabulon.sources import fixtures as fx
+    sc = fx.scored_survey(spark, SF_SMALL)
+    a = {r.metric: r for r in J.bootstrap_intervals(sc, "respondent_id", "y", "p", replicates=100).collect()}
+    b = {r.metric: r for r in J.bootstrap_cells(sc, "y", "p", replicates=100).collect()}
+    for m in a:
+        assert abs(a[m].median - b[m].median) < 0.02, m
+        assert b[m].lower_95 <= b[m].median <= b[m].upper_95
+
+
+def test_poisson_sampler_moments(spark):
+    from tabulon.operators.evaluate import poisson_draw
+    df = spark.range(50000).select(((F.col("id") * 7919 % 100003) / 100003.0).alias("u1"),
+                                   ((F.col("id") * 104729 % 100019) / 100019.0).alias("u2"))
+    for lam in (0.5, 4.0, 120.0):
+        r = df.select(poisson_draw(F.lit(lam), F.col("u1"), F.col("u2")).alias("k")) \
+            .agg(F.avg("k").alias("m"), F.variance("k").alias("v")).first()
+        assert abs(r.m - lam) < 0.05 * lam + 0.02 and abs(r.v - lam) < 0.1 * lam + 0.05
