@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tabulon.functions.exprs import round_doubles, sql_str
+from tabulon.session import ship_package
 from tabulon.sources.fixtures import oracle_views
 
 ROUND = 6
@@ -24,6 +25,7 @@ class Query:
     survey: bool = True                        # prefix the fixture views
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
         return round_doubles(self.build(spark, sf_dir), ROUND)
 
     def sql(self) -> str | None:

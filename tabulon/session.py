@@ -15,6 +15,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -86,5 +87,26 @@ def spread(df, *keys):
     target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    n = max(target, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = 2 * target  # the input is small (fewer splits than cores): two tasks per core suffice
     return df.repartition(n, *keys) if keys else df.repartition(n)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tabulon`` importable in executor Python workers (pandas UDFs, mapInPandas).
+
+    Zips the installed package once per SparkContext and registers it with
+    ``addPyFile`` — what ``--py-files`` does at submit time — so Arrow UDF
+    tasks can import it on any executor, whatever the driver's working directory.
+    """
+    import shutil
+
+    sc = spark.sparkContext
+    if getattr(sc, "_tabulon_shipped", False):
+        return
+    import tabulon
+    pkg = os.path.dirname(os.path.abspath(tabulon.__file__))
+    work = tempfile.mkdtemp(prefix="tabulon-pyfiles-")
+    archive = shutil.make_archive(os.path.join(work, "tabulon"), "zip", root_dir=os.path.dirname(pkg),
+                                  base_dir="tabulon")
+    sc.addPyFile(archive)
+    sc._tabulon_shipped = True
