@@ -308,7 +308,7 @@ LINES_CTE = (
     "unnest(range(1, len(string_split(text, chr(10))) + 1)) as line_no from documents), "
     "ln as (select *, case when trim(line) <> '' and len(string_split(trim(line), ' ')) <= 2 then trim(line) end "
     "as k from ln0)")
-SECTIONS_SQL = ("select doc_id, line_no, line, last_value(k ignore nulls) over (partition by doc_id order by "
+SECTIONS_SQL = ("select doc_id, cast(line_no as integer) as line_no, line, last_value(k ignore nulls) over (partition by doc_id order by "
                 "line_no rows between unbounded preceding and current row) as section from ln")
 
 WS = r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{1c}-\x{1f}]+"

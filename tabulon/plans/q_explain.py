@@ -170,13 +170,13 @@ ATTR_SQL = "select respondent_id, feature, category, phi from phis where model =
 GLOBAL_SQL = (
     "select feature, avg(abs(phi)) as mean_abs_phi, avg(phi) as mean_phi, "
     "avg(abs(phi)) / sum(avg(abs(phi))) over () as importance_share, "
-    "row_number() over (order by avg(abs(phi)) desc, feature) as rank from phis where model = 'model_a' "
+    "cast(row_number() over (order by avg(abs(phi)) desc, feature) as integer) as rank from phis where model = 'model_a' "
     "group by feature")
 _POS = "case " + " ".join(f"when feature = '{f}' then {i}" for i, f in enumerate(MODEL_FEATURES)) + " end"
 _LAB = "case " + " ".join(f"when feature = '{f}' then {sql_str(v)}" for f, v in FEATURE_LABELS.items()) \
     + " else feature end"
 TOP_SQL = (
-    "select respondent_id, factor_rank, source_feature, profile_value, phi, direction, "
+    "select respondent_id, cast(factor_rank as integer) as factor_rank, source_feature, profile_value, phi, direction, "
     "printf('%s = %s %s the estimate', lab, profile_value, direction) as explanation_text from "
     f"(select respondent_id, feature as source_feature, category as profile_value, phi, {_LAB} as lab, "
     "case when phi > 0 then 'raises' when phi < 0 then 'lowers' else 'does not change' end as direction, "

@@ -85,13 +85,13 @@ PROFILE_CTE = VF_CTE + (
 PROFILE_DOUBLES = ("missing_pct", "unique_pct_non_missing", "min", "max", "mean")
 
 PROFILE_SQL = (
-    "select p.*, coalesce(t.top_values, '[]') as top_values from prof p left join "
-    "(select \"column\", to_json(list({'value': value, 'count': n} order by rank)) as top_values "
+    "select p.*, cast(coalesce(t.top_values, '[]') as varchar) as top_values from prof p left join "
+    "(select \"column\", cast(to_json(list({'value': value, 'count': n} order by rank)) as varchar) as top_values "
     "from topv group by \"column\") t using (\"column\")")
 
 
 def _collist(cond: str) -> str:
-    return f"coalesce(to_json(list(\"column\" order by position) filter (where {cond})), '[]')"
+    return f"cast(coalesce(to_json(list(\"column\" order by position) filter (where {cond})), '[]') as varchar)"
 
 
 SMALL_CTE = (", small as (select position, \"column\", count(*) as k, "
@@ -120,8 +120,8 @@ SPECIAL_SQL = (
     + ", ".join(f"'{c}'" for c in B.CANDIDATE_NUMERIC_CODES) + ")")
 
 VALUE_SETS_SQL = (
-    "select to_json(vals) as observed_values, count(*) as column_count, "
-    "to_json(list(\"column\" order by position)) as columns from small group by vals")
+    "select cast(to_json(vals) as varchar) as observed_values, count(*) as column_count, "
+    "cast(to_json(list(\"column\" order by position)) as varchar) as columns from small group by vals")
 
 _num = f"case when regexp_full_match(value, '{DEC_RE}') then try_cast(value as double) end"
 RANGE_SQL = (
@@ -145,7 +145,7 @@ CODESET_SQL = (
     f"from vf where \"column\" in ({', '.join(repr(c) for c in INDICATORS)}) group by \"column\") a "
     "left join small s using (\"column\")")
 
-TYPE_SQL = ("select inferred_type, count(*) as column_count, to_json(list(\"column\" order by position)) as columns "
+TYPE_SQL = ("select inferred_type, count(*) as column_count, cast(to_json(list(\"column\" order by position)) as varchar) as columns "
             "from prof group by inferred_type")
 
 CARD_SQL = (
@@ -193,7 +193,7 @@ QUERIES = [
     Query("value_frequency", "A1,B0", _vf, "select * from vf", (), ctes=VF_CTE),
     Query("column_profile", "B1,B2,B3", _profile, PROFILE_SQL, PROFILE_DOUBLES, ctes=PROFILE_CTE),
     Query("top_values", "B3", lambda s, d: B.top_values(_vf(s, d), 8),
-          "select \"column\", rank, value, n from topv", (), ctes=PROFILE_CTE),
+          "select \"column\", cast(rank as integer) as rank, value, n from topv", (), ctes=PROFILE_CTE),
     Query("type_rollup", "B14", lambda s, d: B.type_rollup(_profile(s, d, 0)), TYPE_SQL, (), ctes=PROFILE_CTE),
     Query("cardinality_rollup", "B14", lambda s, d: B.cardinality_rollup(_profile(s, d, 0), _vf(s, d)),
           CARD_SQL, (), ctes=PROFILE_CTE + SMALL_CTE),

@@ -44,15 +44,24 @@ def rows_of(cols, records):
     return sorted((tuple(_norm(r[i]) for i in order) for r in records), key=repr), [cols[i] for i in order]
 
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+         "smallint": "SMALLINT", "tinyint": "TINYINT", "float": "FLOAT"}
+
+
 def compare(spark, con, name, query, sql, sf_dir):
     sdf = query(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
     s_rows = [tuple(r) for r in sdf.collect()]
     if sql is None:
         return True, f"rows-only: {len(s_rows)} rows"
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
+    d_types = {c[0]: str(c[1]) for c in res.description}
     d_rows = res.fetchall()
+    bad_types = [(c, t, d_types.get(c)) for c, t in s_types.items() if TYPES.get(t, t) != d_types.get(c)]
+    if bad_types:
+        return False, f"column types differ: {bad_types}"
     sr, sc = rows_of(s_cols, s_rows)
     dr, dc = rows_of(d_cols, d_rows)
     if sc != dc:
