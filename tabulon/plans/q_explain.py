@@ -120,7 +120,10 @@ def q_batch(spark, d):
 def q_unseen(spark, d):
     sp = _split(spark, d)
     learned = {}
-    for r in K.category_counts(sp.filter(F.col("side") == "train"), MODEL_FEATURES).collect():  # vocabulary
+    vocab = K.category_counts(sp.filter(F.col("side") == "train"), MODEL_FEATURES)
+    if vocab.count() > K.MAX_VOCABULARY:  # the learned categories are the model's encoded width
+        raise ValueError("training vocabulary exceeds the literal-set limit")
+    for r in vocab.collect():
         learned.setdefault(r["feature"], []).append(r["category"])
     p = profiles(spark, d).join(sp.filter(F.col("side") == "test").select("respondent_id"), "respondent_id",
                                 "left_semi")
