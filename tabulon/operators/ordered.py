@@ -12,7 +12,8 @@ of the value — equal keys always share a bucket and every recomputation
 4. combine local value with the carry                      — equi-join on (family, bucket)
 
 Callers first collapse rows to distinct order values (counts per value), so a
-hot value is one row, never a skewed bucket.
+hot value is one row, never a skewed bucket. Inputs of at most ``window_limit``
+rows skip the bucketing: a per-family window over them is already bounded.
 """
 
 from __future__ import annotations
@@ -37,12 +38,18 @@ def bucket_bounds(df: DataFrame, key: str, buckets: int, accuracy: int = 10000)
 
 
 def running(df: DataFrame, by: Sequence[str], order: str, specs: Mapping[str, tuple[str, str]],
-            descending: bool = False, buckets: int | None = None) -> DataFrame:
+            descending: bool = False, buckets: int | None = None, window_limit: int = 1_000_000) -> DataFrame:
     """Add inclusive running aggregates ``name = op(col)`` over rows ordered by ``order`` within ``by``.
 
     ``specs``: name → (source column, op) with op in sum/min/max. ``order`` must be numeric.
+    One count decides the path: an input of at most ``window_limit`` rows (so no family can exceed
+    it) uses a plain per-family window; anything larger takes the bucketed path.
     """
     spark = df.sparkSession
+    if df.count() <= window_limit:  # one-row parameter
+        o = F.col(order).desc() if descending else F.col(order).asc()
+        w = Window.partitionBy(*by).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({name: _OPS[op](F.col(src)).over(w) for name, (src, op) in specs.items()})
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.col(order).cast("double")
     base = materialize(df.withColumn("__key", -key if descending else key))

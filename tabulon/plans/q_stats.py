@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabulon.operators import stats as S
 from tabulon.plans.base import Query
+from tabulon.session import materialize
 from tabulon.sources import fixtures as fx
 
 W, SCALE = "wgt", 2
@@ -53,14 +54,19 @@ def q_p_values(spark, d):
     return cat.unionByName(num)
 
 
+def _tested(spark, d):
+    """Both test tables with p-values, written once (one row per test; read by several branches)."""
+    return (materialize(S.with_chi_p(_tests(spark, d))), materialize(S.with_normal_p(_mw(spark, d))))
+
+
 def _assoc(spark, d):
-    cat = S.with_chi_p(_tests(spark, d))
-    num = S.with_normal_p(_mw(spark, d))
+    cat, num = _tested(spark, d)
     return S.association_results(cat, num)
 
 
 def q_rollup(spark, d):
-    return S.test_rollup(_assoc(spark, d), _tests(spark, d))
+    cat, num = _tested(spark, d)
+    return S.test_rollup(S.association_results(cat, num), cat)
 
 
 def q_bh(spark, d):

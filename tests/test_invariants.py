@@ -80,3 +80,16 @@ def test_fractional_age_and_zero_weight_rejected(spark):
 def test_all_tied_scores_auc_half(spark):
     df = spark.createDataFrame([(i % 2, 0.3) for i in range(50)], "y int, p double")
     assert J.roc_auc(df, "y", "p").first().roc_auc == pytest.approx(0.5)
+
+
+def test_running_bucketed_path_equals_window_path(spark):
+    from tabulon.operators.ordered import running
+    rows = [(f % 3, float((i * 37) % 101), float(i % 7)) for f in range(3) for i in range(400)]
+    df = spark.createDataFrame(rows, "fam int, x double, v double").groupBy("fam", "x").agg(F.sum("v").alias("v"))
+    specs = {"cum": ("v", "sum"), "mn": ("v", "min")}
+    a = running(df, ["fam"], "x", specs, window_limit=10**9)
+    b = running(df, ["fam"], "x", specs, window_limit=0, buckets=7)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    c = running(df, ["fam"], "x", specs, descending=True, window_limit=10**9)
+    d = running(df, ["fam"], "x", specs, descending=True, window_limit=0, buckets=5)
+    assert c.exceptAll(d).count() == 0
