@@ -60,3 +60,31 @@ def dual_scoring(df: DataFrame, models: Mapping[str, LinearExplainer], id_col: s
         out = out.unionByName(f)
     return out.select(id_col, "model", "raw_score", "probability", "prediction", "statement",
                       "baseline_probability")
+
+
+DISCLAIMER = "Descriptive model estimate; not a decision about any individual."
+
+
+def response_records(scores: DataFrame, factors: DataFrame, warnings: DataFrame | None, id_col: str,
+                     disclaimer: str = DISCLAIMER) -> DataFrame:
+    """One nested record per profile — per model: probability, percent (1 dp), answer, baseline and
+    the ranked factor list; plus unseen-category warnings and a disclaimer.
+
+    Factor lists are bounded (top-n per model), so ``collect_list`` per profile is safe; arrays are
+    sorted by rank explicitly (collect order is not guaranteed).
+    """
+    f = factors.groupBy(id_col, "model").agg(F.array_sort(F.collect_list(F.struct(
+        "factor_rank", "source_feature", "profile_value", "phi", "direction", "explanation_text"))).alias("factors"))
+    per_model = scores.join(f, [id_col, "model"], "left").select(
+        id_col, F.struct("model", "probability", F.round(F.col("probability") * 100, 1).alias("percent"),
+                         F.col("statement").alias("answer"), "baseline_probability",
+                         F.coalesce("factors", F.array()).alias("factors")).alias("result"))
+    rec = per_model.groupBy(id_col).agg(F.array_sort(F.collect_list("result")).alias("results"))
+    if warnings is not None:
+        w = warnings.groupBy(id_col).agg(F.array_sort(F.collect_list(F.concat_ws(
+            ": ", "model", F.concat(F.col("feature"), F.lit(" = "), F.col("value"))))).alias("warnings"))
+        rec = rec.join(w, id_col, "left")
+    else:
+        rec = rec.withColumn("warnings", F.lit(None).cast("array<string>"))
+    return rec.select(id_col, "results", F.coalesce("warnings", F.array().cast("array<string>")).alias("warnings"),
+                      F.lit(disclaimer).alias("disclaimer"))

@@ -117,6 +117,22 @@ def q_batch(spark, d):
     return L.dual_scoring(ok, exs, "respondent_id")
 
 
+def q_responses(spark, d):
+    ok, exs = _valid_test_profiles(spark, d)
+    scores = L.dual_scoring(ok, exs, "respondent_id")
+    factors = None
+    for name, ex in exs.items():
+        f = K.top_factors(ok, ex, "respondent_id", 5, FEATURE_LABELS).withColumn("model", F.lit(name))
+        factors = f if factors is None else factors.unionByName(f)
+    learned = {}
+    sp = _split(spark, d)
+    vocab = K.category_counts(sp.filter(F.col("side") == "train"), MODEL_FEATURES)
+    for r in vocab.collect():  # the model vocabulary (bounded, checked in build_explainer)
+        learned.setdefault(r["feature"], []).append(r["category"])
+    warn = L.unseen_warnings(ok, learned, "respondent_id", "model_a")
+    return L.response_records(scores, factors, warn, "respondent_id")
+
+
 def q_unseen(spark, d):
     sp = _split(spark, d)
     learned = {}
@@ -259,4 +275,5 @@ QUERIES = [
     Query("batch_scoring", "L3,L5,K10", q_batch, BATCH_SQL, SCORE_DOUBLES, ctes=BATCH_CTE),
     Query("unseen_warnings", "L4", q_unseen, UNSEEN_SQL, ctes=KX_CTE + PROF_CTE[len(SPLIT_CTE):]),
     Query("stream_scoring", "L6", q_stream, BATCH_SQL, SCORE_DOUBLES, ctes=BATCH_CTE),
+    Query("response_records", "L5", q_responses),
 ]

@@ -93,3 +93,31 @@ def test_running_bucketed_path_equals_window_path(spark):
     c = running(df, ["fam"], "x", specs, descending=True, window_limit=10**9)
     d = running(df, ["fam"], "x", specs, descending=True, window_limit=0, buckets=5)
     assert c.exceptAll(d).count() == 0
+
+
+def test_chi_square_matches_spark_ml_chisquaretest(spark):
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.stat import ChiSquareTest
+    from tabulon.operators import stats as S
+    clean = fx.clean_survey(spark, SF_SMALL)
+    dims = [d for d in fx.DIMENSIONS if d[0] == "income_quintile"]
+    ours = S.chi_square_tests(S.contingency(clean, {"y_a": "A"}, dims, "wgt")).first()
+    idx = StringIndexer(inputCol="inc_q", outputCol="i").fit(clean).transform(clean)
+    vec = VectorAssembler(inputCols=["i"], outputCol="f").transform(idx)
+    ml = ChiSquareTest.test(vec, "f", "y_a").first()
+    assert ours.chi_square == pytest.approx(float(ml.statistics[0]), rel=1e-9)
+    assert ours.degrees_freedom == ml.degreesOfFreedom[0]
+
+
+def test_auc_matches_exact_binary_evaluator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    sc = fx.scored_survey(spark, SF_SMALL).withColumn("y", F.col("y").cast("double"))
+    ours = J.roc_auc(sc, "y", "p").first().roc_auc
+    ev = BinaryClassificationEvaluator(rawPredictionCol="p", labelCol="y", metricName="areaUnderROC", numBins=0)
+    assert ours == pytest.approx(ev.evaluate(sc), abs=1e-9)
+
+
+def test_response_records_nested(spark):
+    r = Q["response_records"](spark, SF_SMALL).first()
+    assert len(r.results) == 2 and all(1 <= len(x.factors) <= 5 for x in r.results)
+    assert [f.factor_rank for f in r.results[0].factors] == sorted(f.factor_rank for f in r.results[0].factors)
