@@ -150,3 +150,21 @@ def contract_drift(approved: DataFrame, configured: DataFrame, name: str = "feat
     return j.filter(F.col("__a").isNull() | F.col("__c").isNull()).select(
         F.coalesce("__a", "__c").alias(name),
         F.when(F.col("__c").isNull(), "approved_not_configured").otherwise("configured_not_approved").alias("drift"))
+
+
+def stitch_keys(lines: DataFrame, doc: str, keys: DataFrame, key_col: str = "key") -> DataFrame:
+    """C2 multi-line keys: a key printed across two lines (e.g. ``fin24`` / ``c``) is recognised when the
+    line alone is not a key but the line joined with the next one is. Adds ``key`` (exact or stitched)
+    and ``continuation`` (the consumed second line). The key set is bounded by the codebook (broadcast)."""
+    w = Window.partitionBy(doc).orderBy("line_no")
+    k = F.broadcast(keys.select(F.col(key_col).alias("__k")).distinct())
+    cur = F.trim(F.col("line"))
+    tagged = lines.withColumn("__cur", cur).withColumn("__joined", F.concat(cur, F.trim(F.lead("line").over(w))))
+    exact = tagged.join(k, tagged["__cur"] == k["__k"], "left").withColumnRenamed("__k", "__exact")
+    k2 = F.broadcast(keys.select(F.col(key_col).alias("__k2")).distinct())
+    both = exact.join(k2, exact["__joined"] == k2["__k2"], "left")
+    stitched = F.when(F.col("__exact").isNull(), F.col("__k2"))
+    out = both.withColumn("key", F.coalesce(F.col("__exact"), stitched)) \
+        .withColumn("__stitched", stitched.isNotNull())
+    out = out.withColumn("continuation", F.coalesce(F.lag("__stitched").over(w), F.lit(False)))
+    return out.drop("__cur", "__joined", "__exact", "__k2", "__stitched")

@@ -41,6 +41,47 @@ def value_frequency(df: DataFrame, cols: Sequence[str] | None = None, trim: bool
             .select(positions(cols).alias("position"), "column", "value", "n"))
 
 
+def route_columns(df: DataFrame, cols: Sequence[str] | None = None, near_unique_ratio: float = 0.5,
+                  rsd: float = 0.02) -> DataFrame:
+    """B0 guard: ONE aggregate pass with HyperLogLog sketches decides, per column, whether it joins the
+    long value-frequency table (values combine map-side) or the scalar path (near-unique: ids, free
+    text, timestamps — the (column, value) groups would not shrink). Returns
+    (position, column, rows, non_missing, approx_distinct, path) — the report of which path was taken."""
+    cols = list(cols or df.columns)
+    vals = {c: F.coalesce(trim_ws(F.col(f"`{c}`").cast("string")), F.lit("")) for c in cols}
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for i, c in enumerate(cols):
+        v = vals[c]
+        aggs.append(F.count_if(v != "").alias(f"__nm{i}"))
+        aggs.append(F.approx_count_distinct(F.when(v != "", v), rsd).alias(f"__d{i}"))
+    row = df.agg(*aggs)
+    parts = [F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column"),
+                      F.col(f"__nm{i}").cast("bigint").alias("non_missing"),
+                      F.col(f"__d{i}").cast("bigint").alias("approx_distinct")) for i, c in enumerate(cols)]
+    out = row.select(F.col("__rows").cast("bigint").alias("rows"), F.explode(F.array(*parts)).alias("p")) \
+        .select("p.position", "p.column", "rows", "p.non_missing", "p.approx_distinct")
+    ratio = F.try_divide(F.col("approx_distinct").cast("double"), F.col("non_missing"))
+    return out.withColumn("path", F.when(F.coalesce(ratio, F.lit(0.0)) >= near_unique_ratio, "scalar")
+                          .otherwise("value_frequency"))
+
+
+def scalar_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Scalar path of the B0 guard: counts, exact distinct count, numeric min/max per near-unique column,
+    without building (column, value) groups for top values or value sets."""
+    parts = []
+    for i, c in enumerate(cols):
+        v = F.coalesce(trim_ws(F.col(f"`{c}`").cast("string")), F.lit(""))
+        num = F.when(v.rlike(DECIMAL_RE), v.try_cast("double"))
+        parts.append(df.agg(F.lit(c).alias("column"), F.count(F.lit(1)).cast("bigint").alias("rows"),
+                            F.count_if(v != "").cast("bigint").alias("non_missing_count"),
+                            F.count_distinct(F.when(v != "", v)).cast("bigint").alias("unique_count"),
+                            F.min(num).alias("min"), F.max(num).alias("max")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _numeric(value: Column) -> Column:
     """Finite decimal parse of a trimmed value (NULL if not a finite decimal literal)."""
     return F.when(value.rlike(DECIMAL_RE), value.try_cast("double"))

@@ -189,8 +189,13 @@ DUP_ID_SQL = (
     "group by text, lang, source, n_chars having count(*) > 1)) "
     "as duplicate_profiles_excluding_identifier_rows_excluding_first from documents")
 
+def q_routes(spark, d):
+    return B.route_columns(fx.raw_text(spark, d))
+
+
 QUERIES = [
     Query("value_frequency", "A1,B0", _vf, "select * from vf", (), ctes=VF_CTE),
+    Query("column_routes", "B0", q_routes),
     Query("column_profile", "B1,B2,B3", _profile, PROFILE_SQL, PROFILE_DOUBLES, ctes=PROFILE_CTE),
     Query("top_values", "B3", lambda s, d: B.top_values(_vf(s, d), 8),
           "select \"column\", cast(rank as integer) as rank, value, n from topv", (), ctes=PROFILE_CTE),

@@ -42,3 +42,25 @@ def test_code_set_flags_all_rows(spark):
     df = spark.createDataFrame([("1",), ("2",), ("9",)], "female string")
     r = B.code_set_checks(B.value_frequency(df), ["female"]).collect()[0]
     assert r.flagged_count == 3 and r.offending_count == 1 and r.status == "REVIEW"
+
+
+def test_route_columns_sends_ids_to_scalar_path(spark):
+    rows = [(str(i), str(i % 3), "") for i in range(500)]
+    df = spark.createDataFrame(rows, "id string, code string, empty string")
+    r = {x.column: x for x in B.route_columns(df).collect()}
+    assert r["id"].path == "scalar" and r["code"].path == "value_frequency" and r["empty"].non_missing == 0
+    sp = B.scalar_profile(df, ["id"]).first()
+    assert sp.unique_count == 500 and sp.max == 499.0
+
+
+def test_stitch_multi_line_keys(spark):
+    from tabulon.operators import codebook as C
+    lines = spark.createDataFrame([(1, 1, "fin24"), (1, 2, "c"), (1, 3, "text about it"), (1, 4, "age"),
+                                   (1, 5, "more")], "doc int, line_no int, line string")
+    keys = spark.createDataFrame([("fin24c",), ("age",)], "key string")
+    out = {r.line_no: r for r in C.stitch_keys(lines, "doc", keys).collect()}
+    assert out[1].key == "fin24c" and out[2].continuation and out[4].key == "age" and out[3].key is None
+    sections = C.carry_forward_sections(C.stitch_keys(lines, "doc", keys).filter("not continuation"), "doc",
+                                        F.col("key").isNotNull(), F.col("key"))
+    got = {r.line_no: r.section for r in sections.collect()}
+    assert got == {1: "fin24c", 3: "fin24c", 4: "age", 5: "age"}
