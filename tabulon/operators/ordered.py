@@ -46,13 +46,14 @@ def running(df: DataFrame, by: Sequence[str], order: str, specs: Mapping[str, tu
     it) uses a plain per-family window; anything larger takes the bucketed path.
     """
     spark = df.sparkSession
-    if df.count() <= window_limit:  # one-row parameter
-        o = F.col(order).desc() if descending else F.col(order).asc()
-        w = Window.partitionBy(*by).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({name: _OPS[op](F.col(src)).over(w) for name, (src, op) in specs.items()})
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.col(order).cast("double")
+    # written once: the count, the bounds and both branches below read the same rows
     base = materialize(df.withColumn("__key", -key if descending else key))
+    if base.count() <= window_limit:  # one-row parameter; counting the checkpoint is cheap
+        w = Window.partitionBy(*by).orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
+        return base.withColumns({name: _OPS[op](F.col(src)).over(w) for name, (src, op) in specs.items()}) \
+            .drop("__key")
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = bucket_bounds(base, "__key", n)
     if bounds:
         arr = F.array(*[F.lit(b) for b in bounds])
