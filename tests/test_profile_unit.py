@@ -9,7 +9,7 @@ from tabulon.operators import profile as B
 @pytest.fixture()
 def audit_df(spark):
     rows = [("a", "1", "0", ""), ("b", "0", "1", ""), ("b", "0", "1", "")]
-    return spark.createDataFrame(rows, "id string, account_fin string, account_mob string, empty string")
+    return spark.createDataFrame(rows, "id string, target_a string, target_b string, empty string")
 
 
 def test_profile_flags(audit_df):
@@ -18,17 +18,17 @@ def test_profile_flags(audit_df):
     assert prof["empty"].inferred_type == "empty"
     assert prof["empty"].is_all_missing and prof["empty"].is_constant_non_missing  # kept oddity
     assert prof["empty"].missing_pct == 100.0
-    assert prof["account_fin"].inferred_type == "integer"
+    assert prof["target_a"].inferred_type == "integer"
     assert prof["id"].unique_count == 2
-    assert prof["account_fin"].top_values == '[{"value":"0","count":2},{"value":"1","count":1}]'
+    assert prof["target_a"].top_values == '[{"value":"0","count":2},{"value":"1","count":1}]'
 
 
 def test_duplicates_and_targets(audit_df):
     d = B.duplicate_summary(audit_df).collect()[0]
     assert (d.exact_duplicate_groups, d.duplicate_rows_excluding_first, d.rows_in_duplicate_groups) == (1, 1, 2)
     vf = B.value_frequency(audit_df)
-    t = {r.target: r for r in B.target_summary(vf, ["account_fin", "account_mob", "nope"], audit_df.columns).collect()}
-    assert t["account_fin"].valid_binary_0_1 and t["account_mob"].valid_binary_0_1
+    t = {r.target: r for r in B.target_summary(vf, ["target_a", "target_b", "nope"], audit_df.columns).collect()}
+    assert t["target_a"].valid_binary_0_1 and t["target_b"].valid_binary_0_1
     assert not t["nope"].present
 
 
