@@ -15,9 +15,12 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from tabulon.llm.common import batched, saved, texts
 
 CAPACITY = 2048
-CACHE_WORDS = 400_000  # words whose ids a Python worker remembers; a full cache is emptied
+CACHE_WORDS = 1_500_000  # words whose ids a Python worker remembers, from task to task; a full cache is emptied
 
 
 class WordTokens:
@@ -50,7 +53,7 @@ class WordTokens:
             self.known.clear()
         new = [w for w in dict.fromkeys(words) if w not in self.known]
         for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
+            self.known[w] = array("I", e.ids).tobytes() if sys.byteorder == "little" else np.array(e.ids, "<u4").tobytes()
 
     def ids(self, text: str | None, end_id: int = 0) -> bytes:
         """Little-endian unsigned 32-bit ids of the text, then the end id."""
@@ -63,12 +66,18 @@ class WordTokens:
         return body + int(end_id).to_bytes(4, "little")
 
 
+@cache
+def word_tokens(tokenizer_file: str) -> WordTokens:
+    """One for each Python worker, which runs many tasks."""
+    return WordTokens(tokenizer_file)
+
+
 def tokenised(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: every document cut into pieces of at most ``capacity`` ids."""
     step = 4 * capacity
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tok = WordTokens(tokenizer_file)
+        tok = word_tokens(tokenizer_file)
         for f in batched(frames):
             out = []
             for doc_id, text in zip(f["doc_id"], f["text"], strict=True):
