@@ -14,15 +14,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm import exact_packing, langid
+from tabulon.llm import decontam, exact_packing, langid, minhash_dedup, surrogates
 from tabulon.llm.common import read_table, saved
-from tabulon.llm.queries import tokenizer_file
+from tabulon.llm.queries import EXAMPLE_KEY, tokenizer_file
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: keep the documents whose language the calibrated model doesn't reject."""
-    out = langid.identified(docs, langid.fitted(docs), carry=docs.columns)
-    return out.where(~F.col("rejected")).select(*docs.columns)
+    return langid.accepted(docs, langid.fitted(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: one document of each group of near-duplicates stays."""
+    return minhash_dedup.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: documents that hold too much of ``benchmark`` go."""
+    return decontam.clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: personal data become surrogates; ``n_chars`` follows the text."""
+    out = surrogates.masked(docs, EXAMPLE_KEY)
+    kinds = next(c for c in reversed(out.columns))
+    n_chars = F.when(F.size(kinds) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.select(*[n_chars.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +47,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_packing.packed(docs, tokenizer_file())
 
 
-STAGES = [("language ID", language), ("best-fit packing", packing)]
+STAGES = [("language ID", language), ("near-duplicates", near_dedup), ("decontamination", decontamination),
+          ("PII", privacy), ("best-fit packing", packing)]
 ORACLE_SQL = None
 
 

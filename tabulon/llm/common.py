@@ -44,6 +44,14 @@ def dropped(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+SMALL = 500_000  # rows
+
+
+def if_small(df: DataFrame, limit: int = SMALL) -> DataFrame:
+    """Broadcast a written table whose rows have been counted; beyond the limit leave the join to shuffle."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def crc_mod5(col) -> "F.Column":
     """crc32 of the id written as text, mod 5: the fold that the contracts name."""
     return (F.crc32(col.cast("string")) % 5).cast("int")

@@ -18,15 +18,16 @@ no usable training row everything is ``und``. Further columns are ignored.
 from __future__ import annotations
 
 import io
+import uuid
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import batched, crc_mod5, crc_mod5_py, texts
+from tabulon.llm.common import crc_mod5, texts
 
 BUCKETS, DIM, ORDERS = 1 << 17, 8, (2, 3, 4)
 PER_LANG = 300
@@ -166,21 +167,32 @@ def _or_empty(run):
     return f
 
 
-def identified(docs: DataFrame, model: dict, reject_below: float = 0.5) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, rejected`` of every row.
+def judging(spark: SparkSession, model: dict, reject_below: float = 0.5):
+    """A column function: text to ``struct<lang_pred, score, rejected>``.
 
     ``score`` is the calibrated probability of the prediction; below ``reject_below``
     the text more likely than not has another language, and is rejected.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_to_bytes(model))  # BUCKETS x languages: bounded
+    shared = spark.sparkContext.broadcast(_to_bytes(model))  # BUCKETS x languages: bounded
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("struct<lang_pred:string,score:double,rejected:boolean>")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = _from_bytes(shared.value)
-        for f in batched(frames):
-            got = [predict(m, t) for t in f["text"]]
-            yield pd.DataFrame({
-                "doc_id": f["doc_id"].astype("Int64"), "held_out": [None if pd.isna(d) else crc_mod5_py(d) == 0 for d in f["doc_id"]],
-                "lang_pred": [a for a, _ in got], "score": [s for _, s in got],
-                "rejected": [a == UNKNOWN or s < reject_below for a, s in got]})
-
-    return texts(docs).mapInPandas(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
+        for b in batches:
+            got = [predict(m, t) for t in b]
+            yield pd.DataFrame({"lang_pred": [x for x, _ in got], "score": [s for _, s in got],
+                                "rejected": [x == UNKNOWN or s < reject_below for x, s in got]})
+
+    return judge
+
+
+def identified(docs: DataFrame, model: dict, reject_below: float = 0.5) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score, rejected`` of every row."""
+    t = texts(docs).withColumn("j", judging(docs.sparkSession, model, reject_below)(F.col("text")))
+    return t.select("doc_id", (crc_mod5(F.col("doc_id")) == 0).alias("held_out"), "j.lang_pred", "j.score", "j.rejected")
+
+
+def accepted(docs: DataFrame, model: dict, reject_below: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose language isn't rejected, with all their columns."""
+    mark = f"__j{uuid.uuid4().hex}"
+    return docs.withColumn(mark, judging(docs.sparkSession, model, reject_below)(F.col("text"))).where(~F.col(f"{mark}.rejected")).drop(mark)

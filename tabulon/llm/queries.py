@@ -13,12 +13,41 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: A key for the examples; whoever runs the operator passes their own.
+EXAMPLE_KEY = b"an example key"
+
+
+def op1_lm_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulon.llm import lm_mixing
+    return lm_mixing.scored(read_table(spark, sf_dir, "documents"))
+
+
+def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulon.llm import decontam
+    return decontam.judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), near=False).drop("k1", "k2")
+
+
 def op3_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabulon.llm import mil_quality
     docs = read_table(spark, sf_dir, "documents")
     return mil_quality.scored(docs, mil_quality.fitted(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulon.llm import minhash_dedup
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulon.llm import suffix_dedup
+    return suffix_dedup.deduplicated(read_table(spark, sf_dir, "documents"), with_text=False).drop("text_kept")
+
+
+def op6_ann_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulon.llm import ann_collision
+    return ann_collision.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabulon.llm import blob_ledger
     return blob_ledger.digest(read_table(spark, sf_dir, "documents"))
@@ -36,5 +65,54 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(docs, langid.fitted(docs))
 
 
-QUERIES = {f.__name__: f for f in (op3_mil_quality, op7_blob_ledger, op8_exact_packing, op9_langid)}
-SQL: dict[str, str] = {}
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulon.llm import surrogates
+    out = surrogates.masked(read_table(spark, sf_dir, "documents").select("doc_id", "text"), EXAMPLE_KEY)
+    return out.select("doc_id", "text", F.size("pii_kinds").cast("long").alias("n_entities"), F.concat_ws(",", "pii_kinds").alias("kinds"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_lm_mixing, op2_decontam, op3_mil_quality, op4_minhash, op5_suffix_dedup, op6_ann_collision, op7_blob_ledger,
+    op8_exact_packing, op9_langid, op10_surrogates)}
+
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPLIT = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+#: DuckDB SQL of the operators that SQL can express.
+SQL: dict[str, str] = {
+    "op2_decontam": rf"""
+with d as (select doc_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select item_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+bw as (select distinct item_id, array_to_string(w[i:i + 12], ' ') as s, least(13, len(w)) as l
+       from (select item_id, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) as i from b where len(w) > 0)),
+dw as (select doc_id, i, l, array_to_string(w[i:i + l - 1], ' ') as s
+       from (select doc_id, w, l, unnest(range(1, len(w) - l + 2)) as i from d, (select distinct l from bw) where len(w) >= l)),
+m as (select doc_id, i, l, item_id from dw join bw using (s, l)),
+h as (select doc_id, count(distinct p) as n from (select distinct doc_id, unnest(range(i, i + l)) as p from m) group by doc_id),
+t as (select doc_id, count(*) as n, string_agg(v, ',' order by v) as ids
+      from (select distinct doc_id, cast(item_id as varchar) as v from m) group by doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(h.n, 0) as n_hit, coalesce(t.n, 0) as n_items,
+       sha256(coalesce(t.ids, '')) as items_sha256, coalesce(h.n, 0) > 0 and 20 * coalesce(h.n, 0) >= len(w) as contaminated
+from d left join h using (doc_id) left join t using (doc_id)""",
+    "op4_minhash": rf"""
+with recursive d as (select doc_id, {_SPLIT.format(_LOW)} as w from documents),
+s as (select distinct doc_id, md5(array_to_string(w[i:i + 4], ' ')) as g
+      from (select doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) as i from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+l as (select p.a, p.b from (select x.doc_id as a, y.doc_id as b, count(*) as k from s x join s y using (g) where x.doc_id <> y.doc_id group by all) p
+      join n na on na.doc_id = p.a join n nb on nb.doc_id = p.b where 100 * p.k >= 75 * (na.n + nb.n - p.k)),
+r(doc_id, c) as (select doc_id, doc_id from d union select l.b, r.c from r join l on r.doc_id = l.a),
+c as (select doc_id, min(c) as c from r group by doc_id)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, c.c as component_id, d.doc_id = c.c as kept
+from d join c using (doc_id) left join n using (doc_id)""",
+    "op5_suffix_dedup": rf"""
+with d as (select doc_id, {_SPLIT.format("coalesce(text, '')")} as w from documents),
+s as (select doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as g
+      from (select doc_id, w, unnest(range(1, len(w) - 48)) as i from d where len(w) >= 50)),
+m as (select g, min(doc_id) as f from s group by g),
+x as (select distinct doc_id, unnest(range(i, i + 50)) as p from s join m using (g) where f < doc_id),
+u as (select doc_id, unnest(w) as t, unnest(range(1, len(w) + 1)) as p from d),
+k as (select u.doc_id, string_agg(t, ' ' order by u.p) as t, count(*) as n from u anti join x on u.doc_id = x.doc_id and u.p = x.p group by u.doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(k.n, 0) as bigint) as n_removed, sha256(coalesce(k.t, '')) as kept_sha256
+from d left join k using (doc_id)""",
+}
