@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.exprs import h8
-from tabulon.operators.ordered import running
+from tabulon.operators.ordered import quantiles, running
 
 EPS = 2.220446049250313e-16  # double machine epsilon: log-loss clip
 
@@ -78,8 +78,8 @@ def roc_points(df: DataFrame, y: str, p: str) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, thresholds descending (no point dropping)."""
     sc = _score_counts(df.withColumn("__all", F.lit(0)), y, p, ["__all"])
     cum = running(sc, ["__all"], "__s", {"tp": ("__pos", "sum"), "fp": ("__neg", "sum")}, descending=True)
-    tot = sc.groupBy("__all").agg(F.sum("__pos").alias("__pos_total"), F.sum("__neg").alias("__neg_total"))
-    return cum.join(tot, "__all").select(
+    tot = sc.agg(F.sum("__pos").alias("__pos_total"), F.sum("__neg").alias("__neg_total"))  # one row
+    return cum.crossJoin(F.broadcast(tot)).select(
         F.col("__s").alias("threshold"), F.col("tp").cast("bigint").alias("true_positives"),
         F.col("fp").cast("bigint").alias("false_positives"),
         F.try_divide(F.col("fp"), F.col("__neg_total")).alias("fpr"), F.try_divide(F.col("tp"), F.col("__pos_total")).alias("tpr"))
@@ -93,16 +93,17 @@ def prob_losses(df: DataFrame, y: str, p: str, eps: float = EPS) -> DataFrame:
                   F.avg(-(yy * F.log(pc) + (1 - yy) * F.log(1 - pc))).alias("log_loss"))
 
 
-def quantile_edges(df: DataFrame, p: str, bins: int = 8, approx_accuracy: int | None = None) -> DataFrame:
-    """Linear-interpolated quantile edges (duplicates dropped) as a ONE-row frame."""
-    probs = F.array(*[F.lit(i / bins) for i in range(bins + 1)])
-    q = F.percentile_approx(p, probs, approx_accuracy) if approx_accuracy else F.percentile(F.col(p), probs)
-    return df.agg(F.array_distinct(F.array_sort(q)).alias("__edges"))
+def quantile_edges(df: DataFrame, p: str, bins: int = 8) -> list[float]:
+    """Exact linear-interpolated quantile edges, duplicates dropped: at most bins + 1 numbers."""
+    counts = df.filter(F.col(p).isNotNull()).groupBy(F.col(p).cast("double").alias("__s"), F.lit(0).alias("__all")).agg(
+        F.count(F.lit(1)).alias("__c"))
+    row = quantiles(counts, ["__all"], "__s", "__c", {f"e{i}": i / bins for i in range(bins + 1)}).first()
+    return sorted({float(row[f"e{i}"]) for i in range(bins + 1)}) if row else []
 
 
-def calibration(df: DataFrame, y: str, p: str, bins: int = 8, approx_accuracy: int | None = None) -> DataFrame:
+def calibration(df: DataFrame, y: str, p: str, bins: int = 8) -> DataFrame:
     """Quantile bins (right-closed, lowest included; NOT ntile, which splits ties)."""
-    edges = quantile_edges(df, p, bins, approx_accuracy).first()["__edges"] or []  # one-row parameter
+    edges = quantile_edges(df, p, bins)
     pcol = F.col(p).cast("double")
     arr = F.array(*[F.lit(float(e)) for e in edges])
     binned = df.withColumn("bin", F.greatest(F.lit(1), F.size(F.filter(arr, lambda e: e < pcol))))

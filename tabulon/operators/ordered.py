@@ -1,19 +1,17 @@
-"""Running (cumulative) aggregates along a global order without a single-task window.
+"""Running (cumulative) aggregates and exact quantiles along a global order, without a single-task window.
 
 A window ``partitionBy(family).orderBy(x)`` puts a whole family in one task.
-Here the order key is cut into buckets by quantile bounds computed ONCE (a
-one-row parameter collected to the driver), so the bucket is a pure function
-of the value — equal keys always share a bucket and every recomputation
-(retries, executor loss, several branches of one plan) agrees. Then:
+Here rows are range-partitioned on (family, x) and written with the number of
+their range; equal keys always share a range, and the written table makes every
+recomputation (retries, executor loss, several branches of one plan) agree. Then:
 
-1. partial aggregates per (family, bucket)                 — tiny table
-2. carry-in from all earlier buckets of the family         — window over the tiny table
-3. running aggregate inside each (family, bucket)          — window bounded by one bucket
-4. combine local value with the carry                      — equi-join on (family, bucket)
+1. partial aggregates per (family, range)                  — tiny table
+2. carry-in from all earlier ranges of the family          — window over the tiny table
+3. running aggregate inside each (family, range)           — window bounded by one range
+4. combine local value with the carry                      — equi-join on (family, range)
 
-Callers first collapse rows to distinct order values (counts per value), so a
-hot value is one row, never a skewed bucket. Inputs of at most ``window_limit``
-rows skip the bucketing: a per-family window over them is already bounded.
+One path at every size. Callers first collapse rows to distinct order values
+(counts per value), so a hot value is one row, never a skewed range.
 """
 
 from __future__ import annotations
@@ -28,38 +26,17 @@ from tabulon.session import materialize
 _OPS = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
-def bucket_bounds(df: DataFrame, key: str, buckets: int, accuracy: int = 10000) -> list[float]:
-    """Sorted distinct quantile cut points of ``key`` (a documented one-row parameter)."""
-    if buckets <= 1:
-        return []
-    probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(F.col(key), probs, accuracy).alias("b")).first()
-    return sorted({float(b) for b in (row["b"] or []) if b is not None})
-
-
 def running(df: DataFrame, by: Sequence[str], order: str, specs: Mapping[str, tuple[str, str]],
-            descending: bool = False, buckets: int | None = None, window_limit: int = 1_000_000) -> DataFrame:
+            descending: bool = False, buckets: int | None = None) -> DataFrame:
     """Add inclusive running aggregates ``name = op(col)`` over rows ordered by ``order`` within ``by``.
 
     ``specs``: name → (source column, op) with op in sum/min/max. ``order`` must be numeric.
-    One count decides the path: an input of at most ``window_limit`` rows (so no family can exceed
-    it) uses a plain per-family window; anything larger takes the bucketed path.
+    ``buckets`` is the number of ranges, by default the shuffle partitions.
     """
-    spark = df.sparkSession
     key = F.col(order).cast("double")
-    # written once: the count, the bounds and both branches below read the same rows
-    base = materialize(df.withColumn("__key", -key if descending else key))
-    if base.count() <= window_limit:  # one-row parameter; counting the checkpoint is cheap
-        w = Window.partitionBy(*by).orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
-        return base.withColumns({name: _OPS[op](F.col(src)).over(w) for name, (src, op) in specs.items()}) \
-            .drop("__key")
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = bucket_bounds(base, "__key", n)
-    if bounds:
-        arr = F.array(*[F.lit(b) for b in bounds])
-        base = base.withColumn("__bkt", F.size(F.filter(arr, lambda b: b < F.col("__key"))))
-    else:
-        base = base.withColumn("__bkt", F.lit(0))
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = materialize(df.withColumn("__key", -key if descending else key)
+                       .repartitionByRange(n, *by, "__key").withColumn("__bkt", F.spark_partition_id()))
     part = base.groupBy("__bkt", *by).agg(
         *[_OPS[op](F.col(src)).alias(f"__p_{name}") for name, (src, op) in specs.items()])
     wc = Window.partitionBy(*by).orderBy("__bkt").rowsBetween(Window.unboundedPreceding, -1)
@@ -80,3 +57,24 @@ def running(df: DataFrame, by: Sequence[str], order: str, specs: Mapping[str, tu
             out[name] = F.greatest(loc, F.coalesce(car, loc))
     drop = ["__bkt", "__key"] + [f"__l_{k}" for k in specs] + [f"__c_{k}" for k in specs]
     return joined.withColumns(out).drop(*drop)
+
+
+def quantiles(counts: DataFrame, by: Sequence[str], value: str, n: str, probs: Mapping[str, float]) -> DataFrame:
+    """Exact linear-interpolated quantiles per ``by`` from (by, value, count) rows.
+
+    ``probs``: output column → probability. The two order statistics around a
+    probability are read from the running counts, so no task holds a group's
+    distinct values.
+    """
+    cum = running(counts, by, value, {"__le": (n, "sum")})
+    total = counts.groupBy(*by).agg(F.sum(n).alias("__total"))
+    j = cum.join(total, list(by))
+    aggs = []
+    for name, p in probs.items():
+        at = (F.col("__total") - 1) * F.lit(p)
+        for part, place in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            inside = (F.col("__le") - F.col(n) <= place) & (place < F.col("__le"))
+            aggs.append(F.max(F.when(inside, F.col(value).cast("double"))).alias(f"__{part}_{name}"))
+        aggs.append(F.max(at - F.floor(at)).alias(f"__f_{name}"))
+    return j.groupBy(*by).agg(*aggs).select(*by, *[
+        (F.col(f"__lo_{k}") + (F.col(f"__hi_{k}") - F.col(f"__lo_{k}")) * F.col(f"__f_{k}")).alias(k) for k in probs])

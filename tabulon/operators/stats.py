@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.tails import chi2_sf, normal_two_sided
-from tabulon.operators.ordered import running
+from tabulon.operators.ordered import quantiles, running
 from tabulon.operators.survey import grouped_by_dimension, wsum
 
 NON_SUBSTANTIVE = ("Nonresponse", "Missing or nonresponse")
@@ -127,7 +127,7 @@ def chi_square_tests(cells: DataFrame) -> DataFrame:
 
 
 def with_chi_p(tests: DataFrame) -> DataFrame:
-    """F2 tail: p from the χ² survival function (Arrow UDF, one row per test)."""
+    """F2 tail: p from the χ² survival function."""
     return tests.withColumn("p_value", chi2_sf(F.col("chi_square"), F.col("degrees_freedom")))
 
 
@@ -182,27 +182,25 @@ def with_normal_p(tests: DataFrame) -> DataFrame:
     return tests.withColumn("p_value", normal_two_sided(F.col("z_statistic")))
 
 
-def class_distribution(df: DataFrame, targets: Mapping[str, str], value: str,
-                       approx_accuracy: int | None = None) -> DataFrame:
-    """n, min, q1, median, mean, q3, max per (target, class); linear-interpolated quantiles.
+def class_distribution(df: DataFrame, targets: Mapping[str, str], value: str) -> DataFrame:
+    """n, min, q1, median, mean, q3, max per (target, class); exact linear-interpolated quantiles.
 
-    ``percentile`` is exact with memory ∝ distinct values per group; pass
-    ``approx_accuracy`` to switch to ``percentile_approx`` for continuous values.
+    Rows collapse to counts per value; the quantiles are read from running counts.
     """
     parts = [F.struct(F.lit(t).alias("target"), F.lit(lab).alias("outcome"), F.col(t).cast("int").alias("y"))
              for t, lab in targets.items()]
     long = df.select(F.col(value).cast("double").alias("v"), F.explode(F.array(*parts)).alias("t")) \
         .select("t.target", "t.outcome", F.col("t.y").alias("outcome_value"), "v")
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = (F.percentile_approx("v", probs, approx_accuracy) if approx_accuracy
-         else F.percentile("v", probs))
-    agg = long.groupBy("target", "outcome", "outcome_value").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n"), F.min("v").alias("minimum"), q.alias("__q"),
-        F.avg("v").alias("mean"), F.max("v").alias("maximum"))
-    return agg.select("target", "outcome", F.col("outcome_value").cast("int").alias("outcome_value"), "n",
-                      "minimum", F.col("__q")[0].cast("double").alias("q1"),
-                      F.col("__q")[1].cast("double").alias("median"), "mean",
-                      F.col("__q")[2].cast("double").alias("q3"), "maximum")
+    by = ["target", "outcome", "outcome_value"]
+    counts = long.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("c"))
+    held = counts.filter(F.col("v").isNotNull() & F.col("outcome_value").isNotNull())
+    q = quantiles(held, by, "v", "c", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    agg = counts.groupBy(*by).agg(
+        F.sum("c").cast("bigint").alias("n"), F.min("v").alias("minimum"),
+        (F.sum(F.col("v") * F.col("c")) / F.sum(F.when(F.col("v").isNotNull(), F.col("c")))).alias("mean"),
+        F.max("v").alias("maximum"))
+    return agg.join(q, by, "left").select("target", "outcome", F.col("outcome_value").cast("int").alias("outcome_value"), "n",
+                                          "minimum", "q1", "median", "mean", "q3", "maximum")
 
 
 def bh_adjust(df: DataFrame, family: Sequence[str], p: str = "p_value", out: str = "adjusted_p_value",
@@ -230,15 +228,19 @@ def bh_adjust(df: DataFrame, family: Sequence[str], p: str = "p_value", out: str
     return base.join(qtab, cond, "left").drop(*[f"__f_{f}" for f in fam], "__p")
 
 
-def association_results(categorical: DataFrame, numeric: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """aligned union of test results, BH within target, significance flag."""
+def association_results(categorical: DataFrame, numeric: DataFrame, alpha: float = 0.05, by_abs: bool = True) -> DataFrame:
+    """aligned union of test results, BH within target, significance flag, rank by (absolute) effect size."""
     cols = ["test_id", "target", "outcome", "variable_label", "test", "p_value", "effect_metric",
             "effect_size", "effect_magnitude"]
     cat = categorical.withColumnRenamed("dimension_label", "variable_label").select(*cols)
     num = numeric.select(*cols)
     allr = cat.unionByName(num)
     adj = bh_adjust(allr, ["target"], "p_value")
-    return adj.withColumn("significant_fdr_0_05", F.col("adjusted_p_value") < alpha)
+    adj = adj.withColumn("significant_fdr_0_05", F.col("adjusted_p_value") < alpha)
+    # one row per (target, test): as many as declared tests
+    size = F.abs(F.col("effect_size")) if by_abs else F.col("effect_size")
+    return adj.withColumn("effect_rank", F.row_number().over(
+        Window.partitionBy("target").orderBy(size.desc(), "test_id")))
 
 
 def test_rollup(results: DataFrame, categorical: DataFrame | None = None) -> DataFrame:

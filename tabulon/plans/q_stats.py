@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabulon.functions.tails import chi2_sf_sql, normal_two_sided_sql
 from tabulon.operators import stats as S
 from tabulon.plans.base import Query
 from tabulon.session import materialize
@@ -172,6 +173,34 @@ BH_CTE = (
 BH_SQL = ("select s.respondent_id, s.y, s.p, q.q as adjusted_p_value from scored_survey s "
           "join bh_q q on q.y = s.y and q.p = s.p")
 
+_P_CTE = (CT_CTE + ", " + MW_CTE + ", "
+          "cat_p as (select test_id, target, outcome, dimension_label, chi_square, degrees_freedom, effect_size, "
+          "assumption_passed, expected_cells_below_5, " + chi2_sf_sql("chi_square", "degrees_freedom") + " as p_value "
+          "from tests_e join (select distinct target, dimension, outcome, dimension_label from contingency) using (target, dimension)), "
+          "num_z as (" + MW_SQL + "), "
+          "num_p as (select *, " + normal_two_sided_sql("z_statistic") + " as p_value from num_z)")
+P_SQL = ("select test_id, target, chi_square as statistic, degrees_freedom, p_value from cat_p "
+         "union all select test_id, target, z_statistic, cast(null as integer), p_value from num_p")
+_MAG = ("case when abs(effect_size) < 0.10 then 'negligible' when abs(effect_size) < 0.30 then 'small' "
+        "when abs(effect_size) < 0.50 then 'moderate' else 'large' end")
+ASSOC_CTE = (
+    _P_CTE + ", assoc0 as (select test_id, target, outcome, dimension_label as variable_label, "
+    "'Pearson chi-square test of independence' as test, p_value, 'bias-corrected Cramer''s V' as effect_metric, effect_size, "
+    + _MAG + " as effect_magnitude from cat_p union all "
+    "select test_id, target, outcome, variable_label, test, p_value, effect_metric, effect_size, effect_magnitude from num_p), "
+    "assoc1 as (select *, least(1.0, p_value * count(*) over (partition by target) / "
+    "count(*) over (partition by target order by p_value range between unbounded preceding and current row)) as raw from assoc0), "
+    "assoc2 as (select *, min(raw) over (partition by target order by p_value desc range between unbounded preceding "
+    "and current row) as adjusted_p_value from assoc1), "
+    "assoc as (select test_id, target, outcome, variable_label, test, p_value, effect_metric, effect_size, effect_magnitude, "
+    "adjusted_p_value, adjusted_p_value < 0.05 as significant_fdr_0_05, "
+    "cast(row_number() over (partition by target order by abs(effect_size) desc, test_id) as integer) as effect_rank from assoc2)")
+ROLL_SQL = (
+    "select a.target, count(*) as tests, count(*) filter (where significant_fdr_0_05) as significant, "
+    "min(c.ok) as assumption_passed_tests, min(c.low) as expected_cells_below_5 from assoc a "
+    "left join (select target, count(*) filter (where assumption_passed) as ok, cast(sum(expected_cells_below_5) as bigint) as low "
+    "from cat_p group by target) c using (target) group by a.target")
+
 QUERIES = [
     Query("contingency", "F1", q_contingency, CT_SQL,
           ("expected_count", "category_weight_sum", "category_weighted_positive_rate"), ctes=CT_CTE),
@@ -186,7 +215,7 @@ QUERIES = [
           lambda s, d: S.class_distribution(fx.clean_survey(s, d), fx.TARGETS, "age"), DIST_SQL,
           ("minimum", "q1", "median", "mean", "q3", "maximum"), ctes=MW_CTE),
     Query("bh_adjust", "F10", q_bh, BH_SQL, ("p", "adjusted_p_value"), ctes=BH_CTE),
-    Query("p_values", "F2,F7", q_p_values),
-    Query("association_results", "F10,F11", _assoc),
-    Query("test_rollup", "F12", q_rollup),
+    Query("p_values", "F2,F7", q_p_values, P_SQL, ("statistic", "p_value"), ctes=_P_CTE),
+    Query("association_results", "F10,F11", _assoc, "select * from assoc", ("p_value", "effect_size", "adjusted_p_value"), ctes=ASSOC_CTE),
+    Query("test_rollup", "F12", q_rollup, ROLL_SQL, ctes=ASSOC_CTE),
 ]

@@ -82,17 +82,23 @@ def test_all_tied_scores_auc_half(spark):
     assert J.roc_auc(df, "y", "p").first().roc_auc == pytest.approx(0.5)
 
 
-def test_running_bucketed_path_equals_window_path(spark):
-    from tabulon.operators.ordered import running
+def test_running_equals_one_window(spark):
+    from pyspark.sql import Window
+    from tabulon.operators.ordered import quantiles, running
     rows = [(f % 3, float((i * 37) % 101), float(i % 7)) for f in range(3) for i in range(400)]
     df = spark.createDataFrame(rows, "fam int, x double, v double").groupBy("fam", "x").agg(F.sum("v").alias("v"))
     specs = {"cum": ("v", "sum"), "mn": ("v", "min")}
-    a = running(df, ["fam"], "x", specs, window_limit=10**9)
-    b = running(df, ["fam"], "x", specs, window_limit=0, buckets=7)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    c = running(df, ["fam"], "x", specs, descending=True, window_limit=10**9)
-    d = running(df, ["fam"], "x", specs, descending=True, window_limit=0, buckets=5)
-    assert c.exceptAll(d).count() == 0
+    for descending in (False, True):
+        order = F.col("x").desc() if descending else F.col("x")
+        w = Window.partitionBy("fam").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        a = df.select("*", F.sum("v").over(w).alias("cum"), F.min("v").over(w).alias("mn"))
+        for n in (1, 7):
+            b = running(df, ["fam"], "x", specs, descending=descending, buckets=n)
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    counts = df.select("fam", "x", F.col("v").cast("long").alias("c"))
+    got = {r.fam: r.m for r in quantiles(counts, ["fam"], "x", "c", {"m": 0.3}).collect()}
+    want = counts.where("c > 0").select("fam", F.explode(F.array_repeat("x", F.col("c").cast("int"))).alias("x")).groupBy("fam").agg(F.percentile("x", 0.3).alias("m"))
+    assert all(got[r.fam] == pytest.approx(r.m) for r in want.collect())
 
 
 def test_chi_square_matches_spark_ml_chisquaretest(spark):

@@ -5,7 +5,9 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tabulon.functions.tails import chi2_sf_scalar, normal_two_sided_scalar
+from pyspark.sql import functions as F
+
+from tabulon.functions.tails import chi2_sf, normal_two_sided
 from tabulon.operators import stats as S
 
 # Published observed counts (category → (y=0, y=1)) and test results
@@ -64,12 +66,19 @@ def test_bh_rejects_nan(spark):
         S.bh_adjust(df, ["fam"], "p").collect()
 
 
-def test_chi2_tail_closed_form():
-    # even df: exact exponential series; odd df: erfc + series
-    assert chi2_sf_scalar(2.0, 2) == pytest.approx(math.exp(-1.0))
-    assert chi2_sf_scalar(3.841458820694124, 1) == pytest.approx(0.05, rel=1e-10)
-    assert chi2_sf_scalar(11.070497693516351, 5) == pytest.approx(0.05, rel=1e-9)
-    assert normal_two_sided_scalar(1.959963984540054) == pytest.approx(0.05, rel=1e-10)
+def test_tails(spark):
+    """χ² and normal tails against closed forms and erfc, small p included."""
+    rows = [(2.0, 2, math.exp(-1.0)), (3.841458820694124, 1, 0.05), (11.070497693516351, 5, 0.05), (0.0, 3, 1.0),
+            (80.7593436528, 4, math.exp(-40.3796718264) * 41.3796718264), (900.0, 1, math.erfc(math.sqrt(450.0)))]
+    df = spark.createDataFrame(rows, "x double, k int, p double")
+    for r in df.select("p", chi2_sf(F.col("x"), F.col("k")).alias("q")).collect():
+        assert r.q == pytest.approx(r.p, rel=1e-9)
+    zs = [0.0, 0.3, -1.959963984540054, 3.5, 3.6, -9.0, 20.0]
+    df = spark.createDataFrame([(z, math.erfc(abs(z) / math.sqrt(2))) for z in zs], "z double, p double")
+    for r in df.select("p", normal_two_sided(F.col("z")).alias("q")).collect():
+        assert r.q == pytest.approx(r.p, rel=1e-10)
+    empty = spark.createDataFrame([(None, 1), (2.0, None), (2.0, 0)], "x double, k int")
+    assert all(r[0] is None for r in empty.select(chi2_sf(F.col("x"), F.col("k"))).collect())
 
 
 def test_mann_whitney_matches_brute_force(spark):
