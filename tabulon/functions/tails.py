@@ -34,7 +34,7 @@ def erfc(x: Column) -> Column:
 
 def normal_two_sided(z: Column) -> Column:
     """2·(1 − Φ(|z|)); NULL and NaN stay as they are."""
-    return F.least(F.lit(1.0), erfc(F.abs(z.cast("double")) / math.sqrt(2.0)))
+    return F.when(z.isNotNull(), F.least(F.lit(1.0), erfc(F.abs(z.cast("double")) / math.sqrt(2.0))))
 
 
 def chi2_sf(x: Column, k: Column) -> Column:
@@ -46,7 +46,7 @@ def chi2_sf(x: Column, k: Column) -> Column:
     terms = _horner(2, ((k - 1) / 2).cast("int"), lambda s, i: 1 + x / (2 * i - 1) * s)
     odd = erfc(root / math.sqrt(2.0)) + F.when(k > 1, 2 * F.exp(-h) / math.sqrt(2 * math.pi) * root * terms).otherwise(0.0)
     tail = F.least(F.lit(1.0), F.when(k % 2 == 0, even).otherwise(odd))
-    return F.when(k >= 1, F.when(x <= 0, 1.0).otherwise(tail))
+    return F.when((k >= 1) & x.isNotNull(), F.when(x <= 0, 1.0).otherwise(tail))
 
 
 # ----------------------------------------------------------------- oracle text

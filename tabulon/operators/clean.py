@@ -135,11 +135,11 @@ def mapping_report(cmap: DataFrame, vf: DataFrame) -> DataFrame:
     return rows.unionByName(blanks)
 
 
-def processed_schema(df: DataFrame, roles: Mapping[str, str] | None = None, max_categories: int = 50) -> DataFrame:
+def processed_schema(df: DataFrame, roles: Mapping[str, str] | None = None) -> DataFrame:
     """Per column: position, role, dtype, null count, distinct count (NULL counted), sorted categories.
 
-    One unpivot + aggregate (NULL kept as its own group); category lists only for
-    string columns with at most ``max_categories`` values.
+    One unpivot + aggregate (NULL kept as its own group); category lists, whole, for
+    the string columns that aren't keys.
     """
     spark = df.sparkSession
     cols = df.columns
@@ -152,10 +152,9 @@ def processed_schema(df: DataFrame, roles: Mapping[str, str] | None = None, max_
     per = vc.groupBy("column").agg(
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("null_count"),
         F.count(F.lit(1)).cast("bigint").alias("distinct_count"))
-    strings = [c for c, f in zip(cols, df.schema.fields) if f.dataType.simpleString() == "string"]
-    small = vc.filter(F.col("column").isin(*strings) & F.col("value").isNotNull()) \
-        .groupBy("column").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") <= max_categories)
-    cats = vc.join(F.broadcast(small), "column").filter(F.col("value").isNotNull()).groupBy("column").agg(
+    strings = [c for c, f in zip(cols, df.schema.fields)
+               if f.dataType.simpleString() == "string" and (roles or {}).get(c) != "key"]
+    cats = vc.filter(F.col("column").isin(*strings) & F.col("value").isNotNull()).groupBy("column").agg(
         F.array_join(F.array_sort(F.collect_list("value")), "|").alias("categories"))
     return meta.join(per, "column", "left").join(cats, "column", "left").select(
         "position", "column", "role", "dtype", "null_count", "distinct_count", "categories")

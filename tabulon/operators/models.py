@@ -9,7 +9,7 @@ fits' predictions (plus the tie-aware AUC through the bucketed running scan).
 from __future__ import annotations
 
 import json
-import math
+
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabulon.functions.exprs import case_map
 from tabulon.operators.evaluate import roc_auc
 from tabulon.session import materialize
 
@@ -167,6 +168,8 @@ def fit_metrics(preds: DataFrame, threshold: float = 0.5) -> DataFrame:
     return m.join(auc, ["candidate_id", "fold", "split"], "left")
 
 
+#: Simplest family first.
+FAMILY_TIERS = {"baseline": 0, "logistic": 1, "tree": 2, "forest": 3, "gbt": 4}
 METRICS = ("roc_auc", "accuracy", "precision", "recall", "f1", "brier")
 
 
@@ -187,16 +190,18 @@ def search_table(metrics: DataFrame, k_folds: int) -> DataFrame:
 
 
 def one_se_selection(table: DataFrame) -> DataFrame:
-    """I8: cutoff = best mean AUC − its std/√k (baseline excluded); among candidates ≥ cutoff pick the
-    lowest complexity, then the best AUC; flags written back on every row."""
-    models = table.filter(F.col("family") != "baseline")
+    """I8: the best setting of every family competes; cutoff = best mean AUC − its std/√k (baseline
+    excluded); among families at or above it the simplest one wins (``FAMILY_TIERS``). Flags on every row."""
+    champion = F.col("rank_in_family") == 1
+    models = table.filter((F.col("family") != "baseline") & champion)
     best = models.agg(F.max_by(F.struct("validation_roc_auc_mean", "validation_roc_auc_std", "k_folds"),
                                F.col("validation_roc_auc_mean")).alias("b")).select(
         (F.col("b.validation_roc_auc_mean") - F.col("b.validation_roc_auc_std") / F.sqrt(F.col("b.k_folds")))
         .alias("cutoff"))
     cut = best.first()["cutoff"]  # one-row parameter
-    elig = (F.col("family") != "baseline") & (F.col("validation_roc_auc_mean") >= F.lit(cut))
-    chosen = table.filter(elig).orderBy(F.col("complexity").asc(), F.col("validation_roc_auc_mean").desc(),
+    elig = (F.col("family") != "baseline") & champion & (F.col("validation_roc_auc_mean") >= F.lit(cut))
+    tier = case_map(F.col("family"), FAMILY_TIERS)
+    chosen = table.filter(elig).orderBy(tier.asc(), F.col("validation_roc_auc_mean").desc(),
                                         F.col("candidate_id")).limit(1).select("candidate_id").first()
     sel = chosen["candidate_id"] if chosen else None
     return table.withColumn("one_se_cutoff", F.lit(cut)).withColumn("one_se_eligible", elig) \
@@ -224,7 +229,3 @@ def encoded_feature_map(indexer_model, features: Sequence[str]) -> list[tuple[in
             out.append((pos, f, lab))
             pos += 1
     return out
-
-
-def sqrt_k(k: int) -> float:
-    return math.sqrt(k)

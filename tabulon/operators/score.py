@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.operators.explain import LinearExplainer, scored
+from tabulon.functions.exprs import trim_ws
+from tabulon.operators.explain import LinearExplainer, score_struct
 
 
 def _err(cond: Column, field: str, message: str, kind: str) -> Column:
@@ -24,7 +25,7 @@ def validation_errors(df: DataFrame, allowed: Mapping[str, Sequence[str]],
     """
     errs = []
     for f, values in allowed.items():
-        v = F.trim(F.col(f).cast("string"))
+        v = trim_ws(F.col(f).cast("string"))
         errs.append(_err(v.isNull() | (v == ""), f, "Field required", "missing"))
         errs.append(_err(v.isNotNull() & (v != "") & ~v.isin(*values), f,
                          "Input should be one of the allowed categories", "enum"))
@@ -39,27 +40,23 @@ def split_valid(df: DataFrame, errors: Column) -> tuple[DataFrame, DataFrame]:
     return (tagged.filter(F.size("errors") == 0).drop("errors"), tagged.filter(F.size("errors") > 0))
 
 
-def unseen_warnings(df: DataFrame, learned: Mapping[str, Sequence[str]], id_col: str, model: str) -> DataFrame:
-    """L4: per row, features whose value was not among the training categories (literal sets)."""
-    parts = [F.when(~F.col(f).cast("string").isin(*cats), F.struct(F.lit(f).alias("feature"),
-                                                                   F.col(f).cast("string").alias("value")))
-             for f, cats in learned.items()]
+def unseen_warnings(df: DataFrame, learned: Mapping[str, Mapping[str, Sequence[str]]], id_col: str) -> DataFrame:
+    """L4: per row and model, features whose value was not among the training categories (literal sets).
+
+    ``learned``: model → feature → categories. A NULL is never a learned category.
+    """
+    parts = [F.when(~F.coalesce(F.col(f).cast("string").isin(*cats), F.lit(False)),
+                    F.struct(F.lit(model).alias("model"), F.lit(f).alias("feature"), F.col(f).cast("string").alias("value")))
+             for model, features in learned.items() for f, cats in features.items()]
     return df.select(F.col(id_col), F.explode(F.array_compact(F.array(*parts))).alias("w")) \
-        .select(id_col, F.lit(model).alias("model"), "w.feature", "w.value")
+        .select(id_col, "w.model", "w.feature", "w.value")
 
 
 def dual_scoring(df: DataFrame, models: Mapping[str, LinearExplainer], id_col: str,
                  threshold: float = 0.5) -> DataFrame:
-    """Every valid profile through every model in ONE pass; one row per (profile, model)."""
-    frames = []
-    for name, ex in models.items():
-        s = scored(df, ex, id_col, threshold).withColumn("model", F.lit(name))
-        frames.append(s)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.select(id_col, "model", "raw_score", "probability", "prediction", "statement",
-                      "baseline_probability")
+    """Every valid profile through every model in one pass; one row per (profile, model)."""
+    rows = F.array(*[score_struct(ex, threshold, model) for model, ex in models.items()])
+    return df.select(F.col(id_col), F.explode(rows).alias("s")).select(id_col, "s.*")
 
 
 DISCLAIMER = "Descriptive model estimate; not a decision about any individual."
@@ -82,7 +79,7 @@ def response_records(scores: DataFrame, factors: DataFrame, warnings: DataFrame
     rec = per_model.groupBy(id_col).agg(F.array_sort(F.collect_list("result")).alias("results"))
     if warnings is not None:
         w = warnings.groupBy(id_col).agg(F.array_sort(F.collect_list(F.concat_ws(
-            ": ", "model", F.concat(F.col("feature"), F.lit(" = "), F.col("value"))))).alias("warnings"))
+            ": ", "model", F.concat(F.col("feature"), F.lit(" = "), F.coalesce(F.col("value"), F.lit("(missing)")))))).alias("warnings"))
         rec = rec.join(w, id_col, "left")
     else:
         rec = rec.withColumn("warnings", F.lit(None).cast("array<string>"))

@@ -37,39 +37,35 @@ def _profile_table(df: DataFrame, key: str, label: str) -> DataFrame:
                                F.sum(F.col(label).cast("bigint")).alias("__pos"))
 
 
-def fold_column(key: str, k: int, salt: str, rows_total: int, heavy_groups_per_fold: int = 10,
-                eligible: Column | None = None) -> tuple[Column, Column]:
-    """(fold expression, window partition key) for a profile table with (key, __n, __pos).
-
-    Light profiles: md5(salt | key) mod k. Heavy profiles (n above
-    rows_total / (heavy_groups_per_fold · k): at most heavy_groups_per_fold · k of them)
-    are dealt in serpentine order of size within their label stratum. ONE window:
-    heavy profiles share a partition per stratum (a bounded set); light ones are
-    spread over 1024 hash buckets, their row numbers unused.
+def dealt_folds(prof: DataFrame, key: str, k: int, rows_total: int, heavy_groups_per_fold: int, out: str) -> DataFrame:
+    """(key, out) of the heavy profiles only: those with more than rows_total / (heavy_groups_per_fold · k) rows.
+
+    There are at most heavy_groups_per_fold · k of them. They are dealt in
+    serpentine order of size within their label stratum.
     """
-    elig = eligible if eligible is not None else F.lit(True)
-    heavy = elig & (F.col("__n") > F.lit(rows_total / (heavy_groups_per_fold * k)))
+    heavy = prof.filter(F.col("__n") > F.lit(rows_total / (heavy_groups_per_fold * k)))
     stratum = F.when(F.col("__pos") * 2 >= F.col("__n"), 1).otherwise(0)
-    part = F.when(heavy, stratum - 2).otherwise(F.pmod(F.hash(F.col(key)), F.lit(1024)))
-    r = F.row_number().over(Window.partitionBy(part).orderBy(F.col("__n").desc(), F.col(key))) - 1
+    r = F.row_number().over(Window.partitionBy(stratum).orderBy(F.col("__n").desc(), F.col(key))) - 1
     serp = F.when(F.floor(r / k) % 2 == 0, r % k).otherwise(k - 1 - r % k)
-    light = h8(F.concat(F.lit(salt + "|"), F.col(key))) % k
-    return F.when(heavy, serp).otherwise(light).cast("int"), part
+    return heavy.select(key, serp.cast("int").alias(out))
 
 
-def profile_folds(prof: DataFrame, key: str, k: int = 5, salt: str = "fold",
-                  heavy_groups_per_fold: int = 10, out: str = "fold") -> DataFrame:
-    """Fold per profile from a profile table (key, __n, __pos) → (key, out)."""
-    total = prof.agg(F.sum("__n")).first()[0] or 0  # one-row parameter
-    fold, _ = fold_column(key, k, salt, total, heavy_groups_per_fold)
-    return prof.select(key, fold.alias(out))
+def light_fold(key: str, k: int, salt: str) -> Column:
+    """Fold of every other profile: a hash of its key, computed where the row is."""
+    return (h8(F.concat(F.lit(salt + "|"), F.col(key))) % k).cast("int")
 
 
 def group_folds(df: DataFrame, key: str, label: str, k: int = 5, salt: str = "fold",
                 heavy_groups_per_fold: int = 10, out: str = "fold") -> DataFrame:
-    """H2/H3: fold in [0, k) per row, constant within a profile, label-stratified for heavy profiles."""
+    """H2/H3: fold in [0, k) per row, constant within a profile, label-stratified for heavy profiles.
+
+    Rows are not shuffled: light folds are a projection, the heavy ones a bounded broadcast.
+    """
     prof = materialize(_profile_table(df, key, label))
-    return df.join(profile_folds(prof, key, k, salt, heavy_groups_per_fold, out), key, "left")
+    total = prof.agg(F.sum("__n")).first()[0] or 0  # one-row parameter
+    dealt = dealt_folds(prof, key, k, total, heavy_groups_per_fold, "__dealt")
+    return df.join(F.broadcast(dealt), key, "left") \
+        .withColumn(out, F.coalesce("__dealt", light_fold(key, k, salt))).drop("__dealt")
 
 
 def holdout_split(df: DataFrame, key: str, label: str, k: int = 5, test_fold: int = 0,
@@ -77,19 +73,19 @@ def holdout_split(df: DataFrame, key: str, label: str, k: int = 5, test_fold: in
                   heavy_groups_per_fold: int = 10) -> DataFrame:
     """H2 + H3: side = test for one of k grouped folds; cv_fold on training profiles only.
 
-    Both assignments are made on ONE profile-level table (materialised once) and
-    joined back to the rows once.
+    Both assignments come from ONE profile-level table; rows get them by
+    projection and one bounded broadcast of the heavy profiles.
     """
     prof = materialize(_profile_table(df, key, label))
     total = prof.agg(F.sum("__n")).first()[0] or 0
-    hold, _ = fold_column(key, k, salt, total, heavy_groups_per_fold)
-    tagged = materialize(prof.withColumn("__hold", hold))
-    is_train = F.col("__hold") != test_fold
-    train_total = tagged.agg(F.sum(F.when(is_train, F.col("__n")))).first()[0] or 0
-    cv, _ = fold_column(key, cv_k, cv_salt, train_total, heavy_groups_per_fold, eligible=is_train)
-    assign = tagged.select(key, F.when(is_train, "train").otherwise("test").alias("side"),
-                           F.when(is_train, cv).alias("cv_fold"))
-    return df.join(assign, key, "left")
+    hold = dealt_folds(prof, key, k, total, heavy_groups_per_fold, "__h")
+    side = F.when(F.coalesce("__h", light_fold(key, k, salt)) != test_fold, "train").otherwise("test")
+    train = prof.join(F.broadcast(hold), key, "left").filter(side == "train")
+    train_total = train.agg(F.sum("__n")).first()[0] or 0
+    cv = dealt_folds(train, key, cv_k, train_total, heavy_groups_per_fold, "__c")
+    dealt = hold.join(cv, key, "full")
+    return df.join(F.broadcast(dealt), key, "left").withColumn("side", side).withColumn(
+        "cv_fold", F.when(F.col("side") == "train", F.coalesce("__c", light_fold(key, cv_k, cv_salt)))).drop("__h", "__c")
 
 
 def profile_summary(df: DataFrame, key: str, label: str) -> DataFrame:

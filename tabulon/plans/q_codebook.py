@@ -13,7 +13,7 @@ from tabulon.operators import profile as B
 from tabulon.plans.base import Query, values_sql
 from tabulon.plans.q_profile import PROFILE_CTE, RAW_COLS, VF_CTE
 from tabulon.sources import fixtures as fx
-from tabulon.sources.tables import table, text_table
+from tabulon.sources.tables import table
 
 # ---------------------------------------------------------------------------
 # Variable sets and rule tables of the fixture catalogue (parameters)
@@ -58,37 +58,39 @@ ORIGIN_RULES = [
     ({"name_in": SETS["demographic"] + ["educ", "inc_q"]}, "RESPONDENT_PROFILE"),
 ]
 LEAKAGE_RULES = [
-    ({"name_eq_col": "outcome"}, ("TARGET", "The prediction target itself.")),
-    ({"name_eq_col": "parallel_outcome"}, ("HIGH", "Parallel outcome measured alongside the target.")),
-    ({"name_in_by": {"col": "outcome", "sets": DIRECT}}, ("DIRECT", "Component or reconstruction of the target.")),
-    ({"name_in": SETS["post_digital"]}, ("MODERATE", "Experience that may follow adoption.")),
-    ({"name_in": SETS["non_capacity"]}, ("MODERATE", "Contemporaneous activity, not stable prior access.")),
-    ({"col_eq": {"category": "FINANCIAL"}}, ("HIGH", "Financial behaviour measured during the outcome period.")),
+    ({"name_eq_col": "outcome"}, ("TARGET", "This is what the model predicts.")),
+    ({"name_eq_col": "parallel_outcome"}, ("HIGH", "Other outcome of the same survey, known only together with the target.")),
+    ({"name_in_by": {"col": "outcome", "sets": DIRECT}}, ("DIRECT", "Part of the target, or enough to rebuild it.")),
+    ({"name_in": SETS["post_digital"]}, ("MODERATE", "Describes use that can start after the outcome.")),
+    ({"name_in": SETS["non_capacity"]}, ("MODERATE", "Records what people do now rather than what they could reach before.")),
+    ({"col_eq": {"category": "FINANCIAL"}}, ("HIGH", "Money matters asked about for the same period as the outcome.")),
     ({"col_in": {"category": ["DEMOGRAPHIC", "SOCIOECONOMIC", "DIGITAL", "IDENTITY"]}},
-     ("LOW", "Profile characteristic available before prediction.")),
+     ("LOW", "Who the respondent is; known before the outcome.")),
 ]
-LEAKAGE_DEFAULT = ("NONE", "Not a substantive predictor.")
+LEAKAGE_DEFAULT = ("NONE", "Carries nothing about the outcome.")
 ELIGIBILITY_RULES = [
-    ({"name_eq_col": "outcome"}, ("TARGET", "NOT_APPLICABLE", "Prediction target; never its own feature.")),
-    ({"name_eq_col": "parallel_outcome"}, ("EXCLUDE_PARALLEL_OUTCOME", "NO", "Parallel outcome.")),
-    ({"name_in": SETS["identifiers"]}, ("EXCLUDE_IDENTIFIER", "NO", "Identifier without predictive meaning.")),
-    ({"name_in": SETS["metadata"]}, ("EXCLUDE_METADATA", "NO", "Metadata or weight, not a predictor.")),
-    ({"col_ge": {"missing_pct": 100}}, ("EXCLUDE_ALL_MISSING", "NO", "No observed values.")),
-    ({"col_le": {"unique_count": 1}}, ("EXCLUDE_NO_VARIANCE", "NO", "Constant; cannot support prediction.")),
-    ({"name_in_by": {"col": "outcome", "sets": CORE}}, ("CANDIDATE_CORE", "YES", "Pre-outcome characteristic.")),
+    ({"name_eq_col": "outcome"}, ("TARGET", "NOT_APPLICABLE", "The target cannot be a feature.")),
+    ({"name_eq_col": "parallel_outcome"}, ("EXCLUDE_PARALLEL_OUTCOME", "NO", "See the leakage basis.")),
+    ({"name_in": SETS["identifiers"]}, ("EXCLUDE_IDENTIFIER", "NO", "Only names a row.")),
+    ({"name_in": SETS["metadata"]}, ("EXCLUDE_METADATA", "NO", "Describes the sample, not the respondent.")),
+    ({"col_ge": {"missing_pct": 100}}, ("EXCLUDE_ALL_MISSING", "NO", "The column is empty.")),
+    ({"col_le": {"unique_count": 1}}, ("EXCLUDE_NO_VARIANCE", "NO", "One value at most.")),
+    ({"name_in_by": {"col": "outcome", "sets": CORE}}, ("CANDIDATE_CORE", "YES", "Known before the outcome and asked of everyone.")),
     ({"name_in_by": {"col": "outcome", "sets": CONDITIONAL}},
-     ("CANDIDATE_CONDITIONAL", "CONDITIONAL", "Needs routing-aware handling.")),
+     ("CANDIDATE_CONDITIONAL", "CONDITIONAL", "Usable once skipped questions have their own state.")),
     ({"name_in_by": {"col": "outcome", "sets": OTHER_SCOPE}},
-     ("EXCLUDE_MODEL_SCOPE", "CONDITIONAL", "Reserved for the other model's blueprint.")),
-    ({"name_in": SETS["redundant"]}, ("EXCLUDE_REDUNDANT", "YES", "Nested in a complete indicator.")),
-    ({"col_ge": {"missing_pct": 50}}, ("EXCLUDE_HIGH_MISSING", "CONDITIONAL", "Insufficient coverage.")),
-    ({"name_in": SETS["post_digital"]}, ("EXCLUDE_POST_OUTCOME", "NO", "Post-outcome experience.")),
-    ({"name_in": SETS["non_capacity"]}, ("EXCLUDE_CONCEPTUAL", "CONDITIONAL", "Conceptual leakage.")),
-    ({"col_eq": {"risk": "DIRECT"}}, ("EXCLUDE_DIRECT_LEAKAGE", "NO", "Direct leakage.")),
+     ("EXCLUDE_MODEL_SCOPE", "CONDITIONAL", "Belongs to the other model.")),
+    ({"name_in": SETS["redundant"]}, ("EXCLUDE_REDUNDANT", "YES", "A complete indicator already holds it.")),
+    ({"col_ge": {"missing_pct": 50}}, ("EXCLUDE_HIGH_MISSING", "CONDITIONAL", "Half of the rows or more are blank.")),
+    ({"name_in": SETS["post_digital"]}, ("EXCLUDE_POST_OUTCOME", "NO", "See the leakage basis.")),
+    ({"name_in": SETS["non_capacity"]}, ("EXCLUDE_CONCEPTUAL", "CONDITIONAL", "See the leakage basis.")),
+    ({"col_eq": {"risk": "DIRECT"}}, ("EXCLUDE_DIRECT_LEAKAGE", "NO", "See the leakage basis.")),
     ({"any": [{"col_eq": {"category": "FINANCIAL"}}, {"col_eq": {"risk": "HIGH"}}]},
-     ("EXCLUDE_POST_OUTCOME", "NO", "Measured during or after the outcome.")),
+     ("EXCLUDE_POST_OUTCOME", "NO", "See the leakage basis.")),
 ]
-ELIGIBILITY_DEFAULT = ("EXCLUDE_NOT_ELIGIBLE", "CONDITIONAL", "Not selected for the initial blueprint.")
+#: Statuses whose reason is the basis of the leakage rating.
+BASIS_STATUSES = ("EXCLUDE_PARALLEL_OUTCOME", "EXCLUDE_POST_OUTCOME", "EXCLUDE_CONCEPTUAL", "EXCLUDE_DIRECT_LEAKAGE")
+ELIGIBILITY_DEFAULT = ("EXCLUDE_NOT_ELIGIBLE", "CONDITIONAL", "No rule selects it.")
 
 
 def catalogue(spark, d):
@@ -110,7 +112,7 @@ def ratings(spark, d):
     return out.select("position", "variable", "outcome", "category", "origin", "band", "missing_pct",
                       "unique_count", "risk", "basis", F.col("__el._0").alias("status"),
                       F.col("__el._1").alias("available"),
-                      F.when(F.col("__el._2").isin("Parallel outcome."), F.col("basis"))
+                      F.when(F.col("__el._0").isin(*BASIS_STATUSES), F.col("basis"))
                       .otherwise(F.col("__el._2")).alias("reason"))
 
 
@@ -157,7 +159,7 @@ def q_contract(spark, d):
 
 
 def q_sections(spark, d):
-    lines = C.split_lines(text_table(spark, d, "documents"), "doc_id", "text")
+    lines = C.split_lines(table(spark, d, "documents"), "doc_id", "text")
     words = F.size(F.split(F.trim(F.col("line")), " "))
     is_key = (F.trim(F.col("line")) != "") & (words <= 2)
     return C.carry_forward_sections(lines, "doc_id", is_key, F.trim(F.col("line")))
@@ -261,7 +263,7 @@ CAT_CTE = PROFILE_CTE + (
     f"rat as (select position, variable, outcome, category, origin, band, missing_pct, unique_count, risk, basis, "
     f"{rules_sql(ELIGIBILITY_RULES, ELIGIBILITY_DEFAULT, 0)} as status, "
     f"{rules_sql(ELIGIBILITY_RULES, ELIGIBILITY_DEFAULT, 1)} as available, "
-    f"case when {rules_sql(ELIGIBILITY_RULES, ELIGIBILITY_DEFAULT, 2)} = 'Parallel outcome.' then basis "
+    f"case when {rules_sql(ELIGIBILITY_RULES, ELIGIBILITY_DEFAULT, 0)} in ({', '.join(sql_str(x) for x in BASIS_STATUSES)}) then basis "
     f"else {rules_sql(ELIGIBILITY_RULES, ELIGIBILITY_DEFAULT, 2)} end as reason from rat1)")
 
 
@@ -325,8 +327,7 @@ _DTYPES = {"respondent_id": "bigint", "wgt": "double", "age": "int", "y_a": "int
 _ROLES = {"respondent_id": "key", "wgt": "weight", "y_a": "target", "y_b": "target"}
 SCHEMA_SQL = (
     "select m.position, m.\"column\", m.role, m.dtype, coalesce(a.null_count, 0) as null_count, a.distinct_count, "
-    "case when m.dtype = 'string' and a.distinct_count - (case when a.null_count > 0 then 1 else 0 end) <= 50 "
-    "then a.cats end as categories from "
+    "case when m.dtype = 'string' and m.role <> 'key' then a.cats end as categories from "
     + values_sql([(i + 1, c, _ROLES.get(c, "feature"), _DTYPES.get(c, "string")) for i, c in enumerate(_CLEAN_COLS)],
                  ["position", "column", "role", "dtype"])
     + " m left join (select c as \"column\", cast(sum(n) filter (where v is null) as bigint) as null_count, "
@@ -355,7 +356,7 @@ CONTRACT_SQL = (
     + " c on a.f = c.f where a.f is null or c.f is null")
 
 QUERIES = [
-    Query("text_normalise", "C1", lambda s, d: text_table(s, d, "documents").select(
+    Query("text_normalise", "C1", lambda s, d: table(s, d, "documents").select(
         "doc_id", C.normalise_text("text").alias("text")), TEXT_SQL, survey=False),
     Query("section_carry_forward", "C2", q_sections, SECTIONS_SQL, survey=False, ctes=LINES_CTE),
     Query("variable_classes", "C3,C4,C5", lambda s, d: catalogue(s, d).select(

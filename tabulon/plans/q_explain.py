@@ -104,64 +104,66 @@ def q_validate(spark, d):
                                                                         "e.type")
 
 
-def _valid_test_profiles(spark, d):
-    sp = _split(spark, d)
-    test_ids = sp.filter(F.col("side") == "test").select("respondent_id")
-    p = materialize(profiles(spark, d).join(test_ids, "respondent_id", "left_semi"))
+def _valid_profiles(spark, d, sp):
+    """Every valid profile, straight from the scan; models are fitted on the training side of ``sp``."""
+    p = profiles(spark, d)
     ok, _bad = L.split_valid(p, L.validation_errors(p, ALLOWED, routing_rules()))
-    return materialize(ok), explainers(spark, d, sp)
+    return ok, explainers(spark, d, sp)
+
+
+def _learned(sp):
+    """Model → feature → training categories. Both models see the same encoded training features."""
+    vocab = K.category_counts(sp.filter(F.col("side") == "train"), MODEL_FEATURES)
+    if vocab.count() > K.MAX_VOCABULARY:  # the learned categories are the model's encoded width
+        raise ValueError("training vocabulary exceeds the literal-set limit")
+    by_feature = {}
+    for r in vocab.collect():
+        by_feature.setdefault(r["feature"], []).append(r["category"])
+    return {m: by_feature for m in MODELS}
 
 
 def q_batch(spark, d):
-    ok, exs = _valid_test_profiles(spark, d)
+    ok, exs = _valid_profiles(spark, d, _split(spark, d))
     return L.dual_scoring(ok, exs, "respondent_id")
 
 
 def q_responses(spark, d):
-    ok, exs = _valid_test_profiles(spark, d)
+    sp = _split(spark, d)
+    ok, exs = _valid_profiles(spark, d, sp)
     scores = L.dual_scoring(ok, exs, "respondent_id")
     factors = None
     for name, ex in exs.items():
         f = K.top_factors(ok, ex, "respondent_id", 5, FEATURE_LABELS).withColumn("model", F.lit(name))
         factors = f if factors is None else factors.unionByName(f)
-    learned = {}
-    sp = _split(spark, d)
-    vocab = K.category_counts(sp.filter(F.col("side") == "train"), MODEL_FEATURES)
-    for r in vocab.collect():  # the model vocabulary (bounded, checked in build_explainer)
-        learned.setdefault(r["feature"], []).append(r["category"])
-    warn = L.unseen_warnings(ok, learned, "respondent_id", "model_a")
+    warn = L.unseen_warnings(ok, _learned(sp), "respondent_id")
     return L.response_records(scores, factors, warn, "respondent_id")
 
 
 def q_unseen(spark, d):
-    sp = _split(spark, d)
-    learned = {}
-    vocab = K.category_counts(sp.filter(F.col("side") == "train"), MODEL_FEATURES)
-    if vocab.count() > K.MAX_VOCABULARY:  # the learned categories are the model's encoded width
-        raise ValueError("training vocabulary exceeds the literal-set limit")
-    for r in vocab.collect():
-        learned.setdefault(r["feature"], []).append(r["category"])
-    p = profiles(spark, d).join(sp.filter(F.col("side") == "test").select("respondent_id"), "respondent_id",
-                                "left_semi")
-    return L.unseen_warnings(p, learned, "respondent_id", "model_a")
+    return L.unseen_warnings(profiles(spark, d), _learned(_split(spark, d)), "respondent_id")
 
 
-def q_stream(spark, d):
-    sp = _split(spark, d)
-    exs = explainers(spark, d, sp)
-    test_ids = sp.filter(F.col("side") == "test").select("respondent_id")
-    p = materialize(profiles(spark, d).join(test_ids, "respondent_id", "left_semi")
-                    .select("respondent_id", *ALLOWED, "internet_engagement_level", "phone_access_tier"))
+def _streamed(spark, d):
+    exs = explainers(spark, d)
+    p = profiles(spark, d).select("respondent_id", *ALLOWED, "internet_engagement_level", "phone_access_tier")
     root = shared_scratch(spark, f"stream/{uuid.uuid4().hex}")
-    p.repartition(4, "respondent_id").write.parquet(f"{root}/in")  # arriving request files
+    p.write.parquet(f"{root}/in")  # arriving request files
     schema = p.schema.simpleString()[len("struct<"):-1].replace(":", " ")
 
     def validate(df):
         return L.split_valid(df, L.validation_errors(df, ALLOWED, routing_rules()))
 
-    accepted, _rejected = run_stream(spark, f"{root}/in", schema, f"{root}/out", validate,
-                                     lambda ok: L.dual_scoring(ok, exs, "respondent_id"))
-    return spark.read.parquet(accepted).drop("epoch")
+    return run_stream(spark, f"{root}/in", schema, f"{root}/out", validate,
+                      lambda ok: L.dual_scoring(ok, exs, "respondent_id"))
+
+
+def q_stream(spark, d):
+    return spark.read.parquet(_streamed(spark, d)[0]).drop("epoch")
+
+
+def q_stream_rejected(spark, d):
+    rejected = spark.read.parquet(_streamed(spark, d)[1])
+    return rejected.select("respondent_id", F.explode("errors").alias("e")).select("respondent_id", "e.field", "e.message", "e.type")
 
 
 # ----------------------------------------------------------------- oracle text
@@ -235,8 +237,7 @@ VALIDATE_SQL = (" union all ".join(_allowed_sql(f, v) for f, v in ALLOWED.items(
                   f"skipped', 'value_error' from prof where con1 = 'No' and con9 <> {sql_str(fx.NOT_APPLICABLE)}")
 BATCH_CTE = KX_CTE + PROF_CTE[len(SPLIT_CTE):] + (
     ", bad as (select distinct respondent_id from (" + VALIDATE_SQL + ")), "
-    "okp as (select p.* from prof p join (select respondent_id from split where side = 'test') s using "
-    "(respondent_id) where respondent_id not in (select respondent_id from bad)), "
+    "okp as (select p.* from prof p where respondent_id not in (select respondent_id from bad)), "
     "okl as (select respondent_id, feature, category from okp unpivot (category for feature in ("
     + ", ".join(MODEL_FEATURES) + "))), "
     "okw as (select o.respondent_id, mo.model, coalesce(w.w, 0.0) as w from okl o join means mo on "
@@ -252,8 +253,8 @@ BATCH_SQL = (
 SCORE_DOUBLES = ("raw_score", "probability", "baseline_probability")
 
 UNSEEN_SQL = (
-    "select respondent_id, 'model_a' as model, feature, category as value from (select p.* from prof p join "
-    "(select respondent_id from split where side = 'test') s using (respondent_id)) unpivot (category for feature "
+    "select respondent_id, model, feature, category as value from (select p.*, m.model from prof p cross join "
+    f"(values {', '.join(f'({sql_str(m)})' for m in MODELS)}) m(model)) unpivot (category for feature "
     f"in ({', '.join(MODEL_FEATURES)})) t where not exists (select 1 from trn_long l where l.feature = t.feature "
     "and l.category = t.category)")
 
@@ -275,5 +276,6 @@ QUERIES = [
     Query("batch_scoring", "L3,L5,K10", q_batch, BATCH_SQL, SCORE_DOUBLES, ctes=BATCH_CTE),
     Query("unseen_warnings", "L4", q_unseen, UNSEEN_SQL, ctes=KX_CTE + PROF_CTE[len(SPLIT_CTE):]),
     Query("stream_scoring", "L6", q_stream, BATCH_SQL, SCORE_DOUBLES, ctes=BATCH_CTE),
+    Query("stream_rejected", "L6", q_stream_rejected, VALIDATE_SQL, ctes=PROF_CTE),
     Query("response_records", "L5", q_responses),
 ]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabulon.operators import profile as B
 from tabulon.plans.base import Query, values_sql
 from tabulon.sources import fixtures as fx
-from tabulon.sources.tables import table, text_table
+from tabulon.sources.tables import table
 
 RAW_COLS = [n for n, _ in fx.RAW_TEMPLATE]
 TARGET_COLS = ["y_a", "y_b", "y_missing"]
@@ -96,7 +96,8 @@ def _collist(cond: str) -> str:
 
 SMALL_CTE = (", small as (select position, \"column\", count(*) as k, "
              "list(value order by value) as vals, string_agg(value, '|' order by value) as obs "
-             "from vf where value <> '' group by position, \"column\" having count(*) <= 12)")
+             "from vf where value <> '' group by position, \"column\" having count(*) <= 12), "
+             "every as (select \"column\", string_agg(value, '|' order by value) as obs from vf where value <> '' group by \"column\")")
 
 TARGET_SQL = (
     f"select t.target, t.target in ({', '.join(repr(c) for c in RAW_COLS)}) as present, "
@@ -111,7 +112,7 @@ TARGET_SQL = (
     "cast(sum(case when value = '' then n else 0 end) as bigint) as missing_count, "
     "sum(case when value = '1' then n else 0 end) as pos, sum(case when value <> '' then n else 0 end) as nb "
     "from vf group by \"column\") a on a.\"column\" = t.target "
-    "left join small s on s.\"column\" = t.target")
+    "left join every s on s.\"column\" = t.target")
 
 SPECIAL_SQL = (
     "select \"column\", value as token, 'textual_candidate' as kind, n as count from vf where upper(value) in ("
@@ -137,13 +138,13 @@ RANGE_SQL = (
     "where v is not null group by \"column\"")
 
 CODESET_SQL = (
-    "select a.\"column\", 'observed indicator codes ' || coalesce(s.obs, '(more than 12)') as check, "
+    "select a.\"column\", 'observed indicator codes ' || coalesce(s.obs, '') as check, "
     "case when coalesce(s.obs in ('0|1', '1|2'), false) then cast(0 as bigint) else a.rows end as flagged_count, "
     "a.offending_count, case when coalesce(s.obs in ('0|1', '1|2'), false) then 'PASS' else 'REVIEW' end as status "
     "from (select \"column\", cast(sum(n) as bigint) as rows, "
     "cast(sum(case when value <> '' and value not in ('0', '1', '2') then n else 0 end) as bigint) as offending_count "
     f"from vf where \"column\" in ({', '.join(repr(c) for c in INDICATORS)}) group by \"column\") a "
-    "left join small s using (\"column\")")
+    "left join every s using (\"column\")")
 
 TYPE_SQL = ("select inferred_type, count(*) as column_count, cast(to_json(list(\"column\" order by position)) as varchar) as columns "
             "from prof group by inferred_type")
@@ -213,10 +214,10 @@ QUERIES = [
     Query("code_set_checks", "B12", lambda s, d: B.code_set_checks(_vf(s, d), INDICATORS), CODESET_SQL, (),
           ctes=VF_CTE + SMALL_CTE),
     Query("variable_roles", "B7", q_roles, ROLES_SQL, ("missing_pct",), ctes=PROFILE_CTE),
-    Query("duplicate_summary", "B5", lambda s, d: B.duplicate_summary(text_table(s, d, "documents"), DOC_CONTENT),
+    Query("duplicate_summary", "B5", lambda s, d: B.duplicate_summary(table(s, d, "documents"), DOC_CONTENT),
           _dup_sql("documents", DOC_CONTENT), survey=False),
-    Query("duplicate_events", "B5", lambda s, d: B.duplicate_summary(text_table(s, d, "events"), EVENT_CONTENT),
+    Query("duplicate_events", "B5", lambda s, d: B.duplicate_summary(table(s, d, "events"), EVENT_CONTENT),
           _dup_sql("events", EVENT_CONTENT), survey=False),
     Query("duplicate_ignoring_id", "B6",
-          lambda s, d: B.duplicate_ignoring_id(text_table(s, d, "documents"), "doc_id"), DUP_ID_SQL, survey=False),
+          lambda s, d: B.duplicate_ignoring_id(table(s, d, "documents"), "doc_id"), DUP_ID_SQL, survey=False),
 ]

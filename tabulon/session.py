@@ -44,8 +44,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster's ``spark.checkpoint.dir`` wins; only when nothing is set
-    (local tests) a scratch folder is created and registered.
+    The cluster's ``spark.checkpoint.dir`` wins. With a local master, as in tests,
+    a scratch folder is created where nothing is set; on a cluster that is an error,
+    since executors could not read a folder of the driver's machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tabulon-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -75,22 +78,6 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def spread(df, *keys):
-    """Give a CPU-heavy projection at least ``defaultParallelism`` tasks.
-
-    A small input file is one split, so everything up to the next shuffle would
-    run in ONE task. Only then is the input repartitioned (hash on ``keys`` when
-    given — the partitioning a following join on those keys needs anyway — else
-    round-robin). Large inputs already have many splits: no-op, no extra shuffle.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    n = 2 * target  # the input is small (fewer splits than cores): two tasks per core suffice
-    return df.repartition(n, *keys) if keys else df.repartition(n)
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make ``tabulon`` importable in executor Python workers (pandas UDFs, mapInPandas).
 

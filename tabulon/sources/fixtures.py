@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions.exprs import sql_case_map
-from tabulon.session import spread
 from tabulon.sources.tables import table
 
 # ---------------------------------------------------------------------------
@@ -104,8 +103,8 @@ def render(expr: str, dialect: str) -> str:
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"),
-                    "o_custkey")
+    # dealt out by the key that the join below needs anyway
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority").repartition("o_custkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal",
                                                        "c_mktsegment")
     # nation ⋈ region is bounded by the fixed set of nations: safe to broadcast

@@ -13,8 +13,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-
-def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows carry long texts (hashing, regex): spread over the cores when the file is one split."""
-    from tabulon.session import spread
-    return spread(table(spark, sf_dir, name))

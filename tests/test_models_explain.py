@@ -143,3 +143,70 @@ def test_stream_restart_processes_each_file_once(spark, tmp_path):
     spark.createDataFrame([(3, "ccc")], schema).coalesce(1).write.parquet(src + "/b2")
     run_stream(spark, src + "/*", schema, out, validate, score)  # only the new file
     assert sorted(r.id for r in spark.read.parquet(acc).collect()) == [1, 3]
+
+
+def test_stream_failure_between_sinks_is_exactly_once(spark, tmp_path):
+    """The accepted sink is written, then the rejected one fails: the retried batch replaces what it wrote."""
+    from tabulon.streaming.scoring import run_stream
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "id bigint, v string"
+    spark.createDataFrame([(i, "bad" if i % 3 == 0 else "a") for i in range(10)], schema).coalesce(1).write.parquet(src + "/b1")
+    broken = {"now": True}
+
+    def validate(df):
+        bad = df.filter(F.col("v") == "bad")
+        if broken["now"]:
+            bad = bad.withColumn("v", F.raise_error(F.lit("sink down")).cast("string"))
+        return df.filter(F.col("v") != "bad"), bad
+
+    def score(df):
+        return df.withColumn("s", F.length("v"))
+
+    with pytest.raises(Exception):
+        run_stream(spark, src + "/*", schema, out, validate, score)
+    assert spark.read.parquet(out + "/accepted").count() == 6
+    broken["now"] = False
+    acc, rej = run_stream(spark, src + "/*", schema, out, validate, score)
+    assert spark.read.parquet(acc).count() == 6 and spark.read.parquet(rej).count() == 4
+
+
+def test_one_se_picks_the_simplest_family(spark):
+    from tabulon.operators.models import one_se_selection
+    rows = [("baseline:0", "baseline", 1, 0.50, 0.0), ("logistic:1", "logistic", 2, 0.60, 0.02), ("logistic:2", "logistic", 1, 0.735, 0.02),
+            ("tree:1", "tree", 1, 0.70, 0.03), ("forest:1", "forest", 1, 0.745, 0.02), ("gbt:1", "gbt", 1, 0.75, 0.04)]
+    table = spark.createDataFrame([(c, f, r, m, s, 5) for c, f, r, m, s in rows],
+                                  "candidate_id string, family string, rank_in_family int, validation_roc_auc_mean double, "
+                                  "validation_roc_auc_std double, k_folds int")
+    out = {r.candidate_id: r for r in one_se_selection(table).collect()}
+    assert [c for c, r in out.items() if r.selected] == ["logistic:2"]
+    assert {c for c, r in out.items() if r.one_se_eligible} == {"logistic:2", "forest:1", "gbt:1"}
+
+
+def test_null_is_never_a_learned_category(spark):
+    from tabulon.operators.score import unseen_warnings
+    df = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "id int, f string")
+    got = unseen_warnings(df, {"a": {"f": ["x"]}, "b": {"f": ["x", "y"]}}, "id").collect()
+    assert sorted((r.id, r.model) for r in got) == [(2, "a"), (3, "a"), (3, "b")]
+
+
+def test_lists_are_whole(spark):
+    """Thirteen target values, fifty-one categories: nothing is left out."""
+    from tabulon.operators import profile as B
+    from tabulon.operators.clean import processed_schema
+    df = spark.createDataFrame([(str(i % 13), f"c{i:02d}") for i in range(51)], "t string, c string")
+    vf = B.value_frequency(df)
+    row = B.target_summary(vf, ["t"], df.columns).first()
+    assert row.observed_values.count("|") == 12 and row.distribution.count(":") == 13
+    assert B.code_set_checks(vf, ["t"]).first()["check"].count("|") == 12
+    assert {r.column: r.categories.count("|") for r in processed_schema(df).collect()} == {"t": 12, "c": 50}
+
+
+def test_heavy_profiles_are_dealt_without_a_row_shuffle(spark):
+    from tabulon.operators.splits import group_folds
+    df = spark.range(4000).select(F.when(F.col("id") % 4 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("key"),
+                                  (F.col("id") % 3 == 0).cast("int").alias("y"))
+    out = group_folds(df, "key", "y")
+    assert out.groupBy("key").agg(F.count_distinct("fold").alias("n")).filter("n > 1").isEmpty()
+    assert out.filter("fold is null or fold not between 0 and 4").isEmpty()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
