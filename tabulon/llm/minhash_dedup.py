@@ -1,14 +1,19 @@
 """Operator 4: near-duplicates by b-bit MinHash.
 
-Every document's set of distinct 5-word shingles gives 128 minima; two low bits of each
-mixed minimum are packed into four longs, and 32 bands of four whole minima give bucket
-keys. Documents with equal sets form a class, of which one goes on. In each bucket the
-members are paired with a few representatives, never with each other: similarity is
-first estimated from the packed signatures by bit counts, corrected for the chance that
-low bits agree by accident, and pairs that may reach the threshold are confirmed on
-full sets. Members that got into one component need no further pairs; representatives
-leave the bucket once they have met all its members, so rounds go on, at any size, until
-no bucket holds two components that haven't been compared.
+Every document's set of distinct 5-word shingles gives 256 minima. Two low bits of each
+mixed minimum are packed into eight longs, and 32 bands of four whole minima give bucket
+keys. Documents with equal sets form a class, of which one goes on. The similarity of a
+pair is first estimated from the packed signatures by bit counts, corrected for the
+chance that low bits agree by accident; pairs that may reach the threshold are confirmed
+on full sets.
+
+A bucket's members are never all paired. First everyone meets the bucket's smallest
+member, and the links found make components. A bucket that then still holds several
+components goes on with the members outside its largest one: blocks of them meet blocks
+of the others, and a pair is asked about once, in the first bucket it shares, if it lies
+in two components, if the estimate allows a link, and if the similarities of both to the
+bucket's smallest member do (one minus similarity is a metric). So every candidate pair
+that could still join two components is looked at, at any size of bucket.
 
 At similarity 0.75 a pair misses all bands with probability 5e-6 and falls below the
 estimate's margin with less than 1e-6.
@@ -30,10 +35,11 @@ from pyspark.sql import functions as F
 
 from tabulon.llm.common import batched, dropped, if_small, mix64, saved, texts, window_hashes, word_hashes
 
-SHINGLE, PERMUTATIONS, ROWS, BITS = 5, 128, 4, 2
+SHINGLE, PERMUTATIONS, BANDS, ROWS, BITS = 5, 256, 32, 4, 2
 SIMILARITY = (75, 100)
-MARGIN = 0.24  # over five standard deviations of the estimate at 0.75
-REPRESENTATIVES = 32  # a bucket's members met in each round after the first
+MARGIN = 0.165  # five standard deviations of the estimate at 0.75
+BLOCK = 1024  # members of a bucket that meet in one step
+LONGS = [f"s{i}" for i in range(PERMUTATIONS * BITS // 64)]
 
 
 def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
@@ -61,91 +67,184 @@ def minima(shingles: np.ndarray, perms: tuple[np.ndarray, np.ndarray]) -> np.nda
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, k1, k2`` (the set's 128-bit key), ``s0..s3`` (packed low bits), ``bands``."""
+    """``doc_id, n_shingles, k1, k2`` (the set's 128-bit key), ``s0..`` (packed low bits), ``bands``."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         perms = _permutations()
         lanes = (np.arange(PERMUTATIONS, dtype=np.uint64) % np.uint64(32)) * np.uint64(BITS)
-        band_seed = mix64(np.arange(1, PERMUTATIONS // ROWS + 1, dtype=np.uint64))
+        band_seed = mix64(np.arange(1, BANDS + 1, dtype=np.uint64))
         for f in batched(frames):
             out = []
             for doc_id, text in zip(f["doc_id"], f["text"], strict=True):
                 s = shingle_set(text)
                 if not len(s):
-                    out.append((doc_id, 0, 0, 0, 0, 0, 0, 0, []))
+                    out.append((doc_id, 0, 0, 0, *[0] * len(LONGS), []))
                     continue
                 low = minima(s, perms)
                 bits = ((low * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)).astype(np.uint64)
                 packed = np.bitwise_or.reduce((bits << lanes).reshape(-1, 32), axis=1).view(np.int64)
-                wide = low.astype(np.uint64).reshape(-1, ROWS)
+                wide = low[:BANDS * ROWS].astype(np.uint64).reshape(-1, ROWS)
                 key = band_seed.copy()
                 for i in range(ROWS):
                     key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + wide[:, i])
                 k1 = np.add.reduce(mix64(s)).astype(np.uint64).view(np.int64)
                 k2 = np.bitwise_xor.reduce(mix64(s + np.uint64(0x51ED270B))).view(np.int64)
                 out.append((doc_id, len(s), int(k1), int(k2), *packed.tolist(), key.view(np.int64).tolist()))
-            g = pd.DataFrame(out, columns=["doc_id", "n_shingles", "k1", "k2", "s0", "s1", "s2", "s3", "bands"])
+            g = pd.DataFrame(out, columns=["doc_id", "n_shingles", "k1", "k2", *LONGS, "bands"])
             yield g.assign(doc_id=g["doc_id"].astype("Int64"))
 
     return texts(docs).mapInPandas(
-        run, "doc_id long, n_shingles long, k1 long, k2 long, s0 long, s1 long, s2 long, s3 long, bands array<long>")
+        run, f"doc_id long, n_shingles long, k1 long, k2 long, {', '.join(f'{c} long' for c in LONGS)}, bands array<long>")
 
 
 def estimate(a: str, b: str) -> F.Column:
     """Collision-corrected similarity of two packed signatures, by bit counts."""
     even = F.lit(0x5555555555555555)
-    unlike = sum((F.bit_count((x := F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))).bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(even))
-                  for i in range(4)), F.lit(0))
+    unlike = sum((F.bit_count((x := F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))).bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(even))
+                  for c in LONGS), F.lit(0))
     chance = 1 / (1 << BITS)
     return ((1 - unlike / PERMUTATIONS) - chance) / (1 - chance)
 
 
 def confirmed(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Of ``(a, b)`` those whose full shingle sets reach the threshold."""
+    """``a, b, similarity, linked`` of the pairs, on full shingle sets."""
     num, den = SIMILARITY
     one, two = bodies.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), bodies.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, set_a = None, None  # rows of one representative come together
         for f in batched(frames, 500):
-            ok = []
+            got = []
             for text_a, text_b in zip(f["text_a"], f["text_b"], strict=True):
                 if text_a != last:
                     last, set_a = text_a, shingle_set(text_a)
                 set_b = shingle_set(text_b)
                 both = len(np.intersect1d(set_a, set_b, assume_unique=True))
-                ok.append(den * both >= num * (len(set_a) + len(set_b) - both))
-            yield f.loc[ok, ["a", "b"]]
+                union = len(set_a) + len(set_b) - both
+                got.append((both / union, den * both >= num * union))
+            yield f[["a", "b"]].assign(similarity=[x for x, _ in got], linked=[x for _, x in got])
+
+    return pairs.join(one, "b").join(two.hint("merge"), "a").select("a", "b", "text_a", "text_b").mapInPandas(
+        run, "a long, b long, similarity double, linked boolean")
+
+
+def _across(x: dict, y: dict) -> np.ndarray:
+    """Which of members ``x`` (rows) and ``y`` (columns) of one bucket still have to be confirmed."""
+    ok = x["component"][:, None] != y["component"][None]
+    lo, hi = np.minimum(x["n_shingles"][:, None], y["n_shingles"][None]), np.maximum(x["n_shingles"][:, None], y["n_shingles"][None])
+    ok &= SIMILARITY[1] * lo >= SIMILARITY[0] * hi
+    with np.errstate(invalid="ignore"):  # unknown similarities are NaN and rule nothing out
+        ok &= ~(np.abs(x["to_first"][:, None] - y["to_first"][None]) > 1 - SIMILARITY[0] / SIMILARITY[1] + 1e-9)
+    at = np.argwhere(ok)
+    if not len(at):
+        return at
+    i, j = at.T
+    differ = x["sig"][i] ^ y["sig"][j]
+    unlike = np.bitwise_count((differ | (differ >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1)
+    chance = 1 / (1 << BITS)
+    likely = ((1 - unlike / PERMUTATIONS) - chance) / (1 - chance) >= SIMILARITY[0] / SIMILARITY[1] - MARGIN
+    at = at[likely]
+    i, j = at.T
+    earlier = (x["bands"][i] == y["bands"][j]) & (np.arange(BANDS)[None] < x["at"][i][:, None])
+    return at[~earlier.any(axis=1)]
+
+
+def between_components(members: DataFrame, marks: DataFrame, first: DataFrame) -> DataFrame:
+    """``a, b``: pairs inside buckets that may still join two components.
+
+    ``members``: band, node, component of open buckets; ``first``: band, node,
+    similarity to the bucket's smallest member, where it was confirmed.
+    """
+    salts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = members.groupBy("band", "component").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    sizes = sizes.select("band", F.col("top.component").alias("largest"), blocks(F.col("n")).alias("mb"), blocks(F.col("n") - F.col("top.n")).alias("ob"))
+    rows = members.join(sizes, "band").join(first, ["band", "node"], "left").join(marks, "node")
+    rows = rows.withColumn("outside", F.col("component") != F.col("largest"))
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("ob") - 1)).alias("o"), place("mb").alias("m"), F.lit(False).alias("asks"))
+    asking = rows.where("outside").select("*", place("ob").alias("o"), F.explode(F.sequence(F.lit(0), F.col("mb") - 1)).alias("m"), F.lit(True).alias("asks"))
+    both = every.unionByName(asking).select("band", "o", "m", "asks", "node", "component", "outside", "similarity", "n_shingles", "bands", *LONGS)
+    both = both.repartition(salts, "band", "o", "m").sortWithinPartitions("band", "o", "m")
+
+    def columns(f: pd.DataFrame) -> dict:
+        bands = np.stack(f["bands"].to_numpy())
+        return {"component": f["component"].to_numpy(), "n_shingles": f["n_shingles"].to_numpy(), "to_first": f["similarity"].to_numpy(dtype=float),
+                "sig": f[LONGS].to_numpy().view(np.uint64), "bands": bands, "at": (bands == f["band"].to_numpy()[:, None]).argmax(axis=1),
+                "node": f["node"].to_numpy(), "outside": f["outside"].to_numpy()}
+
+    def pairs(f: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+        out = []
+        cut = np.flatnonzero((f[["band", "o", "m"]].to_numpy()[1:] != f[["band", "o", "m"]].to_numpy()[:-1]).any(axis=1)) + 1
+        asks, every_row = f["asks"].to_numpy(), columns(f)
+        for rows_of in np.split(np.arange(len(f)), cut):
+            ask, rest = rows_of[asks[rows_of]], rows_of[~asks[rows_of]]
+            for i in range(0, len(ask), 256):
+                x, y = ({k: v[r] for k, v in every_row.items()} for r in (ask[i:i + 256], rest))
+                at = _across(x, y)
+                p, q = x["node"][at[:, 0]], y["node"][at[:, 1]]
+                once = ~y["outside"][at[:, 1]] | (p < q)  # two outsiders meet twice
+                out.append((np.minimum(p, q)[once], np.maximum(p, q)[once]))
+        return out
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None  # the last bucket block may go on in the next frame
+        for f in frames:
+            f = pd.concat([kept, f], ignore_index=True) if kept is not None else f
+            if not len(f):
+                continue
+            key = f[["band", "o", "m"]].to_numpy()
+            done = int(np.flatnonzero((key != key[-1]).any(axis=1)).max(initial=-1)) + 1
+            kept = f.iloc[done:]
+            for a, b in pairs(f.iloc[:done].reset_index(drop=True)) if done else ():
+                if len(a):
+                    yield pd.DataFrame({"a": a, "b": b})
+        if kept is not None and len(kept):
+            for a, b in pairs(kept.reset_index(drop=True)):
+                if len(a):
+                    yield pd.DataFrame({"a": a, "b": b})
 
-    return pairs.join(one, "b").join(two.hint("merge"), "a").select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
+    return both.mapInPandas(run, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` (its smallest node) of every node of the links ``(a, b)``, by alternating stars.
 
     Every node hangs its larger neighbours, then its smaller ones, to the smallest of
-    them, until nothing changes; grouping is by minima only, so a node with any number
-    of links is pre-aggregated.
+    them, until every node hangs at one that hangs nowhere; grouping is by minima only,
+    so a node with any number of links is pre-aggregated.
     """
     spark = links.sparkSession
     edges, path = saved(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
     while True:
+        ups = edges.groupBy("a").agg(F.count("*").alias("n"))
+        roots = edges.select(F.col("b").alias("a")).distinct()
+        if ups.join(roots.withColumn("root", F.lit(True)), "a", "left").where("n > 1 or root").isEmpty():
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+                edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.unionByName(edges.groupBy("a").agg(F.min("b").alias("b"))).where("a <> b").distinct()
+        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a")
         small = small.select("a", F.col("m").alias("b")).unionByName(
             small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
-        after, new = saved(small, "links")
+        edges, new = saved(small, "links")
         dropped(spark, path)
-        edges, path = after, new
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if state == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = state
+        path = new
+
+
+def merged(comps: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after more links: the new links join components, not documents."""
+    if comps is None:
+        return saved(components(links), "components")[0]
+    of = lambda c: comps.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b").distinct()
+    moved = components(between)
+    old = comps.join(moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+    return saved(old.select("node", F.coalesce("to", "component").alias("component")).unionByName(
+        moved.join(comps, "node", "left_anti")), "components")[0]
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -160,29 +259,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members, path = saved(rows.join(shared, "band"), "members")
     active = members.select(F.col("node").alias("doc_id")).distinct()
     bodies, _ = saved(texts(docs).join(active, "doc_id", "left_semi"), "bodies")
-    marks, _ = saved(nodes.select("node", "n_shingles", "s0", "s1", "s2", "s3").join(active, nodes["node"] == active["doc_id"], "left_semi"), "marks")
-    members = members.withColumn("component", F.col("node"))
-    links, comps, leaders = None, None, 1
-    while True:
-        first = Window.partitionBy("band").orderBy("node")
-        reps = members.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= leaders)
-        pairs = (members.alias("m").join(reps.alias("r"), "band")
-                 .where("m.node <> r.node and m.component <> r.component")
-                 .select(F.least("m.node", "r.node").alias("a"), F.greatest("m.node", "r.node").alias("b")).distinct())
-        likely = (pairs.join(marks.alias("x"), F.col("a") == F.col("x.node")).join(marks.alias("y"), F.col("b") == F.col("y.node"))
-                  .where((SIMILARITY[1] * F.least("x.n_shingles", "y.n_shingles") >= SIMILARITY[0] * F.greatest("x.n_shingles", "y.n_shingles"))
-                         & (estimate("x", "y") >= SIMILARITY[0] / SIMILARITY[1] - MARGIN)).select("a", "b").distinct())
-        found, _ = saved(confirmed(likely, bodies), "links")
-        links = found if links is None else links.unionByName(found)
-        comps = components(links)
-        rest = members.drop("component").join(reps.select("band", "node"), ["band", "node"], "left_anti")
-        rest = rest.join(comps, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-        open_bands = rest.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band")
-        members, new = saved(rest.join(open_bands, "band", "left_semi"), "members")
-        dropped(spark, path)
-        path, leaders = new, REPRESENTATIVES
-        if members.isEmpty():
-            break
+    marks, _ = saved(nodes.select("node", "n_shingles", *LONGS, "bands").join(active, nodes["node"] == active["doc_id"], "left_semi"), "marks")
+    # everyone meets the bucket's smallest member
+    least, least_path = saved(members.groupBy("band").agg(F.min("node").alias("least")), "least")
+    pairs = members.join(least, "band").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    likely = (pairs.join(marks.alias("x"), F.col("a") == F.col("x.node")).join(marks.alias("y"), F.col("b") == F.col("y.node"))
+              .where((SIMILARITY[1] * F.least("x.n_shingles", "y.n_shingles") >= SIMILARITY[0] * F.greatest("x.n_shingles", "y.n_shingles"))
+                     & (estimate("x", "y") >= SIMILARITY[0] / SIMILARITY[1] - MARGIN)).select("a", "b").distinct())
+    met, _ = saved(confirmed(likely, bodies), "met")
+    comps = merged(None, met.where("linked"))
+    # what is left joins components
+    rest = members.join(least, "band").where("node <> least").join(comps, "node", "left").select(
+        "band", "least", "node", F.coalesce("component", "node").alias("component"))
+    open_bands = rest.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band")
+    rest, rest_path = saved(rest.join(open_bands, "band", "left_semi"), "rest")
+    first = rest.join(met, (F.col("least") == F.col("a")) & (F.col("node") == F.col("b"))).select("band", "node", "similarity")
+    more, _ = saved(confirmed(between_components(rest.drop("least"), marks, first), bodies).where("linked"), "links")
+    comps = merged(comps, more)
+    dropped(spark, path, least_path, rest_path)
     out = sketches.select("doc_id", "n_shingles", "k1", "k2").join(classes, ["k1", "k2"], "left").join(comps, "node", "left")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     out = out.withColumn("component_id", F.when(linked, F.coalesce("component", "node")).otherwise(F.col("doc_id")))
