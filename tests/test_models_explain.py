@@ -210,3 +210,18 @@ def test_heavy_profiles_are_dealt_without_a_row_shuffle(spark):
     assert out.filter("fold is null or fold not between 0 and 4").isEmpty()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_csv_records_are_faithful(spark, tmp_path):
+    """Quoted line ends and separators, ragged records, a data record equal to the header, blank and repeated names."""
+    from tabulon.sources.csv_raw import csv_structure, header_issues, read_raw_csv
+    p = tmp_path / "odd.csv"
+    p.write_text('a,b,a,\n1,"x, y\nz ""q""",3,4\na,b,a,\n5,6\n7,8,9,10,"11, 12",13\n,,,\n', encoding="utf-8")
+    df = read_raw_csv(spark, str(p), extra_col="extra")
+    assert df.columns == ["a_1", "b", "a_3", "column_4", "extra"]
+    assert [tuple(r) for r in df.collect()] == [
+        ("1", 'x, y\nz "q"', "3", "4", []), ("a", "b", "a", "", []), ("5", "6", "", "", []), ("7", "8", "9", "10", ["11, 12", "13"]), ("", "", "", "", [])]
+    assert {r["width"]: r["rows"] for r in csv_structure(spark, str(p)).collect()} == {4: 3, 2: 1, 6: 1}
+    assert [tuple(r) for r in header_issues(spark, str(p)).collect()] == [(4, "", "blank"), (3, "a", "duplicate")]
+    with pytest.raises(Exception, match="longer than the header"):
+        read_raw_csv(spark, str(p)).collect()
