@@ -112,8 +112,9 @@ def csv_structure(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     n = len(raw_header(spark, path, sep=sep))
     rows = _records(spark, path, "UTF-8", sep, n)
     width = F.when(F.col(RECORD).isNull(), F.lit(n)).otherwise(F.size(record_values(F.col(RECORD), sep)))
-    # the reader parses whole records only if a data column is asked for beside the raw text
-    return rows.select(width.alias("width"), F.col("_0")).groupBy("width").agg(F.count(F.lit(1)).alias("rows"), F.max("_0").alias("__v")).drop("__v")
+    # the raw text can only be asked for beside a data column
+    parts = rows.groupBy(width.alias("width"), F.col("_0").isNull().alias("blank")).agg(F.count(F.lit(1)).alias("n"))
+    return parts.groupBy("width").agg(F.sum("n").alias("rows"))
 
 
 def header_issues(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
