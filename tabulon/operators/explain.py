@@ -85,10 +85,6 @@ def build_explainer(weights: DataFrame, background_counts: DataFrame, features:
     return LinearExplainer(tuple(features), w, means, float(bias))
 
 
-def attributions_wide(df: DataFrame, ex: LinearExplainer, prefix: str = "phi_") -> DataFrame:
-    return df.withColumns({f"{prefix}{f}": ex.phi(f) for f in ex.features})
-
-
 def linear_attribution(df: DataFrame, ex: LinearExplainer, id_col: str) -> DataFrame:
     """K2 + K4: (id, feature, category, phi) — one row per source feature (the source-level sum)."""
     parts = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("category"), ex.phi(f).alias("phi"))

@@ -37,14 +37,6 @@ def unresolved_states(df: DataFrame, state_col: str, sources: Sequence[str]) ->
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def assemble(df: DataFrame, target: str, derived: Mapping[str, Column],
-             keep: Sequence[str], key: str | None = None) -> DataFrame:
-    """One projection — key, target passed through, kept sources, derived features."""
-    cols = ([F.col(key)] if key else []) + [F.col(target)] + [F.col(k) for k in keep] \
-        + [expr.alias(name) for name, expr in derived.items()]
-    return df.select(*cols)
-
-
 def distribution(df: DataFrame, features: Sequence[str], group: str | None = None) -> DataFrame:
     """Count and proportion of every category per feature (one unpivot + one aggregate)."""
     ids = [group] if group else []
@@ -55,11 +47,6 @@ def distribution(df: DataFrame, features: Sequence[str], group: str | None = Non
     return counts.withColumn("proportion", F.col("n") / F.sum("n").over(w))
 
 
-def routed_state(rules: Sequence[tuple[Column, object]], sources: Sequence[str], strict: bool = True) -> Column:
-    """G2–G4 rule chain (first match wins); NULL = unresolved (checked by :func:`derive_states`)."""
-    return first_match(rules)
-
-
 def derive_states(df: DataFrame, states: Mapping[str, tuple[Sequence[tuple[Column, object]], Sequence[str]]],
                   strict: bool = True) -> DataFrame:
     """Add routed states (name → (rules, source columns)); with ``strict`` an unresolved

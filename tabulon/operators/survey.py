@@ -49,14 +49,6 @@ def assert_valid_weights(df: DataFrame, weight: str) -> DataFrame:
                          .otherwise(w))
 
 
-def weighted_rate(df: DataFrame, outcome: str, weight: str, scale: int | None = None) -> DataFrame:
-    """Σ(y·w)/Σw as a one-row frame; Σw ≤ 0 raises."""
-    sw = wsum(weight, scale)
-    syw = wsum(F.col(outcome) * F.col(weight), scale)
-    return df.agg(F.when(sw <= 0, F.raise_error(F.lit("weights must sum to a positive value")))
-                  .otherwise(syw / sw).alias("weighted_rate"))
-
-
 def _targets_long(agg: DataFrame, keys: Sequence[str], targets: Mapping[str, str]) -> DataFrame:
     """Per-target aggregate columns → one row per target (stack after the aggregate, tiny)."""
     parts = [F.struct(F.lit(t).alias("target"), F.lit(label).alias("outcome"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import functions as F
@@ -166,6 +167,53 @@ def q_stream_rejected(spark, d):
     return rejected.select("respondent_id", F.explode("errors").alias("e")).select("respondent_id", "e.field", "e.message", "e.type")
 
 
+# ---------------------------------------------------------------- fitted models
+FITTED = {"model_a": ("y_a", 1.0), "model_b": ("y_b", 0.2)}  # outcome and inverse regularisation
+
+
+def fitted_models(spark, d, sp):
+    """Model → (fitted pipeline, its explainer): one logistic model per outcome, trained on the training side."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from tabulon.operators import clean as D
+    outcomes = fx.clean_survey(spark, d).select("respondent_id", *fx.TARGETS)
+    train = materialize(sp.filter(F.col("side") == "train").select("respondent_id", *MODEL_FEATURES).join(outcomes, "respondent_id"))
+    n = train.count()
+    out = {}
+    for name, (target, c) in FITTED.items():
+        fit = Pipeline(stages=D.prep_template([], MODEL_FEATURES).getStages() + [LogisticRegression(
+            regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=200)])
+        model = fit.fit(train.withColumn("label", F.col(target).cast("double")))
+        indexer = next(s for s in model.stages if s.__class__.__name__ == "StringIndexerModel")
+        out[name] = (model, K.explainer_from_logistic(model.stages[-1], indexer, MODEL_FEATURES, train))
+    return out
+
+
+def _fitted_scores(spark, d):
+    """Every valid profile through both fitted pipelines, beside the score that its attributions add up to."""
+    from functools import reduce
+    from pyspark.ml.functions import vector_to_array
+    sp = _split(spark, d)
+    p = profiles(spark, d)
+    ok, _bad = L.split_valid(p, L.validation_errors(p, ALLOWED, routing_rules()))
+    parts = []
+    for name, (model, ex) in fitted_models(spark, d, sp).items():
+        total = F.lit(float(ex.base))
+        for f in ex.features:
+            total = total + ex.phi(f)
+        parts.append(model.transform(ok.select("respondent_id", *MODEL_FEATURES)).select(
+            "respondent_id", F.lit(name).alias("model"), vector_to_array("rawPrediction")[1].alias("raw_score"),
+            vector_to_array("probability")[1].alias("probability"), F.col("prediction").cast("int").alias("prediction"),
+            total.alias("explained_score"), F.lit(1.0 / (1.0 + math.exp(-ex.base))).alias("baseline_probability")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def q_fitted_additivity(spark, d):
+    """K9 against the fitted model itself: its raw prediction and base + Σφ."""
+    s = _fitted_scores(spark, d)
+    return s.groupBy("model").agg(F.count(F.lit(1)).alias("rows"), (F.max(F.abs(F.col("raw_score") - F.col("explained_score"))) <= 1e-8).alias("passed"))
+
+
 # ----------------------------------------------------------------- oracle text
 def h8d(e: str) -> str:
     return f"cast(('0x' || substr(md5({e}), 1, 8)) as bigint)"
@@ -276,6 +324,11 @@ QUERIES = [
     Query("batch_scoring", "L3,L5,K10", q_batch, BATCH_SQL, SCORE_DOUBLES, ctes=BATCH_CTE),
     Query("unseen_warnings", "L4", q_unseen, UNSEEN_SQL, ctes=KX_CTE + PROF_CTE[len(SPLIT_CTE):]),
     Query("stream_scoring", "L6", q_stream, BATCH_SQL, SCORE_DOUBLES, ctes=BATCH_CTE),
+    Query("fitted_scoring", "L3,K2", _fitted_scores),
+    Query("fitted_additivity", "K9", q_fitted_additivity,
+          f"select m.model, count(*) as rows, true as passed from (values {', '.join(f'({sql_str(m)})' for m in FITTED)}) m(model) "
+          "cross join prof where respondent_id not in (select respondent_id from (" + VALIDATE_SQL + ")) group by m.model",
+          ctes=PROF_CTE),
     Query("stream_rejected", "L6", q_stream_rejected, VALIDATE_SQL, ctes=PROF_CTE),
     Query("response_records", "L5", q_responses),
 ]
