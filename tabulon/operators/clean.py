@@ -114,11 +114,14 @@ def code_map(documented: DataFrame, fallback: DataFrame) -> DataFrame:
     return keep.unionByName(fb)
 
 
-def missing_code_maps(required: Sequence[str], cmap: DataFrame) -> DataFrame:
-    """D2 gate as data: required variables with no mapping at all (strict callers raise if any)."""
+def require_code_maps(required: Sequence[str], cmap: DataFrame) -> DataFrame:
+    """D2 gate: the map itself; raises if a required variable has no mapping at all."""
     spark = cmap.sparkSession
     req = spark.createDataFrame([(v,) for v in required], "variable string")
-    return req.join(cmap.select("variable").distinct(), "variable", "left_anti")
+    missing = [r["variable"] for r in req.join(cmap.select("variable").distinct(), "variable", "left_anti").collect()]
+    if missing:  # at most as many as required names
+        raise ValueError(f"no code map for {sorted(missing)}")
+    return cmap
 
 
 def mapping_report(cmap: DataFrame, vf: DataFrame) -> DataFrame:
@@ -168,8 +171,8 @@ def semantic_states(vf: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 def prep_template(numeric: Sequence[str], categorical: Sequence[str], scale_numeric: bool = True,
                   output: str = "features"):
-    """Unfitted pyspark.ml Pipeline — median impute + standard scale numerics, mode impute +
-    one-hot categoricals (unknown category at transform → all-zero block)."""
+    """Unfitted pyspark.ml Pipeline — median impute + standard scale numerics, one-hot
+    categoricals (NULL or unknown category at transform → all-zero block; NULLs are not imputed)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 

@@ -67,19 +67,16 @@ def route_columns(df: DataFrame, cols: Sequence[str] | None = None, near_unique_
 
 def scalar_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Scalar path of the B0 guard: counts, exact distinct count, numeric min/max per near-unique column,
-    without building (column, value) groups for top values or value sets."""
-    parts = []
+    in one scan, without building (column, value) groups for top values or value sets."""
+    aggs, parts = [F.count(F.lit(1)).cast("bigint").alias("__rows")], []
     for i, c in enumerate(cols):
         v = F.coalesce(trim_ws(F.col(f"`{c}`").cast("string")), F.lit(""))
         num = F.when(v.rlike(DECIMAL_RE), v.try_cast("double"))
-        parts.append(df.agg(F.lit(c).alias("column"), F.count(F.lit(1)).cast("bigint").alias("rows"),
-                            F.count_if(v != "").cast("bigint").alias("non_missing_count"),
-                            F.count_distinct(F.when(v != "", v)).cast("bigint").alias("unique_count"),
-                            F.min(num).alias("min"), F.max(num).alias("max")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        aggs += [F.count_if(v != "").cast("bigint").alias(f"__m{i}"), F.count_distinct(F.when(v != "", v)).cast("bigint").alias(f"__u{i}"),
+                 F.min(num).alias(f"__lo{i}"), F.max(num).alias(f"__hi{i}")]
+        parts.append(F.struct(F.lit(c).alias("column"), F.col("__rows").alias("rows"), F.col(f"__m{i}").alias("non_missing_count"),
+                              F.col(f"__u{i}").alias("unique_count"), F.col(f"__lo{i}").alias("min"), F.col(f"__hi{i}").alias("max")))
+    return df.agg(*aggs).select(F.explode(F.array(*parts)).alias("p")).select("p.*")
 
 
 def _numeric(value: Column) -> Column:

@@ -20,13 +20,13 @@ NON_SUBSTANTIVE = ("Nonresponse", "Missing or nonresponse")
 def wsum(c: str | Column, scale: int | None = None) -> Column:
     """Σ of a weight expression.
 
-    With ``scale`` (number of decimals the weights carry) the sum is done on
-    integers, exact and independent of partitioning/summation order.
+    With ``scale`` (number of decimals the weights carry) the sum is a decimal one:
+    exact, wide enough for any table and independent of partitioning/summation order.
     """
     v = col_(c)
     if scale is None:
         return F.sum(v.cast("double"))
-    return F.sum(F.round(v * (10 ** scale)).cast("bigint")).cast("double") / F.lit(float(10 ** scale))
+    return F.sum(v.cast(f"decimal({18 + scale},{scale})")).cast("double")
 
 
 def weight_stats(df: DataFrame, weight: str, scale: int | None = None) -> DataFrame:

@@ -127,7 +127,7 @@ def documented_codes(spark, d):
                                                           F.coalesce(F.col("__zero"), F.lit(False)))))
     fb = spark.createDataFrame([(v, k, lab) for v, m in FALLBACK.items() for k, lab in m.items()],
                                "variable string, raw_value string, cleaned_label string")
-    return D.code_map(D.documented_code_map(repaired), fb)
+    return D.require_code_maps([*DOCUMENTED, *FALLBACK], D.code_map(D.documented_code_map(repaired), fb))
 
 
 def q_dictionary(spark, d):

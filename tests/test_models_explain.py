@@ -225,3 +225,23 @@ def test_csv_records_are_faithful(spark, tmp_path):
     assert [tuple(r) for r in header_issues(spark, str(p)).collect()] == [(4, "", "blank"), (3, "a", "duplicate")]
     with pytest.raises(Exception, match="longer than the header"):
         read_raw_csv(spark, str(p)).collect()
+
+
+def test_strict_contracts(spark):
+    """A changed pin, a repeated key and a variable without a code map are refused or reported."""
+    from tabulon.operators.clean import require_code_maps
+    from tabulon.operators.contracts import assert_unique
+    from tabulon.operators.profile import scalar_profile
+    from tabulon.sources.fingerprint import assert_pinned, table_fingerprint
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "")], "id int, v string")
+    pin = table_fingerprint(df).first().fingerprint
+    assert assert_pinned(table_fingerprint(df.repartition(3)), pin).count() == 1
+    with pytest.raises(Exception, match="fingerprint changed"):
+        assert_pinned(table_fingerprint(df.limit(2)), pin).collect()
+    assert [tuple(r) for r in assert_unique(df, ["id"]).collect()] == [(2, 2)]
+    cmap = spark.createDataFrame([("x", "1")], "variable string, raw_value string")
+    assert require_code_maps(["x"], cmap) is cmap
+    with pytest.raises(ValueError, match="y"):
+        require_code_maps(["x", "y"], cmap)
+    assert {r.column: (r.rows, r.non_missing_count, r.unique_count, r.min) for r in scalar_profile(df, ["id", "v"]).collect()} == {
+        "id": (4, 3, 2, 1.0), "v": (4, 3, 3, None)}
