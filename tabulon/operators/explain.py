@@ -139,12 +139,9 @@ def sigmoid(x: Column) -> Column:
     return 1.0 / (1.0 + F.exp(-x))
 
 
-def score_struct(ex: LinearExplainer, threshold: float, model: str) -> Column:
-    """(model, raw score, probability, decision, statement, baseline) of one row as a struct."""
-    p = sigmoid(ex.raw())
-    return F.struct(F.lit(model).alias("model"), ex.raw().alias("raw_score"), p.alias("probability"),
-                    (p >= threshold).cast("int").alias("prediction"),
-                    F.when(p >= threshold, "More likely than not").otherwise("Less likely than not").alias("statement"),
+def score_struct(ex: LinearExplainer, model: str) -> Column:
+    """(model, raw score, baseline) of one row as a struct."""
+    return F.struct(F.lit(model).alias("model"), ex.raw().alias("raw_score"),
                     (F.lit(1.0) / (1.0 + F.exp(F.lit(-ex.base)))).alias("baseline_probability"))
 
 

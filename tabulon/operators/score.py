@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.exprs import trim_ws
-from tabulon.operators.explain import LinearExplainer, score_struct
+from tabulon.operators.explain import LinearExplainer, score_struct, sigmoid
 
 
 def _err(cond: Column, field: str, message: str, kind: str) -> Column:
@@ -55,8 +55,11 @@ def unseen_warnings(df: DataFrame, learned: Mapping[str, Mapping[str, Sequence[s
 def dual_scoring(df: DataFrame, models: Mapping[str, LinearExplainer], id_col: str,
                  threshold: float = 0.5) -> DataFrame:
     """Every valid profile through every model in one pass; one row per (profile, model)."""
-    rows = F.array(*[score_struct(ex, threshold, model) for model, ex in models.items()])
-    return df.select(F.col(id_col), F.explode(rows).alias("s")).select(id_col, "s.*")
+    rows = F.array(*[score_struct(ex, model) for model, ex in models.items()])
+    long = df.select(F.col(id_col), F.explode(rows).alias("s")).select(id_col, "s.*").withColumn("probability", sigmoid(F.col("raw_score")))
+    yes = F.col("probability") >= threshold
+    return long.select(id_col, "model", "raw_score", "probability", yes.cast("int").alias("prediction"),
+                       F.when(yes, "More likely than not").otherwise("Less likely than not").alias("statement"), "baseline_probability")
 
 
 DISCLAIMER = "Descriptive model estimate; not a decision about any individual."

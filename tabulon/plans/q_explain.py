@@ -106,8 +106,12 @@ def q_validate(spark, d):
 
 
 def _valid_profiles(spark, d, sp):
-    """Every valid profile, straight from the scan; models are fitted on the training side of ``sp``."""
-    p = profiles(spark, d)
+    """Every valid profile; models are fitted on the training side of ``sp``.
+
+    The requests are a written table: the checks would otherwise repeat the nested
+    derivations of every field they look at.
+    """
+    p = materialize(profiles(spark, d))
     ok, _bad = L.split_valid(p, L.validation_errors(p, ALLOWED, routing_rules()))
     return ok, explainers(spark, d, sp)
 
@@ -194,7 +198,7 @@ def _fitted_scores(spark, d):
     from functools import reduce
     from pyspark.ml.functions import vector_to_array
     sp = _split(spark, d)
-    p = profiles(spark, d)
+    p = materialize(profiles(spark, d))
     ok, _bad = L.split_valid(p, L.validation_errors(p, ALLOWED, routing_rules()))
     parts = []
     for name, (model, ex) in fitted_models(spark, d, sp).items():
