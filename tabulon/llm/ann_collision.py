@@ -26,10 +26,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PROJECTIONS, THRESHOLD = 48, 0.65  # the threshold is a share of the projections
+PROJECTIONS, THRESHOLD = 32, 0.7  # the threshold is a share of the projections
 SHARD, BLOCK = 4096, 1024
-VERIFY = 0.35
-WIDTH, GROWTH = 0.08, 1.35
+VERIFY = 0.45
+WIDTH, GROWTH = 0.7, 1.15
 
 
 def usable(rows: DataFrame, vec: str = "embedding") -> F.Column:
@@ -53,23 +53,33 @@ class Shard:
         self.values = np.take_along_axis(p, self.order.T, axis=0).T.copy()
         self.n = len(x)
 
-    def candidates(self, q: np.ndarray, least: int) -> np.ndarray:
-        """Rows whose collision count reached the threshold when at least ``least`` rows had."""
-        at = (np.append(q / math.sqrt(q @ q), 0.0) @ projections(len(q)))
-        counts = np.zeros(self.n, dtype=np.int64)
-        lo = np.array([v.searchsorted(a) for v, a in zip(self.values, at, strict=True)])
-        hi, need, half = lo.copy(), math.ceil(THRESHOLD * PROJECTIONS), WIDTH
-        while True:
-            fresh = []
-            for i, (v, a) in enumerate(zip(self.values, at, strict=True)):
-                low, high = v.searchsorted(a - half), v.searchsorted(a + half, side="right")
-                fresh += [self.order[i, low:lo[i]], self.order[i, hi[i]:high]]
-                lo[i], hi[i] = min(low, lo[i]), max(high, hi[i])
-            counts += np.bincount(np.concatenate(fresh), minlength=self.n)
-            found = np.flatnonzero(counts >= need)
-            if len(found) >= min(least, self.n):
-                return found
-            half *= GROWTH
+    def candidates(self, queries: np.ndarray, least: int):
+        """For every query its number and the rows whose collision count reached the threshold when at least ``least`` rows had.
+
+        The window bounds of all queries are looked up together; each query counts
+        only the rows by which its windows have grown.
+        """
+        unit = queries / np.sqrt((queries * queries).sum(axis=1, keepdims=True))
+        at = np.hstack([unit, np.zeros((len(unit), 1))]) @ projections(queries.shape[1])
+        need, half, live = math.ceil(THRESHOLD * PROJECTIONS), WIDTH, np.arange(len(queries))
+        lo = np.stack([v.searchsorted(at[:, i]) for i, v in enumerate(self.values)], axis=1)
+        hi, counts = lo.copy(), np.zeros((len(queries), self.n), dtype=np.uint8)
+        while len(live):
+            low = np.stack([v.searchsorted(at[live, i] - half) for i, v in enumerate(self.values)], axis=1)
+            high = np.stack([v.searchsorted(at[live, i] + half, side="right") for i, v in enumerate(self.values)], axis=1)
+            more = []
+            for k, q in enumerate(live.tolist()):
+                left = zip(self.order, low[k].tolist(), lo[q].tolist(), strict=True)
+                right = zip(self.order, hi[q].tolist(), high[k].tolist(), strict=True)
+                fresh = [o[a:b] for o, a, b in left] + [o[a:b] for o, a, b in right]
+                counts[q] += np.bincount(np.concatenate(fresh), minlength=self.n).astype(np.uint8)
+                found = np.flatnonzero(counts[q] >= need)
+                if len(found) >= min(least, self.n):
+                    yield q, found
+                else:
+                    more.append(k)
+            lo[live], hi[live] = low, high
+            live, half = live[more], half * GROWTH
 
 
 def nearest(rows: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "vec_id", vec: str = "embedding",
@@ -98,9 +108,9 @@ def nearest(rows: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "vec
         ids, x = left["id"].to_numpy(), np.stack(left["v"].to_numpy())
         shard = Shard(x, float(left["longest"].iloc[0]))
         least = k + 1 + math.ceil(verify * len(ids))
-        out = []
-        for qid, q in zip(right["q_id"], right["q_v"], strict=True):
-            found = shard.candidates(q, least)
+        out, asks, qs = [], right["q_id"].tolist(), np.stack(right["q_v"].to_numpy())
+        for k, found in shard.candidates(qs, least):
+            qid, q = asks[k], qs[k]
             found = found[ids[found] != qid]
             scores = x[found] @ q
             best = np.lexsort((ids[found], -scores))[:k]
