@@ -109,8 +109,8 @@ def nearest(rows: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "vec
         shard = Shard(x, float(left["longest"].iloc[0]))
         least = k + 1 + math.ceil(verify * len(ids))
         out, asks, qs = [], right["q_id"].tolist(), np.stack(right["q_v"].to_numpy())
-        for k, found in shard.candidates(qs, least):
-            qid, q = asks[k], qs[k]
+        for at, found in shard.candidates(qs, least):
+            qid, q = asks[at], qs[at]
             found = found[ids[found] != qid]
             scores = x[found] @ q
             best = np.lexsort((ids[found], -scores))[:k]
