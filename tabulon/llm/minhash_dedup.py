@@ -1,7 +1,7 @@
 """Operator 4: near-duplicates by b-bit MinHash.
 
-Every document's set of distinct 5-word shingles gives 256 minima. Two low bits of each
-mixed minimum are packed into eight longs, and 32 bands of four whole minima give bucket
+Every document's set of distinct 5-word shingles gives 512 minima. Two low bits of each
+mixed minimum are packed into sixteen longs, and 32 bands of four whole minima give bucket
 keys. Documents with equal sets form a class, of which one goes on. The similarity of a
 pair is first estimated from the packed signatures by bit counts, corrected for the
 chance that low bits agree by accident; pairs that may reach the threshold are confirmed
@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 
 from tabulon.llm.common import batched, dropped, if_small, mix64, saved, texts, window_hashes, word_hashes
 
-SHINGLE, PERMUTATIONS, BANDS, ROWS, BITS = 5, 256, 32, 4, 2
+SHINGLE, PERMUTATIONS, BANDS, ROWS, BITS = 5, 512, 32, 4, 2
 SIMILARITY = (75, 100)
-MARGIN = 0.165  # five standard deviations of the estimate at 0.75
+MARGIN = 0.117  # five standard deviations of the estimate at 0.75
 BLOCK = 1024  # members of a bucket that meet in one step
 LONGS = [f"s{i}" for i in range(PERMUTATIONS * BITS // 64)]
 
@@ -179,8 +179,8 @@ def between_components(members: DataFrame, marks: DataFrame, first: DataFrame) -
         asks, every_row = f["asks"].to_numpy(), columns(f)
         for rows_of in np.split(np.arange(len(f)), cut):
             ask, rest = rows_of[asks[rows_of]], rows_of[~asks[rows_of]]
-            for i in range(0, len(ask), 256):
-                x, y = ({k: v[r] for k, v in every_row.items()} for r in (ask[i:i + 256], rest))
+            for i in range(0, len(ask), 64):
+                x, y = ({k: v[r] for k, v in every_row.items()} for r in (ask[i:i + 64], rest))
                 at = _across(x, y)
                 p, q = x["node"][at[:, 0]], y["node"][at[:, 1]]
                 once = ~y["outside"][at[:, 1]] | (p < q)  # two outsiders meet twice
