@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tabulon.llm.common import batched, saved, texts
 
 CAPACITY = 2048
-CACHE_WORDS = 1_500_000  # words whose ids a Python worker remembers, from task to task; a full cache is emptied
+CACHE_WORDS = 800_000  # words whose ids a Python worker remembers, from task to task; a full cache is emptied
 
 
 class WordTokens:
