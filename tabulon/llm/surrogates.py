@@ -7,11 +7,13 @@ still refer to the same thing, and no table of entities is needed to write the t
 A surrogate keeps the format (length, case, separators, country code, check digit,
 address range), the script of every letter and, for names, the gender of the given name.
 
-Within a kind and shape the mapping is one to one: characters are shifted inside their
-alphabet by amounts that depend on all characters before them, forward and backward;
-addresses go through a Feistel network; listed given names are permuted in their list.
-``collisions`` checks this on the corpus: distinct entities against their surrogates.
-``masked`` refuses to write if it finds any.
+Within a kind and shape the mapping is one to one and nothing is its own surrogate: the
+entities of a shape (every letter of any script has an alphabet) lie on one keyed cycle,
+and a surrogate is the next entity on it, or the next one that the kind allows (a host
+with the same kept end, an address in the same range, a name that isn't a listed given
+name); listed given names lie on a cycle of their list. Shapes stay, so surrogates of
+different shapes differ too. ``collisions`` checks this on the corpus: distinct entities
+against their surrogates; ``masked`` refuses to write if that proves wrong.
 
 Defined results: a null text stays null, texts without entities stay as they are, equal
 rows are replaced alike, an empty table stays empty; all columns of the input pass
@@ -21,10 +23,14 @@ through, whatever their names.
 from __future__ import annotations
 
 import hmac
+import math
 import re
+import sys
+import unicodedata
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -59,6 +65,33 @@ KINDS = {
 HINTS = {"email": "@", "ip": ".", "ssn": "-", "phone": None, "card": None, "iban": None, "name": None}
 DIGITS = ("iban", "ip", "card", "ssn", "phone")
 PLACE = {c: (a, i) for a in ALPHABETS for i, c in enumerate(a)}
+MARKS = "._%+-"
+
+
+@cache
+def other_letters() -> dict[str, tuple[str, int]]:
+    """Alphabets of all letters (as names may hold) that ``ALPHABETS`` doesn't list: by script, category and block of 128.
+
+    What would be alone in its alphabet goes by script and category, then with all that is left.
+    """
+    left = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isdecimal() and c not in PLACE]
+    script = lambda c: re.split("[ -]", unicodedata.name(c, ""))[0]
+    out = {}
+    for key in (lambda c: (script(c), unicodedata.category(c), ord(c) >> 7), lambda c: (script(c), unicodedata.category(c)), lambda c: 0):
+        groups = defaultdict(list)
+        for c in left:
+            groups[key(c)].append(c)
+        left = [c for g in groups.values() if len(g) < 2 for c in g]
+        for g in groups.values():
+            if len(g) > 1:
+                alphabet = "".join(g)
+                out.update((c, (alphabet, i)) for i, c in enumerate(g))
+    return out
+
+
+def placed(c: str) -> tuple[str, int] | None:
+    """Alphabet of a character and its place in it."""
+    return PLACE.get(c) or (other_letters().get(c) if c > "\x7f" else None)
 
 
 class Surrogates:
@@ -74,43 +107,66 @@ class Surrogates:
         return int.from_bytes(hmac.digest(self.key, "\0".join(parts).encode(), "sha256")[:8], "big")
 
     # -- one-to-one building blocks ------------------------------------------------
-    def _pass(self, tag: str, s: str) -> str:
-        out = []
-        for i, c in enumerate(s):
-            if c in PLACE:
-                alphabet, at = PLACE[c]
-                c = alphabet[(at + self._number(tag, s[:i], str(len(s)))) % len(alphabet)]
-            out.append(c)
-        return "".join(out)
-
-    def shifted(self, tag: str, s: str) -> str:
-        """A string of the same shape; another one, where any character can change."""
-        for turn in range(8):
-            back = self._pass(f"{tag}/{turn}/back", s[::-1])[::-1]
-            new = self._pass(f"{tag}/{turn}/forth", back)
-            if new != s or not any(c in PLACE for c in s):
-                break
-        return new
-
-    def _feistel(self, tag: str, value: int, bits: int) -> int:
-        """A permutation of the numbers below 2 ** bits (unequal halves are allowed)."""
-        right_bits = bits // 2
-        left_bits = bits - right_bits
-        left, right = value >> right_bits, value & ((1 << right_bits) - 1)
-        for i in range(4):
-            left ^= self._number(tag, f"l{i}", str(right)) & ((1 << left_bits) - 1)
-            right ^= self._number(tag, f"r{i}", str(left)) & ((1 << right_bits) - 1)
-        return left << right_bits | right
+    def _pass(self, tag: str, digits: list[int], sizes: list[int], sign: int = 1) -> list[int]:
+        """Each digit moved by an amount that depends on the (unmoved) digits before it; ``sign`` -1 takes it back."""
+        out: list[int] = []
+        before = digits if sign > 0 else out
+        h = hmac.new(self.key, tag.encode(), "sha256")
+        for i, (d, n) in enumerate(zip(digits, sizes, strict=True)):
+            out.append((d + sign * int.from_bytes(h.digest()[:8], "big")) % n)
+            h.update(b",%d" % before[i])
+        return out
+
+    def cycled(self, tag: str, digits: list[int], sizes: list[int]) -> list[int]:
+        """The next number on one keyed cycle through all numbers with these digit sizes.
+
+        A keyed permutation, a step that has no divisor in common with their count, and the
+        permutation taken back: one to one, and no number is its own next one.
+        """
+        total = math.prod(sizes)
+        if total < 2:
+            return digits
+        back = self._pass(tag + "/back", digits[::-1], sizes[::-1])[::-1]
+        at = 0
+        for d, n in zip(self._pass(tag + "/forth", back, sizes), sizes, strict=True):
+            at = at * n + d
+        step = int.from_bytes(hmac.digest(self.key, (tag + "/step").encode(), "sha512"), "big") % total
+        while math.gcd(step, total) != 1:
+            step += 1
+        at = (at + step) % total
+        new = []
+        for n in reversed(sizes):
+            at, d = divmod(at, n)
+            new.append(d)
+        back = self._pass(tag + "/forth", new[::-1], sizes, -1)
+        return self._pass(tag + "/back", back[::-1], sizes[::-1], -1)[::-1]
+
+    def shifted(self, tag: str, s: str, place=None) -> str:
+        """Another string of the same shape, one to one; characters without an alphabet stay."""
+        at = [(place or placed)(c) for c in s]
+        shape = "\0".join(c if p is None else p[0] for c, p in zip(s, at, strict=True))
+        new = iter(self.cycled(f"{tag}/{shape}", [p[1] for p in at if p], [len(p[0]) for p in at if p]))
+        return "".join(c if p is None else p[0][next(new)] for c, p in zip(s, at, strict=True))
 
     # -- kinds ---------------------------------------------------------------------
+    @staticmethod
+    def _kept(domain: str) -> str:
+        """The end of a domain that stays."""
+        low = domain.lower()
+        size = next((len(z) for z in (".example.com", ".example.org", ".example.net") if low.endswith(z)), None)
+        return domain[-size:] if size else domain[domain.rindex("."):]
+
     def _email(self, s: str) -> str:
         local, domain = s.split("@", 1)
-        host, _, top = domain.rpartition(".")
-        low = domain.lower()
-        keep = next((z for z in (".example.com", ".example.org", ".example.net") if low.endswith(z)), "." + top)
-        host = domain[:len(domain) - len(keep)]
-        # a host that is not there is kept; one domain has one surrogate
-        return self.shifted("local", local) + "@" + (self.shifted("host", host) if host else host) + domain[len(host):]
+        keep = self._kept(domain)
+        # one domain has one surrogate; walks on until as much of it stays
+        new = domain
+        while True:
+            new = self.shifted("host", new[:len(new) - len(keep)]) + keep
+            if self._kept(new) == keep:
+                break
+        marks = None if any(map(placed, local)) else lambda c: (MARKS, MARKS.index(c))
+        return self.shifted("local", local, marks) + "@" + new
 
     @staticmethod
     def _range(n: int) -> int:
@@ -118,15 +174,24 @@ class Surrogates:
         return next((bits for net, bits in ((10, 8), (127, 8), (0xC0A8, 16), (0xAC1, 12), (0, 8)) if n >> (32 - bits) == net), 0)
 
     def _ip(self, s: str) -> str:
-        n = int.from_bytes(bytes(map(int, s.split("."))), "big")
-        fixed = self._range(n)
-        bits = 32 - fixed
-        new = n
-        for _ in range(64):
-            new = new >> bits << bits | self._feistel(f"ip{fixed}", new & ((1 << bits) - 1), bits)
-            if self._range(new) == fixed and new != n:  # walks on until it's in the same range
-                break
-        return ".".join(map(str, new.to_bytes(4, "big")))
+        parts = s.split(".")
+        fixed = self._range(self._address(parts))
+        # an octet written as 0d stays one
+        sizes = [10 if len(x) > 1 and x[0] == "0" else 256 for x in parts]
+        form = ["0{}" if n == 10 else "{}" for n in sizes]
+        # whole octets of the range stay; in the others it walks on until it's in the same range
+        stay = fixed // 8
+        head, now = parts[:stay], [int(x) for x in parts[stay:]]
+        tag = f"ip{fixed}/{'.'.join(head)}/{sizes}"
+        while True:
+            now = self.cycled(tag, now, sizes[stay:])
+            new = head + [f.format(x) for f, x in zip(form[stay:], now, strict=True)]
+            if self._range(self._address(new)) == fixed:
+                return ".".join(new)
+
+    @staticmethod
+    def _address(parts: list[str]) -> int:
+        return int.from_bytes(bytes(map(int, parts)), "big")
 
     @staticmethod
     def _luhn(digits: str) -> int:
@@ -155,9 +220,9 @@ class Surrogates:
         flat = s.replace(" ", "")
         value = lambda x: int("".join(str(int(c, 36)) for c in x))
         body = self.shifted("iban", flat[4:])
-        off = (value(flat[4:] + flat[:4]) - 1) % 97  # 0 for a valid number
-        check = (98 - value(body + flat[:2] + "00") + off) % 97
-        it = iter(flat[:2] + f"{check if check > 1 else check + 97:02d}" + body)
+        right = lambda x: 98 - value(x + flat[:2] + "00") % 97
+        check = (int(flat[2:4]) - right(flat[4:]) + right(body)) % 100  # right for a valid number
+        it = iter(flat[:2] + f"{check:02d}" + body)
         return "".join(c if c == " " else next(it) for c in s)
 
     def _word(self, w: str) -> str:
