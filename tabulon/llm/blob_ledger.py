@@ -20,12 +20,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import batched, texts
+from tabulon.llm.common import batched, saved, texts
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret. ``group`` holds the value, which needs ``least`` characters; ``hint`` must occur for a match."""
+    """A kind of secret. ``group`` holds the value, which needs ``least`` characters; ``hint`` must occur for a match, with ``fold`` in any case (it is lower-case then)."""
 
     kind: str
     pattern: str
@@ -33,6 +33,7 @@ class Rule:
     group: int = 0
     least: int = 1
     hint: str = ""
+    fold: bool = False
 
 
 #: Base kinds, in the order in which equal starts are listed.
@@ -44,7 +45,7 @@ BASE = (
 #: Kinds that the method adds.
 EXTRA = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", hint="-----BEGIN"),
-    Rule("bearer", r"(?i:bearer)\x20+([A-Za-z0-9._~+/-]{20,}=*)", group=1, least=20, hint="earer"),
+    Rule("bearer", r"(?i:bearer)\x20+([A-Za-z0-9._~+/-]{20,}=*)", version=2, group=1, least=20, hint="bearer", fold=True),
     Rule("url_login", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:([^\s/@]+)@", group=1, hint="://"),
 )
 RULES = BASE + EXTRA
@@ -58,9 +59,13 @@ class Scanner:
         self.rules = [(r, re.compile(r.pattern, re.ASCII)) for r in rules]
 
     def spans(self, text: str, wanted: set[str] | None = None) -> list[tuple[int, int, str]]:
-        found = []
+        found, low = [], None
         for at, (rule, pattern) in enumerate(self.rules):
-            if (wanted is not None and rule.kind not in wanted) or (rule.hint and rule.hint not in text):
+            if wanted is not None and rule.kind not in wanted:
+                continue
+            if rule.fold and low is None:
+                low = text.lower()
+            if rule.hint and rule.hint not in (low if rule.fold else text):
                 continue
             found += [(m.start(), at, m.end(), rule.kind) for m in pattern.finditer(text)
                       if len(m[rule.group]) >= rule.least]
@@ -96,7 +101,7 @@ def scan(history: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule,
     travel to their distinct blob by path id: the text is shuffled once, next to ids.
     """
     spark = history.sparkSession
-    todo = unseen(history, ledger if ledger is not None else empty_ledger(spark), rules)
+    todo, _ = saved(unseen(history, ledger if ledger is not None else empty_ledger(spark), rules), "unseen")
     scanner_rules = tuple(rules)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,10 +129,36 @@ def joined_back(history: DataFrame, findings: DataFrame) -> DataFrame:
     return out.select("path", "blob", F.coalesce("spans", empty).alias("spans"))
 
 
+def scanned(deliveries: list[DataFrame], rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
+    """(findings, ledger) of histories that come in one after the other, both written tables.
+
+    Each pass reads the ledger that the passes before it have written and scans what is
+    not in it. Its findings are stored before its increment.
+    """
+    findings, ledger = None, empty_ledger(deliveries[0].sparkSession)
+    for history in deliveries:
+        found, done = scan(history, ledger, rules)
+        found, _ = saved(found, "findings")
+        done, _ = saved(done, "ledger")
+        findings = found if findings is None else findings.unionByName(found)
+        ledger = ledger.unionByName(done)
+    return findings, ledger
+
+
+def delivered(history: DataFrame, n: int = 2) -> list[DataFrame]:
+    """The versions in ``n`` deliveries, by path."""
+    part = F.pmod(F.xxhash64("path"), F.lit(n))
+    return [history.where(part == i) for i in range(n)]
+
+
 def digest(docs: DataFrame) -> DataFrame:
-    """Per document: counts of the base kinds, sha-256 of the base spans, all spans as text."""
+    """Per document: counts of the base kinds, sha-256 of the base spans, all spans as text.
+
+    The rows are scanned as two deliveries: a content of the second that the first held
+    too is not scanned again.
+    """
     history = versions(docs)
-    found, _ = scan(history)
+    found, _ = scanned(delivered(history))
     rows = joined_back(history, found)
     text = lambda spans: F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])))
     of = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")

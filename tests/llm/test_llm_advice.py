@@ -2,7 +2,7 @@
 
 import itertools
 
-from tabulon.llm import surrogates
+from tabulon.llm import blob_ledger, surrogates
 
 
 # -- 10 ----------------------------------------------------------------------------------
@@ -37,3 +37,31 @@ def test_surrogates_of_other_scripts(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     new = dict(surrogates.masked(docs, b"k").select("doc_id", "text").collect())
     assert all(new[i] != t for i, t in rows) and len(set(new.values())) == len(rows)
+
+
+# -- 7 -----------------------------------------------------------------------------------
+def test_hints_miss_nothing():
+    """A hint never hides what its pattern finds, in any case of letters."""
+    scanner = blob_ledger.Scanner(blob_ledger.RULES)
+    for text in ("BEARER abcdefghijklmnopqrstuvwx", "bEaReR abcdefghijklmnopqrstuvwx", "HTTPS a://b:c@d -----BEGIN PRIVATE KEY----- AKIA" + "B" * 16):
+        for rule, pattern in scanner.rules:
+            found = [m.span() for m in pattern.finditer(text) if len(m[rule.group]) >= rule.least]
+            assert [(s, e) for s, e, k in scanner.spans(text) if k == rule.kind] == found, (rule.kind, text)
+    assert [k for _, _, k in scanner.spans("BEARER abcdefghijklmnopqrstuvwx")] == ["bearer"]
+
+
+def test_query_reads_its_ledger_back(spark, monkeypatch):
+    """The query's second pass gets the first one's written increment and scans only what is not in it."""
+    rows = [(i, f"token=secret-value-{i % 7} BEARER abcdefghijklmnopqrstuvwx") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    passes, scan = [], blob_ledger.scan
+
+    def watched(history, ledger=None, rules=blob_ledger.RULES):
+        out = scan(history, ledger, rules)
+        passes.append((0 if ledger is None else ledger.count(), out[1].count()))
+        return out
+
+    monkeypatch.setattr(blob_ledger, "scan", watched)
+    got = blob_ledger.digest(docs).collect()
+    assert passes == [(0, 7 * len(blob_ledger.RULES)), (7 * len(blob_ledger.RULES), 0)]
+    assert len(got) == 60 and all(r["n_assign"] == 1 and r["spans"].count("bearer") == 1 for r in got)
