@@ -3,9 +3,12 @@
 Benchmark items are cut into windows (13 words; a shorter item is one window). The index
 holds (term, document, position) postings of the training tokens for the terms that the
 test side asks for: of every window its three rarest terms by corpus frequency. Lists
-are intersected from the rarest term on, shifted by the terms' distances in the window;
-with all shifts exact the window is a phrase candidate and is confirmed on the words of
-the document, with shifts off by at most ``slop`` it is a proximity match.
+are intersected from the rarest term on, shifted by the terms' distances in the window,
+off by at most ``slop``. With all shifts exact the window is a phrase candidate, else a
+proximity candidate; both are confirmed on all words of the window in the document. A
+proximity match has every word of the window, each at a place of its own, and from word
+to word the places in the document run ahead of those in the window by amounts that lie
+within ``slop`` of each other: words put in between, or words that changed places.
 
 Everything is DataFrame functions. Test-side tables are broadcast only after a count
 shows them to be small (``common.if_small``), otherwise the same joins shuffle.
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from tabulon.llm.common import if_small, saved
 
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # after lower-casing A-Z
-WINDOW, ANCHORS = 13, 3
+WINDOW, ANCHORS, SLOP = 13, 3, 3
 
 
 def words(text) -> F.Column:
@@ -84,20 +87,34 @@ def intersected(postings: DataFrame, live: DataFrame, slop: int) -> DataFrame:
     shapes, _ = saved(live.select(*shape).distinct(), "shapes")
     rows = postings.distinct().join(if_small(shapes), F.col("term") == F.col("t1")).select(
         "k1", "k2", F.col("pos").alias("p1"), *shape, F.lit(0).alias("off"))
+    # places asked for are looked up by the one or two cells they lie in
+    cell = lambda at: F.floor(at / F.lit(2 * slop + 1))
     for i in range(2, ANCHORS + 1):
-        other = postings.distinct().select(F.col("term").alias(f"t{i}"), "k1", "k2", F.col("pos").alias("at"))
-        asked = rows.where(F.col(f"t{i}").isNotNull()).withColumn("s", F.explode(F.sequence(F.lit(-slop), F.lit(slop))))
-        asked = asked.withColumn("at", F.col("p1") + F.col(f"g{i}") + F.col("s")).where("at <> p1")
-        met = asked.join(other, [f"t{i}", "k1", "k2", "at"]).withColumn("off", F.col("off") + F.abs("s"))
+        other = postings.distinct().select(F.col("term").alias(f"t{i}"), "k1", "k2", F.col("pos").alias("at")).withColumn("cell", cell(F.col("at")))
+        want = F.col("p1") + F.col(f"g{i}")
+        asked = rows.where(F.col(f"t{i}").isNotNull()).withColumn(
+            "cell", F.explode(F.array_distinct(F.array(cell(want - slop), cell(want + slop)))))
+        met = asked.join(other, [f"t{i}", "k1", "k2", "cell"]).withColumn("s", F.col("at") - want)
+        met = met.where((F.abs("s") <= slop) & (F.col("at") != F.col("p1"))).withColumn("off", F.col("off") + F.abs("s"))
         rows = met.select(*rows.columns).unionByName(rows.where(F.col(f"t{i}").isNull()))
     found, _ = saved(rows.groupBy("k1", "k2", "p1", *shape).agg(F.min("off").alias("off")), "met")
     return found
 
 
-def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, slop: int = 1) -> DataFrame:
+def ahead(w, terms, base, slop: int) -> F.Column:
+    """The places in ``w`` of all ``terms``, none used twice, each 0 to ``slop`` behind its place from ``base`` on; fewer, if some have none."""
+    def place(used, j):
+        free = F.filter(F.sequence(base + j, base + j + slop), lambda k: (F.get(w, k) == F.get(terms, j)) & ~F.array_contains(used, k))
+        return F.concat(used, F.slice(free, 1, 1))
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(terms) - 1), F.array().cast("array<int>"), place)
+
+
+def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, slop: int = SLOP) -> DataFrame:
     """``k1, k2, item_id, kind, start, length``: exact phrase matches, and proximity matches of items without one.
 
-    ``k1, k2`` are the keys of ``keyed``; positions count words from 0.
+    ``k1, k2`` are the keys of ``keyed``; positions count words from 0. A proximity match
+    is from the first to the last of its places.
     """
     keys = keyed(docs)
     wins, items = windows(bench, window)
@@ -108,19 +125,33 @@ def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, slop: int =
     same = reduce(lambda a, b: a & b, [F.col(f"m.{c}").eqNullSafe(F.col(f"l.{c}")) for c in met.columns if c[0] in "tg"])
     spots = met.alias("m").join(if_small(live).alias("l"), same).select(
         "m.k1", "m.k2", (F.col("m.p1") - F.col("l.o1")).alias("start"), "off", "l.wid", "l.terms")
-    # a document's candidates travel to its words, once
-    asked, _ = saved(spots.where("off = 0 and start >= 0").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "wid", "terms")).alias("c")), "asked")
-    text = keys.select("k1", "k2", "text").join(if_small(asked), ["k1", "k2"]).select("k1", "k2", "c", words(F.col("text")).alias("w"))
+
+    def on_words(candidates: DataFrame, name: str) -> DataFrame:
+        """A document's candidates travel to its words, once."""
+        asked, _ = saved(candidates.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "wid", "terms")).alias("c")), name)
+        return keys.select("k1", "k2", "text").join(if_small(asked), ["k1", "k2"]).select("k1", "k2", "c", words(F.col("text")).alias("w"))
+
     good = F.filter("c", lambda c: F.slice("w", c["start"] + 1, F.size(c["terms"])) == c["terms"])
-    exact = text.select("k1", "k2", F.explode(good).alias("c")).select(
+    exact = on_words(spots.where("off = 0 and start >= 0"), "asked").select("k1", "k2", F.explode(good).alias("c")).select(
         "k1", "k2", "c.wid", "c.start", F.size("c.terms").alias("length")).distinct()
     exact, _ = saved(exact.join(if_small(items), "wid").select("k1", "k2", "item_id", F.lit("exact").alias("kind"), "start", "length").distinct(), "exact")
-    near = spots.select("k1", "k2", "wid", "start", F.size("terms").alias("length")).join(if_small(items), "wid")
-    near = near.join(exact.select("k1", "k2", "item_id").distinct(), ["k1", "k2", "item_id"], "left_anti")
+    if slop == 0:
+        return exact
+    near = spots.join(if_small(items), "wid").join(exact.select("k1", "k2", "item_id").distinct(), ["k1", "k2", "item_id"], "left_anti")
+    # of a document only the words around a candidate go on
+    first = lambda c: F.greatest(c["start"] - slop, F.lit(0))
+    around = F.transform("c", lambda c: F.struct(
+        c["wid"].alias("wid"), c["terms"].alias("terms"), first(c).alias("first"), (c["start"] - first(c)).alias("at"),
+        F.slice("w", first(c) + 1, F.size(c["terms"]) + 2 * slop).alias("w")))
+    cut = on_words(near, "close").select("k1", "k2", F.explode(around).alias("c")).select("k1", "k2", "c.*")
+    cut = cut.withColumn("base", F.explode(F.sequence(F.col("at") - slop, F.col("at"))))
+    cut = cut.withColumn("p", ahead(F.col("w"), F.col("terms"), F.col("base"), slop)).where(F.size("p") == F.size("terms"))
+    cut, _ = saved(cut.select("k1", "k2", "wid", (F.col("first") + F.array_min("p")).alias("start"), (F.array_max("p") - F.array_min("p") + 1).alias("length")), "near")
+    near = cut.join(if_small(items), "wid").join(exact.select("k1", "k2", "item_id").distinct(), ["k1", "k2", "item_id"], "left_anti")
     return exact.unionByName(near.select("k1", "k2", "item_id", F.lit("near").alias("kind"), "start", "length").distinct())
 
 
-def judged(docs: DataFrame, bench: DataFrame, window: int = WINDOW, slop: int = 1, near: bool = True) -> DataFrame:
+def judged(docs: DataFrame, bench: DataFrame, window: int = WINDOW, slop: int = SLOP, near: bool = True) -> DataFrame:
     """Per row: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``, the keys ``k1, k2``, with ``near`` also ``n_near_items``."""
     found, _ = saved(matches(docs, bench, window, slop if near else 0), "matches")
     exact, close = found.where("kind = 'exact'"), found.where("kind = 'near'")

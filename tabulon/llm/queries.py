@@ -27,6 +27,12 @@ def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), near=False).drop("k1", "k2")
 
 
+def decontam_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``op2_decontam`` with proximity matches: its columns and ``n_near_items``."""
+    from tabulon.llm import decontam
+    return decontam.judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("k1", "k2")
+
+
 def op3_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabulon.llm import mil_quality
     docs = read_table(spark, sf_dir, "documents")
@@ -75,6 +81,9 @@ QUERIES = {f.__name__: f for f in (
     op1_lm_mixing, op2_decontam, op3_mil_quality, op4_minhash, op5_suffix_dedup, op6_ann_collision, op7_blob_ledger,
     op8_exact_packing, op9_langid, op10_surrogates)}
 
+#: Further forms of the numbered ones, with more columns than their contracts have.
+MORE = {f.__name__: f for f in (decontam_proximity,)}
+
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPLIT = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 

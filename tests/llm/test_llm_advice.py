@@ -1,8 +1,10 @@
 """What the review of the second round found."""
 
 import itertools
+import random
 
-from tabulon.llm import blob_ledger, surrogates
+from llm_fixtures import SF_SMALL
+from tabulon.llm import blob_ledger, decontam, surrogates
 
 
 # -- 10 ----------------------------------------------------------------------------------
@@ -65,3 +67,44 @@ def test_query_reads_its_ledger_back(spark, monkeypatch):
     got = blob_ledger.digest(docs).collect()
     assert passes == [(0, 7 * len(blob_ledger.RULES)), (7 * len(blob_ledger.RULES), 0)]
     assert len(got) == 60 and all(r["n_assign"] == 1 and r["spans"].count("bearer") == 1 for r in got)
+
+
+# -- 2 -----------------------------------------------------------------------------------
+def near_by_hand(doc, item, slop, window=13):
+    """Whether every word of some window has a place of its own, places running ahead by amounts within ``slop``."""
+    w, b = doc.split(), item.split()
+
+    def fits(terms, base, j=0, used=()):
+        return j == len(terms) or any(
+            k not in used and 0 <= k < len(w) and w[k] == terms[j] and fits(terms, base, j + 1, (*used, k)) for k in range(base + j, base + j + slop + 1))
+
+    cuts = [b[i:i + window] for i in range(max(1, len(b) - window + 1))]
+    return any(fits(t, base) for t in cuts for base in range(-len(t), len(w)))
+
+
+def test_proximity_is_confirmed_on_the_words(spark):
+    r = random.Random(6)
+    item = [f"r{i}" for i in range(13)]
+    texts = [[*item[:1], "gap", "gap", *item[1:]], [*item[:3], "gap", *item[3:8], "gap", *item[8:]], [*item[:4], item[5], item[4], *item[6:]],
+             [item[0], *["odd"] * 5, item[6], *["odd"] * 5, item[12]], [*item[:1], *["gap"] * 4, *item[1:]], item[:12]]
+    for _ in range(40):
+        t = list(item)
+        for _ in range(r.randrange(1, 5)):
+            i = r.randrange(len(t))
+            t[i:i + r.randrange(2)] = r.choice([["gap"], [t[i], t[i]], [r.choice(item)]])
+        texts.append(t)
+    docs = [(i, "x y " + " ".join(t) + " z") for i, t in enumerate(texts)]
+    bench = [(1, " ".join(item)), (2, "gap gap gap r3"), (3, "odd")]
+    for slop in (1, 3):
+        found = decontam.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"), slop=slop)
+        got = {(x["k1"], x["item_id"]) for x in found.collect()}
+        assert got == {(i, b) for i, t in docs for b, s in bench if near_by_hand(t, s, slop)}, slop
+    assert {(0, 1), (1, 1), (2, 1)} <= got and not got & {(3, 1), (4, 1), (5, 1)}
+
+
+def test_proximity_runs_in_a_query(spark):
+    import __spark_entry__
+    queries = __spark_entry__.queries()
+    exact, close = queries["op2_decontam"](spark, SF_SMALL), queries["decontam_proximity"](spark, SF_SMALL)
+    assert close.columns == [*exact.columns, "n_near_items"]
+    assert sorted(map(tuple, close.drop("n_near_items").collect())) == sorted(map(tuple, exact.collect()))
