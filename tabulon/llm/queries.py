@@ -77,9 +77,24 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", F.size("pii_kinds").cast("long").alias("n_entities"), F.concat_ws(",", "pii_kinds").alias("kinds"))
 
 
+def op11_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulon.llm import jaccard_groups
+    return jaccard_groups.joined(read_table(spark, sf_dir, "documents"))
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulon.llm import source_audit
+    return source_audit.divergence(read_table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabulon.llm import collocations
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_lm_mixing, op2_decontam, op3_mil_quality, op4_minhash, op5_suffix_dedup, op6_ann_collision, op7_blob_ledger,
-    op8_exact_packing, op9_langid, op10_surrogates)}
+    op8_exact_packing, op9_langid, op10_surrogates, op11_jaccard_groups, op12_source_audit, op13_collocations)}
 
 #: Further forms of the numbered ones, with more columns than their contracts have.
 MORE = {f.__name__: f for f in (decontam_proximity,)}
@@ -124,4 +139,43 @@ u as (select doc_id, unnest(w) as t, unnest(range(1, len(w) + 1)) as p from d),
 k as (select u.doc_id, string_agg(t, ' ' order by u.p) as t, count(*) as n from u anti join x on u.doc_id = x.doc_id and u.p = x.p group by u.doc_id)
 select d.doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(k.n, 0) as bigint) as n_removed, sha256(coalesce(k.t, '')) as kept_sha256
 from d left join k using (doc_id)""",
+    "op12_source_audit": rf"""
+with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as row,
+                  regexp_extract_all({_LOW}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+c as (select lang, source, term, count(*) as n, count(distinct row) as df from (select lang, source, row, unnest(w) as term from d) group by all),
+k as (select lang, term, sum(n) as n from c group by lang, term having sum(df) >= 10),
+g as (select distinct lang, source from d),
+e as (select g.lang, g.source, k.term, cast(coalesce(c.n, 0) as hugeint) as n, cast(k.n as hugeint) as lang_n
+      from g join k using (lang) left join c using (lang, source, term)),
+s as (select *, 1 + (1000000000 * (n + 2)) // (sum(n) over (partition by lang, source)::hugeint + 2 * count(*) over (partition by lang, source)) as p,
+             1 + (1000000000 * (lang_n + 2)) // (sum(lang_n) over (partition by lang, source)::hugeint + 2 * count(*) over (partition by lang, source)) as q from e),
+v as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(sum(f.value), 0) as value
+      from g a join g b on a.lang = b.lang and a.source <> b.source
+      left join (select x.lang, x.source, y.source as other, ((x.p - y.p) * (x.p - y.p)) // (x.p + y.p) as value
+                 from s x join s y on x.lang = y.lang and x.term = y.term and x.source <> y.source) f
+        on f.lang = a.lang and f.source = a.source and f.other = b.source
+      group by all
+      union all
+      select lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) from s where n > 0 and p > q),
+r as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from v)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank from r where part = 'pair' or rank <= 10""",
+    "op13_collocations": rf"""
+with p as (select coalesce(lang, 'und') as lang, unnest(string_split_regex({_LOW}, '[.,;:!?\x0A-\x0D]')) as t from documents),
+w as (select lang, regexp_extract_all(t, '[^\x20\x09]+') as w from p),
+g as (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase, count(*) as a, count(*) filter (i = 1) as starts, count(*) filter (i + k - 1 = len(w)) as ends
+      from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from w, (select unnest([1, 2, 3, 4]) as k) where len(w) >= k) group by all),
+n as (select lang, sum(a) as n from g where k = 1 group by lang),
+c as (select * from g where k > 1 and a >= 30),
+x as (select *, unnest(range(1, k)) as j from c),
+y as (select x.*, f.a as l, r.a as r, (cast(2000000 as hugeint) * x.a) // (f.a + r.a) as score from x
+      join g f on f.lang = x.lang and f.phrase = array_to_string(string_split(x.phrase, ' ')[1:x.j], ' ')
+      join g r on r.lang = x.lang and r.phrase = array_to_string(string_split(x.phrase, ' ')[x.j + 1:], ' ')),
+z as (select * from y qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+o as (select * from z where not exists (select 1 from c m where m.lang = z.lang and m.k > z.k and 100 * m.a >= 80 * z.a
+                                        and contains(' ' || m.phrase || ' ', ' ' || z.phrase || ' '))),
+q as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from o)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score, starts, ends from q join n using (lang) where rank <= 2000""",
 }
+
+#: The join links like the near-duplicates, at its own similarity.
+SQL["op11_jaccard_groups"] = SQL["op4_minhash"].replace("100 * p.k >= 75", "100 * p.k >= 80").replace(", d.doc_id = c.c as kept", "")
