@@ -6,7 +6,7 @@ import importlib
 
 from tabulon.plans.base import Query
 
-FAMILIES = ("q_survey", "q_profile", "q_stats", "q_features", "q_evaluate", "q_codebook", "q_sources", "q_explain", "q_models")
+FAMILIES = ("q_survey", "q_profile", "q_stats", "q_features", "q_evaluate", "q_codebook", "q_sources", "q_explain", "q_models", "q_requests", "q_sections")
 
 
 def all_queries() -> dict[str, Query]:
