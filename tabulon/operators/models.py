@@ -1,25 +1,28 @@
 """I — candidate models, grouped cross-validation search, one-SE selection, persistence parity.
 
-Every (candidate, fold) fit is an independent pyspark.ml job submitted from a
-bounded driver thread pool; the prepared frame is materialised once. All six
-metrics of every fit come from ONE grouped aggregate over the union of the
-fits' predictions (plus the tie-aware AUC through the bucketed running scan).
+Rows collapse to weighted cells first: one per (profile, label, fold) with its count. The
+number of cells is bounded by the product of the categories, whatever the number of rows, and
+every fit uses the counts as weights. Each (setting, fold) is an independent pyspark.ml fit
+submitted from a bounded driver thread pool; settings of boosting that differ only in their
+rounds are one fit, read off after fewer trees. Predictions collapse to score cells in the
+task that makes them and are written; all six metrics of every fit then come from ONE grouped
+aggregate (plus the tie-aware AUC through the bucketed running scan).
 """
 
 from __future__ import annotations
 
 import json
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark import SparkContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.exprs import case_map
 from tabulon.operators.evaluate import roc_auc
-from tabulon.session import materialize
 
 
 @dataclass(frozen=True)
@@ -33,15 +36,6 @@ class Candidate:
         return self.family + ":" + json.dumps(self.params, sort_keys=True)
 
 
-def small_grid() -> list[Candidate]:
-    """Registry grid: prior baseline + 2 families × 2 settings (complexity = ordering for one-SE)."""
-    return [Candidate("baseline", {}, 0),
-            Candidate("logistic", {"C": 0.2, "class_weight": None}, 1),
-            Candidate("logistic", {"C": 1.0, "class_weight": None}, 2),
-            Candidate("tree", {"max_depth": 3, "min_leaf": 15}, 3),
-            Candidate("tree", {"max_depth": 5, "min_leaf": 15}, 4)]
-
-
 def full_grid() -> list[Candidate]:
     """The reference's search space expressed as candidates (53 settings)."""
     out = [Candidate("baseline", {}, 0)]
@@ -79,28 +73,30 @@ def with_balanced_weight(df: DataFrame, label: str, out: str = "__w") -> DataFra
     return df.withColumn(out, expr)
 
 
-def make_estimator(c: Candidate, features: str, label: str, n_train: int, weight_col: str | None = None,
-                   seed: int = 42):
+def make_estimator(c: Candidate, features: str, label: str, n_train: float, weight_col: str | None = None,
+                   seed: int = 42, cells: bool = False):
+    """The estimator of a setting. With ``cells``, ``weight_col`` holds counts: leaves need ``min_leaf`` rows' weight."""
     from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                            RandomForestClassifier)
     p = c.params
     kw = {"featuresCol": features, "labelCol": label}
+    if c.family != "logistic":
+        # a leaf's weight must reach min_leaf rows; half a row off, so that rounding can't decide
+        kw |= ({"minWeightFractionPerNode": min(0.49, (p["min_leaf"] - 0.5) / n_train)} if cells else {"minInstancesPerNode": p["min_leaf"]}) | {"seed": seed}
     if c.family == "logistic":
         # sklearn C ↔ Spark: minimise mean loss + λ/2‖w‖²  ⇒  λ = 1 / (C · n)
         est = LogisticRegression(regParam=1.0 / (p["C"] * n_train), elasticNetParam=0.0, standardization=False,
                                  maxIter=200, **kw)
     elif c.family == "tree":
-        est = DecisionTreeClassifier(maxDepth=p["max_depth"], minInstancesPerNode=p["min_leaf"], seed=seed, **kw)
+        est = DecisionTreeClassifier(maxDepth=p["max_depth"], **kw)
     elif c.family == "forest":
-        est = RandomForestClassifier(numTrees=p["trees"], maxDepth=p["max_depth"] or 30,
-                                     minInstancesPerNode=p["min_leaf"], featureSubsetStrategy=p["features"],
-                                     seed=seed, **kw)
+        # one-hot columns split once on a path: 30 is no limit up to 30 encoded columns (Spark has no deeper trees)
+        est = RandomForestClassifier(numTrees=p["trees"], maxDepth=p["max_depth"] or 30, featureSubsetStrategy=p["features"], **kw)
     elif c.family == "gbt":
-        est = GBTClassifier(maxIter=p["rounds"], stepSize=p["rate"], maxDepth=p["max_depth"],
-                            minInstancesPerNode=p["min_leaf"], seed=seed, **kw)
+        est = GBTClassifier(maxIter=p["rounds"], stepSize=p["rate"], maxDepth=p["max_depth"], **kw)
     else:
         raise ValueError(c.family)
-    if weight_col and p.get("class_weight") == "balanced":
+    if weight_col and (cells or p.get("class_weight") == "balanced"):
         est.setWeightCol(weight_col)
     return est
 
@@ -112,7 +108,7 @@ def _positive_probability(pred: DataFrame) -> DataFrame:
 
 def fit_predict(train: DataFrame, evals: dict[str, DataFrame], c: Candidate, features: str, label: str,
                 id_col: str):
-    """Fit one candidate on ``train`` and return (model or prior, {split: predictions})."""
+    """Fit one candidate on the rows of ``train`` and return (model or prior, {split: predictions})."""
     n = train.count()
     if c.family == "baseline":
         prior = train.agg(F.avg(F.col(label).cast("double"))).first()[0]  # one-row parameter
@@ -123,53 +119,118 @@ def fit_predict(train: DataFrame, evals: dict[str, DataFrame], c: Candidate, fea
                    for k, v in evals.items()}
 
 
-def cv_predictions(prepared: DataFrame, label: str, fold_col: str, candidates: Sequence[Candidate],
-                   features: str = "features", id_col: str = "id", parallelism: int = 4) -> DataFrame:
-    """Every (candidate, fold) fit → predictions on its training and validation rows (one table)."""
-    folds = sorted(r[0] for r in prepared.select(fold_col).distinct().collect())  # ≤ k values
-    jobs = [(c, f) for c in candidates for f in folds]
+def profile_cells(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """One row per (keys, label) with its count ``n``: what every fit is trained on."""
+    return df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("n"))
+
+
+#: A forest draws a weight per row it is given: cells are handed over in at most so many equal parts.
+FOREST_PARTS = 8
 
-    def run(job):
-        c, f = job
-        train = prepared.filter(F.col(fold_col) != f)
-        valid = prepared.filter(F.col(fold_col) == f)
-        _m, preds = fit_predict(train, {"train": train, "validation": valid}, c, features, label, id_col)
-        return [p.select(F.lit(c.cid).alias("candidate_id"), F.lit(c.family).alias("family"),
-                         F.lit(json.dumps(c.params, sort_keys=True)).alias("params"),
-                         F.lit(c.complexity).alias("complexity"), F.lit(f).alias("fold"),
-                         F.lit(split).alias("split"), F.col(id_col), F.col(label).alias("y"),
-                         F.col("__p").alias("p")) for split, p in preds.items()]
 
+def fit_cells(train: DataFrame, c: Candidate, totals: Mapping[float, int], features: str = "features", label: str = "label", count: str = "n"):
+    """One setting fitted on weighted cells; ``totals`` has the rows of each class in ``train``. The baseline is its rate."""
+    n = sum(totals.values())
+    if c.family == "baseline":
+        return sum(v for k, v in totals.items() if k == 1) / n
+    w = F.col(count).cast("double")
+    if c.params.get("class_weight") == "balanced":
+        w = w * case_map(F.col(label), {k: n / (len(totals) * v) for k, v in totals.items()})
+    train = train.withColumn("__w", w)
+    if c.family == "forest":
+        parts = F.least(F.col(count), F.lit(FOREST_PARTS)).cast("int")
+        train = train.withColumn("__w", F.col("__w") / parts).withColumn("__part", F.explode(F.sequence(F.lit(1), parts)))
+    return make_estimator(c, features, label, n, "__w", cells=True).fit(train)
+
+
+def boosted_prefix(model, rounds: int):
+    """A boosted classifier's first ``rounds`` trees as a model: what the same fit with fewer rounds gives."""
+    from pyspark.ml.classification import GBTClassificationModel
+    if rounds == len(model.treeWeights):
+        return model
+    own, context = model._java_obj, SparkContext.getOrCreate()  # also in threads of a pool
+    jvm, gateway = context._jvm, context._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(jvm.double, rounds)
+    from_trees, from_weights = own.trees(), model.treeWeights
+    for i in range(rounds):
+        trees[i], weights[i] = from_trees[i], from_weights[i]
+    return GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"{own.uid()}_{rounds}", trees, weights))
+
+
+def shared_fits(candidates: Sequence[Candidate]) -> list[tuple[Candidate, list[Candidate]]]:
+    """(setting to fit, settings read off it): boosting settings that differ in rounds only share the longest."""
+    out: dict[str, list[Candidate]] = {}
+    for c in candidates:
+        key = json.dumps(c.params | {"rounds": 0}, sort_keys=True) if c.family == "gbt" else c.cid
+        out.setdefault(f"{c.family}|{key}", []).append(c)
+    return [(max(cs, key=lambda c: c.params.get("rounds", 0)), cs) for cs in out.values()]
+
+
+def search_on_cells(cells: DataFrame, fold_col: str, candidates: Sequence[Candidate], path: str, label: str = "label",
+                    count: str = "n", parallelism: int = 8) -> DataFrame:
+    """Every (candidate, fold) fit on weighted cells → score cells (split, y, p, n) of its training and validation rows.
+
+    A fit writes its predictions below ``path``, so they are kept as they come and a fit that
+    fails is repeated alone; the table returned reads them all.
+    """
+    spark = cells.sparkSession
+    totals: dict[int, dict[float, int]] = {}
+    for r in cells.groupBy(fold_col, label).agg(F.sum(count).alias("c")).collect():  # folds × classes rows
+        totals.setdefault(r[fold_col], {})[r[label]] = int(r["c"])
+    number = {c.cid: i for i, c in enumerate(candidates)}
+
+    def run(job: tuple[Candidate, list[Candidate], int]) -> None:
+        fit, read, fold = job
+        others: dict[float, int] = {}
+        for f, by in totals.items():
+            for k, v in by.items():
+                others[k] = others.get(k, 0) + (v if f != fold else 0)
+        model = fit_cells(cells.where(F.col(fold_col) != fold), fit, {k: v for k, v in others.items() if v}, label=label, count=count)
+        split = F.when(F.col(fold_col) == fold, "validation").otherwise("train")
+        for c in read:
+            if c.family == "baseline":
+                scored = cells.withColumn("__p", F.lit(float(model)))
+            else:
+                scored = _positive_probability((boosted_prefix(model, c.params["rounds"]) if c.family == "gbt" else model).transform(cells))
+            scored.groupBy(split.alias("split"), F.col(label).cast("double").alias("y"), F.col("__p").alias("p")).agg(
+                F.sum(count).cast("long").alias("n")).coalesce(1).write.mode(
+                "overwrite").parquet(f"{path}/candidate={number[c.cid]}/fold={fold}")
+
+    jobs = [(fit, read, f) for fit, read in shared_fits(candidates) for f in sorted(totals)]
+    jobs.sort(key=lambda j: ("baseline", "tree", "logistic", "gbt", "forest").index(j[0].family), reverse=True)  # longest first
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        frames = [fr for part in pool.map(run, jobs) for fr in part]
-    out = frames[0]
-    for fr in frames[1:]:
-        out = out.unionByName(fr)
-    return materialize(out)
+        list(pool.map(run, jobs))
+    settings = spark.createDataFrame([(number[c.cid], c.cid, c.family, json.dumps(c.params, sort_keys=True), c.complexity) for c in candidates],
+                                     "candidate int, candidate_id string, family string, params string, complexity int")
+    return spark.read.schema("split string, y double, p double, n long, candidate int, fold int").parquet(path).join(F.broadcast(settings), "candidate").drop("candidate")
 
 
-def fit_metrics(preds: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Six metrics per (candidate, fold, split) from one grouped aggregate + grouped tie-aware AUC."""
+def fit_metrics(preds: DataFrame, threshold: float = 0.5, weight: str | None = None) -> DataFrame:
+    """Six metrics per (candidate, fold, split) from one grouped aggregate + grouped tie-aware AUC; ``weight`` counts rows."""
     keys = ["candidate_id", "family", "params", "complexity", "fold", "split"]
     y, pr = F.col("y"), (F.col("p") >= threshold).cast("int")
+    n = F.col(weight).cast("double") if weight else F.lit(1.0)
+
+    def total(of) -> Column:
+        return F.sum(F.when(of, n).otherwise(0.0))
+
     agg = preds.groupBy(*keys).agg(
-        F.count_if((y == 1) & (pr == 1)).cast("double").alias("tp"),
-        F.count_if((y == 0) & (pr == 0)).cast("double").alias("tn"),
-        F.count_if((y == 0) & (pr == 1)).cast("double").alias("fp"),
-        F.count_if((y == 1) & (pr == 0)).cast("double").alias("fn"),
-        F.avg(F.pow(F.col("p") - y, 2)).alias("brier"))
+        total((y == 1) & (pr == 1)).alias("tp"), total((y == 0) & (pr == 0)).alias("tn"),
+        total((y == 0) & (pr == 1)).alias("fp"), total((y == 1) & (pr == 0)).alias("fn"),
+        (F.sum(F.pow(F.col("p") - y, 2) * n) / F.sum(n)).alias("brier"))
     tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
     m = agg.select(*keys,
                    F.coalesce(F.try_divide(tp + tn, tp + tn + fp + fn), F.lit(0.0)).alias("accuracy"),
                    F.coalesce(F.try_divide(tp, tp + fp), F.lit(0.0)).alias("precision"),
                    F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0)).alias("recall"),
                    F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), F.lit(0.0)).alias("f1"), "brier")
-    auc = roc_auc(preds, "y", "p", by=["candidate_id", "fold", "split"])
+    auc = roc_auc(preds, "y", "p", by=["candidate_id", "fold", "split"], weight=weight)
     return m.join(auc, ["candidate_id", "fold", "split"], "left")
 
 
 #: Simplest family first.
-FAMILY_TIERS = {"baseline": 0, "logistic": 1, "tree": 2, "forest": 3, "gbt": 4}
+FAMILY_TIERS = {"baseline": 0, "logistic": 1, "tree": 2, "forest": 3, "gbt": 3}
 METRICS = ("roc_auc", "accuracy", "precision", "recall", "f1", "brier")
 
 

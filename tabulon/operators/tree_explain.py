@@ -1,129 +1,140 @@
-"""K3 — exact path-dependent Shapley attributions for a fitted GBTClassifier (log-odds).
-
-The model's node table (bounded by the model size, not the data) is read from
-its saved Parquet and shipped to the tasks; rows are explained in Arrow
-batches by ``mapInPandas`` — no shuffle. For every tree the conditional
-expectation E[f(x) | x_S] follows x on features in S and averages the children
-by training cover elsewhere; the Shapley value is the exact weighted sum over
-subsets of the features the tree uses (≤ ``max_tree_features``; depth ≤ 2 trees
-use at most 3). Spark's GBT margin is Σ wₜ·treeₜ(x) and log-odds = 2·margin.
+"""K3 — exact path-dependent Shapley attributions of tree ensembles, as joins with a path table.
+
+A fitted ensemble becomes a node table and that a path table: one row per leaf, with the
+leaf's value and, for every feature on its path, the tests that lead there and z, the share
+of the training cover that passes them. A row x passes (o = 1) or fails (o = 0) the tests of
+a feature, and a leaf's part of the game is v · Π_{j∈S} o_j · Π_{j∉S} z_j. Its Shapley value
+for feature i is v · (o_i − z_i) times the coefficients of Π_{j≠i} (z_j + o_j t), weighted by
+k! (m−k−1)! / m!: quadratic in the path's features instead of exponential, for any depth.
+
+Rows first collapse to distinct profiles; profiles join the path table by model, and one
+grouped sum gives the attributions. The path table has as many rows as the model has leaves;
+that number is known when the table is written, so the join may broadcast it. All of it runs
+as Spark expressions. A boosted classifier's margin is Σ weight · tree(x), its log-odds twice
+that; leaf values are scaled so that they add up to the log-odds.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulon.session import materialize
 
-def load_trees(model, path: str) -> list[dict]:
-    """[{weight, nodes: {id: (feature, left, right, kind, threshold_or_cats, value, cover)}}] from the saved model."""
-    from pyspark.sql import SparkSession
-    session = SparkSession.getActiveSession()
+MOST_ON_PATH = 30  # features on one path: Spark's trees are no deeper
+
+_TEST = "struct<lo:double,hi:double,cats:array<double>,inside:boolean>"
+_COND = f"array<struct<feature:int,share:double,test:{_TEST}>>"
+
+
+def node_table(spark: SparkSession, model, path: str, name: str) -> DataFrame:
+    """``model, tree, node, left, right, feature, threshold, cats, cover, value`` of a fitted boosted classifier, saved to ``path``."""
     model.write().overwrite().save(path)
-    data = session.read.parquet(f"{path}/data").collect()            # bounded by the model
-    weights = dict(enumerate(float(w) for w in model.treeWeights))
-    trees: dict[int, dict] = {}
-    for r in data:
-        nd = r["nodeData"]
-        sp = nd["split"]
-        kind = "cont" if sp["numCategories"] == -1 else "cat"
-        if nd["leftChild"] < 0:  # leaf: no split
-            arg = None
-        else:
-            arg = (float(sp["leftCategoriesOrThreshold"][0]) if kind == "cont"
-                   else {float(v) for v in sp["leftCategoriesOrThreshold"]})
-        trees.setdefault(r["treeID"], {})[nd["id"]] = (
-            sp["featureIndex"], nd["leftChild"], nd["rightChild"], kind, arg, float(nd["prediction"]),
-            float(nd["rawCount"]))
-    return [{"weight": weights[t], "nodes": nodes} for t, nodes in sorted(trees.items())]
-
-
-def _goes_left(x: np.ndarray, node) -> np.ndarray:
-    feat, _l, _r, kind, arg, _v, _c = node
-    col = x[:, feat]
-    if kind == "cont":
-        return col <= arg
-    return np.isin(col, list(arg))
-
-
-def _expect(x: np.ndarray, nodes: dict, nid: int, subset: frozenset) -> np.ndarray:
-    feat, left, right, kind, arg, value, cover = nodes[nid]
-    if left < 0:
-        return np.full(x.shape[0], value)
-    el, er = _expect(x, nodes, left, subset), _expect(x, nodes, right, subset)
-    if feat in subset:
-        return np.where(_goes_left(x, nodes[nid]), el, er)
-    cl, cr = nodes[left][6], nodes[right][6]
-    return (cl * el + cr * er) / (cl + cr)
-
-
-def tree_shap(x: np.ndarray, tree: dict, max_tree_features: int = 10) -> tuple[dict[int, np.ndarray], float]:
-    """Exact Shapley values (by subset enumeration) of one tree's output for the rows of ``x``."""
-    nodes = tree["nodes"]
-    used = sorted({n[0] for n in nodes.values() if n[1] >= 0})
-    if len(used) > max_tree_features:
-        raise ValueError(f"tree uses {len(used)} features; subset enumeration limited to {max_tree_features}")
-    m = len(used)
-    cache = {}
-    for k in range(m + 1):
-        for s in itertools.combinations(used, k):
-            cache[frozenset(s)] = _expect(x, nodes, 0, frozenset(s))
-    phi = {}
-    for i in used:
-        others = [f for f in used if f != i]
-        acc = np.zeros(x.shape[0])
-        for k in range(m):
-            wgt = math.factorial(k) * math.factorial(m - k - 1) / math.factorial(m)
-            for s in itertools.combinations(others, k):
-                acc += wgt * (cache[frozenset(s) | {i}] - cache[frozenset(s)])
-        phi[i] = acc
-    base = float(cache[frozenset()][0]) if x.shape[0] else 0.0
-    return phi, base
-
-
-def tree_attribution(df: DataFrame, model, model_path: str, id_col: str, features_col: str,
-                     source_of: Sequence[str]) -> DataFrame:
-    """(id, source_feature, phi, base, raw_log_odds) per row; φ summed to source features in-task.
-
-    ``source_of[j]`` names the source feature of encoded column j (from the encoded feature map).
+    weights = spark.createDataFrame([(i, 2.0 * float(w)) for i, w in enumerate(model.treeWeights)], "tree int, scale double")
+    n = F.col("nodeData")
+    continuous = n["split"]["numCategories"] == -1
+    nodes = spark.read.parquet(f"{path}/data").select(
+        F.lit(name).alias("model"), F.col("treeID").alias("tree"), n["id"].alias("node"), n["leftChild"].alias("left"), n["rightChild"].alias("right"),
+        n["split"]["featureIndex"].alias("feature"), F.when(continuous, F.get(n["split"]["leftCategoriesOrThreshold"], F.lit(0))).alias("threshold"),
+        F.when(~continuous, n["split"]["leftCategoriesOrThreshold"]).alias("cats"), n["rawCount"].cast("double").alias("cover"),
+        n["prediction"].alias("value"))
+    return nodes.join(weights, "tree").withColumn("value", F.col("value") * F.col("scale")).drop("scale")
+
+
+def path_table(nodes: DataFrame, depth: int) -> DataFrame:
+    """``model, tree, leaf, value, features``: one row per leaf; ``features`` has (feature, z, tests) for each feature on its path."""
+    nodes = materialize(nodes)
+    child = nodes.select("model", "tree", F.col("node").alias("at"), F.col("cover").alias("child_cover"))
+    edges = []
+    for side, left in (("left", True), ("right", False)):
+        inf = F.lit(float("inf"))
+        test = F.struct(
+            F.when(F.col("cats").isNull(), -inf if left else F.col("threshold")).alias("lo"),
+            F.when(F.col("cats").isNull(), F.col("threshold") if left else inf).alias("hi"),
+            F.col("cats").alias("cats"), F.lit(left).alias("inside"))
+        edges.append(nodes.where("left >= 0").withColumn("at", F.col(side)).join(child, ["model", "tree", "at"]).select(
+            "model", "tree", "node", "at", F.struct(F.col("feature").cast("int").alias("feature"), (F.col("child_cover") / F.col("cover")).alias("share"),
+                                                    test.alias("test")).alias("cond")))
+    edges = materialize(edges[0].unionByName(edges[1]))
+    level = nodes.where("node = 0").select("model", "tree", F.lit(0).alias("node"), F.expr(f"cast(array() as {_COND})").alias("conds"))
+    walked = level
+    for _ in range(depth):
+        level = level.join(edges, ["model", "tree", "node"]).select("model", "tree", F.col("at").alias("node"), F.array_append("conds", F.col("cond")).alias("conds"))
+        walked = walked.unionByName(level)
+    leaves = nodes.where("left < 0").select("model", "tree", "node", "value").join(walked, ["model", "tree", "node"])
+    one = F.aggregate
+    of = F.transform(F.array_distinct(F.transform("conds", lambda c: c["feature"])), lambda f: F.struct(
+        f.alias("feature"),
+        one(F.filter("conds", lambda c: c["feature"] == f), F.lit(1.0), lambda a, c: a * c["share"]).alias("z"),
+        F.transform(F.filter("conds", lambda c: c["feature"] == f), lambda c: c["test"]).alias("tests")))
+    return materialize(leaves.select("model", "tree", F.col("node").alias("leaf"), "value", of.alias("features")))
+
+
+def _passed(x: Column, tests: Column) -> Column:
+    return F.forall(tests, lambda t: F.when(t["cats"].isNull(), (x > t["lo"]) & (x <= t["hi"])).otherwise(F.array_contains(t["cats"], x) == t["inside"]))
+
+
+def _shapley_weights() -> Column:
+    """k! (m−k−1)! / m! by m and k: a fixed table."""
+    return F.array(*[F.array(*[F.lit(1.0 / (m * math.comb(m - 1, k))) for k in range(m)]) if m else F.array(F.lit(0.0)) for m in range(MOST_ON_PATH + 1)])
+
+
+def leaf_games(cells: DataFrame, paths: DataFrame, key: Sequence[str], x: str) -> DataFrame:
+    """``key, model, value, parts`` for every cell and leaf of its model; ``parts`` has (feature, z, o)."""
+    parts = F.transform("features", lambda f: F.struct(
+        f["feature"].alias("feature"), f["z"].alias("z"),
+        F.when(_passed(F.element_at(F.col(x), f["feature"] + 1), f["tests"]), 1.0).otherwise(0.0).alias("o")))
+    return cells.select(*key, "model", x).join(paths, "model").select(*key, "model", "value", parts.alias("parts"))
+
+
+def attributions(cells: DataFrame, paths: DataFrame, key: Sequence[str], x: str = "x") -> DataFrame:
+    """``key, model, feature, phi`` over the features that the model uses (0 where a path has none)."""
+    games = leaf_games(cells, paths, key, x)
+    weights = _shapley_weights()
+
+    def phi(p: Column, i: Column) -> Column:
+        others = F.filter("parts", lambda q, j: j != i)
+        poly = F.aggregate(others, F.array(F.lit(1.0)), lambda acc, q: F.zip_with(
+            F.concat(acc, F.array(F.lit(0.0))), F.concat(F.array(F.lit(0.0)), acc), lambda a, b: a * q["z"] + b * q["o"]))
+        share = F.aggregate(F.zip_with(poly, F.get(weights, F.size("parts")), lambda c, w: c * w), F.lit(0.0), lambda a, b: a + b)
+        return F.struct(p["feature"].alias("feature"), (F.col("value") * (p["o"] - p["z"]) * share).alias("phi"))
+
+    each = games.select(*key, "model", F.explode(F.transform("parts", phi)).alias("p"))
+    return each.groupBy(*key, "model", F.col("p.feature").alias("feature")).agg(F.sum("p.phi").alias("phi"))
+
+
+def margins(cells: DataFrame, paths: DataFrame, key: Sequence[str], x: str = "x") -> DataFrame:
+    """``key, model, base, raw``: the expected log-odds and those of each cell."""
+    times = lambda field: F.aggregate("parts", F.lit(1.0), lambda a, p: a * p[field])
+    games = leaf_games(cells, paths, key, x)
+    return games.groupBy(*key, "model").agg(F.sum(F.col("value") * times("z")).alias("base"), F.sum(F.col("value") * times("o")).alias("raw"))
+
+
+def tree_attribution(df: DataFrame, paths: DataFrame, id_col: str, profile: Sequence[str], x: str, source_of: Mapping[int, str] | DataFrame) -> DataFrame:
+    """``id, source_feature, phi``: attributions summed to source features; every row gets those of its profile.
+
+    ``profile`` are the columns that determine the encoded vector ``x`` (array of doubles);
+    ``source_of`` maps encoded features to source features, by a mapping or a table
+    ``feature, source_feature``.
     """
-    from pyspark.ml.functions import vector_to_array
-    trees = load_trees(model, model_path)
-    sources = list(source_of)
-    names = sorted(set(sources))
-
-    def explain(batches):
-        for pdf in batches:
-            x = np.array(pdf["__x"].tolist(), dtype=float) if len(pdf) else np.zeros((0, len(sources)))
-            total = {s: np.zeros(len(pdf)) for s in names}
-            base = 0.0
-            margin = np.zeros(len(pdf))
-            for t in trees:
-                scale = 2.0 * t["weight"]
-                phi, b = tree_shap(x, t)
-                base += scale * b
-                for j, v in phi.items():
-                    total[sources[j]] += scale * v
-                margin += scale * _expect(x, t["nodes"], 0, frozenset(range(x.shape[1])))
-            rows = []
-            for s in names:
-                rows.append(pd.DataFrame({id_col: pdf[id_col].values, "source_feature": s, "phi": total[s],
-                                          "base": base, "raw_log_odds": margin}))
-            yield pd.concat(rows, ignore_index=True) if rows else pd.DataFrame()
-
-    inp = df.select(F.col(id_col), vector_to_array(features_col).alias("__x"))
-    id_type = dict(df.dtypes)[id_col]
-    return inp.mapInPandas(explain, f"{id_col} {id_type}, source_feature string, phi double, base double, "
-                                    "raw_log_odds double")
-
-
-def tree_additivity(attr: DataFrame, model_raw: DataFrame, id_col: str) -> DataFrame:
-    """Max |2·rawPrediction[1] − (base + Σφ)| against the model's own raw prediction."""
-    s = attr.groupBy(id_col).agg((F.first("base") + F.sum("phi")).alias("__rebuilt"))
-    return s.join(model_raw, id_col).agg(F.max(F.abs(F.col("__rebuilt") - F.col("__raw"))).alias("max_raw_error"))
+    spark = df.sparkSession
+    if not isinstance(source_of, DataFrame):
+        source_of = spark.createDataFrame([(int(k), v) for k, v in source_of.items()], "feature int, source_feature string")
+    cells = materialize(df.groupBy(*profile).agg(F.first(x).alias("x")).withColumn("cell", F.monotonically_increasing_id())
+                        .withColumn("model", F.lit(paths.select("model").first()[0])))
+    phi = attributions(cells, paths, ["cell"]).join(F.broadcast(source_of), "feature").groupBy("cell", "source_feature").agg(F.sum("phi").alias("phi"))
+    own = cells.select(F.col("cell").alias("__cell"), *[F.col(c).alias(f"__{c}") for c in profile])
+    same = F.lit(True)
+    for c in profile:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return df.join(own, same).select(id_col, F.col("__cell").alias("cell")).join(phi, "cell").select(id_col, "source_feature", "phi")
+
+
+def tree_additivity(cells: DataFrame, paths: DataFrame, key: Sequence[str], model_raw: DataFrame, x: str = "x") -> DataFrame:
+    """``rows, max_raw_error``: |the model's own log-odds (``key, __raw``) − (base + Σφ)| over all cells."""
+    total = attributions(cells, paths, key, x).groupBy(*key).agg(F.sum("phi").alias("phi"))
+    rebuilt = margins(cells, paths, key, x).join(total, list(key), "left").select(*key, (F.col("base") + F.coalesce("phi", F.lit(0.0))).alias("__rebuilt"))
+    return rebuilt.join(model_raw, list(key)).agg(F.count("*").alias("rows"), F.max(F.abs(F.col("__rebuilt") - F.col("__raw"))).alias("max_raw_error"))

@@ -13,25 +13,75 @@ from tabulon.operators import splits as H
 from tabulon.operators import tree_explain as T
 
 
-def test_tree_shap_matches_permutation_definition():
-    # depth-2 tree on 3 features: node → (feature, left, right, kind, arg, value, cover)
-    nodes = {0: (0, 1, 2, "cont", 0.5, 0.0, 100.0), 1: (1, 3, 4, "cont", 0.5, 0.0, 60.0),
-             2: (2, 5, 6, "cat", {1.0}, 0.0, 40.0), 3: (-1, -1, -1, "cont", None, 1.0, 20.0),
-             4: (-1, -1, -1, "cont", None, -2.0, 40.0), 5: (-1, -1, -1, "cont", None, 3.0, 10.0),
-             6: (-1, -1, -1, "cont", None, 0.5, 30.0)}
-    tree = {"weight": 1.0, "nodes": nodes}
-    x = np.array([[0.0, 1.0, 0.0], [1.0, 0.0, 1.0], [0.0, 0.0, 1.0]])
-    phi, base = T.tree_shap(x, tree)
-    full = T._expect(x, nodes, 0, frozenset({0, 1, 2}))
-    # brute force: average marginal contribution over all feature orderings
-    for i in range(3):
-        acc = np.zeros(3)
-        perms = list(itertools.permutations(range(3)))
-        for order in perms:
-            before = frozenset(order[:order.index(i)])
-            acc += T._expect(x, nodes, 0, before | {i}) - T._expect(x, nodes, 0, before)
-        assert np.allclose(phi[i], acc / len(perms))
-    assert np.allclose(base + sum(phi.values()), full)
+def _expected(nodes, node, x, known):
+    """A tree's value for x where only the features in ``known`` are known: other splits by cover."""
+    _, left, right, feature, threshold, cats, _cover, value = nodes[node]
+    if left < 0:
+        return value
+    if feature in known:
+        goes = x[feature] in cats if cats is not None else x[feature] <= threshold
+        return _expected(nodes, left if goes else right, x, known)
+    return sum(nodes[c][6] * _expected(nodes, c, x, known) for c in (left, right)) / (nodes[left][6] + nodes[right][6])
+
+
+def test_path_table_gives_the_permutation_values(spark):
+    """Depth four, a feature twice on a path, a categorical split, a tree without splits: φ by all orders of the features."""
+    trees = {0: [(0, 1, 2, 0, 0.5, None, 100.0, 0.0), (1, 3, 4, 1, 0.5, None, 60.0, 0.0), (2, 5, 6, 2, None, [1.0, 3.0], 40.0, 0.0),
+                 (3, -1, -1, -1, None, None, 20.0, 1.0), (4, 7, 8, 1, 1.5, None, 40.0, 0.0), (5, -1, -1, -1, None, None, 10.0, 3.0),
+                 (6, -1, -1, -1, None, None, 30.0, 0.5), (7, -1, -1, -1, None, None, 25.0, -2.0), (8, 9, 10, 3, 0.5, None, 15.0, 0.0),
+                 (9, -1, -1, -1, None, None, 5.0, 4.0), (10, -1, -1, -1, None, None, 10.0, -1.5)],
+             1: [(0, -1, -1, -1, None, None, 100.0, 0.25)]}
+    rows = [("m", t, *n) for t, nodes in trees.items() for n in nodes]
+    table = spark.createDataFrame(rows, "model string, tree int, node int, left int, right int, feature int, threshold double, "
+                                        "cats array<double>, cover double, value double")
+    xs = [[0.0, 1.0, 0.0, 1.0], [1.0, 0.0, 1.0, 0.0], [0.0, 2.0, 1.0, 0.0], [0.0, 2.0, 3.0, 1.0], [1.0, 2.0, 0.0, 1.0]]
+    cells = spark.createDataFrame([(i, "m", x) for i, x in enumerate(xs)], "cell int, model string, x array<double>")
+    paths = T.path_table(table, 4)
+    got = {(r.cell, r.feature): r.phi for r in T.attributions(cells, paths, ["cell"]).collect()}
+    sums = {r.cell: (r.base, r.raw) for r in T.margins(cells, paths, ["cell"]).collect()}
+    for i, x in enumerate(xs):
+        value = lambda known: sum(_expected({n[0]: n for n in nodes}, 0, x, known) for nodes in trees.values())  # noqa: B023, E731
+        orders = list(itertools.permutations(range(4)))
+        for f in range(4):
+            want = sum(value(set(o[:o.index(f) + 1])) - value(set(o[:o.index(f)])) for o in orders) / len(orders)
+            assert got[i, f] == pytest.approx(want, abs=1e-12)
+        assert sums[i] == pytest.approx((value(set()), value({0, 1, 2, 3})))
+
+
+def test_cell_fit_equals_row_fit(spark):
+    """Weighted cells give the model of their rows: logistic coefficients, a tree's predictions, and the shared boosting fit."""
+    from pyspark.ml.feature import VectorAssembler
+    from tabulon.operators import models as I
+    r = np.random.default_rng(5)
+    a, b = r.integers(0, 2, 900), r.integers(0, 2, 900)
+    y = (r.random(900) < 0.2 + 0.3 * a + 0.3 * a * b).astype(int)
+    rows = spark.createDataFrame(list(zip(a.tolist(), b.tolist(), (i % 3 for i in range(900)), y.tolist())), "a int, b int, fold int, label int")
+    cells = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(I.profile_cells(rows, ["a", "b", "fold"], "label")).cache()
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows).withColumn("n", F.lit(1))
+    totals = {0: int((y == 0).sum()), 1: int((y == 1).sum())}
+    for c in (I.Candidate("logistic", {"C": 0.2, "class_weight": "balanced"}), I.Candidate("tree", {"max_depth": 3, "min_leaf": 15, "class_weight": None}),
+              I.Candidate("gbt", {"rounds": 4, "rate": 0.1, "max_depth": 2, "min_leaf": 5})):
+        one, two = I.fit_cells(cells, c, totals), I.fit_cells(rows, c, totals)
+        p = [sorted((x["a"], x["b"], round(x["__p"], 5)) for x in I._positive_probability(m.transform(cells.dropDuplicates(["a", "b"]))).collect()) for m in (one, two)]
+        assert p[0] == p[1]
+    long, short = (I.fit_cells(cells, I.Candidate("gbt", {"rounds": k, "rate": 0.1, "max_depth": 2, "min_leaf": 5}), totals) for k in (6, 3))
+    pairs = [sorted(round(x["__p"], 10) for x in I._positive_probability(m.transform(cells)).collect()) for m in (I.boosted_prefix(long, 3), short)]
+    assert pairs[0] == pairs[1]
+    cells.unpersist()
+
+
+def test_search_writes_every_setting_and_fold(spark, tmp_path):
+    from pyspark.ml.feature import VectorAssembler
+    from tabulon.operators import models as I
+    rows = spark.createDataFrame([(i % 2, i // 2 % 2, i % 3, int((i * 7919) % 10 < 4 + 4 * (i % 2))) for i in range(600)], "a int, b int, fold int, label int")
+    cells = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(I.profile_cells(rows, ["a", "b", "fold"], "label"))
+    some = [c for c in I.full_grid() if c.family in ("baseline", "logistic")][:3] + [
+        I.Candidate("gbt", {"rounds": k, "rate": 0.1, "max_depth": 1, "min_leaf": 5}, 9) for k in (2, 4)]
+    assert len(I.shared_fits(some)) == 4 and len(I.full_grid()) == 53
+    scores = I.search_on_cells(cells, "fold", some, str(tmp_path / "s"))
+    table = I.search_table(I.fit_metrics(scores, weight="n"), 3).collect()
+    assert len(table) == 5 and all(r.validation_accuracy_mean >= 0.4 for r in table)
+    assert scores.groupBy("candidate_id", "fold").agg(F.sum("n").alias("n")).where("n <> 600").isEmpty()
 
 
 def test_linear_explainer_additivity_and_topk(spark):
@@ -179,6 +229,8 @@ def test_one_se_picks_the_simplest_family(spark):
                                   "validation_roc_auc_std double, k_folds int")
     out = {r.candidate_id: r for r in one_se_selection(table).collect()}
     assert [c for c, r in out.items() if r.selected] == ["logistic:2"]
+    trees = one_se_selection(table.filter("family <> 'logistic'"))  # forest and boosting share a tier: the better AUC decides
+    assert [r.candidate_id for r in trees.collect() if r.selected] == ["gbt:1"]
     assert {c for c, r in out.items() if r.one_se_eligible} == {"logistic:2", "forest:1", "gbt:1"}
 
 
