@@ -43,7 +43,8 @@ from pyspark.sql import functions as F
 from tabulon.llm.common import dropped, saved
 
 MIN_DOCS, RANKS, UNIT = 10, 10, 1_000_000_000
-HELD = 300_000  # distinct (group, term) entries that a task holds before it hands them on
+HELD = 500_000  # distinct (group, term) entries that a task holds before it hands them on
+BUFFERED = 200_000  # rows that a task gathers before it takes their skybands
 TERMS, SOURCES = 8192, 64  # terms in a chunk, sources in a block
 
 _TERM = re.compile(rb"[A-Za-z\x80-\xff]+")  # over UTF-8: ASCII letters and every other character beyond ASCII
@@ -53,21 +54,26 @@ def counted(docs: DataFrame) -> DataFrame:
     """``lang, source, term, n, docs``: occurrences and documents; a null term has the group's documents."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, inside = defaultdict(Counter), defaultdict(Counter)
+        size = 0
 
         def rows() -> pd.DataFrame:
-            out = [(*g, t if t is None else t.decode(), n[g][t], d) for g, of in inside.items() for t, d in of.items()]
+            parts = [pd.DataFrame({"lang": g[0], "source": g[1], "term": [t if t is None else t.decode() for t in of], "n": list(map(n[g].__getitem__, of)),
+                                   "docs": of.values()}) for g, of in inside.items()]
             n.clear()
             inside.clear()
-            return pd.DataFrame(out, columns=["lang", "source", "term", "n", "docs"])
+            return pd.concat(parts)
 
         for f in frames:
             for lang, source, text in zip(f["lang"], f["source"], f["text"], strict=True):
                 words = _TERM.findall(text.encode().lower())
+                before = len(inside[lang, source])
                 n[lang, source].update(words)
                 inside[lang, source].update(set(words))
                 inside[lang, source][None] += 1
-                if len(inside) + sum(map(len, inside.values())) > HELD:
+                size += len(inside[lang, source]) - before
+                if size > HELD:
                     yield rows()
+                    size = 0
         if inside:
             yield rows()
 
@@ -93,30 +99,39 @@ def _band(n: np.ndarray, other: np.ndarray, term: np.ndarray, k: int) -> np.ndar
     place = np.empty(len(term), dtype=np.int64)
     place[np.argsort(term, kind="stable")] = np.arange(len(term))  # Python's order of strings is that of their UTF-8
     order = np.lexsort((place, other, -n))
-    band, b_other, b_place = [], np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    new = np.flatnonzero(np.diff(n[order], prepend=-1).astype(bool) | np.diff(other[order], prepend=-1).astype(bool))
+    order = order[np.arange(len(order)) - np.repeat(new, np.diff([*new, len(order)])) < k]  # of equal counts the first k terms
+    b_other, b_place, band, size = np.empty(len(order), dtype=np.int64), np.empty(len(order), dtype=np.int64), [], 0
     for i in range(0, len(order), 512):
         at = order[i:i + 512]
-        at = at[((b_other[None] <= other[at][:, None]) & (b_place[None] < place[at][:, None])).sum(axis=1) < k]
-        more = []
-        for r in at:
-            before = np.concatenate([b_other, other[more]]) <= other[r]
-            if (before & (np.concatenate([b_place, place[more]]) < place[r])).sum() < k:
-                more.append(r)
-        band += more
-        b_other, b_place = other[band], place[band]
+        at = at[((b_other[:size][None] <= other[at][:, None]) & (b_place[:size][None] < place[at][:, None])).sum(axis=1) < k]
+        for r, o, q in zip(at.tolist(), other[at].tolist(), place[at].tolist(), strict=True):
+            if np.count_nonzero((b_other[:size] <= o) & (b_place[:size] < q)) < k:
+                band.append(r)
+                b_other[size], b_place[size] = o, q
+                size += 1
     return np.array(band, dtype=np.int64)
 
 
 def skyband(rows: DataFrame, k: int = RANKS) -> DataFrame:
     """Each partition's k-skyband of ``lang, source, term, n, lang_n`` by group."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple, pd.DataFrame] = {}
+        held: list[pd.DataFrame] = []
+        size = 0
+
+        def bands() -> list[pd.DataFrame]:
+            every = pd.concat(held, ignore_index=True)
+            return [part.iloc[_band(part["n"].to_numpy(), part["lang_n"].to_numpy(), part["term"].to_numpy(), k)]
+                    for _, part in every.groupby(["lang", "source"], sort=False)]
+
         for f in frames:
-            for g, part in f.groupby(["lang", "source"], sort=False):
-                part = pd.concat([held[g], part]) if g in held else part
-                held[g] = part.iloc[_band(part["n"].to_numpy(), part["lang_n"].to_numpy(), part["term"].to_numpy(), k)]
-        for part in held.values():
-            yield part
+            held.append(f)
+            size += len(f)
+            if size >= BUFFERED:
+                held = bands()
+                size = 0  # bands are small beside what comes
+        if held:
+            yield pd.concat(bands())
 
     return rows.select("lang", "source", "term", "n", "lang_n").mapInPandas(run, "lang string, source string, term string, n long, lang_n long")
 
