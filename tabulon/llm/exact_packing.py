@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 from tabulon.llm.common import batched, saved, texts
 
 CAPACITY = 2048
-CACHE_WORDS = 800_000  # words whose ids a Python worker remembers, from task to task; a full cache is emptied
+#: Bytes of words and ids that a Python worker remembers: the first it meets (so the frequent ones)
+#: from task to task, the others until their share is full or the task ends.
+CORE_BYTES, PASSING_BYTES = 5 << 20, 3 << 20
 
 
 class WordTokens:
@@ -45,15 +47,29 @@ class WordTokens:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one thread a task
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(tokenizer_file)
-        self.tok.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.passing: list[str] = []
+        self.core_bytes = self.passing_bytes = 0
+
+    def forget(self) -> None:
+        """Only the core stays."""
+        for w in self.passing:
+            del self.known[w]
+        self.passing, self.passing_bytes = [], 0
 
     def learn(self, words: list[str]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+        if self.passing_bytes > PASSING_BYTES:
+            self.forget()
         new = [w for w in dict.fromkeys(words) if w not in self.known]
         for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[w] = array("I", e.ids).tobytes() if sys.byteorder == "little" else np.array(e.ids, "<u4").tobytes()
+            ids = array("I", e.ids).tobytes() if sys.byteorder == "little" else np.array(e.ids, "<u4").tobytes()
+            self.known[w] = ids
+            size = len(w.encode()) + len(ids)
+            if self.core_bytes + size <= CORE_BYTES:
+                self.core_bytes += size
+            else:
+                self.passing.append(w)
+                self.passing_bytes += size
 
     def ids(self, text: str | None, end_id: int = 0) -> bytes:
         """Little-endian unsigned 32-bit ids of the text, then the end id."""
@@ -86,6 +102,7 @@ def tokenised(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) ->
                     part = ids[at:at + step]
                     out.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+        tok.forget()
 
     return texts(docs).mapInPandas(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
