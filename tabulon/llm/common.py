@@ -44,12 +44,26 @@ def dropped(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-SMALL = 500_000  # rows
-
-
-def if_small(df: DataFrame, limit: int = SMALL) -> DataFrame:
-    """Broadcast a written table whose rows have been counted; beyond the limit leave the join to shuffle."""
-    return F.broadcast(df) if df.count() <= limit else df
+SMALL, SMALL_BYTES = 500_000, 32 << 20
+
+
+def _bytes(column: "F.Column", kind) -> "F.Column":
+    """About how much a value takes: texts by their bytes, arrays by their elements."""
+    name = kind.typeName()
+    if name in ("string", "binary"):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if name == "array":
+        return F.coalesce(F.aggregate(column, F.lit(0).cast("long"), lambda t, x: t + _bytes(x, kind.elementType)), F.lit(0)) + 16
+    if name == "struct":
+        return sum((_bytes(column[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    return F.lit(8)
+
+
+def if_small(df: DataFrame, limit: int = SMALL, most: int = SMALL_BYTES) -> DataFrame:
+    """Broadcast a written table whose rows and bytes have been counted; beyond either limit leave the join to shuffle."""
+    size = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
+    got = df.agg(F.count("*").alias("n"), F.sum(size).alias("b")).first()
+    return F.broadcast(df) if got["n"] <= limit and (got["b"] or 0) <= most else df
 
 
 def crc_mod5(col) -> "F.Column":

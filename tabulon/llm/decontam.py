@@ -15,8 +15,9 @@ shows them to be small (``common.if_small``), otherwise the same joins shuffle.
 
 Defined results: a null text has no words, documents and items without words match
 nothing; equal rows are judged each, rows that share an id by their own text, a null
-id like any other; empty tables give an empty result or no matches. Further columns
-are ignored.
+id like any other; items with a null item_id count as one item, which the digest of the
+ids leaves out; empty tables give an empty result or no matches. Further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -159,7 +160,7 @@ def judged(docs: DataFrame, bench: DataFrame, window: int = WINDOW, slop: int =
     covered = F.array_distinct(F.flatten(F.transform("s", lambda x: F.sequence(x["start"], x["start"] + x["length"] - 1))))
     hits = spans.select("k1", "k2", F.size(covered).alias("n_hit"))
     ids = exact.select("k1", "k2", F.col("item_id").cast("string").alias("i")).distinct().groupBy("k1", "k2").agg(
-        F.count("i").alias("n_items"), F.concat_ws(",", F.array_sort(F.collect_list("i"))).alias("ids"))
+        F.count("*").alias("n_items"), F.concat_ws(",", F.array_sort(F.collect_list("i"))).alias("ids"))
     close = close.select("k1", "k2", "item_id").distinct().groupBy("k1", "k2").agg(F.count("*").alias("n_near_items"))
     rows = keyed(docs).select("doc_id", "k1", "k2", n_words(F.col("text")).cast("long").alias("n_words"))
     for part in (hits, ids, close) if near else (hits, ids):
