@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.exprs import blank_to_empty
+from tabulon.operators.profile import LISTED
 
 NOT_APPLICABLE = "Not applicable / skipped"
 CORE_MISSING = "Missing or nonresponse"
@@ -142,7 +143,7 @@ def processed_schema(df: DataFrame, roles: Mapping[str, str] | None = None) -> D
     """Per column: position, role, dtype, null count, distinct count (NULL counted), sorted categories.
 
     One unpivot + aggregate (NULL kept as its own group); category lists, whole, for
-    the string columns that aren't keys.
+    the string columns that aren't keys and have at most ``LISTED`` values.
     """
     spark = df.sparkSession
     cols = df.columns
@@ -157,7 +158,8 @@ def processed_schema(df: DataFrame, roles: Mapping[str, str] | None = None) -> D
         F.count(F.lit(1)).cast("bigint").alias("distinct_count"))
     strings = [c for c, f in zip(cols, df.schema.fields)
                if f.dataType.simpleString() == "string" and (roles or {}).get(c) != "key"]
-    cats = vc.filter(F.col("column").isin(*strings) & F.col("value").isNotNull()).groupBy("column").agg(
+    short = per.filter(F.col("distinct_count") <= LISTED).select("column")  # the count comes first: no long column is gathered
+    cats = vc.filter(F.col("column").isin(*strings) & F.col("value").isNotNull()).join(F.broadcast(short), "column").groupBy("column").agg(
         F.array_join(F.array_sort(F.collect_list("value")), "|").alias("categories"))
     return meta.join(per, "column", "left").join(cats, "column", "left").select(
         "position", "column", "role", "dtype", "null_count", "distinct_count", "categories")

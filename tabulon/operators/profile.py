@@ -213,11 +213,21 @@ def special_tokens(vf: DataFrame, tokens: Sequence[str] = SPECIAL_MISSING_TOKENS
     return txt.unionByName(num).withColumnRenamed("n", "count")
 
 
-def value_lists(vf: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, vals, dist): every distinct non-blank value of the named columns, sorted."""
-    return (vf.filter((F.col("value") != "") & F.col("column").isin(*columns)).groupBy("column")
-            .agg(F.array_sort(F.collect_list("value")).alias("vals"),
-                 F.array_sort(F.collect_list(F.struct("value", "n"))).alias("dist")))
+#: Distinct values up to which a column's values are written out as one list.
+LISTED = 1000
+
+
+def value_lists(vf: DataFrame, columns: Sequence[str], most: int = LISTED) -> DataFrame:
+    """(column, vals, dist): every distinct non-blank value of the named columns, sorted.
+
+    The number of values is known before a list is built; a column with more than ``most``
+    has null lists here (its values are the rows of the value-frequency table).
+    """
+    nb = vf.filter((F.col("value") != "") & F.col("column").isin(*columns))
+    many = nb.groupBy("column").agg(F.count(F.lit(1)).alias("__k"))
+    short = nb.join(F.broadcast(many.where(F.col("__k") <= most)), "column").groupBy("column").agg(  # a row per column
+        F.array_sort(F.collect_list("value")).alias("vals"), F.array_sort(F.collect_list(F.struct("value", "n"))).alias("dist"))
+    return many.select("column").join(short, "column", "left")
 
 
 def small_sets(vf: DataFrame, max_values: int = 12) -> DataFrame:

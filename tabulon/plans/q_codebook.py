@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import functions as F
 
-from tabulon.functions.exprs import sql_str
+from tabulon.functions.exprs import h8, sql_str
 from tabulon.operators import clean as D
 from tabulon.operators import codebook as C
+from tabulon.operators import dictionary as N
 from tabulon.operators import profile as B
 from tabulon.plans.base import Query, values_sql
 from tabulon.plans.q_profile import PROFILE_CTE, RAW_COLS, VF_CTE
+from tabulon.session import materialize, shared_scratch
 from tabulon.sources import fixtures as fx
 from tabulon.sources.tables import table
 
@@ -44,6 +47,10 @@ DOCUMENTED = {
     "inc_q": [],
 }
 FALLBACK = {"inc_q": {str(k): f"Income quintile {k}" for k in range(1, 6)}}
+#: Codebook entries (label, definition) of variables, some of which have no label of their own.
+CODEBOOK = {"segment": ("Market segment", "Segment the customer belongs to."), "region": ("Region", ""), "age": ("Age in years", "Age at the interview."),
+            "con9": ("", "Kind of phone, if any.")}
+MODE_COLS = ["educ", "con9", "segment"]
 SPECIAL_LABELS = (fx.NOT_APPLICABLE, fx.CORE_MISSING, fx.NONRESPONSE, fx.COMBINED_NO)
 
 CATEGORY_RULES = [
@@ -150,6 +157,48 @@ def q_dictionary(spark, d):
                     *[f"status_{o}" for o in OUTCOMES])
 
 
+def q_strict(spark, d):
+    """C9 whole: every part must know every variable; label falls back to the codebook, then to the name."""
+    vf = materialize(B.value_frequency(fx.raw_text(spark, d)))
+    r = materialize(ratings(spark, d))
+    per = r.groupBy("variable").pivot("outcome", OUTCOMES).agg(*[F.first(c).alias(c) for c in ("status", "available", "risk", "reason")])
+    per = per.select("variable", *[F.col(f"{o}_{c}").alias(f"{c}_{o}") for o in OUTCOMES for c in ("status", "available", "risk", "reason")])
+    names = spark.createDataFrame([(c, LABELS.get(c), CODEBOOK.get(c, ("", ""))[0], CODEBOOK.get(c, ("", ""))[1]) for c in RAW_COLS],
+                                  "variable string, __label string, __codebook_label string, definition string")
+    codes = documented_codes(spark, d).groupBy("variable").agg(F.array_sort(F.collect_list(
+        F.struct(F.col("raw_value").alias("value"), F.col("source_label").alias("label")))).alias("codes"))
+    codes = names.select("variable").join(codes, "variable", "left")  # a variable without codes has none: defined, not unmatched
+    j = N.strict_parts({"catalogue": catalogue(spark, d), "codebook": names, "codes": codes, "observed": N.observed_counts(vf), "ratings": per})
+    label = F.coalesce(F.nullif(F.col("__label"), F.lit("")), F.nullif(F.col("__codebook_label"), F.lit("")), F.col("variable"))
+    text = F.coalesce(F.array_join(F.transform("codes", lambda c: F.concat_ws("=", c["value"], c["label"])), "|"), F.lit(""))
+    return j.select("position", "variable", label.alias("label"), "definition", text.alias("documented_codes"),
+                    F.coalesce(N.special_codes(F.col("codes")), F.lit("")).alias("special_codes"), "observed_values", "observed_digest",
+                    "inferred_type", "unique_count", F.col("non_missing_count").alias("valid_count"), "missing_count", "missing_pct", "band", "category", "origin",
+                    N.tags(OUTCOMES).alias("tags"), *[f"{c}_{o}" for o in OUTCOMES for c in ("status", "available", "risk", "reason")])
+
+
+def q_modes(spark, d):
+    """Modes learned from the training rows of the raw text (blank is missing), saved, loaded, and applied to all rows."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from tabulon.operators.impute import ModeImputer
+    raw = fx.raw_text(spark, d).select("respondent_id", *MODE_COLS)
+    side = h8(F.concat(F.lit("mode|"), F.col("respondent_id"))) % 5
+    fitted = Pipeline(stages=[ModeImputer(inputCols=MODE_COLS, outputCols=[f"{c}_full" for c in MODE_COLS], blanks=[""])]).fit(raw.where(side > 0))
+    path = shared_scratch(spark, f"models/{uuid.uuid4().hex}")
+    fitted.write().save(path)
+    full = PipelineModel.load(path).transform(raw)
+    long = full.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}_full").alias("value"), (F.col(c) == "").alias("imputed")) for c in MODE_COLS])).alias("x"))
+    return long.groupBy("x.column", "x.value").agg(F.count("*").alias("n"), F.count_if("x.imputed").alias("imputed"))
+
+
+def q_categories(spark, d):
+    """D9 as rows: every value of every text column that is no key, with its count; no column is gathered in one place."""
+    clean = fx.clean_survey(spark, d)
+    cols = [f.name for f in clean.schema.fields if f.dataType.simpleString() == "string"]
+    long = clean.select(*cols).unpivot([], cols, "column", "value")
+    return long.where("value is not null").groupBy("column", "value").agg(F.count("*").alias("n"))
+
+
 def q_contract(spark, d):
     approved = C.candidates(ratings(spark, d).filter(F.col("outcome") == "y_a"), "status") \
         .select(F.col("variable").alias("feature"))
@@ -305,6 +354,27 @@ DICT_SQL = (
     "left join (select variable, string_agg(raw_value || '=' || cleaned_label, '|' order by raw_value || '=' || "
     "cleaned_label) as documented_codes from cmap group by variable) m using (variable)")
 
+STRICT_SQL = (
+    "select c.position, c.variable, coalesce(nullif(n.l, ''), nullif(n.cl, ''), c.variable) as label, n.def as definition, coalesce(m.codes, '') as documented_codes, "
+    "coalesce(m.special, '') as special_codes, o.k as observed_values, o.digest as observed_digest, c.inferred_type, c.unique_count, c.non_missing_count as valid_count, "
+    "c.missing_count, c.missing_pct, c.band, c.category, c.origin, array_to_string(list_filter([c.category, case when c.origin = 'CONSTRUCTED' then 'CONSTRUCTED' end, "
+    "case when c.missing_pct >= 50 then 'HIGH_MISSING' end, case when c.missing_pct = 100 then 'ALL_MISSING' end, case when c.unique_count <= 1 then 'LOW_VARIANCE' end, "
+    + ", ".join(f"case when starts_with(r{i}.status, 'CANDIDATE') then 'CANDIDATE_MODEL_{i}' end" for i in (1, 2))
+    + ", case when r1.risk in ('DIRECT', 'HIGH') or r2.risk in ('DIRECT', 'HIGH') then 'POSSIBLE_LEAKAGE' end, "
+    "case when starts_with(r1.status, 'EXCLUDE') and starts_with(r2.status, 'EXCLUDE') then 'EXCLUDED' end], lambda x: x is not null), ';') as tags, "
+    + ", ".join(f"r{i}.{c} as {c}_{o}" for i, o in enumerate(OUTCOMES, 1) for c in ("status", "available", "risk", "reason"))
+    + " from cat c join " + values_sql([(c, LABELS.get(c, ""), *CODEBOOK.get(c, ("", ""))) for c in RAW_COLS], ["v", "l", "cl", "def"]) + " n on n.v = c.variable "
+    + " ".join(f"join rat r{i} on r{i}.variable = c.variable and r{i}.outcome = '{o}'" for i, o in enumerate(OUTCOMES, 1))
+    + " join (select \"column\" as variable, count(*) as k, cast(sum(cast(cast(('0x' || substr(md5(concat(value, '=', cast(n as varchar))), 1, 8)) as bigint) "
+    "as decimal(38,0))) as varchar) as digest from vf group by 1) o on o.variable = c.variable "
+    "left join (select variable, string_agg(raw_value || '=' || source_label, '|' order by raw_value, source_label) as codes, "
+    "string_agg(raw_value, ';' order by raw_value, source_label) filter (where contains(lower(source_label), 'don''t know') or contains(lower(source_label), 'refused') "
+    "or contains(lower(source_label), 'no/dk/ref')) as special from cmap group by variable) m on m.variable = c.variable")
+MODE_SQL = (
+    "with_side as (select *, cast(('0x' || substr(md5(concat('mode|', respondent_id)), 1, 8)) as bigint) % 5 as side from raw_text), "
+    "ml as (select side, c as \"column\", v as value from with_side unpivot (v for c in (" + ", ".join(MODE_COLS) + "))), "
+    "mm as (select \"column\", arg_min(value, (-n, value)) as mode from (select \"column\", value, count(*) as n from ml where side > 0 and value <> '' group by all) group by 1)")
+CATEGORY_COLS = ["age_group", *fx.CODE_MAPS, *fx.PASSTHROUGH]
 LINES_CTE = (
     "ln0 as (select doc_id, unnest(string_split(text, chr(10))) as line, "
     "unnest(range(1, len(string_split(text, chr(10))) + 1)) as line_no from documents), "
@@ -382,4 +452,9 @@ QUERIES = [
     Query("processed_schema", "D9", q_processed_schema, SCHEMA_SQL),
     Query("semantic_states", "D10", q_semantic, SEM_SQL),
     Query("prep_template", "D11", q_prep),
+    Query("dictionary_strict", "C9", q_strict, STRICT_SQL, ("missing_pct",), ctes=CAT_CTE + ", " + CODES_CTE),
+    Query("mode_imputation", "D11", q_modes, "select l.\"column\", case when value = '' then mode else value end as value, count(*) as n, "
+          "count(*) filter (where value = '') as imputed from ml l join mm using (\"column\") group by 1, 2", ctes=MODE_SQL),
+    Query("category_values", "D9", q_categories, "select c as \"column\", v as value, count(*) as n from clean_survey unpivot (v for c in ("
+          + ", ".join(CATEGORY_COLS) + ")) group by all"),
 ]

@@ -12,7 +12,7 @@ from tabulon.plans.base import Query, values_sql
 from tabulon.plans.q_codebook import CODES_CTE, LABELS, documented_codes
 from tabulon.plans.q_features import FF_CTE, MODEL_FEATURES, TARGET, feature_frame
 from tabulon.plans.q_profile import PROFILE_CTE, RAW_COLS, VF_CTE
-from tabulon.session import shared_scratch
+from tabulon.session import materialize, shared_scratch
 from tabulon.sources import csv_raw, fingerprint, xml_codebook
 from tabulon.sources import fixtures as fx
 from tabulon.sources.tables import table
@@ -76,12 +76,35 @@ GATE_SQL = (
     f"not in ('0', '1')), count(*) filter (where {TARGET} is null or cast({TARGET} as varchar) not in ('0', '1')) = 0 "
     "from ff")
 
+PIN_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+PIN_SQL = ("select count(*) as rows, cast(sum(cast(cast(('0x' || substr(md5(concat_ws(chr(31), " + ", ".join(f"cast({c} as varchar)" for c in PIN_COLS)
+           + ")), 1, 8)) as bigint) as decimal(38,0))) as varchar) as fingerprint from orders")
+
+
+def q_manifest(spark, d):
+    """Two written artifacts; one is written again from other rows: the manifests show which files differ, the other is unchanged."""
+    root = shared_scratch(spark, f"artifacts/{uuid.uuid4().hex}")
+    orders = table(spark, d, "orders").select(*PIN_COLS)
+    orders.coalesce(1).write.option("compression", "none").csv(f"{root}/a")
+    orders.coalesce(1).write.option("compression", "none").csv(f"{root}/b")
+    before = {k: materialize(fingerprint.manifest(spark, f"{root}/{k}")) for k in "ab"}
+    orders.where("o_orderkey % 2 = 0").coalesce(1).write.mode("overwrite").csv(f"{root}/b")
+    out = None
+    for k in "ab":
+        diff = fingerprint.manifest_diff(before[k], fingerprint.manifest(spark, f"{root}/{k}"))
+        one = diff.agg(F.lit(k).alias("artifact"), (F.count_if(F.col("change") != "same") == 0).alias("unchanged"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 QUERIES = [
+    Query("table_pin", "A4", lambda s, d: fingerprint.table_fingerprint(table(s, d, "orders"), PIN_COLS, portable=True), PIN_SQL, survey=False),
+    Query("artifact_manifest", "A4,I10", q_manifest, "select 'a' as artifact, true as unchanged union all select 'b', false", survey=False),
     Query("raw_csv_roundtrip", "A1,A6", q_roundtrip, "select * from raw_text"),
     Query("csv_structure", "A2", q_structure, "select 13 as width, count(*) as rows from raw_text"),
     Query("xml_codebook", "A7", q_xml, XML_SQL, ctes=PROFILE_CTE + ", " + CODES_CTE),
     Query("table_fingerprint", "A4", lambda s, d: fingerprint.table_fingerprint(table(s, d, "orders"))),
-    Query("file_fingerprint", "A4", lambda s, d: fingerprint.file_fingerprints(s, f"{d}/orders.parquet")),
+    Query("file_fingerprint", "A4", lambda s, d: fingerprint.file_fingerprints(s, f"{d}/orders.parquet").drop("path")),
     Query("unique_key_check", "A3", lambda s, d: A.key_summary(table(s, d, "events"), ["user_id", "event_type"]),
           "select cast(sum(c) as bigint) as rows, count(*) as distinct_keys, count(*) filter (where c > 1) "
           "as duplicate_keys, cast(coalesce(sum(c) filter (where c > 1), 0) as bigint) as rows_in_duplicate_keys "
