@@ -168,8 +168,8 @@ def shared_fits(candidates: Sequence[Candidate]) -> list[tuple[Candidate, list[C
 
 
 def search_on_cells(cells: DataFrame, fold_col: str, candidates: Sequence[Candidate], path: str, label: str = "label",
-                    count: str = "n", parallelism: int = 8) -> DataFrame:
-    """Every (candidate, fold) fit on weighted cells → score cells (split, y, p, n) of its training and validation rows.
+                    count: str = "n", parallelism: int = 8, folds: Sequence[int] | None = None) -> DataFrame:
+    """Every (candidate, fold) fit on weighted cells → score cells (split, y, p, n) of its training and validation rows (of all folds, or of ``folds``).
 
     A fit writes its predictions below ``path``, so they are kept as they come and a fit that
     fails is repeated alone; the table returned reads them all.
@@ -197,7 +197,7 @@ def search_on_cells(cells: DataFrame, fold_col: str, candidates: Sequence[Candid
                 F.sum(count).cast("long").alias("n")).coalesce(1).write.mode(
                 "overwrite").parquet(f"{path}/candidate={number[c.cid]}/fold={fold}")
 
-    jobs = [(fit, read, f) for fit, read in shared_fits(candidates) for f in sorted(totals)]
+    jobs = [(fit, read, f) for fit, read in shared_fits(candidates) for f in (sorted(totals) if folds is None else folds)]
     jobs.sort(key=lambda j: ("baseline", "tree", "logistic", "gbt", "forest").index(j[0].family), reverse=True)  # longest first
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         list(pool.map(run, jobs))
