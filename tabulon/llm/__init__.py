@@ -1,4 +1,4 @@
-"""Training-data operators (numbered 1-10) and the queries over them.
+"""Training-data operators (numbered 1-13) and the queries over them.
 
 Nothing else in the library imports this subpackage.
 """

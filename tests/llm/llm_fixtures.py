@@ -18,7 +18,7 @@ def hostile(spark):
     rows += [(100, None, "en"), (101, "", "en"), (102, " \n\t ", None), (103, LONG, "en"), (104, LONG, None), (None, "no id here", "en"),
              (None, None, None), (None, "no id here", "en"), (105, "12 34 --", "de"), (106, "😀 naïve ́ text\x00with\x1fmarks", "fr")]
     rows += [rows[0], rows[0], (107, rows[5][1] + " and more", "en"), (0, "another text under a used id", "en")]
-    return spark.createDataFrame([(i, t, lang, None, None if t is None else len(t), 1, 2, 3, False, "x", 4) for i, t, lang in rows], SCHEMA).cache()
+    return spark.createDataFrame([(i, t, lang, None, None if t is None else len(t), 1, 2, 3, False, "x", 4) for i, t, lang in rows], SCHEMA)
 
 
 @pytest.fixture(scope="session")

@@ -17,7 +17,9 @@ from tabulon.llm.queries import QUERIES, tokenizer_file
 
 @pytest.fixture(scope="module")
 def documents(spark):
-    return read_table(spark, SF_SMALL, "documents").cache()
+    docs = read_table(spark, SF_SMALL, "documents").cache()
+    yield docs
+    docs.unpersist()  # plans of other tests must not find it
 
 
 @pytest.fixture(scope="module")
