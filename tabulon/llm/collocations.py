@@ -12,12 +12,14 @@ about separators gives the occurrences at the edge of a piece.
 Phrases grow by levels. Every shard extends the phrases that the whole corpus holds often
 enough, and a longer phrase goes on only if its part without the last word does too, so
 that at every level both parts have global numbers: a phrase is a pair of numbers, its
-count the sum of the counts of the shards. The indexes are written once, bucketed by
-shard, and never move again; only lists of intervals do.
+count the sum of the counts of the shards. A shard deals its phrases out by a hash of the
+pair, in packed blocks; the task of a range adds them up, numbers the phrases that are left
+and returns to each shard the intervals of its own. The indexes are written once, bucketed
+by shard, and never move again; only blocks and intervals do.
 
-Scale: nothing is held beyond one shard; sums over shards are combined before the
-shuffle, so a phrase costs at most a row per shard. Lists of intervals are bounded by the
-words of a shard.
+Scale: nothing is held beyond one shard or one range; the number of ranges grows with the
+words. A phrase costs at most an entry per shard, wherever it is frequent. Lists of
+intervals are bounded by the words of a shard.
 
 Defined results: null texts are empty, a null lang is 'und'; a row is a document, so
 repeated rows count again and ids play no part; pieces don't cross documents; ties in the
@@ -35,14 +37,16 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import dropped, saved
+from tabulon.llm.common import dropped, if_small, mix64, saved
 from tabulon.session import shared_scratch
 
 DEPTH, LEAST, CONTAINED, TOP, SCALE = 4, 30, (80, 100), 2000, 2_000_000
-SHARD = 1 << 20  # words and separators
+SHARD = 3 << 19  # words and separators
+RANGE = 1 << 22  # words for each range of phrases that is added up at once, at most on average
 
 #: Ends of pieces become '.', which so is in no word; A-Z become lower case.
 _EDGES = bytes(b"."[0] if c in b".,;:!?\n\x0b\x0c\r" else c for c in bytes(range(256)).lower())
@@ -85,7 +89,7 @@ def indexed(docs: DataFrame, shard: int = SHARD) -> DataFrame:
             s, of = np.concatenate(seqs.pop(lang)), ids.pop(lang)
             size.pop(lang)
             n = np.bincount(s, minlength=len(of))
-            return pd.DataFrame([(uuid.uuid4().hex, lang, int(len(s) - n[0]), [w.decode() for w in of], n, np.cumsum(n) - n, _packed(transform(s)), _packed(transform(s[::-1])))],
+            return pd.DataFrame([(uuid.uuid4().int >> 65, lang, int(len(s) - n[0]), [w.decode() for w in of], n, np.cumsum(n) - n, _packed(transform(s)), _packed(transform(s[::-1])))],
                                 columns=["shard", "lang", "words", "vocabulary", "counts", "starts", "bwt", "reverse"])
 
         for f in frames:
@@ -106,7 +110,7 @@ def indexed(docs: DataFrame, shard: int = SHARD) -> DataFrame:
             yield built(lang)
 
     read = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    return read.mapInPandas(run, "shard string, lang string, words long, vocabulary array<string>, counts array<long>, starts array<long>, bwt binary, reverse binary")
+    return read.mapInPandas(run, "shard long, lang string, words long, vocabulary array<string>, counts array<long>, starts array<long>, bwt binary, reverse binary")
 
 
 class Shard:
@@ -134,27 +138,93 @@ class Shard:
         return self.edge[lo + n] - self.edge[lo], self.r_edge[r_lo + n] - self.r_edge[r_lo]
 
 
-def extended(index: DataFrame, alive: DataFrame) -> DataFrame:
-    """Phrases one word longer: ``shard, lang, before, after`` (numbers of the parts without the last and the first word), ``lo, r_lo, n, starts, ends``."""
+_FIELDS = (("before", np.int64), ("after", np.int64), ("lo", np.int32), ("r_lo", np.int32), ("n", np.int32), ("starts", np.int32), ("ends", np.int32))
+
+
+_OWN = (("lo", np.int32), ("r_lo", np.int32), ("n", np.int32), ("number", np.int64))
+
+
+def _block(columns: dict[str, np.ndarray], fields: tuple = _FIELDS) -> bytes:
+    """Columns as compressed planes of bytes of their differences."""
+    planes = [np.diff(columns[c].astype(t), prepend=t(0)).view(np.uint8).reshape(-1, t().itemsize).T.tobytes() for c, t in fields]
+    return zstandard.compress(b"".join(planes), 3)
+
+
+def _unblocked(data: bytes, fields: tuple = _FIELDS) -> dict[str, np.ndarray]:
+    raw, at, out = np.frombuffer(zstandard.decompress(data), dtype=np.uint8), 0, {}
+    size = len(raw) // sum(t().itemsize for _, t in fields)
+    for c, t in fields:
+        width = t().itemsize
+        out[c] = np.cumsum(np.ascontiguousarray(raw[at:at + size * width].reshape(width, size).T).view(t).ravel(), dtype=t)
+        at += size * width
+    return out
+
+
+def extended(index: DataFrame, alive: DataFrame, ranges: int) -> DataFrame:
+    """``part, shard, block``: every shard's phrases one word longer, by ranges of the pair's hash.
+
+    A block's columns are the numbers of the parts without the last and without the first
+    word, the intervals, the count, and the occurrences at the edges of pieces.
+    """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for r in f.itertuples():
-                lo, r_lo, n, number = (np.array([x[k] for x in r.alive], dtype=np.int64) for k in ("lo", "r_lo", "n", "number"))
+                own = [_unblocked(b, _OWN) for b in r.blocks]
+                lo, r_lo, n, number = (np.concatenate([b[c] for b in own]).astype(np.int64) for c, _ in _OWN)
                 order = np.argsort(lo)
                 lo, r_lo, n, number = lo[order], r_lo[order], n[order], number[order]
                 s = Shard(_unpacked(r.bwt), _unpacked(r.reverse))
+                got = []
                 for i in _slices(n):
                     node, _, new, r_new, many = s.left(lo[i], r_lo[i], n[i])
                     of = np.maximum(np.searchsorted(lo, new, side="right") - 1, 0)  # without its last word it starts at the same place
                     known = (lo[of] <= new) & (new < lo[of] + n[of])
                     node, of, new, r_new, many = (x[known] for x in (node, of, new, r_new, many))
-                    starts, ends = s.edges(new, r_new, many)
-                    yield pd.DataFrame({"shard": r.shard, "lang": r.lang, "before": number[of], "after": number[i][node], "lo": new, "r_lo": r_new, "n": many,
-                                        "starts": starts, "ends": ends})
+                    got.append((number[of], number[i][node], new, r_new, many, *s.edges(new, r_new, many)))
+                columns = {c: np.concatenate(x) for (c, _), x in zip(_FIELDS, zip(*got, strict=True), strict=True)} if got else {}
+                if not columns or not len(columns["n"]):
+                    continue
+                part = (mix64(columns["before"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + columns["after"].view(np.uint64)) % np.uint64(ranges)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
+                yield pd.DataFrame([(int(part[at[0]]), r.shard, _block({c: x[at] for c, x in columns.items()})) for at in np.split(order, cuts[1:])],
+                                   columns=["part", "shard", "block"])
+
+    lists = alive.groupBy("shard").agg(F.collect_list("block").alias("blocks"))
+    both = index.select("shard", "bwt", "reverse").join(lists.hint("shuffle_hash"), "shard").select("shard", "bwt", "reverse", "blocks")
+    return both.mapInPandas(run, "part long, shard long, block binary")
+
 
-    lists = alive.groupBy("shard").agg(F.collect_list(F.struct("lo", "r_lo", "n", "number")).alias("alive"))
-    both = index.select("shard", "lang", "bwt", "reverse").join(lists.hint("shuffle_hash"), "shard")
-    return both.mapInPandas(run, "shard string, lang string, before long, after long, lo long, r_lo long, n long, starts long, ends long")
+def _own_blocks(f: pd.DataFrame) -> pd.DataFrame:
+    """``shard, block``: of (shard, lo, r_lo, n, number), each shard's phrases as one block."""
+    f = f.sort_values(["shard", "lo"])
+    parts = [(int(shard), _block({c: part[c].to_numpy() for c, _ in _OWN}, _OWN)) for shard, part in f.groupby("shard", sort=False)]
+    return pd.DataFrame(parts, columns=["shard", "block"])
+
+
+def summed(blocks: DataFrame, least: int, ranges: int) -> DataFrame:
+    """The phrases with ``least`` occurrences or more over all shards (rows without a block), and for each shard a block of its own ones, to go on with.
+
+    ``number, before, after, n, starts, ends, shard, block``. Numbers are dense: a phrase's
+    place in its range times the ranges, plus the range.
+    """
+    def of(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        parts = [_unblocked(b) for b in f["block"]]
+        shard = np.repeat(f["shard"].to_numpy(), [len(p["n"]) for p in parts])
+        c = {k: np.concatenate([p[k] for p in parts]).astype(np.int64) for k, _ in _FIELDS}
+        order = np.lexsort((c["before"], c["after"]))
+        c, shard = {k: x[order] for k, x in c.items()}, shard[order]
+        start = np.flatnonzero(np.concatenate([[True], (np.diff(c["before"]) != 0) | (np.diff(c["after"]) != 0)]))
+        run = np.repeat(np.arange(len(start)), np.diff([*start, len(shard)]))
+        total = np.add.reduceat(c["n"], start)
+        often = total >= least
+        number = (np.cumsum(often) - 1) * ranges + int(key[0])
+        every = pd.DataFrame({"number": number, "before": c["before"][start], "after": c["after"][start], "n": total, "starts": np.add.reduceat(c["starts"], start),
+                              "ends": np.add.reduceat(c["ends"], start), "shard": 0, "block": None})[often]
+        own = _own_blocks(pd.DataFrame({"shard": shard, "lo": c["lo"], "r_lo": c["r_lo"], "n": c["n"], "number": number[run]})[often[run]])
+        return pd.concat([every, own.assign(number=0, before=0, after=0, n=0, starts=0, ends=0)[list(every.columns)]])
+
+    return blocks.groupBy("part").applyInPandas(of, "number long, before long, after long, n long, starts long, ends long, shard long, block binary")
 
 
 def _slices(n: np.ndarray, most: int = 1 << 20) -> Iterator[slice]:
@@ -188,27 +258,29 @@ def phrases(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard: int
     ones = index.select("shard", "lang", F.posexplode(F.arrays_zip("vocabulary", "counts", "starts")).alias("id", "w")).where("id > 0").select(
         "shard", "lang", F.col("w.vocabulary").alias("phrase"), F.col("w.starts").alias("lo"), F.col("w.counts").alias("n"))
     total = ones.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    level, _ = saved(total.select(F.monotonically_increasing_id().alias("number"), "*", *[F.col("f").alias(c) for c in ("f_first", "f_last")]), "level1")
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(words.agg(F.sum("n")).first()[0] or 0) // RANGE))
+    part = F.pmod(F.xxhash64("lang", "phrase"), F.lit(ranges))
+    number = (F.row_number().over(Window.partitionBy(part).orderBy("lang", "phrase")) - 1) * ranges + part
+    level, _ = saved(total.select(number.cast("long").alias("number"), "*", *[F.col("f").alias(c) for c in ("f_first", "f_last")]), "level1")
     levels = [level]
-    alive = ones.join(level.select("lang", "phrase", "number"), ["lang", "phrase"]).select("shard", "lo", F.col("lo").alias("r_lo"), "n", "number")
-    last_path = None
+    alive = (ones.join(if_small(level.select("lang", "phrase", "number")), ["lang", "phrase"]).select("shard", "lo", F.col("lo").alias("r_lo"), "n", "number")
+             .groupBy("shard").applyInPandas(_own_blocks, "shard long, block binary"))
+    paths = [path]
     for d in range(2, depth + 1):
-        found, found_path = saved(extended(index, alive), f"extended{d}")
-        total = found.groupBy("lang", "before", "after").agg(*[F.sum(c).alias(c) for c in ("n", "starts", "ends")]).where(F.col("n") >= least)
+        found, found_path = saved(summed(extended(index, alive, ranges), least, ranges), f"summed{d}")
+        paths.append(found_path)
+        total, alive = found.where("block is null"), found.where("block is not null").select("shard", "block")
         b, a = levels[-1].alias("b"), levels[-1].alias("a")
         named = total.alias("t").join(b, F.col("t.before") == F.col("b.number")).join(a, F.col("t.after") == F.col("a.number"))
         last = F.substring_index("a.phrase", " ", -1)
         two = {2: ("t.n", "t.n"), 3: ("b.f", "a.f"), 4: ("b.f_two", "a.f_last_two")}[d]
         level, _ = saved(named.select(
-            F.monotonically_increasing_id().alias("number"), "t.lang", F.concat_ws(" ", "b.phrase", last).alias("phrase"), F.col("t.n").alias("f"), "t.starts", "t.ends",
+            "t.number", "b.lang", F.concat_ws(" ", "b.phrase", last).alias("phrase"), F.col("t.n").alias("f"), "t.starts", "t.ends",
             "t.before", "t.after", "b.f_first", "a.f_last", F.col("b.f").alias("f_before"), F.col("a.f").alias("f_after"),
             F.col(two[0]).alias("f_two"), F.col(two[1]).alias("f_last_two")), f"level{d}")
         levels.append(level)
-        alive = found.join(level.select("lang", "before", "after", "number"), ["lang", "before", "after"]).select("shard", "lo", "r_lo", "n", "number")
-        dropped(spark, *[last_path] if last_path else ())
-        last_path = found_path
     spark.sql(f"drop table {table}")
-    dropped(spark, path, last_path)
+    dropped(spark, *paths)
     return words, levels
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -66,6 +67,20 @@ def if_small(df: DataFrame, limit: int = SMALL, most: int = SMALL_BYTES) -> Data
     return F.broadcast(df) if got["n"] <= limit and (got["b"] or 0) <= most else df
 
 
+#: What a Python worker keeps from task to task, by operator: how to let go of it.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def kept_in_worker(operator: str, forget: Callable[[], None]) -> None:
+    _KEPT[operator] = forget
+
+
+def free_others(operator: str) -> None:
+    """Called where a task of ``operator`` starts: a worker serves one stage after the other, and lets go of what earlier ones kept."""
+    for name in [k for k in _KEPT if k != operator]:
+        _KEPT.pop(name)()
+
+
 def crc_mod5(col) -> "F.Column":
     """crc32 of the id written as text, mod 5: the fold that the contracts name."""
     return (F.crc32(col.cast("string")) % 5).cast("int")

@@ -27,12 +27,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import batched, saved, texts
+from tabulon.llm.common import batched, kept_in_worker, saved, texts
 
 CAPACITY = 2048
-#: Bytes of words and ids that a Python worker remembers: the first it meets (so the frequent ones)
-#: from task to task, the others until their share is full or the task ends.
-CORE_BYTES, PASSING_BYTES = 5 << 20, 3 << 20
+#: Bytes of words and ids that a Python worker remembers from task to task. The first it meets (so the
+#: frequent ones) stay as long as it packs, the others until their share is full; another operator's task
+#: frees both. In memory they take about eight times as much.
+REMEMBERED, CORE_SHARE = 26 << 20, 0.6
 
 
 class WordTokens:
@@ -42,7 +43,7 @@ class WordTokens:
     ids of a text are the ids of its blank-separated words in order.
     """
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, remember: int = REMEMBERED):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one thread a task
         from tokenizers import Tokenizer
@@ -50,6 +51,8 @@ class WordTokens:
         self.known: dict[str, bytes] = {}
         self.passing: list[str] = []
         self.core_bytes = self.passing_bytes = 0
+        self.core_most = int(remember * CORE_SHARE)
+        self.passing_most = remember - self.core_most
 
     def forget(self) -> None:
         """Only the core stays."""
@@ -58,14 +61,14 @@ class WordTokens:
         self.passing, self.passing_bytes = [], 0
 
     def learn(self, words: list[str]) -> None:
-        if self.passing_bytes > PASSING_BYTES:
+        if self.passing_bytes > self.passing_most:
             self.forget()
         new = [w for w in dict.fromkeys(words) if w not in self.known]
         for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
             ids = array("I", e.ids).tobytes() if sys.byteorder == "little" else np.array(e.ids, "<u4").tobytes()
             self.known[w] = ids
             size = len(w.encode()) + len(ids)
-            if self.core_bytes + size <= CORE_BYTES:
+            if self.core_bytes + size <= self.core_most:
                 self.core_bytes += size
             else:
                 self.passing.append(w)
@@ -83,17 +86,18 @@ class WordTokens:
 
 
 @cache
-def word_tokens(tokenizer_file: str) -> WordTokens:
+def word_tokens(tokenizer_file: str, remember: int = REMEMBERED) -> WordTokens:
     """One for each Python worker, which runs many tasks."""
-    return WordTokens(tokenizer_file)
+    return WordTokens(tokenizer_file, remember)
 
 
-def tokenised(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> DataFrame:
+def tokenised(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, remember: int = REMEMBERED) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: every document cut into pieces of at most ``capacity`` ids."""
     step = 4 * capacity
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tok = word_tokens(tokenizer_file)
+        kept_in_worker("packing", word_tokens.cache_clear)
+        tok = word_tokens(tokenizer_file, remember)
         for f in batched(frames):
             out = []
             for doc_id, text in zip(f["doc_id"], f["text"], strict=True):
@@ -102,7 +106,6 @@ def tokenised(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) ->
                     part = ids[at:at + step]
                     out.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-        tok.forget()
 
     return texts(docs).mapInPandas(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -230,7 +233,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = (
     return ranked.select(*pieces.columns, "rank").mapInPandas(place, schema)
 
 
-def packed(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> DataFrame:
-    """Tokenise, cut and pack whole documents. Tokenised once: the pieces are a written table."""
-    pieces, _ = saved(tokenised(docs, tokenizer_file, capacity), "pieces")
+def packed(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, remember: int = REMEMBERED) -> DataFrame:
+    """Tokenise, cut and pack whole documents. Tokenised once: the pieces are a written table. ``remember`` bounds a worker's word cache."""
+    pieces, _ = saved(tokenised(docs, tokenizer_file, capacity, remember), "pieces")
     return pack(pieces, capacity)

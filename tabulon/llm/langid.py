@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import crc_mod5, texts
+from tabulon.llm.common import crc_mod5, free_others, texts
 
 BUCKETS, DIM, ORDERS = 1 << 17, 8, (2, 3, 4)
 PER_LANG = 300
@@ -177,6 +177,7 @@ def judging(spark: SparkSession, model: dict, reject_below: float = 0.5):
 
     @F.pandas_udf("struct<lang_pred:string,score:double,rejected:boolean>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        free_others("language")
         m = _from_bytes(shared.value)
         for b in batches:
             got = [predict(m, t) for t in b]

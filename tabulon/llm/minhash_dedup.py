@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import batched, dropped, if_small, mix64, saved, texts, window_hashes, word_hashes
+from tabulon.llm.common import batched, dropped, free_others, if_small, mix64, saved, texts, window_hashes, word_hashes
 
 SHINGLE, PERMUTATIONS, BANDS, ROWS, BITS = 5, 512, 32, 4, 2
 SIMILARITY = (75, 100)
@@ -69,6 +69,7 @@ def minima(shingles: np.ndarray, perms: tuple[np.ndarray, np.ndarray]) -> np.nda
 def sketch(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, k1, k2`` (the set's 128-bit key), ``s0..`` (packed low bits), ``bands``."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        free_others("minhash")
         perms = _permutations()
         lanes = (np.arange(PERMUTATIONS, dtype=np.uint64) % np.uint64(32)) * np.uint64(BITS)
         band_seed = mix64(np.arange(1, BANDS + 1, dtype=np.uint64))
