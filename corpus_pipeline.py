@@ -44,7 +44,7 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: cut and pack the tokens of what is left."""
-    return exact_packing.packed(docs, tokenizer_file())
+    return exact_packing.packed(docs, tokenizer_file(), remember=8 << 20)  # its workers have served four stages before
 
 
 STAGES = [("language ID", language), ("near-duplicates", near_dedup), ("decontamination", decontamination),
