@@ -228,8 +228,8 @@ def bh_adjust(df: DataFrame, family: Sequence[str], p: str = "p_value", out: str
     return base.join(qtab, cond, "left").drop(*[f"__f_{f}" for f in fam], "__p")
 
 
-def association_results(categorical: DataFrame, numeric: DataFrame, alpha: float = 0.05, by_abs: bool = True) -> DataFrame:
-    """aligned union of test results, BH within target, significance flag, rank by (absolute) effect size."""
+def association_results(categorical: DataFrame, numeric: DataFrame, alpha: float = 0.05, by_abs: bool = False) -> DataFrame:
+    """aligned union of test results, BH within target, significance flag, rank by effect size, with ``by_abs`` by its size without sign."""
     cols = ["test_id", "target", "outcome", "variable_label", "test", "p_value", "effect_metric",
             "effect_size", "effect_magnitude"]
     cat = categorical.withColumnRenamed("dimension_label", "variable_label").select(*cols)

@@ -60,9 +60,9 @@ def _tested(spark, d):
     return (materialize(S.with_chi_p(_tests(spark, d))), materialize(S.with_normal_p(_mw(spark, d))))
 
 
-def _assoc(spark, d):
+def _assoc(spark, d, by_abs=True):
     cat, num = _tested(spark, d)
-    return S.association_results(cat, num)
+    return S.association_results(cat, num, by_abs=by_abs)
 
 
 def q_rollup(spark, d):
@@ -217,5 +217,7 @@ QUERIES = [
     Query("bh_adjust", "F10", q_bh, BH_SQL, ("p", "adjusted_p_value"), ctes=BH_CTE),
     Query("p_values", "F2,F7", q_p_values, P_SQL, ("statistic", "p_value"), ctes=_P_CTE),
     Query("association_results", "F10,F11", _assoc, "select * from assoc", ("p_value", "effect_size", "adjusted_p_value"), ctes=ASSOC_CTE),
+    Query("association_signed", "F11", lambda s, d: _assoc(s, d, by_abs=False), "select * replace (cast(row_number() over (partition by target order by effect_size desc, "
+          "test_id) as integer) as effect_rank) from assoc", ("p_value", "effect_size", "adjusted_p_value"), ctes=ASSOC_CTE),
     Query("test_rollup", "F12", q_rollup, ROLL_SQL, ctes=ASSOC_CTE),
 ]
