@@ -12,9 +12,9 @@ about separators gives the occurrences at the edge of a piece.
 Phrases grow by levels. Every shard extends the phrases that the whole corpus holds often
 enough, and a longer phrase goes on only if its part without the last word does too, so
 that at every level both parts have global numbers: a phrase is a pair of numbers, its
-count the sum of the counts of the shards. A shard deals its phrases out by a hash of the
-pair, in packed blocks; the task of a range adds them up, numbers the phrases that are left
-and returns to each shard the intervals of its own. The indexes are written once, bucketed
+count the sum of the counts of the shards. A shard deals its phrases out by what they
+extend, in packed blocks; the task of a range adds them up, numbers the phrases that are
+left and returns to each shard the intervals of its own. The indexes are written once, bucketed
 by shard, and never move again; only blocks and intervals do.
 
 Scale: nothing is held beyond one shard or one range; the number of ranges grows with the
@@ -46,6 +46,7 @@ from tabulon.session import shared_scratch
 
 DEPTH, LEAST, CONTAINED, TOP, SCALE = 4, 30, (80, 100), 2000, 2_000_000
 SHARD = 3 << 19  # words and separators
+SALTED = 1 << 19  # occurrences of a phrase from which on its extensions are dealt out further
 RANGE = 1 << 22  # words for each range of phrases that is added up at once, at most on average
 
 #: Ends of pieces become '.', which so is in no word; A-Z become lower case.
@@ -141,13 +142,13 @@ class Shard:
 _FIELDS = (("before", np.int64), ("after", np.int64), ("lo", np.int32), ("r_lo", np.int32), ("n", np.int32), ("starts", np.int32), ("ends", np.int32))
 
 
-_OWN = (("lo", np.int32), ("r_lo", np.int32), ("n", np.int32), ("number", np.int64))
+_OWN = (("lo", np.int32), ("r_lo", np.int32), ("n", np.int32), ("number", np.int64), ("salts", np.int32))
 
 
 def _block(columns: dict[str, np.ndarray], fields: tuple = _FIELDS) -> bytes:
     """Columns as compressed planes of bytes of their differences."""
     planes = [np.diff(columns[c].astype(t), prepend=t(0)).view(np.uint8).reshape(-1, t().itemsize).T.tobytes() for c, t in fields]
-    return zstandard.compress(b"".join(planes), 3)
+    return zstandard.compress(b"".join(planes), 5)
 
 
 def _unblocked(data: bytes, fields: tuple = _FIELDS) -> dict[str, np.ndarray]:
@@ -161,8 +162,11 @@ def _unblocked(data: bytes, fields: tuple = _FIELDS) -> dict[str, np.ndarray]:
 
 
 def extended(index: DataFrame, alive: DataFrame, ranges: int) -> DataFrame:
-    """``part, shard, block``: every shard's phrases one word longer, by ranges of the pair's hash.
+    """``part, shard, block``: every shard's phrases one word longer, dealt out by ranges.
 
+    All that extends a phrase lies in one range, where it compresses best; what extends a
+    phrase so frequent that it could fill a good part of a range is dealt out further by the
+    word before it (``salts``, which follows from the phrase's count over all shards).
     A block's columns are the numbers of the parts without the last and without the first
     word, the intervals, the count, and the occurrences at the edges of pieces.
     """
@@ -170,9 +174,9 @@ def extended(index: DataFrame, alive: DataFrame, ranges: int) -> DataFrame:
         for f in frames:
             for r in f.itertuples():
                 own = [_unblocked(b, _OWN) for b in r.blocks]
-                lo, r_lo, n, number = (np.concatenate([b[c] for b in own]).astype(np.int64) for c, _ in _OWN)
+                lo, r_lo, n, number, salts = (np.concatenate([b[c] for b in own]).astype(np.int64) for c, _ in _OWN)
                 order = np.argsort(lo)
-                lo, r_lo, n, number = lo[order], r_lo[order], n[order], number[order]
+                lo, r_lo, n, number, salts = lo[order], r_lo[order], n[order], number[order], salts[order]
                 s = Shard(_unpacked(r.bwt), _unpacked(r.reverse))
                 got = []
                 for i in _slices(n):
@@ -180,11 +184,12 @@ def extended(index: DataFrame, alive: DataFrame, ranges: int) -> DataFrame:
                     of = np.maximum(np.searchsorted(lo, new, side="right") - 1, 0)  # without its last word it starts at the same place
                     known = (lo[of] <= new) & (new < lo[of] + n[of])
                     node, of, new, r_new, many = (x[known] for x in (node, of, new, r_new, many))
-                    got.append((number[of], number[i][node], new, r_new, many, *s.edges(new, r_new, many)))
-                columns = {c: np.concatenate(x) for (c, _), x in zip(_FIELDS, zip(*got, strict=True), strict=True)} if got else {}
+                    got.append((number[of], number[i][node], new, r_new, many, *s.edges(new, r_new, many), salts[i][node]))
+                columns = {c: np.concatenate(x) for c, x in zip([*(c for c, _ in _FIELDS), "salts"], zip(*got, strict=True), strict=True)} if got else {}
                 if not columns or not len(columns["n"]):
                     continue
-                part = (mix64(columns["before"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + columns["after"].view(np.uint64)) % np.uint64(ranges)).astype(np.int64)
+                salt = mix64(columns["before"].view(np.uint64) + np.uint64(1)) % columns.pop("salts").view(np.uint64)
+                part = (mix64(columns["after"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + salt) % np.uint64(ranges)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
                 yield pd.DataFrame([(int(part[at[0]]), r.shard, _block({c: x[at] for c, x in columns.items()})) for at in np.split(order, cuts[1:])],
@@ -196,7 +201,7 @@ def extended(index: DataFrame, alive: DataFrame, ranges: int) -> DataFrame:
 
 
 def _own_blocks(f: pd.DataFrame) -> pd.DataFrame:
-    """``shard, block``: of (shard, lo, r_lo, n, number), each shard's phrases as one block."""
+    """``shard, block``: of (shard, lo, r_lo, n, number, salts), each shard's phrases as one block."""
     f = f.sort_values(["shard", "lo"])
     parts = [(int(shard), _block({c: part[c].to_numpy() for c, _ in _OWN}, _OWN)) for shard, part in f.groupby("shard", sort=False)]
     return pd.DataFrame(parts, columns=["shard", "block"])
@@ -221,7 +226,7 @@ def summed(blocks: DataFrame, least: int, ranges: int) -> DataFrame:
         number = (np.cumsum(often) - 1) * ranges + int(key[0])
         every = pd.DataFrame({"number": number, "before": c["before"][start], "after": c["after"][start], "n": total, "starts": np.add.reduceat(c["starts"], start),
                               "ends": np.add.reduceat(c["ends"], start), "shard": 0, "block": None})[often]
-        own = _own_blocks(pd.DataFrame({"shard": shard, "lo": c["lo"], "r_lo": c["r_lo"], "n": c["n"], "number": number[run]})[often[run]])
+        own = _own_blocks(pd.DataFrame({"shard": shard, "lo": c["lo"], "r_lo": c["r_lo"], "n": c["n"], "number": number[run], "salts": 1 + total[run] // SALTED})[often[run]])
         return pd.concat([every, own.assign(number=0, before=0, after=0, n=0, starts=0, ends=0)[list(every.columns)]])
 
     return blocks.groupBy("part").applyInPandas(of, "number long, before long, after long, n long, starts long, ends long, shard long, block binary")
@@ -263,7 +268,7 @@ def phrases(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard: int
     number = (F.row_number().over(Window.partitionBy(part).orderBy("lang", "phrase")) - 1) * ranges + part
     level, _ = saved(total.select(number.cast("long").alias("number"), "*", *[F.col("f").alias(c) for c in ("f_first", "f_last")]), "level1")
     levels = [level]
-    alive = (ones.join(if_small(level.select("lang", "phrase", "number")), ["lang", "phrase"]).select("shard", "lo", F.col("lo").alias("r_lo"), "n", "number")
+    alive = (ones.join(if_small(level.select("lang", "phrase", "number", "f")), ["lang", "phrase"]).select("shard", "lo", F.col("lo").alias("r_lo"), "n", "number", (1 + F.floor(F.col("f") / SALTED)).alias("salts"))
              .groupBy("shard").applyInPandas(_own_blocks, "shard long, block binary"))
     paths = [path]
     for d in range(2, depth + 1):
