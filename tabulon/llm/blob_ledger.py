@@ -7,7 +7,9 @@ joins findings back to all paths that ever held the blob.
 
 Defined results: a null text counts as empty, an empty text has no findings, an empty
 table gives empty findings and an empty ledger; equal versions share one scan; further
-columns of the input are ignored.
+columns of the input are ignored. Findings carry the version of their rule: once a rule's
+version is raised and its blobs are scanned again, what older versions found no longer
+counts, also where the newer one finds nothing.
 """
 
 from __future__ import annotations
@@ -49,7 +51,7 @@ EXTRA = (
     Rule("url_login", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:([^\s/@]+)@", group=1, hint="://"),
 )
 RULES = BASE + EXTRA
-SPAN = "kind:string,start:int,end:int"
+SPAN = "kind:string,rule_version:int,start:int,end:int"
 
 
 class Scanner:
@@ -96,7 +98,7 @@ def unseen(history: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULE
 def scan(history: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
     """(findings, ledger increment) of the unseen (blob, rule version) pairs.
 
-    Findings: ``blob, spans`` for blobs with any span. The increment has a row for every
+    Findings: ``blob, spans`` for blobs with any span, each with its rule's version. The increment has a row for every
     pair scanned now; append it to the ledger once the findings are stored. Contents
     travel to their distinct blob by path id: the text is shuffled once, next to ids.
     """
@@ -106,12 +108,13 @@ def scan(history: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule,
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scanner = Scanner(scanner_rules)
+        of = {r.kind: r.version for r in scanner_rules}
         for f in batched(frames):
             rows = []
             for blob, text, kinds in zip(f["blob"], f["text"], f["kinds"], strict=True):
                 got = scanner.spans(text, set(kinds))
                 if got:
-                    rows.append((blob, [{"kind": k, "start": s, "end": e} for s, e, k in got]))
+                    rows.append((blob, [{"kind": k, "rule_version": of[k], "start": s, "end": e} for s, e, k in got]))
             yield pd.DataFrame(rows, columns=["blob", "spans"])
 
     holders = todo.select(F.col("path").alias("holder"), F.col("blob").alias("todo_blob"), "kinds")
@@ -122,10 +125,30 @@ def scan(history: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule,
     return findings.dropDuplicates(["blob"]), done
 
 
-def joined_back(history: DataFrame, findings: DataFrame) -> DataFrame:
-    """``path, blob, spans`` of every version; ``spans`` is empty where nothing was found."""
-    out = history.select("path", "blob").join(findings, "blob", "left")
-    empty = F.array().cast(findings.schema["spans"].dataType)
+def current(findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``blob, spans`` with one row per blob: the findings of all passes under the versions that ``rules`` have now.
+
+    A rule that was scanned again under a raised version replaces what it found before;
+    kinds that ``rules`` lack are left out. Spans are in order of their start, then as
+    the kinds are listed. A blob has a row per pass that found something in it, so at
+    most one per rule version.
+    """
+    order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
+    now = F.create_map(*[x for r in rules for x in (F.lit(r.kind), F.lit(r.version))])
+    valid = F.filter("spans", lambda x: F.coalesce(now[x["kind"]] == x["rule_version"], F.lit(False)))
+    keyed = F.transform(valid, lambda x: F.struct(x["start"].alias("start"), order[x["kind"]].alias("at"), x["end"].alias("end"),
+                                                  x["kind"].alias("kind"), x["rule_version"].alias("rule_version")))
+    rows = findings.select("blob", keyed.alias("keyed")).groupBy("blob").agg(F.flatten(F.collect_list("keyed")).alias("keyed"))
+    spans = F.transform(F.array_sort(F.array_distinct("keyed")), lambda x: F.struct(
+        x["kind"].alias("kind"), x["rule_version"].alias("rule_version"), x["start"].alias("start"), x["end"].alias("end")))
+    return rows.select("blob", spans.alias("spans")).where(F.size("spans") > 0)
+
+
+def joined_back(history: DataFrame, findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``path, blob, spans`` of every version, once; ``spans`` is empty where nothing is found by the rules as they are now."""
+    found = current(findings, rules)
+    out = history.select("path", "blob").join(found, "blob", "left")
+    empty = F.array().cast(found.schema["spans"].dataType)
     return out.select("path", "blob", F.coalesce("spans", empty).alias("spans"))
 
 
