@@ -202,7 +202,7 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_docs:
 
 
 def scored(docs: DataFrame, model: dict, threshold: float = 0.3) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row."""
+    """``doc_id, held_out, score, predicted`` of every row; one without an id isn't held out."""
     shared = docs.sparkSession.sparkContext.broadcast(to_bytes(model))  # a size fixed by the constants above
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -210,7 +210,7 @@ def scored(docs: DataFrame, model: dict, threshold: float = 0.3) -> DataFrame:
         for f in batched(frames):
             s = [score(m, t) for t in f["text"]]
             yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "score": s, "predicted": [int(x >= threshold) for x in s],
-                                "held_out": [None if pd.isna(d) else crc_mod5_py(d) == 0 for d in f["doc_id"]]})
+                                "held_out": [not pd.isna(d) and crc_mod5_py(d) == 0 for d in f["doc_id"]]})
 
     out = texts(docs).mapInPandas(run, "doc_id long, score double, predicted int, held_out boolean")
     return out.select("doc_id", "held_out", "score", "predicted")
