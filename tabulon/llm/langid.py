@@ -8,6 +8,11 @@ character 2-, 3- and 4-gram of the result is hashed to an embedding. The mean of
 embeddings goes through a linear softmax. The model is fitted in one task on at most
 ``per_lang`` documents of each language (the documented bound), chosen by a hash of
 their ids; it is applied to every whole text in Arrow batches, without a shuffle.
+A text is rejected if the calibrated probability says that another language is more
+likely than not, or if it is unlike all that was learned: the share of its n-grams that
+training has seen lies below ``FAMILIAR`` times the least share among the texts kept back
+of all languages. So texts in scripts that no language has go, whatever the softmax says;
+a language not learned whose n-grams mostly occur in learned ones is not told apart.
 After fitting, embeddings and softmax weights fold into one table of logits per n-gram.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0 and
@@ -31,6 +36,7 @@ from tabulon.llm.common import crc_mod5, free_others, texts
 
 BUCKETS, DIM, ORDERS = 1 << 17, 8, (2, 3, 4)
 PER_LANG = 300
+FAMILIAR = 0.5
 UNKNOWN = "und"
 
 
@@ -75,7 +81,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list[tuple[str, str]], epochs: int = 4, rate: float = 0.5, batch: int = 32, seed: int = 7) -> dict:
-    """``rows``: (text, language). A fifth of them is kept back for the temperature."""
+    """``rows``: (text, language). A fifth of them is kept back for the temperature and the least share of seen n-grams."""
     rng = np.random.default_rng(seed)
     langs = sorted({lang for _, lang in rows})
     at = {lang: i for i, lang in enumerate(langs)}
@@ -86,7 +92,8 @@ def fit(rows: list[tuple[str, str]], epochs: int = 4, rate: float = 0.5, batch:
             bags.append((f, (n / n.sum()).astype(np.float32)))
             y.append(at[lang])
     if not bags:
-        return {"langs": [], "table": np.zeros((BUCKETS, 1), np.float32), "bias": np.zeros(1), "temperature": 1.0}
+        return {"langs": [], "table": np.zeros((BUCKETS, 1), np.float32), "bias": np.zeros(1), "temperature": 1.0,
+                "seen": np.zeros(BUCKETS, bool), "familiar": 0.0}
     y = np.array(y)
     order = rng.permutation(len(bags))
     held, train = (order[::5], np.setdiff1d(order, order[::5])) if len(bags) >= 10 else (order, order)
@@ -117,28 +124,40 @@ def fit(rows: list[tuple[str, str]], epochs: int = 4, rate: float = 0.5, batch:
     logits = np.array([(table[bags[d][0]] * bags[d][1][:, None]).sum(axis=0) for d in held]) + b
     scales = np.geomspace(0.01, 5, 80)
     loss = [-np.log(_softmax(logits / t)[np.arange(len(held)), y[held]].clip(1e-12)).mean() for t in scales]
-    return {"langs": langs, "table": table, "bias": b, "temperature": float(scales[int(np.argmin(loss))])}
+    seen = np.zeros(BUCKETS, bool)
+    seen[np.concatenate([bags[d][0] for d in train])] = True
+    least = min(float(bags[d][1][seen[bags[d][0]]].sum()) for d in held)
+    return {"langs": langs, "table": table, "bias": b, "temperature": float(scales[int(np.argmin(loss))]),
+            "seen": seen, "familiar": FAMILIAR * least}
 
 
-def predict(model: dict, text: str | None) -> tuple[str, float]:
+def judged(model: dict, text: str | None, reject_below: float = 0.5) -> tuple[str, float, bool]:
+    """(language, calibrated probability, rejected); of equal probabilities the first language by name."""
     f = ngrams(text)
     if not len(f) or not model["langs"]:
-        return UNKNOWN, 0.0
+        return UNKNOWN, 0.0, True
     logits = model["table"].take(f, axis=0).mean(axis=0, dtype=np.float64) + model["bias"]
     p = _softmax((logits / model["temperature"])[None, :])[0]
     i = int(p.argmax())
-    return model["langs"][i], float(p[i])
+    unlike = model["seen"].take(f).mean() < model["familiar"]
+    return model["langs"][i], float(p[i]), bool(p[i] < reject_below or unlike)
+
+
+def predict(model: dict, text: str | None) -> tuple[str, float]:
+    return judged(model, text)[:2]
 
 
 def _to_bytes(model: dict) -> bytes:
     buf = io.BytesIO()
-    np.savez(buf, table=model["table"], bias=model["bias"], temperature=model["temperature"], langs=np.array(model["langs"], dtype=str))
+    np.savez(buf, table=model["table"], bias=model["bias"], temperature=model["temperature"], langs=np.array(model["langs"], dtype=str),
+             seen=np.packbits(model["seen"]), familiar=model["familiar"])
     return buf.getvalue()
 
 
 def _from_bytes(blob: bytes) -> dict:
     z = np.load(io.BytesIO(blob))
-    return {"langs": [str(x) for x in z["langs"]], "table": z["table"], "bias": z["bias"], "temperature": float(z["temperature"])}
+    return {"langs": [str(x) for x in z["langs"]], "table": z["table"], "bias": z["bias"], "temperature": float(z["temperature"]),
+            "seen": np.unpackbits(z["seen"]).astype(bool), "familiar": float(z["familiar"])}
 
 
 def fitted(docs: DataFrame, per_lang: int = PER_LANG, lang_col: str = "lang") -> dict:
@@ -170,8 +189,8 @@ def _or_empty(run):
 def judging(spark: SparkSession, model: dict, reject_below: float = 0.5):
     """A column function: text to ``struct<lang_pred, score, rejected>``.
 
-    ``score`` is the calibrated probability of the prediction; below ``reject_below``
-    the text more likely than not has another language, and is rejected.
+    ``score`` is the calibrated probability of the prediction; see the head of this
+    module for what is rejected.
     """
     shared = spark.sparkContext.broadcast(_to_bytes(model))  # BUCKETS x languages: bounded
 
@@ -180,17 +199,15 @@ def judging(spark: SparkSession, model: dict, reject_below: float = 0.5):
         free_others("language")
         m = _from_bytes(shared.value)
         for b in batches:
-            got = [predict(m, t) for t in b]
-            yield pd.DataFrame({"lang_pred": [x for x, _ in got], "score": [s for _, s in got],
-                                "rejected": [x == UNKNOWN or s < reject_below for x, s in got]})
+            yield pd.DataFrame([judged(m, t, reject_below) for t in b], columns=["lang_pred", "score", "rejected"])
 
     return judge
 
 
 def identified(docs: DataFrame, model: dict, reject_below: float = 0.5) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, rejected`` of every row."""
+    """``doc_id, held_out, lang_pred, score, rejected`` of every row; one without an id isn't held out."""
     t = texts(docs).withColumn("j", judging(docs.sparkSession, model, reject_below)(F.col("text")))
-    return t.select("doc_id", (crc_mod5(F.col("doc_id")) == 0).alias("held_out"), "j.lang_pred", "j.score", "j.rejected")
+    return t.select("doc_id", F.coalesce(crc_mod5(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "j.lang_pred", "j.score", "j.rejected")
 
 
 def accepted(docs: DataFrame, model: dict, reject_below: float = 0.5) -> DataFrame:

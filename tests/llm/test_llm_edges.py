@@ -57,6 +57,7 @@ def test_defined_values(spark, hostile):
     assert cut[104]["n_removed"] == cut[104]["n_words"] == 7000 and cut[100]["n_words"] == 0
     lang = {r["doc_id"]: r for r in OPERATORS["language"](spark, hostile).collect()}
     assert all(lang[i]["lang_pred"] == "und" and lang[i]["rejected"] for i in (100, 101, 102, 105))
+    assert all(r["held_out"] is not None for r in lang.values()) and lang[None]["held_out"] is False
     masked = {r["doc_id"]: r["text"] for r in OPERATORS["surrogates"](spark, hostile).collect()}
     assert masked[100] is None and masked[101] == ""
     judged = {r["doc_id"]: r for r in OPERATORS["decontam"](spark, hostile).collect()}

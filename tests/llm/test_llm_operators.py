@@ -117,6 +117,8 @@ def test_language_rejects():
     m = langid.fit([("der die das und nicht ist " * 5, "de"), ("the of and that which is " * 5, "en")] * 10)
     assert langid.predict(m, "the and which of")[0] == "en" and langid.predict(m, "nicht und das")[0] == "de"
     assert langid.predict(m, "12 -- !") == ("und", 0.0) == langid.predict(m, None)
+    assert not langid.judged(m, "the and which of")[2] and langid.judged(m, "12 -- !")[2]
+    assert langid.judged(m, "это совсем другая письменность")[2] and langid._from_bytes(langid._to_bytes(m))["familiar"] == m["familiar"]
 
 
 # -- 4 -----------------------------------------------------------------------------------
@@ -237,7 +239,17 @@ def test_ledger_is_incremental(spark):
     new = history.unionByName(blob_ledger.versions(spark.createDataFrame([(3, "token=fresh-value-1")], "doc_id long, text string")))
     assert blob_ledger.scan(new, ledger)[1].select("blob").distinct().count() == 1
     raised = tuple(blob_ledger.Rule(r.kind, r.pattern, 2, r.group, r.least, r.hint) if r.kind == "hex" else r for r in blob_ledger.RULES)
-    assert {r["kind"] for r in blob_ledger.scan(history, ledger, raised)[1].collect()} == {"hex"}
+    newer, increment = blob_ledger.scan(history, ledger, raised)
+    assert {r["kind"] for r in increment.collect()} == {"hex"}
+    # both passes' findings: every version of a path once, each span once and under the rules as they are now
+    both = blob_ledger.joined_back(history, found.unionByName(newer), raised).collect()
+    spans = lambda rows: sorted((r["path"], [(s["kind"], s["start"], s["end"]) for s in r["spans"]]) for r in rows)
+    assert spans(both) == spans(back) and {s["rule_version"] for r in both for s in r["spans"] if s["kind"] == "hex"} == {2}
+    # a raised rule that finds nothing any more takes its old findings away
+    none = tuple(blob_ledger.Rule(r.kind, "never here", 3) if r.kind == "hex" else r for r in blob_ledger.RULES)
+    later, _ = blob_ledger.scan(history, ledger, none)
+    left = blob_ledger.joined_back(history, found.unionByName(later), none).collect()
+    assert spans(left) == [(p, [s for s in f if s[0] != "hex"]) for p, f in spans(back)]
 
 
 # -- 8 -----------------------------------------------------------------------------------
