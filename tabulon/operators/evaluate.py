@@ -10,10 +10,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulon.functions.exprs import h8
 from tabulon.operators.ordered import quantiles, running
 
 EPS = 2.220446049250313e-16  # double machine epsilon: log-loss clip
@@ -125,7 +124,7 @@ def expected_calibration_error(cal: DataFrame) -> DataFrame:
                    .alias("expected_calibration_error"))
 
 
-def poisson_cdf(mean: float = 1.0, kmax: int = 8) -> tuple[float, ...]:
+def poisson_cdf(mean: float = 1.0, kmax: int = 18) -> tuple[float, ...]:
     """P(K ≤ k) for k = 0..kmax-1, from the series e^-λ Σ λ^i / i!."""
     out, term, acc = [], math.exp(-mean), 0.0
     for k in range(kmax):
@@ -136,62 +135,75 @@ def poisson_cdf(mean: float = 1.0, kmax: int = 8) -> tuple[float, ...]:
     return tuple(out)
 
 
-def poisson1(u: Column, kmax: int = 8) -> Column:
-    """Inverse-CDF Poisson(1) draw from a uniform u in [0, 1) (k ≥ kmax lumped at kmax)."""
+def poisson1(u: Column, kmax: int = 18) -> Column:
+    """Inverse-CDF Poisson(1) draw from a uniform u in (0, 1); P(K ≥ 18) is below the grain of u."""
     expr = None
     for k, c in enumerate(poisson_cdf(1.0, kmax)):
         expr = F.when(u < c, F.lit(k)) if expr is None else expr.when(u < c, F.lit(k))
     return expr.otherwise(F.lit(kmax))
 
 
-def poisson_draw(mean: Column, u1: Column, u2: Column, exact_limit: int = 50) -> Column:
-    """Poisson(mean) draw from two uniforms: exact inverse CDF up to ``exact_limit`` (a SQL ``aggregate``
-    walking k = 0 … ⌈mean + 6√mean + 6⌉, i.e. past the 1 − 1e-9 quantile), normal approximation with
-    continuity correction above."""
-    kmax = F.ceil(mean + 6.0 * F.sqrt(mean) + 6.0).cast("int")
-    init = F.struct(F.exp(-mean).alias("pmf"), F.exp(-mean).alias("cdf"), F.lit(0).alias("k"))
+def uniform(key: Column) -> Column:
+    """A uniform in (0, 1) with 52 bits, from the md5 of a key."""
+    return (F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("bigint") + 0.5) / float(1 << 52)
 
-    def step(acc, i):
-        # k counts the CDF steps still below u1: the draw is the first k with CDF(k) ≥ u1
-        nxt = acc["pmf"] * mean / (i + 1)
-        return F.struct(nxt.alias("pmf"), (acc["cdf"] + nxt).alias("cdf"),
-                        (acc["k"] + F.when(acc["cdf"] < u1, 1).otherwise(0)).alias("k"))
 
-    walk = F.aggregate(F.sequence(F.lit(0), F.when(mean <= exact_limit, kmax).otherwise(F.lit(0))), init, step)
-    exact = walk["k"]
-    z = F.sqrt(-2.0 * F.log(F.greatest(u1, F.lit(1e-12)))) * F.cos(2.0 * math.pi * u2)
-    approx = F.greatest(F.lit(0), F.round(mean + F.sqrt(mean) * z).cast("int"))
-    return F.when(mean <= exact_limit, exact).otherwise(approx).cast("bigint")
+def poisson_tables(counts: DataFrame, col: str) -> DataFrame:
+    """``col, k0, cdf``: per distinct positive count c the distribution function of Poisson(c) at k0, k0 + 1, …
+
+    The support is c ± (9√c + 16), beyond which less than 2^-53 of the mass lies. Weights follow
+    from w(k) / w(k-1) = c / k and are divided by their sum, so every mean takes the same way, and a
+    table has O(√c) rows however many rows a cell holds."""
+    c, k = F.col(col), F.col("__k")
+    reach = (F.ceil(9 * F.sqrt(c.cast("double"))) + 16).cast("bigint")
+    ks = counts.select(c.cast("bigint").alias(col)).distinct().select(
+        col, F.greatest(F.lit(0), c - reach).alias("k0"), F.explode(F.sequence(F.greatest(F.lit(0), c - reach), c + reach)).alias("__k"))
+    upto = Window.partitionBy(col).orderBy("__k").rowsBetween(Window.unboundedPreceding, 0)
+    ratio = F.when(k == F.col("k0"), 0.0).otherwise(F.log1p((c - k) / k))
+    cum = ks.withColumn("__w", F.exp(F.sum(ratio).over(upto))).withColumn("__cum", F.sum("__w").over(upto))
+    at = F.array_sort(F.collect_list(F.struct("__k", "__cum")))
+    return cum.groupBy(col).agg(F.min("k0").alias("k0"), at.alias("__at")).select(
+        col, "k0", F.transform("__at", lambda x: x["__cum"] / F.element_at("__at", -1)["__cum"]).alias("cdf"))
+
+
+def poisson_draw(k0: Column, cdf: Column, u: Column) -> Column:
+    """The smallest k with CDF(k) ≥ u, by halving the table: exact for every mean, in O(log √c) steps."""
+    def half(span, _):
+        mid = F.shiftright(span["lo"] + span["hi"], 1)
+        low = F.coalesce(F.get(cdf, mid) < u, F.lit(False))
+        return F.struct(F.when(low, mid + 1).otherwise(span["lo"]).alias("lo"), F.when(low, span["hi"]).otherwise(mid).alias("hi"))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cdf) + 1.0)).cast("int"))
+    return k0 + F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(cdf).alias("hi")), half)["lo"]
 
 
 def bootstrap_cells(df: DataFrame, y: str, p: str, replicates: int = 1000, threshold: float = 0.5,
                     salt: str = "bootc", score_bins: int | None = None) -> DataFrame:
-    """J9 at scale: rows collapse to (label, prediction, score) cells ONCE; each (cell, replicate) draws
+    """Rows collapse to (label, prediction, score) cells ONCE; each (cell, replicate) draws
     its Poisson(count) weight (the sum of count Poisson(1) draws), so the work is cells × replicates,
     independent of the row count. Same metrics and renormalisation as :func:`bootstrap_intervals`;
-    equal in distribution, not draw for draw. With continuous scores pass ``score_bins`` (e.g. 10⁴):
-    scores are floored to that grid so the cell count stays bounded (AUC/Brier then use binned scores;
-    the threshold metrics keep the exact prediction)."""
+    equal in distribution, not draw for draw. Draws are exact at every count: the CDF of Poisson(count)
+    is built once per distinct count and searched per replicate. With continuous scores pass
+    ``score_bins`` (e.g. 10⁴): scores are floored to that grid so the cell count stays bounded (AUC/Brier
+    then use binned scores; the threshold metrics keep the exact prediction)."""
     from tabulon.session import materialize
     pred = (F.col(p) >= threshold).cast("int")
     score = F.col(p).cast("double")
     if score_bins:
         score = F.floor(score * score_bins) / float(score_bins)
-    cells = df.groupBy(F.col(y).cast("int").alias("__y"), pred.alias("__pr"), score.alias("__s")) \
-        .agg(F.count(F.lit(1)).alias("__c"))
-    key = F.concat_ws("|", F.lit(salt), F.col("__y").cast("string"), F.col("__s").cast("string"),
-                      F.col("__b").cast("string"))
-    u1 = (h8(F.concat(key, F.lit("|1"))) % 1000000 + 0.5) / 1000000.0
-    u2 = (h8(F.concat(key, F.lit("|2"))) % 1000000 + 0.5) / 1000000.0
+    cells = materialize(df.groupBy(F.col(y).cast("int").alias("__y"), pred.alias("__pr"), score.alias("__s"))
+                        .agg(F.count(F.lit(1)).alias("__c")))
+    key = F.concat_ws("|", F.lit(salt), F.col("__y").cast("string"), F.col("__pr").cast("string"),
+                      F.col("__s").cast("string"), F.col("__b").cast("string"))
     # the cell table is small, so AQE would coalesce it into one task — and the ×replicates fan-out
     # with it. An explicit partition count (kept by AQE) spreads the fan-out over the cluster.
     spark = df.sparkSession
     n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    drawn = materialize(cells.repartition(n)
+    drawn = materialize(cells.join(poisson_tables(cells, "__c"), "__c").repartition(n)
                         .withColumn("__b", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-                        .withColumn("__w", poisson_draw(F.col("__c").cast("double"), u1, u2)))
-    return _replicate_metrics(drawn.select("__b", "__y", "__pr", "__s", "__w", "__c"), replicates,
-                              "class-renormalised Poisson bootstrap (cell draws)")
+                        .withColumn("__w", poisson_draw(F.col("k0"), F.col("cdf"), uniform(key)))
+                        .select("__b", "__y", "__pr", "__s", "__w", "__c"))
+    return _replicate_metrics(drawn, replicates, "class-renormalised Poisson bootstrap (cell draws)")
 
 
 def bootstrap_intervals(df: DataFrame, id_col: str, y: str, p: str, replicates: int = 200,
@@ -206,8 +218,7 @@ def bootstrap_intervals(df: DataFrame, id_col: str, y: str, p: str, replicates:
     analytically: class factor n_c / W_c. AUC is scale-free: U / (W1·W0).
     """
     pred = (F.col(p) >= threshold).cast("int")
-    u = (h8(F.concat(F.lit(salt + "|"), F.col(id_col).cast("string"), F.lit("|"), F.col("__b").cast("string")))
-         % 1000000) / 1000000.0
+    u = uniform(F.concat(F.lit(salt + "|"), F.col(id_col).cast("string"), F.lit("|"), F.col("__b").cast("string")))
     rows = df.select(F.col(y).cast("int").alias("__y"), F.col(p).cast("double").alias("__s"), pred.alias("__pr"),
                      F.col(id_col), F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("__b"))
     rows = rows.withColumn("__w", poisson1(u).cast("bigint"))

@@ -6,7 +6,8 @@ from tabulon.operators import evaluate as J
 from tabulon.plans.base import Query
 from tabulon.sources import fixtures as fx
 
-BOOT_B = 20
+BOOT_B = 1000      # replicates drawn on cells
+BOOT_ROW_B = 20    # replicates drawn row by row, the check on the cell form
 EPS = J.EPS
 
 
@@ -14,8 +15,8 @@ def _sc(spark, d):
     return fx.scored_survey(spark, d)
 
 
-def h8d(e: str) -> str:
-    return f"cast(('0x' || substr(md5({e}), 1, 8)) as bigint)"
+def uniform(key: str) -> str:
+    return f"((cast(('0x' || substr(md5({key}), 1, 13)) as bigint) + 0.5) / {float(1 << 52)!r}::double)"
 
 
 CONF_SQL = ("select cell, actual, predicted, count from (select 'tn' as cell, 0 as actual, 0 as predicted, "
@@ -56,17 +57,34 @@ CAL_CTE = (
 CAL_DOUBLES = ("mean_predicted_probability", "observed_positive_rate", "minimum_probability", "maximum_probability",
                "absolute_calibration_error", "weighted_error")
 
-_POIS = "case " + " ".join(f"when u < {c!r}::double then {k}" for k, c in enumerate(J.poisson_cdf())) + " else 8 end"
-BOOT_CTE = (
+_POIS = "case " + " ".join(f"when u < {c!r}::double then {k}" for k, c in enumerate(J.poisson_cdf())) + " else 18 end"
+ROW_CTE = (
     f"bs0 as (select y, p, case when p >= 0.5 then 1 else 0 end as pr, respondent_id, b "
-    f"from scored_survey cross join range(0, {BOOT_B}) t(b)), "
-    "bs1 as (select *, (" + h8d("concat('boot|', cast(respondent_id as varchar), '|', cast(b as varchar))")
-    + " % 1000000) / 1000000.0::double as u from bs0), "
-    f"bs as (select b, y, pr, p as s, {_POIS} as w from bs1), "
+    f"from scored_survey cross join range(0, {BOOT_ROW_B}) t(b)), "
+    "bs1 as (select *, " + uniform("concat('boot|', cast(respondent_id as varchar), '|', cast(b as varchar))") + " as u from bs0), "
+    f"bs as (select b, y, pr, p as s, 1 as c, {_POIS} as w from bs1), ")
+
+
+def cell_cte(salt: str) -> str:
+    """The draws on cells: the same uniforms, the distribution function from its closed form with the log-gamma function."""
+    return (
+        "cc as (select y, case when p >= 0.5 then 1 else 0 end as pr, p as s, count(*) as c from scored_survey group by all), "
+        "ck as (select c, unnest(range(greatest(0, c - reach), c + reach + 1)) as k from "
+        "(select distinct c, cast(ceil(9 * sqrt(c)) as bigint) + 16 as reach from cc)), "
+        "cp as (select c, k, sum(exp(k * ln(c) - c - lgamma(k + 1))) over (partition by c order by k "
+        "rows between unbounded preceding and current row) as cdf from ck), "
+        "cd as (select c, min(k) as k0, list(cdf order by k) as cdf from cp group by c), "
+        f"bs0 as (select cc.*, b, k0, cdf from cc join cd using (c) cross join range(0, {BOOT_B}) t(b)), "
+        "bs1 as (select *, " + uniform(f"concat_ws('|', '{salt}', cast(y as varchar), cast(pr as varchar), cast(s as varchar), cast(b as varchar))")
+        + " as u from bs0), "
+        "bs as (select b, y, pr, s, c, k0 + len(list_filter(cdf, lambda x: x < u)) as w from bs1), ")
+
+
+METRICS_CTE = (
     "per0 as (select b, sum(case when y = 1 and pr = 1 then w else 0 end) as tp_, "
     "sum(case when y = 0 and pr = 0 then w else 0 end) as tn_, sum(case when y = 0 and pr = 1 then w else 0 end) as fp_, "
-    "sum(case when y = 1 and pr = 0 then w else 0 end) as fn_, count(*) filter (where y = 1) as n1, "
-    "count(*) filter (where y = 0) as n0, sum(case when y = 1 then w * power(s - 1.0, 2) end) as b1, "
+    "sum(case when y = 1 and pr = 0 then w else 0 end) as fn_, sum(c) filter (where y = 1) as n1, "
+    "sum(c) filter (where y = 0) as n0, sum(case when y = 1 then w * power(s - 1.0, 2) end) as b1, "
     "sum(case when y = 0 then w * power(s, 2) end) as b0 from bs group by b), "
     "per1 as (select *, n1 / (tp_ + fn_) as s1, n0 / (tn_ + fp_) as s0, n1 + n0 as nn from per0), "
     "per2 as (select b, tp_ * s1 as tp, fn_ * s1 as fn, tn_ * s0 as tn, fp_ * s0 as fp, nn, b1 * s1 + b0 * s0 as bb from per1), "
@@ -80,9 +98,16 @@ BOOT_CTE = (
     "as neg_le from bsc) group by b), "
     "blong as (select metric, v from (select p.*, a.roc_auc from per p join bauc a using (b)) "
     "unpivot (v for metric in (accuracy, precision, recall, f1, roc_auc, brier_score)))")
-BOOT_SQL = (f"select metric, quantile_cont(v, 0.025) as lower_95, quantile_cont(v, 0.5) as median, "
-            f"quantile_cont(v, 0.975) as upper_95, {BOOT_B} as iterations, "
-            "'class-renormalised Poisson bootstrap' as method from blong group by metric")
+
+
+def boot_sql(replicates: int, method: str) -> str:
+    return (f"select metric, quantile_cont(v, 0.025) as lower_95, quantile_cont(v, 0.5) as median, "
+            f"quantile_cont(v, 0.975) as upper_95, {replicates} as iterations, '{method}' as method from blong group by metric")
+
+
+BOOT_DOUBLES = ("lower_95", "median", "upper_95")
+CELL_SQL = boot_sql(BOOT_B, "class-renormalised Poisson bootstrap (cell draws)")
+ROW_SQL = boot_sql(BOOT_ROW_B, "class-renormalised Poisson bootstrap")
 
 QUERIES = [
     Query("confusion", "J1,J2", lambda s, d: J.confusion(_sc(s, d), "y", "p"), CONF_SQL),
@@ -98,8 +123,11 @@ QUERIES = [
     Query("ece", "J8", lambda s, d: J.expected_calibration_error(J.calibration(_sc(s, d), "y", "p")),
           "select sum(n * absolute_calibration_error) / sum(n) as expected_calibration_error from cal",
           ("expected_calibration_error",), ctes=CAL_CTE),
-    Query("bootstrap_intervals", "J9",
-          lambda s, d: J.bootstrap_intervals(_sc(s, d), "respondent_id", "y", "p", replicates=BOOT_B),
-          BOOT_SQL, ("lower_95", "median", "upper_95"), ctes=BOOT_CTE),
-    Query("bootstrap_cells", "J9", lambda s, d: J.bootstrap_cells(_sc(s, d), "y", "p", replicates=1000)),
+    Query("bootstrap_intervals", "J9", lambda s, d: J.bootstrap_cells(_sc(s, d), "y", "p", replicates=BOOT_B, salt="boot"),
+          CELL_SQL, BOOT_DOUBLES, ctes=cell_cte("boot") + METRICS_CTE),
+    Query("bootstrap_rows", "J9",
+          lambda s, d: J.bootstrap_intervals(_sc(s, d), "respondent_id", "y", "p", replicates=BOOT_ROW_B),
+          ROW_SQL, BOOT_DOUBLES, ctes=ROW_CTE + METRICS_CTE),
+    Query("bootstrap_cells", "J9", lambda s, d: J.bootstrap_cells(_sc(s, d), "y", "p", replicates=BOOT_B),
+          CELL_SQL, BOOT_DOUBLES, ctes=cell_cte("bootc") + METRICS_CTE),
 ]

@@ -164,14 +164,36 @@ def test_cell_bootstrap_agrees_with_row_bootstrap(spark):
         assert b[m].lower_95 <= b[m].median <= b[m].upper_95
 
 
-def test_poisson_sampler_moments(spark):
-    from tabulon.operators.evaluate import poisson_draw
-    df = spark.range(50000).select(((F.col("id") * 7919 % 100003) / 100003.0).alias("u1"),
-                                   ((F.col("id") * 104729 % 100019) / 100019.0).alias("u2"))
-    for lam in (0.5, 4.0, 120.0):
-        r = df.select(poisson_draw(F.lit(lam), F.col("u1"), F.col("u2")).alias("k")) \
-            .agg(F.avg("k").alias("m"), F.variance("k").alias("v")).first()
-        assert abs(r.m - lam) < 0.05 * lam + 0.02 and abs(r.v - lam) < 0.1 * lam + 0.05
+def test_poisson_draws_are_exact(spark):
+    """The tables against the definition, draws against a plain search, at small and large counts alike."""
+    from bisect import bisect_left
+    from math import exp, lgamma, log
+    from tabulon.operators.evaluate import poisson_draw, poisson_tables
+    counts = [1, 2, 7, 50, 51, 1000, 250_000]
+    tables = poisson_tables(spark.createDataFrame([(c,) for c in counts + counts], "c bigint"), "c")
+    got = {r["c"]: r for r in tables.collect()}
+    assert sorted(got) == counts
+    for c, r in got.items():
+        acc = 0.0
+        for k, x in enumerate(r["cdf"], r["k0"]):
+            acc += exp(k * log(c) - c - lgamma(k + 1))
+            assert abs(x - acc) < 1e-9
+        assert r["cdf"][-1] == 1.0 and len(r["cdf"]) <= 2 * (9 * c ** 0.5 + 17) + 1
+    us = [1e-15, 0.001, 0.25, 0.5, 0.75, 0.999, 1 - 1e-15]
+    u = F.explode(F.array(*[F.lit(x) for x in us])).alias("u")
+    for r in tables.select("c", "k0", "cdf", u).withColumn("w", poisson_draw(F.col("k0"), F.col("cdf"), F.col("u"))).collect():
+        assert r["w"] == r["k0"] + bisect_left(r["cdf"], r["u"])
+
+
+def test_poisson_draw_moments(spark):
+    from tabulon.operators.evaluate import poisson_draw, poisson_tables, uniform
+    t = poisson_tables(spark.createDataFrame([(1,), (4,), (120,)], "c bigint"), "c")
+    many = t.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(40000))))
+    key = F.concat_ws("|", F.col("c").cast("string"), F.col("i").cast("string"))
+    drawn = many.withColumn("w", poisson_draw(F.col("k0"), F.col("cdf"), uniform(key)))
+    for r in drawn.groupBy("c").agg(F.avg("w").alias("m"), F.variance("w").alias("v"), F.max("w").alias("top")).collect():
+        assert abs(r["m"] - r["c"]) < 0.05 * r["c"] ** 0.5 and abs(r["v"] - r["c"]) < 0.05 * r["c"]
+        assert r["c"] > 1 or r["top"] >= 7
 
 
 def test_stream_restart_processes_each_file_once(spark, tmp_path):
