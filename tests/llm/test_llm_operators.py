@@ -51,6 +51,25 @@ def test_lm_is_a_distribution():
     assert total == pytest.approx(1 / 64, rel=1e-3)  # the style is coded first, as one of 64
 
 
+def test_lm_fits_on_every_training_text(spark):
+    """Code lengths and starting state count the bytes and decisions of all texts, with a group's own counts taken out."""
+    r = random.Random(4)
+    rows = [(i, " ".join(r.choice(["stone", "river", "Door"]) for _ in range(9))) for i in range(400)]
+    train = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    seen, n = lm_mixing.byte_counts(train)
+    messages = [lm_mixing.tokens(t) for _, t in rows]
+    want = np.bincount(np.frombuffer(b" ".join(b" ".join(m) for m in messages) + b" ", np.uint8), minlength=256)
+    assert n == 400 and seen.tolist() == want.tolist()
+    code = lm_mixing.Code(seen + 0.01)
+    tables = lm_mixing.summed_tables(lm_mixing.gathered(train, seen + 0.01).where("kind > 0"))
+    total = lm_mixing.summed_evidence(lm_mixing.evidenced(train, seen + 0.01, spark.sparkContext.broadcast(tables), n))
+    steps = [lm_mixing.decisions(lm_mixing.styled(m), code) for m in messages]
+    assert total.sum() == sum(int(k.sum()) for k, _, _ in steps) == tables[0].sum()
+    assert total.reshape(-1, 2)[:, 1].sum() == sum(int(y.sum()) for _, y, _ in steps)
+    state = lm_mixing.fitted_state(total)
+    assert np.isfinite(state["weights"]).all() and (state["weights"] != lm_mixing.start_state()["weights"]).any()
+
+
 def test_lm_learns_and_batches_agree():
     code = lm_mixing.Code(np.ones(256))
     words = [b"stone", b"river", b"door"]
