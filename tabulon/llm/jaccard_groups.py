@@ -156,13 +156,14 @@ def candidates(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """``node, n, set, least``: one document of each class that may link with another, its set, and its least token under a second hash.
 
     The sampled tokens that are in no other class must all be among the n - ceil(0.8 n)
-    that a partner may lack.
+    that a partner may lack; a class without a shared one in the sample goes on if they are.
     """
     credits = _credits(_sampled(docs))
     node = (keys.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2")
             .agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"), F.max("sampled").alias("sampled")))
-    may = node.join(credits.withColumnRenamed("key", "k1"), "k1").where(
-        (F.col("known") > 0) & (LEAST[1] * (F.col("n") - F.col("sampled") + F.col("known")) >= LEAST[0] * F.col("n")))
+    known = F.coalesce("known", F.lit(0))  # none: a small set may share only what lies outside the sample
+    may = node.join(credits.withColumnRenamed("key", "k1"), "k1", "left").where(
+        LEAST[1] * (F.col("n") - F.col("sampled") + known) >= LEAST[0] * F.col("n"))
     may, _ = saved(may.select("node", "k1", "k2"), "may")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,11 +172,12 @@ def candidates(docs: DataFrame, keys: DataFrame) -> DataFrame:
             for node, k1, k2, text in zip(f["node"], f["k1"], f["k2"], f["text"], strict=True):
                 s = tokens(text)
                 if _key(s) == (k1, k2):  # and not another text under a used id
-                    out.append((node, len(s), s.view(np.int64), int(mix64(s).min().view(np.int64))))
-            yield pd.DataFrame(out, columns=["node", "n", "set", "least"])
+                    out.append((node, len(s), s.view(np.int64), int(mix64(s).min().view(np.int64)), k1, k2))
+            yield pd.DataFrame(out, columns=["node", "n", "set", "least", "k1", "k2"])
 
     found = texts(docs).join(if_small(may), F.col("doc_id") == F.col("node")).select("node", "k1", "k2", "text")
-    return found.mapInPandas(run, "node long, n long, set array<long>, least long").dropDuplicates(["node", "n", "least"])
+    got = found.mapInPandas(run, "node long, n long, set array<long>, least long, k1 long, k2 long")
+    return got.dropDuplicates(["node", "k1", "k2"]).drop("k1", "k2")  # an id may have several classes
 
 
 def keyed_alike(sets: DataFrame) -> DataFrame:

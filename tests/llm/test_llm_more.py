@@ -64,6 +64,18 @@ def test_join_against_brute_force(spark, monkeypatch, members):
     assert got == linked(rows)
 
 
+def test_small_sets_link_outside_the_sample(spark):
+    """Sets of four to six shingles, of which often none that both hold lies in the sample."""
+    r = random.Random(8)
+    rows = []
+    for i in range(150):
+        words = [f"v{r.randrange(10**6)}" for _ in range(9)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:-1]))]
+    assert sum(c != i for i, (_, c) in linked(rows).items()) == 150
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_groups.joined(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == linked(rows)
+
+
 def test_bound_opens_every_group_it_must():
     r = np.random.default_rng(3)
     members = [{"node": i, "n": 40, "set": sorted(r.choice(90, 40, replace=False).tolist())} for i in range(30)]
