@@ -1,10 +1,11 @@
 """L3–L5 + K2, K7 — dual-model scoring with explanations, as one join with a table of weights.
 
 A linear model over one-hot categories is a table (model, feature, category, w) of any
-length. Rows become (id, feature, category), meet the weights of all models in one join, and
-one grouped pass per id puts the whole answer together: score, probability, decision, the
-ranked factors and the categories that a model has never seen. The table of weights is
-joined, never collected; only what has a row per model and feature (the mean weights) is.
+length. Rows meet the weights of all models by a join per feature, and one grouped pass per
+id puts the whole answer together: score, probability, decision, the ranked factors and the
+categories that a model has never seen. The table of weights is joined, never collected; only
+what has a row per model and feature (the mean weights) is. Where the table is short it is
+broadcast, so that rows stay whole and only one per id is shuffled.
 
 φ = w − mean weight of the feature over the background; base + Σφ is the raw score. A null
 or unseen category has weight 0 and gives a warning.
@@ -19,11 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.operators.explain import sigmoid
+from tabulon.session import materialize
 
 DISCLAIMER = "Descriptive model estimate; not a decision about any individual."
 # Wording of the answers
 DIRECTIONS = ("increased_likelihood", "reduced_likelihood", "neutral")
 THRESHOLD_STATUS = "provisional"
+SHORT = 100_000  # categories that are broadcast
 
 
 @dataclass(frozen=True)
@@ -51,11 +54,16 @@ def answers(df: DataFrame, id_col: str, features: Sequence[str], weights: DataFr
             questions: Sequence[Question], labels: Mapping[str, str] | None = None, top: int = 5) -> DataFrame:
     """``id, results``: one answer per model, in the order of ``questions``."""
     by = weights.groupBy("feature", "category").agg(F.map_from_entries(F.collect_list(F.struct("model", "w"))).alias("__w"))
-    place = F.create_map(*[x for i, f in enumerate(features) for x in (F.lit(f), F.lit(i))])
-    long = df.select(F.col(id_col), *[F.col(f).cast("string").alias(f) for f in features]).unpivot([id_col], list(features), "feature", "category")
-    met = long.join(by, ["feature", "category"], "left")
-    part = F.struct(place[F.col("feature")].alias("place"), F.col("feature").alias("feature"), F.col("category").alias("value"), F.col("__w").alias("w"))
-    row = met.groupBy(id_col).agg(F.array_sort(F.collect_list(part), lambda a, b: a["place"] - b["place"]).alias("parts"))
+    by = materialize(by)
+    short = by.count() <= SHORT
+    met = df.select(F.col(id_col), *[F.col(f).cast("string").alias(f) for f in features])
+    for i, f in enumerate(features):
+        w = by.where(F.col("feature") == f).select(F.col("category").alias(f"__c{i}"), F.col("__w").alias(f"__w{i}"))
+        met = met.join(F.broadcast(w) if short else w, F.col(f) == F.col(f"__c{i}"), "left")
+    parts = F.array(*[F.struct(F.lit(i).alias("place"), F.lit(f).alias("feature"), F.col(f).alias("value"), F.col(f"__w{i}").alias("w"))
+                      for i, f in enumerate(features)])
+    row = met.select(id_col, parts.alias("__parts")).groupBy(id_col).agg(F.flatten(F.collect_list("__parts")).alias("parts"))
+    row = row.withColumn("parts", F.when(F.size("parts") > len(features), F.array_sort("parts", lambda a, b: a["place"] - b["place"])).otherwise(F.col("parts")))
     return row.select(id_col, F.array(*[_answer(q, means.get(q.model, {}), features, labels or {}, top) for q in questions]).alias("results"))
 
 

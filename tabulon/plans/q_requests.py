@@ -87,18 +87,26 @@ def _render(text: str, dialect: str) -> str:
 
 
 def requests(spark, d):
-    """``respondent_id, body``: one JSON request per survey row, with faults that the id decides."""
+    """``respondent_id, body``: one JSON request per survey row, with faults that the id decides.
+
+    A hash that a field is picked by is computed once, in its own projection; so is each
+    form of the request that the faults are made on.
+    """
+    import re
     base = derived(fx.clean_survey(spark, d)).select("respondent_id", *[c for c in FIELDS if c not in DERIVED])
-    quoted = {k: _render(v, "spark").replace("''", "\\'") for k, v in DERIVED.items()}
-    base = materialize(base).select("*", *[F.expr(v).alias(k) for k, v in quoted.items()],
+    salts = sorted({m for v in DERIVED.values() for m in re.findall(r"\{h:(\w+)\}", v)})
+    base = materialize(base).select("*", *[F.expr(_render("{h:%s}" % m, "spark")).alias(f"__h_{m}") for m in salts],
                                     (h8(F.concat(F.lit("req|"), F.col("respondent_id").cast("string"))) % FAULTS).alias("__fault"))
+    quoted = {k: re.sub(r"\{h:(\w+)\}", r"__h_\1", v).replace("''", "\\'") for k, v in DERIVED.items()}
+    base = base.select("*", *[F.expr(v).alias(k) for k, v in quoted.items()])
     for number, field, text in CHANGED:
         base = base.withColumn(field, F.when(F.col("__fault") == number, F.expr(text.replace("''", "\\'"))).otherwise(F.col(field)))
     fault = F.col("__fault")
     pairs = [F.struct(F.lit(f).alias("k"), F.col(f).alias("v")) for f in FIELDS]
     kept = F.filter(F.array(*pairs), lambda p: ~((fault.isin(1, 8)) & (p["k"] == "educ")))
     kept = F.when(fault.isin(0, 8), F.concat(kept, F.array(F.struct(F.lit("shoe_size").alias("k"), F.lit("42").alias("v"))))).otherwise(kept)
-    body = F.to_json(F.map_from_entries(kept))
+    base = base.select("respondent_id", "__fault", F.to_json(F.map_from_entries(kept)).alias("__body"))
+    body = F.col("__body")
     body = (F.when(fault == 7, F.regexp_replace(body, '"fin46":"[^"]*"', '"fin46":1')).when(fault == 9, F.substring(body, 1, 40))
             .when(fault == 10, F.concat(F.lit("["), body, F.lit("]"))).when(fault == 11, F.regexp_replace(body, '"inc_q":"[^"]*"', '"inc_q":null')).otherwise(body))
     return materialize(base.select("respondent_id", body.alias("body")))  # requests arrive as a table

@@ -48,3 +48,35 @@ def test_answers(spark):
     assert out[2][0].warnings == ["m has not seen g = (missing)"] and out[3][0].warnings == ["m has not seen f = z"]
     assert out[1][1].answer == "Less likely than not" and out[1][1].threshold == 0.6 and out[1][1].warnings == ["o has not seen g = x"]
     assert all(r.threshold_status == "provisional" for rs in out.values() for r in rs)
+
+
+def _plan(df, kind):
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        return getattr(df._jdf.queryExecution(), kind)().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_a_request_hashes_once_per_field(spark, monkeypatch):
+    """One md5 per salt, however many values a field is picked from."""
+    from tabulon.plans import q_requests
+    survey = spark.createDataFrame([(1, "Female", "15–24", "Secondary education", "Income quintile 1", "Yes", "Yes", "A smartphone")],
+                                   "respondent_id long, female string, age_group string, educ string, inc_q string, internet_use string, con1 string, con9 string")
+    monkeypatch.setattr(q_requests.fx, "clean_survey", lambda spark, d: survey)
+    monkeypatch.setattr(q_requests, "materialize", lambda df: df)
+    plan = _plan(q_requests.requests(spark, ""), "optimizedPlan")
+    assert plan.count("md5(") == len(q_requests.DERIVED) + 1
+
+
+def test_answers_keep_rows_whole(spark):
+    """Weights are looked up per feature: no row per feature is made or shuffled."""
+    from tabulon.operators import respond as R
+    weights = spark.createDataFrame([("m", "a", "x", 1.0), ("m", "b", "y", -2.0)], "model string, feature string, category string, w double")
+    rows = spark.createDataFrame([(1, "x", "y"), (2, None, "z"), (2, "x", None)], "id long, a string, b string")
+    got = R.answers(rows, "id", ["a", "b"], weights, {}, [R.Question("m", 0.5, "?")])
+    assert "Expand" not in _plan(got, "executedPlan")
+    by = {r["id"]: r["results"][0] for r in got.collect()}
+    assert by[1]["raw_score"] == -0.5 and by[2]["raw_score"] == 1.5
+    assert len(by[2]["warnings"]) == 3 and [f["feature"] for f in by[2]["main_factors"]] == ["a", "a", "b", "b"]
