@@ -17,8 +17,11 @@ WORDS, LINES = 6, 30  # words on a line, lines on a page
 
 
 def word_table(spark, d):
-    """``doc_id, page, top, x0, text``: six words a line, thirty lines a page; every fourth line or so starts with a key text."""
-    w = table(spark, d, "documents").select("doc_id", F.posexplode(F.expr("regexp_extract_all(text, '[A-Za-z]+', 0)")).alias("i", "word"))
+    """``doc_id, page, top, x0, text``: six words a line, thirty lines a page; every fourth line or so starts with a key text.
+
+    Texts are dealt out by document before they become words, so no later step shuffles words or lines.
+    """
+    w = table(spark, d, "documents").select("doc_id", "text").repartition("doc_id").select("doc_id", F.posexplode(F.expr("regexp_extract_all(text, '[A-Za-z]+', 0)")).alias("i", "word"))
     line, place = F.floor(F.col("i") / WORDS), F.col("i") % WORDS
     code = h8(F.concat(F.lit("key|"), F.col("word")))
     text = F.substring(F.md5("word"), 1, 1)

@@ -50,3 +50,12 @@ def test_words_to_entries(spark):
     assert (out["internet_use"].printed, out["internet_use"].label, out["internet_use"].definition) == ("INTERnet", 'Net "Quoted" text', "Uses")
     empty = S.entries(S.credited_lines(S.word_lines(table.limit(0)), KNOWN))
     assert empty.collect() == []
+
+
+def test_words_are_not_shuffled(spark, tmp_path):
+    """Texts are dealt out by document, before they become words; lines and sections need no further exchange."""
+    from tabulon.plans import q_sections
+    spark.createDataFrame([(1, "one two three four five six seven"), (2, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    plan = q_sections.q_credited(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.index("Generate") < plan.index("Exchange ")
+    assert "Generate" not in plan[plan.index("Exchange "):]
