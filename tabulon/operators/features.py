@@ -32,9 +32,13 @@ def route(rules: Sequence[tuple[Column, object]], default=None) -> Column:
 
 
 def unresolved_states(df: DataFrame, state_col: str, sources: Sequence[str]) -> DataFrame:
-    """Source combinations not covered by the rules, with counts."""
-    return (df.filter(F.col(state_col).isNull()).groupBy(*sources)
-            .agg(F.count(F.lit(1)).alias("n")))
+    """Source combinations not covered by the rules, with counts.
+
+    Counted where the state stands: a filter on it would be pushed below the projections that
+    derive it, and would repeat their nested expressions for every rule and source column.
+    """
+    return (df.groupBy(*sources).agg(F.count_if(F.col(state_col).isNull()).alias("n"))
+            .filter(F.col("n") > 0))
 
 
 def distribution(df: DataFrame, features: Sequence[str], group: str | None = None) -> DataFrame:
