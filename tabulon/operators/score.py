@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.functions.exprs import trim_ws
+from tabulon.functions.exprs import all_of, any_of, trim_ws
 from tabulon.operators.explain import LinearExplainer, score_struct, sigmoid
 
 
@@ -34,8 +34,16 @@ def validation_errors(df: DataFrame, allowed: Mapping[str, Sequence[str]],
     return F.array_compact(F.array(*errs))
 
 
-def split_valid(df: DataFrame, errors: Column) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with their error list) from one tagged projection."""
+def valid_row(allowed: Mapping[str, Sequence[str]], routing: Sequence[tuple[Column, str, str]] = ()) -> Column:
+    """Whether a row has no ``validation_errors``: the same checks as one condition, each field trimmed once."""
+    fields = [F.coalesce(trim_ws(F.col(f).cast("string")).isin(*[x for x in values if x != ""]), F.lit(False)) for f, values in allowed.items()]
+    return all_of([*fields, *[~F.coalesce(cond, F.lit(False)) for cond, _field, _message in routing]])
+
+
+def split_valid(df: DataFrame, errors: Column, valid: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejected rows with their error list); with ``valid`` the lists are made for rejected rows only."""
+    if valid is not None:
+        return df.filter(valid), df.filter(~valid).withColumn("errors", errors)
     tagged = df.withColumn("errors", errors)
     return (tagged.filter(F.size("errors") == 0).drop("errors"), tagged.filter(F.size("errors") > 0))
 
@@ -45,10 +53,13 @@ def unseen_warnings(df: DataFrame, learned: Mapping[str, Mapping[str, Sequence[s
 
     ``learned``: model → feature → categories. A NULL is never a learned category.
     """
-    parts = [F.when(~F.coalesce(F.col(f).cast("string").isin(*cats), F.lit(False)),
-                    F.struct(F.lit(model).alias("model"), F.lit(f).alias("feature"), F.col(f).cast("string").alias("value")))
+    def unseen(f, cats):
+        return ~F.coalesce(F.col(f).cast("string").isin(*cats), F.lit(False))
+
+    parts = [F.when(unseen(f, cats), F.struct(F.lit(model).alias("model"), F.lit(f).alias("feature"), F.col(f).cast("string").alias("value")))
              for model, features in learned.items() for f, cats in features.items()]
-    return df.select(F.col(id_col), F.explode(F.array_compact(F.array(*parts))).alias("w")) \
+    # most rows have none: they go before the arrays are made
+    return df.filter(any_of([unseen(f, cats) for features in learned.values() for f, cats in features.items()])).select(F.col(id_col), F.explode(F.array_compact(F.array(*parts))).alias("w")) \
         .select(id_col, "w.model", "w.feature", "w.value")
 
 

@@ -14,7 +14,7 @@ from tabulon.operators import dictionary as N
 from tabulon.operators import profile as B
 from tabulon.plans.base import Query, values_sql
 from tabulon.plans.q_profile import PROFILE_CTE, RAW_COLS, VF_CTE
-from tabulon.session import materialize, shared_scratch
+from tabulon.session import materialize, shared_scratch, written
 from tabulon.sources import fixtures as fx
 from tabulon.sources.tables import table
 
@@ -251,11 +251,12 @@ def q_semantic(spark, d):
 def q_prep(spark, d):
     from pyspark.ml.functions import vector_to_array
     from tabulon.plans.q_features import MODEL_FEATURES, split_frame
-    df = split_frame(spark, d)
+    survey = fx.written_survey(spark, d)
+    # each stage of the template is fitted in a pass of its own
+    df = written(split_frame(spark, d, survey).join(survey.select("respondent_id", "age"), "respondent_id"), "template")
     pipe = D.prep_template(["age"], [c for c in MODEL_FEATURES if c != "age_group"])
-    model = pipe.fit(df.filter(F.col("side") == "train").join(
-        fx.clean_survey(spark, d).select("respondent_id", "age"), "respondent_id"))
-    out = model.transform(df.join(fx.clean_survey(spark, d).select("respondent_id", "age"), "respondent_id"))
+    model = pipe.fit(df.filter(F.col("side") == "train"))
+    out = model.transform(df)
     arr = vector_to_array("features")
     return out.select("respondent_id", "side", F.size(arr).alias("width"), arr[0].alias("age_scaled"))
 

@@ -13,7 +13,7 @@ from tabulon.operators import score as L
 from tabulon.plans.base import Query
 from tabulon.plans.q_features import (ENGAGEMENT_MAP, MODEL_FEATURES, OFFLINE, SPLIT_CTE, TARGET, derived,
                                       split_frame)
-from tabulon.session import materialize, shared_scratch
+from tabulon.session import materialize, shared_scratch, written
 from tabulon.sources import fixtures as fx
 from tabulon.streaming.scoring import run_stream
 
@@ -23,10 +23,10 @@ FEATURE_LABELS = {"female": "Gender", "age_group": "Age group", "educ": "Educati
                   "internet_use": "Recent internet use", "phone_access_tier": "Phone access"}
 
 
-def _split(spark, d):
+def _split(spark, d, survey=None):
     """The split survey frame, written once to the shared checkpoint folder: every K/L query
     reads it several times (background counts, test rows, vocabulary)."""
-    return materialize(split_frame(spark, d))
+    return written(split_frame(spark, d, survey), "split")
 
 
 def explainers(spark, d, split=None):
@@ -76,9 +76,9 @@ ALLOWED = {
 }
 
 
-def profiles(spark, d):
+def profiles(spark, d, survey=None):
     """Scoring requests: the derived survey rows, with deterministic data-derived faults injected."""
-    base = derived(fx.clean_survey(spark, d))
+    base = derived(fx.clean_survey(spark, d) if survey is None else survey)
     u = h8(F.concat(F.lit("fault|"), F.col("respondent_id").cast("string"))) % 200
     return base.withColumns({
         "female": F.when(u == 0, F.lit("Unknown")).otherwise(F.col("female")),
@@ -105,15 +105,19 @@ def q_validate(spark, d):
                                                                         "e.type")
 
 
-def _valid_profiles(spark, d, sp):
-    """Every valid profile; models are fitted on the training side of ``sp``.
+def _checked(df):
+    """(valid rows, rejected rows with their errors)."""
+    return L.split_valid(df, L.validation_errors(df, ALLOWED, routing_rules()), L.valid_row(ALLOWED, routing_rules()))
+
+
+def _valid_profiles(spark, d, survey):
+    """Every valid profile.
 
     The requests are a written table: the checks would otherwise repeat the nested
     derivations of every field they look at.
     """
-    p = materialize(profiles(spark, d))
-    ok, _bad = L.split_valid(p, L.validation_errors(p, ALLOWED, routing_rules()))
-    return ok, explainers(spark, d, sp)
+    p = written(profiles(spark, d, survey), "profiles")
+    return _checked(p)[0]
 
 
 def _learned(sp):
@@ -128,13 +132,16 @@ def _learned(sp):
 
 
 def q_batch(spark, d):
-    ok, exs = _valid_profiles(spark, d, _split(spark, d))
-    return L.dual_scoring(ok, exs, "respondent_id")
+    survey = fx.written_survey(spark, d)
+    exs = explainers(spark, d, _split(spark, d, survey))
+    return L.dual_scoring(_valid_profiles(spark, d, survey), exs, "respondent_id")
 
 
 def q_responses(spark, d):
-    sp = _split(spark, d)
-    ok, exs = _valid_profiles(spark, d, sp)
+    survey = fx.written_survey(spark, d)
+    sp = _split(spark, d, survey)
+    exs = explainers(spark, d, sp)
+    ok = written(_valid_profiles(spark, d, survey), "valid")
     scores = L.dual_scoring(ok, exs, "respondent_id")
     factors = None
     for name, ex in exs.items():
@@ -145,20 +152,19 @@ def q_responses(spark, d):
 
 
 def q_unseen(spark, d):
-    return L.unseen_warnings(profiles(spark, d), _learned(_split(spark, d)), "respondent_id")
+    survey = fx.written_survey(spark, d)
+    return L.unseen_warnings(profiles(spark, d, survey), _learned(_split(spark, d, survey)), "respondent_id")
 
 
 def _streamed(spark, d):
-    exs = explainers(spark, d)
-    p = profiles(spark, d).select("respondent_id", *ALLOWED, "internet_engagement_level", "phone_access_tier")
+    survey = fx.written_survey(spark, d)
+    exs = explainers(spark, d, _split(spark, d, survey))
+    p = profiles(spark, d, survey).select("respondent_id", *ALLOWED, "internet_engagement_level", "phone_access_tier")
     root = shared_scratch(spark, f"stream/{uuid.uuid4().hex}")
     p.write.parquet(f"{root}/in")  # arriving request files
     schema = p.schema.simpleString()[len("struct<"):-1].replace(":", " ")
 
-    def validate(df):
-        return L.split_valid(df, L.validation_errors(df, ALLOWED, routing_rules()))
-
-    return run_stream(spark, f"{root}/in", schema, f"{root}/out", validate,
+    return run_stream(spark, f"{root}/in", schema, f"{root}/out", _checked,
                       lambda ok: L.dual_scoring(ok, exs, "respondent_id"))
 
 
@@ -175,12 +181,13 @@ def q_stream_rejected(spark, d):
 FITTED = {"model_a": ("y_a", 1.0), "model_b": ("y_b", 0.2)}  # outcome and inverse regularisation
 
 
-def fitted_models(spark, d, sp):
+def fitted_models(spark, d, sp, survey=None):
     """Model → (fitted pipeline, its explainer): one logistic model per outcome, trained on the training side."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from tabulon.operators import clean as D
-    outcomes = fx.clean_survey(spark, d).select("respondent_id", *fx.TARGETS)
+    survey = fx.clean_survey(spark, d) if survey is None else survey
+    outcomes = survey.select("respondent_id", *fx.TARGETS)
     train = materialize(sp.filter(F.col("side") == "train").select("respondent_id", *MODEL_FEATURES).join(outcomes, "respondent_id"))
     n = train.count()
     out = {}
@@ -197,11 +204,11 @@ def _fitted_scores(spark, d):
     """Every valid profile through both fitted pipelines, beside the score that its attributions add up to."""
     from functools import reduce
     from pyspark.ml.functions import vector_to_array
-    sp = _split(spark, d)
-    p = materialize(profiles(spark, d))
-    ok, _bad = L.split_valid(p, L.validation_errors(p, ALLOWED, routing_rules()))
+    survey = fx.written_survey(spark, d)
+    sp = _split(spark, d, survey)
+    ok = _valid_profiles(spark, d, survey)
     parts = []
-    for name, (model, ex) in fitted_models(spark, d, sp).items():
+    for name, (model, ex) in fitted_models(spark, d, sp, survey).items():
         total = F.lit(float(ex.base))
         for f in ex.features:
             total = total + ex.phi(f)

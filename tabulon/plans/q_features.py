@@ -59,18 +59,19 @@ def derived(df):
     })
 
 
-def feature_frame(spark, d):
+def feature_frame(spark, d, survey=None):
     """Key + target + model features (sources replaced by derived states)."""
-    return derived(fx.clean_survey(spark, d)).select("respondent_id", TARGET, *MODEL_FEATURES, "segment", "region")
+    return derived(fx.clean_survey(spark, d) if survey is None else survey).select("respondent_id", TARGET, *MODEL_FEATURES, "segment", "region")
 
 
-def keyed(spark, d):
-    ff = feature_frame(spark, d)
+def keyed(spark, d, survey=None):
+    ff = feature_frame(spark, d, survey)
     return ff.withColumn("profile_key", H.profile_key(MODEL_FEATURES))
 
 
-def split_frame(spark, d):
-    return H.holdout_split(keyed(spark, d), "profile_key", TARGET)
+def split_frame(spark, d, survey=None):
+    """The split survey rows; the survey, read for the profiles and for the rows, is a written table."""
+    return H.holdout_split(keyed(spark, d, fx.written_survey(spark, d) if survey is None else survey), "profile_key", TARGET)
 
 
 # ----------------------------------------------------------------- oracle text

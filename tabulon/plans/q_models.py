@@ -15,14 +15,14 @@ from tabulon.operators import models as I
 from tabulon.operators import tree_explain as T
 from tabulon.plans.base import Query
 from tabulon.plans.q_features import MODEL_FEATURES, SPLIT_CTE, TARGET, split_frame
-from tabulon.session import materialize, shared_scratch
+from tabulon.session import materialize, shared_scratch, written
 from tabulon.sources.fixtures import DIMENSIONS
 
 
-def prepared(spark, d):
+def prepared(spark, d, split=None):
     """The split survey as weighted cells (profile, label, side, fold, ``n``) with their encoded features, and the
     fitted one-hot template (vocabulary from training rows): its size is bounded by the categories."""
-    sp = split_frame(spark, d).withColumn("label", F.col(TARGET))
+    sp = (split_frame(spark, d) if split is None else split).withColumn("label", F.col(TARGET))
     cells = materialize(I.profile_cells(sp, ["side", "cv_fold", *MODEL_FEATURES], "label"))
     prep = D.prep_template([], MODEL_FEATURES).fit(cells.filter(F.col("side") == "train"))
     parts = max(1, math.ceil(cells.count() / 50_000))
@@ -174,9 +174,9 @@ QUERIES = [
 ]
 
 
-def tree_context(spark, d):
+def tree_context(spark, d, split=None):
     """The largest boosting setting of the grid as a path table, the encoded profiles of the holdout, and the encoded map."""
-    data, prep = prepared(spark, d)
+    data, prep = prepared(spark, d, split)
     train = data.filter(F.col("side") == "train")
     totals = {r["label"]: int(r["c"]) for r in train.groupBy("label").agg(F.sum("n").alias("c")).collect()}  # a row per class
     setting = I.Candidate("gbt", {"rounds": 200, "rate": 0.1, "max_depth": 2, "min_leaf": 15})
@@ -190,8 +190,9 @@ def tree_context(spark, d):
 
 
 def q_tree_attr(spark, d):
-    paths, _model, cells, sources = tree_context(spark, d)
-    rows = split_frame(spark, d).filter(F.col("side") == "test").select("respondent_id", *MODEL_FEATURES)
+    sp = written(split_frame(spark, d), "split")
+    paths, _model, cells, sources = tree_context(spark, d, sp)
+    rows = sp.filter(F.col("side") == "test").select("respondent_id", *MODEL_FEATURES)
     return T.tree_attribution(rows.join(cells.select(*MODEL_FEATURES, "x"), MODEL_FEATURES), paths, "respondent_id", MODEL_FEATURES, "x", sources)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions.exprs import sql_case_map
+from tabulon.session import written
 from tabulon.sources.tables import table
 
 # ---------------------------------------------------------------------------
@@ -145,10 +146,22 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled survey frame built by the library's recode (D3/D4/D5) and band (G1) operators."""
+    return _cleaned(raw_survey(spark, sf_dir))
+
+
+def written_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``clean_survey`` as a written table, for queries that go over it more than once.
+
+    The coded rows are written first: the whole chain in one stage makes a method that
+    the JVM refuses to compile (over 8000 bytes of bytecode) and interprets for every row.
+    """
+    return written(_cleaned(written(raw_survey(spark, sf_dir))))
+
+
+def _cleaned(raw: DataFrame) -> DataFrame:
     from tabulon.operators.clean import recode_categoricals, validate_binary, validate_whole_number
     from tabulon.operators.features import band
 
-    raw = raw_survey(spark, sf_dir)
     labelled = recode_categoricals(raw, CODE_MAPS, core=CORE_FIELDS, routed=ROUTED_FIELDS)
     labelled = validate_binary(labelled, list(TARGETS), cast="int")
     labelled = validate_whole_number(labelled, "age", 15, 110, cast="int")
