@@ -86,7 +86,8 @@ def rule_scores(spark, d):
 
 
 def q_rule_search(spark, d):
-    t = I.one_se_selection(materialize(I.search_table(I.fit_metrics(rule_scores(spark, d), weight="n"), FOLDS)))
+    cells = materialize(rule_scores(spark, d))  # the metrics go over them more than once
+    t = I.one_se_selection(materialize(I.search_table(I.fit_metrics(cells, weight="n"), FOLDS)))
     return t.select("candidate_id", *[f"{s}_{m}_mean" for s in ("validation", "train") for m in I.METRICS], "validation_roc_auc_std", "rank_in_family",
                     "auc_gap", "fit_gap", "one_se_cutoff", "one_se_eligible", "selected")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabulon.operators import features as G
 from tabulon.operators import score as L
-from tabulon.plans import q_codebook, q_explain, q_features
+from tabulon.plans import q_codebook, q_explain, q_features, q_models
 from tabulon.session import written
 from tabulon.sources import fixtures as fx
 
@@ -57,6 +57,14 @@ def test_survey_is_read_from_its_table(spark, build):
     assert "orders.parquet" not in plan(build(spark, SF))
 
 
+def test_rule_search_goes_over_the_survey_once(spark, monkeypatch):
+    seen = []
+    real = q_models.I.fit_metrics
+    monkeypatch.setattr(q_models.I, "fit_metrics", lambda cells, **k: seen.append(plan(cells)) or real(cells, **k))
+    assert q_models.q_rule_search(spark, SF).count() == len(q_models.RULE_SETTINGS)
+    assert "parquet" not in seen[0]
+
+
 def test_valid_row_is_no_errors(spark):
     allowed, routing = {"a": ("x", "y", ""), "b": ("u",)}, [(F.col("a") == F.col("c"), "c", "same")]
     rows = [(a, b, c) for a in ("x", " y ", "z", "", " ", None) for b in ("u", None, "v") for c in ("x", None, "q")]
