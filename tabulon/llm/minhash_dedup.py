@@ -255,7 +255,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes, _ = saved(sketches.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "classes")
     nodes = sketches.where("n_shingles > 0").join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     nodes = nodes.withColumnRenamed("doc_id", "node")
-    rows = nodes.select(F.explode("bands").alias("band"), "node").distinct()
+    # dealt out by band once: distinct rows, the count and the join below need no further shuffle
+    rows = nodes.select(F.explode("bands").alias("band"), "node").repartition("band").distinct()
     shared = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     members, path = saved(rows.join(shared, "band"), "members")
     active = members.select(F.col("node").alias("doc_id")).distinct()

@@ -101,3 +101,20 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in kept.collect()} == want
     packed = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert {r["doc_id"] for r in packed} == want
+
+
+def test_bands_are_dealt_out_once(spark, monkeypatch):
+    import re
+
+    from tabulon.llm import minhash_dedup
+    plans, real = {}, minhash_dedup.saved
+
+    def saved(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(minhash_dedup, "saved", saved)
+    docs = spark.createDataFrame([(i, f"one two three four five six {i % 3}") for i in range(9)] + [(1, "other words under one id")], "doc_id long, text string")
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in minhash_dedup.near_duplicates(docs).collect()}
+    assert got[4, 3] == got[7, 3] == 1 and got[0, 3] == 0
+    assert set(re.findall(r"hashpartitioning\(band#\w+(?:, node#\w+)?, \d+\), (\w+)", plans["members"])) == {"REPARTITION_BY_COL"}
