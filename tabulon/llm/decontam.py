@@ -75,10 +75,10 @@ def rarest_first(keys: DataFrame, wins: DataFrame) -> DataFrame:
 
 
 def index(keys: DataFrame, terms: DataFrame) -> DataFrame:
-    """The positional inverted index of some terms: ``term, k1, k2, pos``, a written table."""
+    """The positional inverted index of some terms: ``term, k1, k2, pos``, a written table; equal rows have their postings once."""
     tokens = keys.select("k1", "k2", F.posexplode(words(F.col("text"))).alias("pos", "term"))
     wanted, _ = saved(terms, "wanted")
-    postings, _ = saved(tokens.join(if_small(wanted), "term", "left_semi").select("term", "k1", "k2", "pos"), "index")
+    postings, _ = saved(tokens.join(if_small(wanted), "term", "left_semi").select("term", "k1", "k2", "pos").distinct(), "index")
     return postings
 
 
@@ -86,12 +86,12 @@ def intersected(postings: DataFrame, live: DataFrame, slop: int) -> DataFrame:
     """``k1, k2, p1, off`` and the anchors' shape: where all anchors stand at their distances, off by ``off`` in all."""
     shape = ["t1", *[c for i in range(2, ANCHORS + 1) for c in (f"t{i}", f"g{i}")]]
     shapes, _ = saved(live.select(*shape).distinct(), "shapes")
-    rows = postings.distinct().join(if_small(shapes), F.col("term") == F.col("t1")).select(
+    rows = postings.join(if_small(shapes), F.col("term") == F.col("t1")).select(
         "k1", "k2", F.col("pos").alias("p1"), *shape, F.lit(0).alias("off"))
     # places asked for are looked up by the one or two cells they lie in
     cell = lambda at: F.floor(at / F.lit(2 * slop + 1))
     for i in range(2, ANCHORS + 1):
-        other = postings.distinct().select(F.col("term").alias(f"t{i}"), "k1", "k2", F.col("pos").alias("at")).withColumn("cell", cell(F.col("at")))
+        other = postings.select(F.col("term").alias(f"t{i}"), "k1", "k2", F.col("pos").alias("at")).withColumn("cell", cell(F.col("at")))
         want = F.col("p1") + F.col(f"g{i}")
         asked = rows.where(F.col(f"t{i}").isNotNull()).withColumn(
             "cell", F.explode(F.array_distinct(F.array(cell(want - slop), cell(want + slop)))))
@@ -125,16 +125,18 @@ def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, slop: int =
     met = intersected(postings, live, slop)
     same = reduce(lambda a, b: a & b, [F.col(f"m.{c}").eqNullSafe(F.col(f"l.{c}")) for c in met.columns if c[0] in "tg"])
     spots = met.alias("m").join(if_small(live).alias("l"), same).select(
-        "m.k1", "m.k2", (F.col("m.p1") - F.col("l.o1")).alias("start"), "off", "l.wid", "l.terms")
-
-    def on_words(candidates: DataFrame, name: str) -> DataFrame:
-        """A document's candidates travel to its words, once."""
-        asked, _ = saved(candidates.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "wid", "terms")).alias("c")), name)
-        return keys.select("k1", "k2", "text").join(if_small(asked), ["k1", "k2"]).select("k1", "k2", "c", words(F.col("text")).alias("w"))
-
-    good = F.filter("c", lambda c: F.slice("w", c["start"] + 1, F.size(c["terms"])) == c["terms"])
-    exact = on_words(spots.where("off = 0 and start >= 0"), "asked").select("k1", "k2", F.explode(good).alias("c")).select(
-        "k1", "k2", "c.wid", "c.start", F.size("c.terms").alias("length")).distinct()
+        "m.k1", "m.k2", (F.col("m.p1") - F.col("l.o1")).alias("start"), "off", "l.wid", F.size("l.terms").alias("n"))
+
+    def on_words(candidates: DataFrame, name: str, *what: str) -> DataFrame:
+        """A document's candidates travel to its words, once and without the words of their windows; texts without any stay where they are."""
+        asked, _ = saved(candidates.groupBy("k1", "k2").agg(F.collect_set(F.struct(*what)).alias("c")), name)
+        held = keys.select("k1", "k2", "text").join(if_small(asked.select("k1", "k2")), ["k1", "k2"], "left_semi")
+        return held.join(if_small(asked), ["k1", "k2"]).select("k1", "k2", "c", words(F.col("text")).alias("w"))
+
+    there = F.transform("c", lambda c: F.struct(c["start"].alias("start"), F.slice("w", c["start"] + 1, c["n"]).alias("terms")))
+    exact = on_words(spots.where("off = 0 and start >= 0"), "asked", "start", "n").select("k1", "k2", F.explode(there).alias("c")).select(
+        "k1", "k2", "c.start", "c.terms", F.md5(F.encode(F.concat_ws(" ", "c.terms"), "UTF-8")).alias("wid"))
+    exact = exact.join(if_small(live.select("wid", "terms")), ["wid", "terms"]).select("k1", "k2", "wid", "start", F.size("terms").alias("length")).distinct()
     exact, _ = saved(exact.join(if_small(items), "wid").select("k1", "k2", "item_id", F.lit("exact").alias("kind"), "start", "length").distinct(), "exact")
     if slop == 0:
         return exact
@@ -142,9 +144,10 @@ def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, slop: int =
     # of a document only the words around a candidate go on
     first = lambda c: F.greatest(c["start"] - slop, F.lit(0))
     around = F.transform("c", lambda c: F.struct(
-        c["wid"].alias("wid"), c["terms"].alias("terms"), first(c).alias("first"), (c["start"] - first(c)).alias("at"),
-        F.slice("w", first(c) + 1, F.size(c["terms"]) + 2 * slop).alias("w")))
-    cut = on_words(near, "close").select("k1", "k2", F.explode(around).alias("c")).select("k1", "k2", "c.*")
+        c["wid"].alias("wid"), first(c).alias("first"), (c["start"] - first(c)).alias("at"),
+        F.slice("w", first(c) + 1, c["n"] + 2 * slop).alias("w")))
+    cut = on_words(near, "close", "start", "wid", "n").select("k1", "k2", F.explode(around).alias("c")).select("k1", "k2", "c.*")
+    cut = cut.join(if_small(live.select("wid", "terms")), "wid")
     cut = cut.withColumn("base", F.explode(F.sequence(F.col("at") - slop, F.col("at"))))
     cut = cut.withColumn("p", ahead(F.col("w"), F.col("terms"), F.col("base"), slop)).where(F.size("p") == F.size("terms"))
     cut, _ = saved(cut.select("k1", "k2", "wid", (F.col("first") + F.array_min("p")).alias("start"), (F.array_max("p") - F.array_min("p") + 1).alias("length")), "near")

@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 
-from tabulon.llm import lm_mixing
+from tabulon.llm import decontam, lm_mixing
 
 
 class Rows:
@@ -36,3 +36,24 @@ def test_lm_tasks_hold_the_decisions_of_few_tokens(step, monkeypatch):
     shared = SimpleNamespace(value=[np.zeros(2 << b, np.int32) for b in lm_mixing.SLOT_BITS])
     out = lm_mixing.gathered(rows, np.ones(256)) if step == "gathered" else lm_mixing.evidenced(rows, np.ones(256), shared, 6400)
     assert len(out) and sum(asked) >= 30 * 1200 and max(asked) <= 5_000
+
+
+@pytest.mark.parametrize("slop", [0, 2])
+def test_decontam_candidates_travel_without_words(spark, monkeypatch, slop):
+    item = [f"b{i}" for i in range(15)]
+    docs = [(1, "x y " + " ".join(item)), (1, "x y " + " ".join(item)), (2, " ".join([*item[:6], "new", *item[6:13]])), (3, "other words b1 b2 b3"), (4, None)]
+    bench = [(7, " ".join(item)), (8, "b1 b2")]
+    tables, saved = {}, decontam.saved
+
+    def kept(df, name):
+        tables[name], path = saved(df, name)
+        return tables[name], path
+
+    monkeypatch.setattr(decontam, "saved", kept)
+    found = decontam.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"), slop=slop)
+    got = {(r["k1"], r["item_id"], r["kind"], r["start"], r["length"]) for r in found.collect()}
+    exact = {(1, 7, "exact", s, 13) for s in (2, 3, 4)} | {(1, 8, "exact", 3, 2), (2, 8, "exact", 1, 2), (3, 8, "exact", 2, 2)}
+    assert got == exact | ({(2, 7, "near", 0, 14)} if slop else set())
+    asked = [tables[n] for n in ("asked", "close") if n in tables]
+    assert len(asked) == (2 if slop else 1) and not any("terms" in t.schema.simpleString() for t in asked)
+    assert tables["index"].count() == tables["index"].distinct().count()
