@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 
-from tabulon.llm import decontam, lm_mixing
+from tabulon.llm import decontam, lm_mixing, minhash_dedup
 
 
 class Rows:
@@ -57,3 +57,24 @@ def test_decontam_candidates_travel_without_words(spark, monkeypatch, slop):
     asked = [tables[n] for n in ("asked", "close") if n in tables]
     assert len(asked) == (2 if slop else 1) and not any("terms" in t.schema.simpleString() for t in asked)
     assert tables["index"].count() == tables["index"].distinct().count()
+
+
+def test_bucket_rows_stay_in_as_many_parts_as_the_session_names(spark, monkeypatch):
+    """Small parts are not gathered into fewer tasks, whose hash tables would grow."""
+    parts, saved = {}, minhash_dedup.saved
+
+    def kept(df, name):
+        if name == "members":
+            parts[name] = df.rdd.getNumPartitions()
+        return saved(df, name)
+
+    monkeypatch.setattr(minhash_dedup, "saved", kept)
+    docs = [(i, " ".join([*(f"w{i // 2}x{j}" for j in range(80)), f"end{i}"])) for i in range(20)] + [(20, None), (None, "a b c d e f")]
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        got = {(r["doc_id"], r["component_id"]) for r in minhash_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert got == {(i, i // 2 * 2) for i in range(20)} | {(20, 20), (None, None)}
+    assert parts["members"] == 7
