@@ -255,12 +255,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes, _ = saved(sketches.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "classes")
     nodes = sketches.where("n_shingles > 0").join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     nodes = nodes.withColumnRenamed("doc_id", "node")
-    # dealt out by band once: distinct rows, the count and the join below need no further shuffle; a fixed number
-    # of parts, since a task's hash table of distinct rows takes many times what a part takes in the shuffle
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = nodes.select(F.explode("bands").alias("band"), "node").repartition(parts, "band").distinct()
-    shared = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    members, path = saved(rows.join(shared, "band"), "members")
+    # dealt out by band once: the buckets of several nodes, the join and its distinct rows need no further shuffle;
+    # only members of shared buckets, few of all rows, are held to tell them apart
+    rows = nodes.select(F.explode("bands").alias("band"), "node").repartition("band")
+    shared = rows.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
+    members, path = saved(rows.join(shared, "band").distinct(), "members")
     active = members.select(F.col("node").alias("doc_id")).distinct()
     bodies, _ = saved(texts(docs).join(active, "doc_id", "left_semi"), "bodies")
     marks, _ = saved(nodes.select("node", "n_shingles", *LONGS, "bands").join(active, nodes["node"] == active["doc_id"], "left_semi"), "marks")

@@ -59,22 +59,17 @@ def test_decontam_candidates_travel_without_words(spark, monkeypatch, slop):
     assert tables["index"].count() == tables["index"].distinct().count()
 
 
-def test_bucket_rows_stay_in_as_many_parts_as_the_session_names(spark, monkeypatch):
-    """Small parts are not gathered into fewer tasks, whose hash tables would grow."""
-    parts, saved = {}, minhash_dedup.saved
+def test_bucket_rows_are_told_apart_after_the_join(spark, monkeypatch):
+    """Tasks hold one entry a bucket and the members of shared buckets, not every bucket row several times."""
+    plans, saved = {}, minhash_dedup.saved
 
     def kept(df, name):
-        if name == "members":
-            parts[name] = df.rdd.getNumPartitions()
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
         return saved(df, name)
 
     monkeypatch.setattr(minhash_dedup, "saved", kept)
-    docs = [(i, " ".join([*(f"w{i // 2}x{j}" for j in range(80)), f"end{i}"])) for i in range(20)] + [(20, None), (None, "a b c d e f")]
-    was = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "7")
-    try:
-        got = {(r["doc_id"], r["component_id"]) for r in minhash_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", was)
+    docs = [(i, " ".join([*(f"w{i // 2}x{j}" for j in range(80)), f"end{i}"])) for i in range(20)] + [(20, None), (None, "a b c d e f"), (0, "under an id of its own")]
+    got = {(r["doc_id"], r["component_id"]) for r in minhash_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == {(i, i // 2 * 2) for i in range(20)} | {(20, 20), (None, None)}
-    assert parts["members"] == 7
+    below = plans["members"][plans["members"].index("Join"):]
+    assert "Aggregate(keys=[band#" in below and ", node#" not in "".join(x for x in below.splitlines() if "Aggregate(keys=[band#" in x)
