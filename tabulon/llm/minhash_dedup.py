@@ -13,7 +13,9 @@ components goes on with the members outside its largest one: blocks of them meet
 of the others, and a pair is asked about once, in the first bucket it shares, if it lies
 in two components, if the estimate allows a link, and if the similarities of both to the
 bucket's smallest member do (one minus similarity is a metric). So every candidate pair
-that could still join two components is looked at, at any size of bucket.
+that could still join two components is looked at, at any size of bucket. The texts come
+with the block, where the full sets of an asking member and all it may link with are
+compared at once; only links leave it, so a crowd's pairs are never rows of a table.
 
 At similarity 0.75 a pair misses all bands with probability 5e-6 and falls below the
 estimate's margin with less than 1e-6.
@@ -39,6 +41,7 @@ SHINGLE, PERMUTATIONS, BANDS, ROWS, BITS = 5, 512, 32, 4, 2
 SIMILARITY = (75, 100)
 MARGIN = 0.117  # five standard deviations of the estimate at 0.75
 BLOCK = 1024  # members of a bucket that meet in one step
+BLOCK_SHINGLES = 1 << 20  # and about how many shingles of theirs
 LONGS = [f"s{i}" for i in range(PERMUTATIONS * BITS // 64)]
 
 
@@ -149,44 +152,70 @@ def _across(x: dict, y: dict) -> np.ndarray:
     return at[~earlier.any(axis=1)]
 
 
-def between_components(members: DataFrame, marks: DataFrame, first: DataFrame) -> DataFrame:
-    """``a, b``: pairs inside buckets that may still join two components.
+def _linked(x: dict[int, np.ndarray], y: dict[int, np.ndarray], at: np.ndarray) -> np.ndarray:
+    """Which of the pairs ``at`` (numbers in the sets ``x``, in the sets ``y``, sorted by the first) are links, on full sets."""
+    num, den = SIMILARITY
+    asked, k = np.unique(at[:, 1], return_inverse=True)
+    sizes = np.array([len(y[j]) for j in asked.tolist()])
+    every = np.concatenate([y[j] for j in asked.tolist()])
+    known = np.unique(np.concatenate([x[i] for i in np.unique(at[:, 0]).tolist()]))
+    number = np.searchsorted(known, every).clip(max=len(known) - 1)
+    number[known[number] != every] = len(known)
+    out, first = np.zeros(len(at), bool), np.cumsum(sizes) - sizes
+    for of in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at[:, 0])) + 1):
+        a, own = x[at[of[0], 0]], np.zeros(len(known) + 1, np.int32)
+        own[np.searchsorted(known, a)] = 1
+        both = np.add.reduceat(own[number], first)[k[of]]
+        out[of] = den * both >= num * (len(a) + sizes[k[of]] - both)
+    return out
+
 
-    ``members``: band, node, component of open buckets; ``first``: band, node,
-    similarity to the bucket's smallest member, where it was confirmed.
+def between_components(members: DataFrame, marks: DataFrame, bodies: DataFrame) -> DataFrame:
+    """``a, b``: links inside buckets that join two components, confirmed on full shingle sets.
+
+    ``members``: band, node, component of open buckets, its number of shingles and its
+    similarity to the bucket's smallest member, where that was confirmed.
     """
     salts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = members.groupBy("band", "component").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"))
-    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    sizes = sizes.select("band", F.col("top.component").alias("largest"), blocks(F.col("n")).alias("mb"), blocks(F.col("n") - F.col("top.n")).alias("ob"))
-    rows = members.join(sizes, "band").join(first, ["band", "node"], "left").join(marks, "node")
+    sizes = members.groupBy("band", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("k"))
+    sizes = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.max(F.struct("n", "component", "k")).alias("top"))
+    blocks = lambda n, k: F.ceil(F.greatest(n / BLOCK, k / BLOCK_SHINGLES)).cast("int")
+    sizes = sizes.select("band", F.col("top.component").alias("largest"), blocks(F.col("n"), F.col("k")).alias("mb"),
+                         blocks(F.col("n") - F.col("top.n"), F.col("k") - F.col("top.k")).alias("ob"))
+    rows = members.join(sizes, "band").join(marks.drop("n_shingles").join(bodies.withColumnRenamed("doc_id", "node"), "node"), "node")
     rows = rows.withColumn("outside", F.col("component") != F.col("largest"))
     place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("ob") - 1)).alias("o"), place("mb").alias("m"), F.lit(False).alias("asks"))
     asking = rows.where("outside").select("*", place("ob").alias("o"), F.explode(F.sequence(F.lit(0), F.col("mb") - 1)).alias("m"), F.lit(True).alias("asks"))
-    both = every.unionByName(asking).select("band", "o", "m", "asks", "node", "component", "outside", "similarity", "n_shingles", "bands", *LONGS)
+    both = every.unionByName(asking).select("band", "o", "m", "asks", "node", "component", "outside", "similarity", "n_shingles", "bands", "text", *LONGS)
     both = both.repartition(salts, "band", "o", "m").sortWithinPartitions("band", "o", "m")
 
     def columns(f: pd.DataFrame) -> dict:
         bands = np.stack(f["bands"].to_numpy())
         return {"component": f["component"].to_numpy(), "n_shingles": f["n_shingles"].to_numpy(), "to_first": f["similarity"].to_numpy(dtype=float),
                 "sig": f[LONGS].to_numpy().view(np.uint64), "bands": bands, "at": (bands == f["band"].to_numpy()[:, None]).argmax(axis=1),
-                "node": f["node"].to_numpy(), "outside": f["outside"].to_numpy()}
+                "node": f["node"].to_numpy(), "outside": f["outside"].to_numpy(), "text": f["text"].to_numpy()}
 
-    def pairs(f: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-        out = []
+    def links(f: pd.DataFrame) -> Iterator[pd.DataFrame]:
         cut = np.flatnonzero((f[["band", "o", "m"]].to_numpy()[1:] != f[["band", "o", "m"]].to_numpy()[:-1]).any(axis=1)) + 1
         asks, every_row = f["asks"].to_numpy(), columns(f)
         for rows_of in np.split(np.arange(len(f)), cut):
             ask, rest = rows_of[asks[rows_of]], rows_of[~asks[rows_of]]
+            y, sets = {k: v[rest] for k, v in every_row.items()}, {}
             for i in range(0, len(ask), 64):
-                x, y = ({k: v[r] for k, v in every_row.items()} for r in (ask[i:i + 64], rest))
+                x = {k: v[ask[i:i + 64]] for k, v in every_row.items()}
                 at = _across(x, y)
+                once = ~y["outside"][at[:, 1]] | (x["node"][at[:, 0]] < y["node"][at[:, 1]])  # two outsiders meet twice
+                at = at[once]
+                if not len(at):
+                    continue
+                for j in set(at[:, 1].tolist()) - sets.keys():
+                    sets[j] = shingle_set(y["text"][j])
+                asking = {j: shingle_set(x["text"][j]) for j in set(at[:, 0].tolist())}
+                at = at[_linked(asking, sets, at)]
                 p, q = x["node"][at[:, 0]], y["node"][at[:, 1]]
-                once = ~y["outside"][at[:, 1]] | (p < q)  # two outsiders meet twice
-                out.append((np.minimum(p, q)[once], np.maximum(p, q)[once]))
-        return out
+                if len(at):
+                    yield pd.DataFrame({"a": np.minimum(p, q), "b": np.maximum(p, q)})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = None  # the last bucket block may go on in the next frame
@@ -197,13 +226,10 @@ def between_components(members: DataFrame, marks: DataFrame, first: DataFrame) -
             key = f[["band", "o", "m"]].to_numpy()
             done = int(np.flatnonzero((key != key[-1]).any(axis=1)).max(initial=-1)) + 1
             kept = f.iloc[done:]
-            for a, b in pairs(f.iloc[:done].reset_index(drop=True)) if done else ():
-                if len(a):
-                    yield pd.DataFrame({"a": a, "b": b})
+            if done:
+                yield from links(f.iloc[:done].reset_index(drop=True))
         if kept is not None and len(kept):
-            for a, b in pairs(kept.reset_index(drop=True)):
-                if len(a):
-                    yield pd.DataFrame({"a": a, "b": b})
+            yield from links(kept.reset_index(drop=True))
 
     return both.mapInPandas(run, "a long, b long").distinct()
 
@@ -258,28 +284,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # dealt out by band once: the buckets of several nodes, the join and its distinct rows need no further shuffle;
     # only members of shared buckets, few of all rows, are held to tell them apart
     rows = nodes.select(F.explode("bands").alias("band"), "node").repartition("band")
-    shared = rows.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
+    shared = rows.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("hi")).where("least < hi").select("band", "least")
     members, path = saved(rows.join(shared, "band").distinct(), "members")
-    active = members.select(F.col("node").alias("doc_id")).distinct()
-    bodies, _ = saved(texts(docs).join(active, "doc_id", "left_semi"), "bodies")
-    marks, _ = saved(nodes.select("node", "n_shingles", *LONGS, "bands").join(active, nodes["node"] == active["doc_id"], "left_semi"), "marks")
+    active, active_path = saved(members.select(F.col("node").alias("doc_id")).distinct(), "active")
+    wanted = if_small(active)
+    worded = texts(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))  # a blank copy under the id of a text has no set
+    bodies, _ = saved(worded.join(wanted, "doc_id", "left_semi"), "bodies")
+    marks, _ = saved(nodes.select("node", "n_shingles", *LONGS, "bands").join(wanted, nodes["node"] == wanted["doc_id"], "left_semi"), "marks")
     # everyone meets the bucket's smallest member
-    least, least_path = saved(members.groupBy("band").agg(F.min("node").alias("least")), "least")
-    pairs = members.join(least, "band").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    others = members.where("node <> least")
+    pairs = others.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     likely = (pairs.join(marks.alias("x"), F.col("a") == F.col("x.node")).join(marks.alias("y"), F.col("b") == F.col("y.node"))
               .where((SIMILARITY[1] * F.least("x.n_shingles", "y.n_shingles") >= SIMILARITY[0] * F.greatest("x.n_shingles", "y.n_shingles"))
                      & (estimate("x", "y") >= SIMILARITY[0] / SIMILARITY[1] - MARGIN)).select("a", "b").distinct())
     met, _ = saved(confirmed(likely, bodies), "met")
     comps = merged(None, met.where("linked"))
     # what is left joins components
-    rest = members.join(least, "band").where("node <> least").join(comps, "node", "left").select(
-        "band", "least", "node", F.coalesce("component", "node").alias("component"))
+    rest = others.join(comps, "node", "left").select("band", "least", "node", F.coalesce("component", "node").alias("component"))
     open_bands = rest.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band")
-    rest, rest_path = saved(rest.join(open_bands, "band", "left_semi"), "rest")
-    first = rest.join(met, (F.col("least") == F.col("a")) & (F.col("node") == F.col("b"))).select("band", "node", "similarity")
-    more, _ = saved(confirmed(between_components(rest.drop("least"), marks, first), bodies).where("linked"), "links")
+    rest = rest.join(open_bands, "band", "left_semi").join(marks.select("node", "n_shingles"), "node")
+    to_first = met.select(F.col("a").alias("least"), F.col("b").alias("node"), "similarity")
+    rest, rest_path = saved(rest.join(to_first, ["least", "node"], "left").drop("least"), "rest")
+    more, _ = saved(between_components(rest, marks, bodies), "links")
     comps = merged(comps, more)
-    dropped(spark, path, least_path, rest_path)
+    dropped(spark, path, active_path, rest_path)
     out = sketches.select("doc_id", "n_shingles", "k1", "k2").join(classes, ["k1", "k2"], "left").join(comps, "node", "left")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     out = out.withColumn("component_id", F.when(linked, F.coalesce("component", "node")).otherwise(F.col("doc_id")))

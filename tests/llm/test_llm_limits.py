@@ -73,3 +73,41 @@ def test_bucket_rows_are_told_apart_after_the_join(spark, monkeypatch):
     assert got == {(i, i // 2 * 2) for i in range(20)} | {(20, 20), (None, None)}
     below = plans["members"][plans["members"].index("Join"):]
     assert "Aggregate(keys=[band#" in below and ", node#" not in "".join(x for x in below.splitlines() if "Aggregate(keys=[band#" in x)
+
+
+def test_a_crowd_is_compared_in_its_bucket(spark, monkeypatch):
+    """Texts alike, but not alike enough: their pairs are compared inside the bucket blocks and never become rows of a join."""
+    import random
+    r = random.Random(5)
+    core = [f"core{i}" for i in range(60)]
+    rows = []
+    for i in range(60):  # pairs of the crowd are at 0.5 to 0.7, every tenth has a near copy
+        own = [f"own{i}x{j}" for j in range(14)]
+        rows.append((i, " ".join([*core, *own])))
+        if i % 10 == 0:
+            rows.append((100 + i, " ".join([*core, *own, "more"])))
+    rows += [(3, ""), (13, None), (0, " "), (100, None), (200, "\t")]  # blank copies under the ids of texts
+    r.shuffle(rows)
+    asked, real = [], minhash_dedup.confirmed
+
+    def confirmed(pairs, bodies):
+        asked.append(pairs.count())
+        return real(pairs, bodies)
+
+    monkeypatch.setattr(minhash_dedup, "confirmed", confirmed)
+    monkeypatch.setattr(minhash_dedup, "MARGIN", 0.6)  # every pair of a bucket has to be confirmed
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).where("n_shingles > 0").collect()
+    assert {(x["doc_id"], x["component_id"]) for x in got} == {(i, i - 100 if i >= 100 else i) for i, t in rows if t and t.strip()}
+    assert sum(asked) < 32 * 66  # at most one pair a member and band, no square of the crowd
+    assert len(asked) == 1
+
+
+def test_linked_counts_full_sets():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x, y = ({i: np.unique(rng.integers(0, 40, 30).astype(np.uint64)) for i in range(5)} for _ in range(2))
+    at = np.array([(i, j) for i in range(5) for j in range(5) if (i + j) % 3])
+    want = [100 * len(np.intersect1d(x[i], y[j])) >= 75 * len(np.union1d(x[i], y[j])) for i, j in at.tolist()]
+    assert minhash_dedup._linked(x, y, at).tolist() == want
+    x[2] = y[2]
+    assert minhash_dedup._linked(x, y, at)[at.tolist().index([2, 2])]
