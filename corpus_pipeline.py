@@ -7,6 +7,10 @@ None and the stages are held against brute-force versions in ``tests/llm``.
 
 Defined results: null texts have no language and go with the first stage; an empty table
 passes through every stage as an empty table; repeated rows are copies, of which one stays.
+
+The stages share executors, whose memory fills from stage to stage. So each sets the
+session's ``spark.sql.execution.arrow.maxRecordsPerBatch`` to ``common.short_batches``
+(500 rows, where it was more); it stays set, as stages are lazy.
 """
 
 from __future__ import annotations
@@ -15,17 +19,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.llm import decontam, exact_packing, langid, minhash_dedup, surrogates
-from tabulon.llm.common import read_table, saved
+from tabulon.llm.common import read_table, saved, short_batches
 from tabulon.llm.queries import EXAMPLE_KEY, tokenizer_file
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: keep the documents whose language the calibrated model doesn't reject."""
+    short_batches(spark)
     return langid.accepted(docs, langid.fitted(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: one document of each group of near-duplicates stays."""
+    short_batches(spark)
     return minhash_dedup.one_of_each(docs)
 
 
@@ -36,6 +42,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: personal data become surrogates; ``n_chars`` follows the text."""
+    short_batches(spark)
     out = surrogates.masked(docs, EXAMPLE_KEY)
     kinds = next(c for c in reversed(out.columns))
     n_chars = F.when(F.size(kinds) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
@@ -44,6 +51,7 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: cut and pack the tokens of what is left."""
+    short_batches(spark)
     return exact_packing.packed(docs, tokenizer_file(), remember=8 << 20)  # its workers have served four stages before
 
 

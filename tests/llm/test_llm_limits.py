@@ -111,3 +111,26 @@ def test_linked_counts_full_sets():
     assert minhash_dedup._linked(x, y, at).tolist() == want
     x[2] = y[2]
     assert minhash_dedup._linked(x, y, at)[at.tolist().index([2, 2])]
+
+
+def test_pipeline_sends_short_batches_to_python(spark):
+    """Every stage of the pipeline lowers the rows that a Python worker gets at a time; a smaller setting stays."""
+    import pandas as pd
+
+    import corpus_pipeline
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(i, "en", "web", f"Mail to anna{i}@mail.example.com about it.", 0) for i in range(1200)],
+                                 "doc_id long, lang string, source string, text string, n_chars long").coalesce(1)
+    try:
+        for stage in (corpus_pipeline.language, corpus_pipeline.near_dedup, corpus_pipeline.privacy, corpus_pipeline.packing):
+            spark.conf.set(name, "10000")
+            stage(spark, docs, "")
+            sizes = [r["n"] for r in docs.mapInPandas(lambda frames: (pd.DataFrame({"n": [len(f)]}) for f in frames), "n long").collect()]
+            assert sum(sizes) == 1200 and max(sizes) <= 500
+        spark.conf.set(name, "100")
+        masked = corpus_pipeline.privacy(spark, docs, "").collect()
+        assert spark.conf.get(name) == "100"
+        assert len({r["text"] for r in masked}) == 1200 and not any("anna" in r["text"] for r in masked)
+    finally:
+        spark.conf.set(name, before)
