@@ -87,6 +87,47 @@ def test_lm_learns_and_batches_agree():
     assert blank is not None
 
 
+def test_lm_contexts_cross_word_ends():
+    """Inputs of a word: the last 2, 3 and 5 bytes of the message, the word so far, and that with the word before it."""
+    code = lm_mixing.Code(np.ones(256))
+    assert set(code.length.tolist()) == {8}
+    seen = {}
+    for before in (b"stone", b"atone", b"of", b"an of"):
+        message = [b"x", b"x", b"x", *before.split(), b"river", lm_mixing.END]
+        items = lm_mixing.styled(message)
+        assert [lm_mixing.bare(t) for t in items] == message
+        n, _, slots = lm_mixing.decisions(items, code)
+        assert n.tolist() == [8 * (len(t) + 1) for t in message[:-1]] + [8]
+        at = int(n[:-2].sum())
+        seen[before] = [s[at:at + n[-2]].reshape(-1, 8) for s in slots]
+
+    def same(a, b):  # by input: which of the word's bytes meet the same slots
+        return ["".join("=" if (p == q).all() else "." for p, q in zip(x, y, strict=True)) for x, y in zip(seen[a], seen[b], strict=True)]
+
+    assert same(b"stone", b"atone") == ["======", "======", "======", "======", "......"]
+    assert same(b"stone", b"of") == [".=====", "..====", "....==", "======", "......"]
+    assert same(b"of", b"an of") == ["======", "======", ".=====", "======", "======"]
+
+
+def test_lm_word_order_counts():
+    """Words in the order that was learnt score above the same words turned round, before any update inside the text."""
+    code = lm_mixing.Code(np.ones(256))
+    words = [b"stone", b"river", b"door", b"wall"]
+    learnt = [lm_mixing.tokens(b" ".join(words * 2).decode())] * 50
+    tables = [np.zeros(2 << b, np.int32) for b in lm_mixing.SLOT_BITS]
+    seen = {}
+    for m in learnt:
+        lm_mixing.count_styled(m, seen)
+    n, y, slots = lm_mixing.decisions(list(seen), code)
+    for table, s in zip(tables, slots, strict=True):
+        np.add.at(table, s.astype(np.int64) * 2 + y, np.repeat(list(seen.values()), n).astype(np.int32))
+    scorer = lm_mixing.Scorer(code, [lm_mixing.quantised(t[0::2], t[1::2]) for t in tables], lm_mixing.start_state())
+    order, turned = [*words, lm_mixing.END], [words[0], *words[:0:-1], lm_mixing.END]
+    assert lm_mixing.style(order) == lm_mixing.style(turned) == lm_mixing.style(learnt[0])
+    a, b = scorer.scores(*lm_mixing.numbered([order, turned]))
+    assert a > b + 1
+
+
 # -- 2 -----------------------------------------------------------------------------------
 def test_contamination(spark):
     item = " ".join(f"w{i}" for i in range(30))
