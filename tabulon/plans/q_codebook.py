@@ -252,8 +252,10 @@ def q_prep(spark, d):
     from pyspark.ml.functions import vector_to_array
     from tabulon.plans.q_features import MODEL_FEATURES, split_frame
     survey = fx.written_survey(spark, d)
+    # two tables of all rows: from its size on disk Spark would take a narrow one for small and gather it on the driver
+    ages = survey.select("respondent_id", "age").hint("merge")
     # each stage of the template is fitted in a pass of its own
-    df = written(split_frame(spark, d, survey).join(survey.select("respondent_id", "age"), "respondent_id"), "template")
+    df = written(split_frame(spark, d, survey).join(ages, "respondent_id"), "template")
     pipe = D.prep_template(["age"], [c for c in MODEL_FEATURES if c != "age_group"])
     model = pipe.fit(df.filter(F.col("side") == "train"))
     out = model.transform(df)

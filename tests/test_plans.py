@@ -34,3 +34,18 @@ def test_fixture_scan_prunes_orders_columns(spark):
     assert orders
     for scan in orders:  # the weight check needs only the join key from orders
         assert "ReadSchema: struct<o_custkey:bigint>" in scan and "PushedFilters: [IsNotNull(o_custkey)]" in scan
+
+
+def test_prep_template_gathers_no_rows_on_the_driver(spark, monkeypatch):
+    """The ages of all rows are joined in a shuffle, however small the written table looks."""
+    from tabulon.plans import q_codebook
+    plans, written = [], q_codebook.written
+
+    def seen(df, name="survey"):
+        plans.append((name, df._jdf.queryExecution().sparkPlan().toString()))
+        return written(df, name)
+
+    monkeypatch.setattr(q_codebook, "written", seen)
+    q_codebook.q_prep(spark, SF_SMALL)
+    plan = dict(plans)["template"]
+    assert "SortMergeJoin [respondent_id" in plan and "BroadcastHashJoin [respondent_id" not in plan
