@@ -2,8 +2,7 @@
 
 A request is parsed once as VARIANT, so that what it holds beside the contract is seen too:
 unknown fields are found in the value, missing ones are told from null ones, and a number is
-not taken for its text. Every check is a projection on the row, one expression over the list of
-fields; nothing is shuffled.
+not taken for its text. Every check is a projection on the row; nothing is shuffled.
 
 Errors are (field, message, type), in this order: a body that is no JSON object (one error
 under ``body``); fields in the contract's order (``missing``, ``enum``); unknown fields by
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.exprs import trim_ws
-from tabulon.session import materialize
+from tabulon.session import written
 
 
 def _error(field: Column | str, message: str, kind: str) -> Column:
@@ -28,25 +27,31 @@ def _error(field: Column | str, message: str, kind: str) -> Column:
 
 
 def parsed(df: DataFrame, body: str, fields: Mapping[str, Sequence[str]], keep: Sequence[str] = ()) -> DataFrame:
-    """``keep``, one trimmed text column per field, and ``errors``: all that the fields alone can show."""
-    contract = F.array(*[F.struct(F.lit(f).alias("name"), F.array(*[F.lit(x) for x in values]).alias("values")) for f, values in fields.items()])
-    v = df.select(*keep, F.try_parse_json(body).alias("__v"))
-    v = v.select(*keep, F.expr("case when schema_of_variant(__v) like 'OBJECT%' then cast(__v as map<string, variant>) end").alias("__m"))
-
-    def field(f: Column) -> Column:
-        value = F.try_element_at(F.col("__m"), f["name"])
-        text = F.when(F.schema_of_variant(value) == "STRING", trim_ws(value.cast("string")))
-        return F.struct(f["name"].alias("name"), F.map_contains_key("__m", f["name"]).alias("there"), text.alias("value"),
-                        F.coalesce(F.array_contains(f["values"], text), F.lit(False)).alias("ok"))
+    """``keep``, one trimmed text column per field, and ``errors``: all that the fields alone can show.
 
-    v = v.select(*keep, "__m", F.transform(contract, field).alias("__f"))
-    wrong = F.transform(F.filter("__f", lambda f: ~f["ok"]), lambda f: F.when(f["there"], _error(f["name"], "Input should be one of the allowed categories", "enum"))
-                        .otherwise(_error(f["name"], "Field required", "missing")))
+    Fields are looked up one by one in compiled code; lists are gone through, which Spark
+    interprets, only for requests with errors. The steps stay apart, since each refers to
+    columns of the one before more than once. The second makes the list of unknown fields,
+    so Spark compiles it in short methods (one long method would not be compiled by the JVM).
+    """
+    v = df.select(*keep, F.try_parse_json(body).alias("__v"))
+    v = v.select(*keep, F.expr("try_variant_get(__v, '$', 'map<string, variant>')").alias("__m"))
     known = F.array(*[F.lit(f) for f in fields])
     extra = F.transform(F.array_sort(F.array_except(F.map_keys("__m"), known)), lambda n: _error(n, "Extra inputs are not permitted", "extra_forbidden"))
+    found = []
+    for i, (f, values) in enumerate(fields.items()):
+        value = F.try_element_at("__m", F.lit(f))
+        text = F.when(F.schema_of_variant(value) == "STRING", trim_ws(value.cast("string")))
+        found += [value.isNotNull().alias(f"__there{i}"), text.alias(f"__text{i}"), F.coalesce(text.isin(*values), F.lit(False)).alias(f"__ok{i}")]
+    v = v.select(*keep, F.col("__m").isNull().alias("__none"), *found, extra.alias("__extra"))
+    wrong = [F.when(~F.col(f"__ok{i}"), F.when(F.col(f"__there{i}"), _error(f, "Input should be one of the allowed categories", "enum"))
+                    .otherwise(_error(f, "Field required", "missing"))) for i, f in enumerate(fields)]
+    in_order = F.lit(True)
+    for i in range(len(wrong)):
+        in_order = in_order & F.col(f"__ok{i}")
     no_object = F.array(_error("body", "Input should be a valid JSON object", "object_type"))
-    errors = F.when(F.col("__m").isNull(), no_object).otherwise(F.concat(wrong, extra))
-    return v.select(*keep, *[F.get("__f", F.lit(i))["value"].alias(f) for i, f in enumerate(fields)], errors.alias("errors"))
+    errors = F.when(F.col("__none"), no_object).when(in_order, F.col("__extra")).otherwise(F.concat(F.array_compact(F.array(*wrong)), F.col("__extra")))
+    return v.select(*keep, *[F.col(f"__text{i}").alias(f) for i, f in enumerate(fields)], errors.alias("errors"))
 
 
 def routed(df: DataFrame, rules: Sequence[tuple[Column, str, str]]) -> DataFrame:
@@ -57,5 +62,5 @@ def routed(df: DataFrame, rules: Sequence[tuple[Column, str, str]]) -> DataFrame
 
 def checked(df: DataFrame, body: str, fields: Mapping[str, Sequence[str]], rules: Sequence[tuple[Column, str, str]], keep: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(accepted requests as typed columns, rejected ones as ``keep`` and ``errors``); requests are parsed once for both and written."""
-    out = materialize(routed(materialize(parsed(df, body, fields, keep)), rules))
+    out = written(routed(parsed(df, body, fields, keep), rules), "checked")
     return out.filter(F.size("errors") == 0).drop("errors"), out.filter(F.size("errors") > 0).select(*keep, "errors")

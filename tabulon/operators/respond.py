@@ -57,44 +57,58 @@ def answers(df: DataFrame, id_col: str, features: Sequence[str], weights: DataFr
     by = materialize(by)
     short = by.count() <= SHORT
     met = df.select(F.col(id_col), *[F.col(f).cast("string").alias(f) for f in features])
+    of_models = F.array(*[F.struct(F.coalesce(F.try_element_at("__w", F.lit(q.model)), F.lit(0.0)).alias("w"),
+                                   F.map_contains_key("__w", q.model).alias("seen")) for q in questions])
     for i, f in enumerate(features):
-        w = by.where(F.col("feature") == f).select(F.col("category").alias(f"__c{i}"), F.col("__w").alias(f"__w{i}"))
+        w = by.where(F.col("feature") == f).select(F.col("category").alias(f"__c{i}"), of_models.alias(f"__w{i}"))
         met = met.join(F.broadcast(w) if short else w, F.col(f) == F.col(f"__c{i}"), "left")
-    parts = F.array(*[F.struct(F.lit(i).alias("place"), F.lit(f).alias("feature"), F.col(f).alias("value"), F.col(f"__w{i}").alias("w"))
-                      for i, f in enumerate(features)])
+    parts = F.array(*[F.struct(F.lit(i).alias("place"), F.col(f).alias("value"), F.col(f"__w{i}").alias("w")) for i, f in enumerate(features)])
     row = met.select(id_col, parts.alias("__parts")).groupBy(id_col).agg(F.flatten(F.collect_list("__parts")).alias("parts"))
     row = row.withColumn("parts", F.when(F.size("parts") > len(features), F.array_sort("parts", lambda a, b: a["place"] - b["place"])).otherwise(F.col("parts")))
-    return row.select(id_col, F.array(*[_answer(q, means.get(q.model, {}), features, labels or {}, top) for q in questions]).alias("results"))
+    # a step of its own: the answer refers to the scores and to the ranked factors more than once
+    row = row.select(id_col, "parts", *[c for j, q in enumerate(questions) for c in _scored(j, q, means.get(q.model, {}), features, top)])
+    return row.select(id_col, F.array(*[_answer(j, q, means.get(q.model, {}), features, labels or {}) for j, q in enumerate(questions)]).alias("results"))
 
 
-def _answer(q: Question, means: Mapping[str, float], features: Sequence[str], labels: Mapping[str, str], top: int) -> Column:
-    mean = F.create_map(*[x for f in features for x in (F.lit(f), F.lit(float(means.get(f, 0.0))))])
-    label = F.create_map(*[x for f in features for x in (F.lit(f), F.lit(labels.get(f, f)))])
-    w = lambda p: F.coalesce(F.try_element_at(p["w"], F.lit(q.model)), F.lit(0.0))
-    base = q.bias + sum(float(means.get(f, 0.0)) for f in features)
+def _of(texts: Sequence[str], place: Column) -> Column:
+    return F.get(F.array(*[F.lit(t) for t in texts]), place)
+
+
+def _scored(j: int, q: Question, mean: Mapping[str, float], features: Sequence[str], top: int) -> list[Column]:
+    """``__raw`` and ``__top`` of a model: its raw score, and its factors with the largest φ first, equal ones by place."""
+    w = lambda p: F.coalesce(F.get(p["w"], F.lit(j))["w"], F.lit(0.0))
+    means = F.array(*[F.lit(float(mean.get(f, 0.0))) for f in features])
+
+    def factor(p: Column) -> Column:
+        phi = w(p) - F.get(means, p["place"])
+        return F.struct(F.abs(phi).alias("size"), (-p["place"]).alias("last"), p["value"].alias("value"), phi.alias("phi"))
+
     raw = F.aggregate("parts", F.lit(float(q.bias)), lambda a, p: a + w(p))
+    return [raw.alias(f"__raw{j}"), F.slice(F.sort_array(F.transform("parts", factor), asc=False), 1, top).alias(f"__top{j}")]
+
+
+def _answer(j: int, q: Question, mean: Mapping[str, float], features: Sequence[str], labels: Mapping[str, str]) -> Column:
+    base = q.bias + sum(float(mean.get(f, 0.0)) for f in features)
+    raw = F.col(f"__raw{j}")
     probability = sigmoid(raw)
-    factors = F.transform("parts", lambda p: F.struct(p["place"].alias("place"), p["feature"].alias("feature"), p["value"].alias("value"),
-                                                      (w(p) - mean[p["feature"]]).alias("phi")))
-    ranked = F.slice(F.array_sort(factors, lambda a, b: F.when(F.abs(a["phi"]) > F.abs(b["phi"]), -1).when(F.abs(a["phi"]) < F.abs(b["phi"]), 1)
-                                  .otherwise(a["place"] - b["place"])), 1, top)
 
     def factor(f: Column) -> Column:
-        up, down = f["phi"] > 0, f["phi"] < 0
+        up, down, place = f["phi"] > 0, f["phi"] < 0, -f["last"]
         said = F.when(up, "raises").when(down, "lowers").otherwise("does not change")
+        label = _of([labels.get(x, x) for x in features], place)
         shown = F.coalesce(f["value"], F.lit("(missing)"))
-        return F.struct(f["feature"].alias("feature"), label[f["feature"]].alias("label"), shown.alias("value"),
+        return F.struct(_of(features, place).alias("feature"), label.alias("label"), shown.alias("value"),
                         F.when(up, DIRECTIONS[0]).when(down, DIRECTIONS[1]).otherwise(DIRECTIONS[2]).alias("direction"),
-                        F.format_string("%s = %s %s the estimate", label[f["feature"]], shown, said).alias("explanation"),
+                        F.concat(label, F.lit(" = "), shown, F.lit(" "), said, F.lit(" the estimate")).alias("explanation"),
                         f["phi"].alias("contribution_log_odds"))
 
-    unseen = F.filter("parts", lambda p: F.coalesce(~F.map_contains_key(p["w"], q.model), F.lit(True)))
-    warnings = F.transform(unseen, lambda p: F.concat(F.lit(f"{q.model} has not seen "), p["feature"], F.lit(" = "), F.coalesce(p["value"], F.lit("(missing)"))))
+    unseen = F.filter("parts", lambda p: ~F.coalesce(F.get(p["w"], F.lit(j))["seen"], F.lit(False)))
+    warnings = F.transform(unseen, lambda p: F.concat(F.lit(f"{q.model} has not seen "), _of(features, p["place"]), F.lit(" = "), F.coalesce(p["value"], F.lit("(missing)"))))
     return F.struct(
         F.lit(q.model).alias("model"), F.lit(q.question).alias("question"), F.when(probability >= q.threshold, q.yes).otherwise(q.no).alias("answer"),
         raw.alias("raw_score"), probability.alias("probability"), F.round(probability * 100, 1).alias("probability_percent"),
         F.lit(float(q.threshold)).alias("threshold"), F.lit(THRESHOLD_STATUS).alias("threshold_status"),
-        sigmoid(F.lit(float(base))).alias("baseline_probability"), F.transform(ranked, factor).alias("main_factors"), warnings.alias("warnings"))
+        sigmoid(F.lit(float(base))).alias("baseline_probability"), F.transform(F.col(f"__top{j}"), factor).alias("main_factors"), warnings.alias("warnings"))
 
 
 def records(answered: DataFrame, id_col: str, purpose: str, disclaimer: str = DISCLAIMER) -> DataFrame:
