@@ -52,11 +52,12 @@ class LinearExplainer:
         return out
 
 
-def category_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature, category, n) over ``df`` — one unpivot + aggregate with map-side combine."""
-    long = df.select(*[F.col(f).cast("string").alias(f) for f in features]).unpivot([], list(features),
-                                                                                    "feature", "category")
-    return long.groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n"))
+def category_counts(df: DataFrame, features: Sequence[str], weight: str | None = None) -> DataFrame:
+    """(feature, category, n) over ``df`` — one unpivot + aggregate with map-side combine. ``weight``: how many rows a row stands for."""
+    kept = [weight] if weight else []
+    long = df.select(*kept, *[F.col(f).cast("string").alias(f) for f in features]).unpivot(kept, list(features),
+                                                                                           "feature", "category")
+    return long.groupBy("feature", "category").agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
 
 
 def rule_weights(counts: DataFrame, salt: str, spread: int = 1000) -> DataFrame:
@@ -178,7 +179,8 @@ def additivity_audit(df: DataFrame, ex: LinearExplainer, tolerance: float = 1e-8
         .withColumn("passed", F.col("max_raw_error") <= tolerance)
 
 
-def explainer_from_logistic(model, indexer, encoder_features: Sequence[str], background: DataFrame) -> LinearExplainer:
+def explainer_from_logistic(model, indexer, encoder_features: Sequence[str], background: DataFrame,
+                            weight: str | None = None) -> LinearExplainer:
     """Explainer for a fitted LogisticRegression on one-hot blocks (StringIndexer labels order)."""
     coef = model.coefficients.toArray().tolist()
     labels = indexer.labelsArray
@@ -189,5 +191,5 @@ def explainer_from_logistic(model, indexer, encoder_features: Sequence[str], bac
     spark = background.sparkSession
     wdf = spark.createDataFrame([(f, c, float(w)) for f, m in weights.items() for c, w in m.items()],
                                 "feature string, category string, w double")
-    return build_explainer(wdf, category_counts(background, encoder_features), encoder_features,
+    return build_explainer(wdf, category_counts(background, encoder_features, weight), encoder_features,
                            float(model.intercept))

@@ -182,21 +182,27 @@ FITTED = {"model_a": ("y_a", 1.0), "model_b": ("y_b", 0.2)}  # outcome and inver
 
 
 def fitted_models(spark, d, sp, survey=None):
-    """Model → (fitted pipeline, its explainer): one logistic model per outcome, trained on the training side."""
+    """Model → (fitted pipeline, its explainer): one logistic model per outcome, trained on the training side.
+
+    Rows collapse to cells, one per combination of features and outcomes, which are fitted
+    with their counts as weights: as many as the categories allow, whatever the number of rows.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from tabulon.operators import clean as D
     survey = fx.clean_survey(spark, d) if survey is None else survey
     outcomes = survey.select("respondent_id", *fx.TARGETS)
-    train = materialize(sp.filter(F.col("side") == "train").select("respondent_id", *MODEL_FEATURES).join(outcomes, "respondent_id"))
-    n = train.count()
+    # both are tables of all rows, which Spark may take for small by their size on disk
+    rows = sp.filter(F.col("side") == "train").select("respondent_id", *MODEL_FEATURES).join(outcomes.hint("merge"), "respondent_id")
+    train = materialize(rows.groupBy(*MODEL_FEATURES, *fx.TARGETS).agg(F.count(F.lit(1)).alias("__n")))
+    n = train.agg(F.sum("__n")).first()[0] or 0
     out = {}
     for name, (target, c) in FITTED.items():
         fit = Pipeline(stages=D.prep_template([], MODEL_FEATURES).getStages() + [LogisticRegression(
-            regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=200)])
+            regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=200, weightCol="__n")])
         model = fit.fit(train.withColumn("label", F.col(target).cast("double")))
         indexer = next(s for s in model.stages if s.__class__.__name__ == "StringIndexerModel")
-        out[name] = (model, K.explainer_from_logistic(model.stages[-1], indexer, MODEL_FEATURES, train))
+        out[name] = (model, K.explainer_from_logistic(model.stages[-1], indexer, MODEL_FEATURES, train, "__n"))
     return out
 
 

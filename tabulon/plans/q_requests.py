@@ -14,7 +14,7 @@ from tabulon.plans.base import Query
 from tabulon.plans.q_explain import FITTED, KX_CTE, MODELS, fitted_models
 from tabulon.plans.q_features import (ENGAGEMENT_MAP, MODEL_FEATURES, NO_PHONE, OFFLINE, OFFLINE_SKIP, OWN_NR, PHONE_TYPE_MAP,
                                       SPLIT_CTE, derived, split_frame)
-from tabulon.session import materialize, shared_scratch
+from tabulon.session import materialize, shared_scratch, written
 from tabulon.sources import fixtures as fx
 from tabulon.streaming.scoring import run_stream
 
@@ -86,14 +86,15 @@ def _render(text: str, dialect: str) -> str:
     return re.sub(r"\{h:(\w+)\}", lambda m: fx.h8_sql(f"concat('{m.group(1)}|', cast(respondent_id as string))", dialect), text)
 
 
-def requests(spark, d):
+def requests(spark, d, survey=None):
     """``respondent_id, body``: one JSON request per survey row, with faults that the id decides.
 
     A hash that a field is picked by is computed once, in its own projection; so is each
     form of the request that the faults are made on.
     """
     import re
-    base = derived(fx.clean_survey(spark, d)).select("respondent_id", *[c for c in FIELDS if c not in DERIVED])
+    survey = fx.clean_survey(spark, d) if survey is None else survey
+    base = derived(survey).select("respondent_id", *[c for c in FIELDS if c not in DERIVED])
     salts = sorted({m for v in DERIVED.values() for m in re.findall(r"\{h:(\w+)\}", v)})
     base = materialize(base).select("*", *[F.expr(_render("{h:%s}" % m, "spark")).alias(f"__h_{m}") for m in salts],
                                     (h8(F.concat(F.lit("req|"), F.col("respondent_id").cast("string"))) % FAULTS).alias("__fault"))
@@ -109,7 +110,12 @@ def requests(spark, d):
     body = F.col("__body")
     body = (F.when(fault == 7, F.regexp_replace(body, '"fin46":"[^"]*"', '"fin46":1')).when(fault == 9, F.substring(body, 1, 40))
             .when(fault == 10, F.concat(F.lit("["), body, F.lit("]"))).when(fault == 11, F.regexp_replace(body, '"inc_q":"[^"]*"', '"inc_q":null')).otherwise(body))
-    return materialize(base.select("respondent_id", body.alias("body")))  # requests arrive as a table
+    return base.select("respondent_id", body.alias("body"))
+
+
+def arrived(spark, d, survey=None):
+    """The requests as a written table, as they arrive; ``survey`` is a written table too."""
+    return written(requests(spark, d, fx.written_survey(spark, d) if survey is None else survey), "requests")
 
 
 def _checked(df):
@@ -121,20 +127,20 @@ def _errors(rejected):
 
 
 def q_contract(spark, d):
-    return _errors(_checked(requests(spark, d))[1])
+    return _errors(_checked(arrived(spark, d))[1])
 
 
-def q_accepted(spark, d):
-    return _checked(requests(spark, d))[0]
+def q_accepted(spark, d, survey=None):
+    return _checked(arrived(spark, d, survey))[0]
 
 
 def _questions(biases):
     return [R.Question(m, b, QUESTIONS[m]) for m, b in biases.items()]
 
 
-def _rule_model(spark, d):
+def _rule_model(spark, d, survey):
     """Both fixed rule models as a table of weights, over the training categories."""
-    counts = materialize(K.category_counts(split_frame(spark, d).filter(F.col("side") == "train"), MODEL_FEATURES))
+    counts = materialize(K.category_counts(split_frame(spark, d, survey).filter(F.col("side") == "train"), MODEL_FEATURES))
     weights = None
     for name, (salt, _bias) in MODELS.items():
         w = K.rule_weights(counts, salt).withColumn("model", F.lit(name))
@@ -144,63 +150,66 @@ def _rule_model(spark, d):
 
 def q_answers(spark, d):
     """L3–L5 with the fixed rule models, one row per request and model, lists as text."""
-    weights, means, questions = _rule_model(spark, d)
-    got = R.answers(q_accepted(spark, d), "respondent_id", MODEL_FEATURES, weights, means, questions)
+    survey = fx.written_survey(spark, d)
+    weights, means, questions = _rule_model(spark, d, survey)
+    got = R.answers(q_accepted(spark, d, survey), "respondent_id", MODEL_FEATURES, weights, means, questions)
     a = got.select("respondent_id", F.explode("results").alias("a")).select("respondent_id", "a.*")
     return a.withColumn("main_factors", F.array_join(F.transform("main_factors", lambda f: F.concat_ws("|", f["feature"], f["value"], f["direction"], f["explanation"])), "; ")) \
         .withColumn("warnings", F.array_join("warnings", "; "))
 
 
-def fitted_answers(spark, d):
-    """Both fitted logistic models as tables of weights, and what their answers start from."""
-    sp = materialize(split_frame(spark, d))
-    counts = K.category_counts(sp.filter(F.col("side") == "train"), MODEL_FEATURES)
-    rows, biases = [], {}
-    for name, (model, _ex) in fitted_models(spark, d, sp).items():
+def fitted_answers(spark, d, survey):
+    """Both fitted logistic models as tables of weights, what their answers start from, and the fitted pipelines."""
+    sp = written(split_frame(spark, d, survey), "split")
+    counts = materialize(K.category_counts(sp.filter(F.col("side") == "train"), MODEL_FEATURES))
+    rows, biases, models = [], {}, fitted_models(spark, d, sp, survey)
+    for name, (model, _ex) in models.items():
         indexer = next(s for s in model.stages if s.__class__.__name__ == "StringIndexerModel")
         coefficients = iter(model.stages[-1].coefficients.toArray().tolist())
         rows += [(name, f, c, next(coefficients)) for f, labels in zip(MODEL_FEATURES, indexer.labelsArray, strict=True) for c in labels]
         biases[name] = float(model.stages[-1].intercept)
     weights = spark.createDataFrame(rows, "model string, feature string, category string, w double")
-    return weights, R.mean_weights(weights, counts), _questions(biases)
+    return weights, R.mean_weights(weights, counts), _questions(biases), models
 
 
 def q_fitted_records(spark, d):
-    weights, means, questions = fitted_answers(spark, d)
-    return R.records(R.answers(q_accepted(spark, d), "respondent_id", MODEL_FEATURES, weights, means, questions), "respondent_id", PURPOSE)
+    survey = fx.written_survey(spark, d)
+    weights, means, questions, _models = fitted_answers(spark, d, survey)
+    return R.records(R.answers(q_accepted(spark, d, survey), "respondent_id", MODEL_FEATURES, weights, means, questions), "respondent_id", PURPOSE)
 
 
 def q_fitted_records_audit(spark, d):
     """The records of fitted models against the pipelines themselves: every accepted request, same probability, all factors."""
     from pyspark.ml.functions import vector_to_array
-    sp = materialize(split_frame(spark, d))
-    ok = materialize(q_accepted(spark, d))
-    weights, means, questions = fitted_answers(spark, d)
+    survey = fx.written_survey(spark, d)
+    ok = q_accepted(spark, d, survey)  # read from a written table
+    weights, means, questions, models = fitted_answers(spark, d, survey)
     got = R.answers(ok, "respondent_id", MODEL_FEATURES, weights, means, questions, top=len(MODEL_FEATURES))
     a = got.select("respondent_id", F.explode("results").alias("a")).select("respondent_id", "a.model", "a.raw_score", "a.probability", "a.baseline_probability", F.expr(
         "aggregate(a.main_factors, cast(0 as double), (t, f) -> t + f.contribution_log_odds)").alias("phi"))
     own = None
-    for name, (model, _ex) in fitted_models(spark, d, sp).items():
+    for name, (model, _ex) in models.items():
         p = model.transform(ok.select("respondent_id", *MODEL_FEATURES)).select(
             "respondent_id", F.lit(name).alias("model"), vector_to_array("probability")[1].alias("own"))
         own = p if own is None else own.unionByName(p)
     base = F.log(F.col("baseline_probability") / (1 - F.col("baseline_probability")))
-    return a.join(own, ["respondent_id", "model"]).groupBy("model").agg(
+    return a.join(own.hint("merge"), ["respondent_id", "model"]).groupBy("model").agg(
         F.count("*").alias("rows"), (F.max(F.abs(F.col("probability") - F.col("own"))) <= 1e-9).alias("same_probability"),
         (F.max(F.abs(base + F.col("phi") - F.col("raw_score"))) <= 1e-8).alias("factors_add_up"))
 
 
 def _streamed(spark, d):
-    weights, means, questions = _rule_model(spark, d)
+    survey = fx.written_survey(spark, d)
+    weights, means, questions = _rule_model(spark, d, survey)
     weights = materialize(weights)
     root = shared_scratch(spark, f"requests/{uuid.uuid4().hex}")
-    requests(spark, d).write.parquet(f"{root}/in")  # arriving request files
+    requests(spark, d, survey).write.parquet(f"{root}/in")  # arriving request files
 
     def score(ok):
         got = R.answers(ok, "respondent_id", MODEL_FEATURES, weights, means, questions)
         return got.select("respondent_id", F.explode("results").alias("a")).select("respondent_id", "a.model", "a.probability", "a.answer")
 
-    return run_stream(spark, f"{root}/in", "respondent_id bigint, body string", f"{root}/out", _checked, score)
+    return run_stream(spark, f"{root}/in", "respondent_id bigint, body string", f"{root}/out", _checked, score, read_once=True)
 
 
 def q_stream_answers(spark, d):

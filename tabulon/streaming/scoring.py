@@ -16,12 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 def run_stream(spark: SparkSession, source_dir: str, schema: str, out_dir: str,
                validate: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
-               score: Callable[[DataFrame], DataFrame], max_files_per_trigger: int | None = None) -> tuple[str, str]:
-    """Process everything available now (``availableNow``) and return (accepted, rejected) sink paths."""
+               score: Callable[[DataFrame], DataFrame], max_files_per_trigger: int | None = None, read_once: bool = False) -> tuple[str, str]:
+    """Process everything available now (``availableNow``) and return (accepted, rejected) sink paths.
+
+    ``read_once``: ``validate`` writes what it has checked, so the files need not be kept for the second sink.
+    """
     accepted, rejected, ckpt = f"{out_dir}/accepted", f"{out_dir}/rejected", f"{out_dir}/_checkpoint"
 
     def batch(df: DataFrame, epoch: int) -> None:
-        df.persist()  # the micro-batch feeds two sinks: read the files once
+        if not read_once:
+            df.persist()  # the micro-batch feeds two sinks: read the files once
         try:
             ok, bad = validate(df)
             score(ok).write.mode("overwrite").parquet(f"{accepted}/epoch={epoch}")

@@ -80,3 +80,23 @@ def test_answers_keep_rows_whole(spark):
     by = {r["id"]: r["results"][0] for r in got.collect()}
     assert by[1]["raw_score"] == -0.5 and by[2]["raw_score"] == 1.5
     assert len(by[2]["warnings"]) == 3 and [f["feature"] for f in by[2]["main_factors"]] == ["a", "a", "b", "b"]
+
+
+def test_the_audit_reads_one_survey_and_fits_cells(spark, monkeypatch):
+    """One written survey feeds requests, split and fits; each model is fitted once, on counted cells."""
+    from conftest import SF_SMALL
+    from tabulon.plans import q_requests
+    raw, fits, surveys, models = q_requests.fx.raw_survey, q_requests.fitted_models, [], []
+    monkeypatch.setattr(q_requests.fx, "raw_survey", lambda *a: surveys.append(1) or raw(*a))
+    monkeypatch.setattr(q_requests, "fitted_models", lambda *a: models.append(fits(*a)) or models[-1])
+    got = {r["model"]: r for r in q_requests.q_fitted_records_audit(spark, SF_SMALL).collect()}
+    assert len(surveys) == len(models) == 1
+    assert set(got) == set(models[0]) and all(r["same_probability"] and r["factors_add_up"] for r in got.values())
+    assert all(model.stages[-1].getWeightCol() == "__n" for model, _ in models[0].values())
+
+
+def test_fields_are_looked_up_in_compiled_steps(spark):
+    """No list over the contract's fields is gone through for a request in order: each field has a lookup of its own."""
+    df = spark.createDataFrame([(1, "{}")], "id int, body string")
+    plan = _plan(L.parsed(df, "body", FIELDS, ["id"]), "executedPlan")
+    assert sum(f"__there{i}" in plan for i in range(len(FIELDS))) == len(FIELDS)
